@@ -1,0 +1,239 @@
+"""Filters, scoring, personal data, packing and archives."""
+
+import os
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidewell.llm import language_id, packing, pii, quality, queries, toxicity, url_filter, warc
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def read(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+def test_url_rules_and_model(spark):
+    urls = ["http://WWW.Example.com/en/1", "http://example.com/en/", "http://example.com/EN/", "https://a.net/es/x?q", "https://net/fr/", "nonsense", None, "http://x.org", "a://b://c/d", "http://free-casino.test/win", "http://h?x/y", "http://xexample.com/en/"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    model = url_filter.fit(url_filter.seed(spark))
+    got = {r.page_id: r for r in url_filter.judge(pages, model).collect()}
+    brute = []
+    for u in urls:
+        rest = u.partition("://")[2] if u and "://" in u else None
+        host = re.split("[/?#]", rest, maxsplit=1)[0] if rest is not None else ""
+        brute.append(("".join(c.lower() if c.isascii() else c for c in host), re.split("[?#]", rest[len(host) :], maxsplit=1)[0] if rest is not None else ""))
+    assert [(got[i].host, got[i].path) for i in range(len(urls))] == brute
+    assert [got[i].rule for i in range(len(urls))] == ["www.example.com/en/", "example.com/en/", "com/", "net/es/", "net/fr/", None, None, None, None, None, None, "com/"]
+    assert got[9].verdict == "block" and got[7].verdict == "allow" and got[0].verdict == "allow" and got[1].verdict == "block"
+    assert url_filter.judge(pages.where("false"), model).count() == 0
+    assert url_filter.keep(pages, url_filter.judge(pages, model)).columns == pages.columns
+    # the model's own verdicts on all pages: hosts with a telling word against the others
+    all_pages = queries.op1_url_filter(spark, SF).where("rule is null").collect()
+    bad = [r.verdict == "block" for r in all_pages if re.search("spam|casino|bets|pills|adult|ads-", r.host)]
+    fine = [r.verdict == "block" for r in all_pages if not re.search("spam|casino|bets|pills|adult|ads-", r.host)]
+    assert np.mean(bad or [1]) > 0.9 and np.mean(fine) < 0.02
+
+
+def test_language_held_out(spark):
+    lang = {r.doc_id: r.lang for r in read(spark, "documents").collect()}
+    got = queries.op2_language_id(spark, SF).collect()
+    assert len(got) == len(lang)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in got if r.held_out]) > 0.97
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in got)
+
+
+def test_language_odd_rows(spark):
+    docs = read(spark, "documents")
+    model = language_id.fit(docs)
+    odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "123 ...", "x"), (4, "the and of " * 50000, "x"), (5, "der und die", "x")], "doc_id long, text string, score string")
+    got = {r.doc_id: r for r in language_id.identify(odd, model).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and got[4].lang_pred == "en" and got[1].score == 0
+    assert language_id.identify(odd.where("false"), model).count() == 0
+    none = language_id.fit(docs.where("false"))
+    assert {r.lang_pred for r in language_id.identify(odd, none).collect()} == {"und"}
+    assert language_id.codewords(9).shape[0] == 9
+
+
+def test_toxicity_held_out(spark):
+    marks = {r.doc_id: r.toxic for r in read(spark, "labels").collect()}
+    got = queries.op3_toxicity(spark, SF).collect()
+    held = [(marks[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in marks]
+    assert np.mean([p for y, p in held if y == 1]) > 0.6 and np.mean([p for y, p in held if y == 0]) < 0.03
+    assert len(got) == read(spark, "documents").count() and all(0 <= r.score <= 1 for r in got)
+
+
+def test_toxicity_odd_rows(spark):
+    docs, labels = read(spark, "documents"), read(spark, "labels")
+    model = toxicity.fit(docs, labels)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "you idiot " * 30000)], "doc_id long, text string")
+    s = [r.s for r in odd.select(toxicity.score(odd, model).alias("s")).collect()]
+    assert s[0] == s[1] < 0.5 < s[2]
+    blank = toxicity.fit(docs, labels.where("false"))
+    assert odd.select(toxicity.score(odd, blank).alias("s")).count() == 3
+
+
+def test_label_model_finds_accuracy_and_correlation():
+    rng = np.random.default_rng(0)
+    y = (rng.random(20000) < 0.3).astype(int)
+    flip = lambda a: np.where(rng.random(len(y)) < a, 2 * y - 1, 1 - 2 * y)
+    v = np.stack([flip(0.9), flip(0.8), flip(0.7)], 1)
+    v = np.column_stack([v, v[:, 2]])
+    pats, idx, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
+    accuracy, corr, prior, post = toxicity.fit_label_model(pats, counts.astype(float), np.full(len(pats), -1))
+    assert corr[2, 3] > 0.9 and abs(corr[0, 1]) < 0.2 and abs(prior - 0.3) < 0.08
+    assert accuracy[0, 1, 2] > accuracy[1, 1, 2] > accuracy[2, 1, 2] > 0.55
+    assert ((post[idx.ravel()] > 0.5) == y).mean() > 0.88
+
+
+def test_quality_held_out(spark):
+    marks = {r.doc_id: r.quality for r in read(spark, "labels").collect()}
+    got = queries.op8_quality(spark, SF).collect()
+    held = [(marks[r.doc_id], r.keep) for r in got if r.held_out and r.doc_id in marks]
+    assert np.mean([k for y, k in held if y == 1]) > 0.95 and np.mean([k for y, k in held if y == 0]) < 0.3
+    assert all(0 <= r.expected_grade <= 2 for r in got)
+
+
+def test_ordinal_thresholds_are_ordered():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((3000, 4)).astype(np.float32)
+    y = np.digitize(x @ [1, -1, 0.5, 0] + rng.logistic(size=3000) * 0.3, [-1, 0, 1.5])
+    w, th = quality.fit_ordinal(x, y, 4)
+    assert (np.diff(th) > 0).all() and w[0] > 0 > w[1] and abs(w[3]) < 0.5
+    assert np.corrcoef(x @ w, y)[0, 1] > 0.8
+    assert quality.vector(None, 4).sum() == 1
+
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def naive(text):
+    out = []
+    for kind, p in BASE.items():
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True, "card": 16 <= len(d) <= 19 and pii.luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a@.1 2-+()0é%5", max_size=40))
+def test_base_spans_match_the_patterns(text):
+    assert pii.base_spans(text) == naive(text)
+
+
+def test_pii_on_documents(spark):
+    text = {r.doc_id: r.text for r in read(spark, "documents").collect()}
+    for r in queries.op4_pii(spark, SF).collect():
+        want = naive(text[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, _, _ in want) for kind in BASE]
+        assert set(filter(None, pii.joined(want).split(","))) <= set(r.spans.split(","))
+
+
+def test_pii_extra_spans_and_redaction(spark):
+    docs = spark.createDataFrame([(1, "write to bob [at] mail [dot] com or call (212) 555-0188 now", 0), (2, None, 0), (3, "", 0), (4, "a" * 300000 + "@", 0), (5, "order 123 456 7890 version 1.2.3", 0), (6, "mail a@b.co", 0)], "doc_id long, text string, base int")
+    model = pii.fit(docs)
+    got = {r.doc_id: r.p for r in docs.select("doc_id", pii.detect(docs, model, redact=True).alias("p")).collect()}
+    assert got[1].redacted == "write to [EMAIL] or call [PHONE] now" and got[5].redacted == "order 123 456 7890 version 1.2.3"
+    assert got[2].redacted is None and got[3].redacted == "" and got[6].redacted == "mail [EMAIL]" and not got[4].spans
+    assert docs.where("false").select(pii.detect(docs, model)).count() == 0
+
+
+def test_packing_covers_all_tokens(spark):
+    docs = read(spark, "documents").select("doc_id", "text")
+    rows = queries.op9_packing(spark, SF).collect()
+    tok = Tokenizer.from_file(PATH)
+    pieces, seqs = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        seqs.setdefault(r.sequence_id, []).append(r)
+    for d in docs.collect():
+        ids = np.array([*tok.encode(d.text or "", add_special_tokens=False).ids, 2], "<u4")
+        at = 0
+        for r in sorted(pieces[d.doc_id], key=lambda r: r.start):
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    pad = total = 0
+    for s in seqs.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 4096
+        total += at
+        pad += 0 if at & (at - 1) == 0 else 4096 - at
+    assert pad < 0.01 * total
+
+
+def test_best_cuts_are_optimal():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        size = int(rng.choice([8, 16, 32]))
+        ends = np.cumsum(rng.integers(1, 12, 14))
+        pos, pen = packing.candidates(ends, ends[:0], size)
+        cuts = [0, *packing.best_cuts(pos, pen, size)]
+        price = lambda i, j: packing.SEQUENCE + pen[j] + (0 if (n := pos[j] - pos[i]) & (n - 1) == 0 else size - n)
+        best = [0.0] + [np.inf] * (len(pos) - 1)
+        for j in range(1, len(pos)):
+            best[j] = min(best[i] + price(i, j) for i in range(j) if pos[j] - pos[i] <= size)
+        assert abs(sum(price(i, j) for i, j in zip(cuts, cuts[1:], strict=False)) - best[-1]) < 1e-6
+
+
+def test_packing_odd_rows(spark):
+    tok = Tokenizer.from_file(PATH)
+    texts = [None, "", "a" * 20000, "It's <|endoftext|> x\u00a0y\x1cz\tq\r\nw 3.5! É\u0301 ﬁ", "word " * 20000, "dup", "dup"]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, start int").coalesce(1)
+    rows = packing.pack(docs, PATH).collect()
+    for i, t in enumerate(texts):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        assert sum(r.length for r in own) == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+    assert packing.pack(docs.where("false"), PATH).count() == 0
+
+
+def test_warc_matches_sql(spark):
+    duckdb.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    want = sorted(duckdb.sql(queries.OP10_SQL).fetchall(), key=str)
+    assert sorted(map(tuple, queries.op10_warc(spark, SF).collect()), key=str) == want
+
+
+def test_warc_odd_rows(spark, tmp_path):
+    long = "é" * 600 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
+    rows = [(1, "http://a", long), (2, "http://b\r\nX: y", long), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", "x" * 1000), (9, "u", "x" * 1000)]
+    pages = spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, html string, d int")
+    warc.write(pages, f"file://{tmp_path}/w")
+    got = warc.read(spark, f"file://{tmp_path}/w").collect()
+    assert not [r for r in got if r.problem] and len(got) == len(rows)
+    kinds = {r.headers["warc-record-id"]: (r.type, r.headers.get("warc-refers-to")) for r in got}
+    assert kinds["<urn:page:1>"] == ("revisit", "<urn:page:2>") and kinds["<urn:page:none>"] == ("revisit", "<urn:page:9>")
+    assert {bytes(r.payload).decode() for r in got if r.type == "response"} == {r[2] or "" for r in rows}
+    warc.write(pages.where("false"), f"file://{tmp_path}/none")
+    assert warc.read(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_salvage_recovers_later_records():
+    one = lambda i, body: b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(body)) + body + b"\r\n\r\n"
+    parts = [one(i, b"body %d WARC/1.1\r\n" % i * 20) for i in range(6)]
+    plain = parts[0] + parts[1][:60] + b"\0junk" + parts[2] + parts[3].replace(b"Length: ", b"Length: 9") + parts[4] + parts[5][:-30]
+    got = list(warc.salvage(plain))
+    assert [r.headers["warc-record-id"] for r in got if not r.problem] == ["<urn:page:0>", "<urn:page:2>", "<urn:page:4>"]
+    assert [(a.end == b.start) for a, b in zip(got, got[1:], strict=False)] == [True] * (len(got) - 1) and got[0].start == 0 and got[-1].end == len(plain)
+    zipped = [zlib.compress(p, wbits=31) for p in parts]
+    broken = zipped[1][:40] + b"\xff" + zipped[1][41:]
+    data = zipped[0] + broken + zipped[2] + zipped[3][:-9] + zipped[4] + b"trailing"
+    got = list(warc.salvage_gzip(data))
+    assert [r.headers["warc-record-id"] for r in got if not r.problem] == ["<urn:page:0>", "<urn:page:2>", "<urn:page:4>"]
+    assert sum(r.problem is not None for r in got) == 3 and got[-1].end == len(data)
+    assert list(warc.salvage(b"")) == [] and list(warc.salvage_gzip(b"")) == []

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, maxscore, pii, quality, toxicity, url_filter
+from . import decontam, language_id, maxscore, near_dup, packing, pii, quality, store, toxicity, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +51,15 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(rows.where(F.col("vec_id") % 20 == 0), rows, 20)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contained(docs, _read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades: 0 low quality, 1 good but toxic, 2 good; learnt from rows whose crc32(doc_id) mod 5 is not 0."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,11 +69,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (_remainder(5) == 0).alias("held_out"), F.col("r.expected").alias("expected_grade"), F.col("r.tail")[0].alias("p_good"), (F.col("r.tail")[0] >= 0.5).alias("keep"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = store.scratch(spark, "warc")
+    warc.write(pages, path)
+    number = lambda header: F.regexp_extract(F.col("headers")[header], "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
+    got = warc.read(spark, path).where(F.col("problem").isNull())
+    size = F.when(F.col("type") == "revisit", F.col("headers")["x-payload-length"].cast("long")).otherwise(F.col("payload_bytes"))
+    digest = F.when(F.col("type") == "revisit", F.substring(F.col("headers")["warc-payload-digest"], 6, 40)).otherwise(F.col("payload_digest"))
+    return got.select(number("warc-record-id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), F.col("type").alias("record_type"), number("warc-refers-to").alias("refers_to"))
+
+
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
@@ -71,5 +96,15 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_toxicity, op4_pii, op5_exact_top_k, op8_quality)}
-ORACLE_SQL: dict[str, str] = {"op5_exact_top_k": OP5_SQL}
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM m
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_language_id, op3_toxicity, op4_pii, op5_exact_top_k, op6_decontamination, op7_near_duplicates, op8_quality, op9_packing, op10_warc)}
+ORACLE_SQL: dict[str, str] = {"op5_exact_top_k": OP5_SQL, "op10_warc": OP10_SQL}
