@@ -29,3 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return _sql
+
+
+def load() -> None:
+    """Imports the modules that register queries."""
+    from . import pit, windows  # noqa: F401
