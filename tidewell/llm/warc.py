@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import store
+
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 END = b"\r\n\r\n"
 _GZIP = b"\x1f\x8b\x08"
@@ -124,10 +126,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(parse, RECORD)
 
 
+#: Largest number of revisits that is sent to every task; above, the join is shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
 def referrals(pages: DataFrame, key: str, digest: str, length: str, least: int = 1000) -> DataFrame:
-    """(digest, refers_to): payloads of at least so many bytes that occur under more than one key, with the largest key."""
-    rows = pages.where(F.col(length) >= least)
-    return rows.groupBy(digest).agg(F.max(key).alias("refers_to"), F.min(key).alias("__low"), F.count("*").alias("__n")).where("__n > 1").select(digest, "refers_to")
+    """(key, digest, refers_to) of the rows that repeat a payload of at least so many bytes under another, larger key."""
+    rows = pages.where(F.col(length) >= least).select(key, digest)
+    last = rows.groupBy(digest).agg(F.max(key).alias("refers_to"), F.count("*").alias("__n")).where("__n > 1 and refers_to IS NOT NULL")
+    return rows.join(last, digest).where(~F.col(key).eqNullSafe(F.col("refers_to"))).select(key, digest, "refers_to").distinct()
 
 
 def record_text(key: Column, url: Column, payload: Column, length: Column, digest: Column, refers: Column) -> Column:
@@ -146,7 +153,9 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     """
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(html), F.lit("")).alias("p"))
     rows = rows.withColumns({"n": F.octet_length("p").cast("long"), "d": F.sha1(F.encode("p", "UTF-8"))})
-    keyed = rows.join(referrals(rows.select("k", "d", "n"), "k", "d", "n", least), "d", "left")
-    refers = F.when((F.col("n") >= least) & ~F.col("k").eqNullSafe(F.col("refers_to")), F.col("refers_to"))
+    repeats = store.pinned(referrals(rows.select("k", "d", "n"), "k", "d", "n", least).toDF("rk", "rd", "refers_to"))
+    small = F.broadcast(repeats) if repeats.count() <= BROADCAST_ROWS else repeats
+    keyed = rows.join(small, F.col("k").eqNullSafe(F.col("rk")) & (F.col("d") == F.col("rd")), "left")
+    refers = F.col("refers_to")
     made = keyed.select(record_text(F.col("k"), F.col("u"), F.col("p"), F.col("n"), F.col("d"), refers).alias("value"))
     made.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).text(path)
