@@ -144,21 +144,20 @@ def tail_mean(values: Column, cut: Column) -> Column:
 
 def median(values: Column) -> Column:
     """Median of an array without nulls; null if empty."""
-    s = F.array_sort(values)
+    s = F.sort_array(values)
     n = F.size(values)
     return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
 
 
-def mad(values: Column) -> Column:
-    """Median absolute deviation from the median of an array."""
-    m = median(values)
-    return median(F.transform(values, lambda v: F.abs(v - m)))
+def mad(values: Column, center: Column) -> Column:
+    """Median absolute deviation of an array from center, which should be a column of its own: it is read per element."""
+    return median(F.transform(values, lambda v: F.abs(v - center)))
 
 
 def trimmed_mean(values: Column, share: float = 0.05) -> Column:
     n = F.size(values)
     cut = F.floor(n * share).cast("int")
-    kept = F.slice(F.array_sort(values), cut + 1, F.greatest(n - 2 * cut, F.lit(0)))
+    kept = F.slice(F.sort_array(values), cut + 1, F.greatest(n - 2 * cut, F.lit(0)))
     return F.aggregate(kept, F.lit(0.0), lambda a, v: a + v) / F.when(F.size(kept) > 0, F.size(kept))
 
 

@@ -81,8 +81,8 @@ def reliability(df: DataFrame, bins: int = 10, y: str = "y", p: str = "p") -> Da
 def brier_parts(bins: DataFrame) -> DataFrame:
     """Reliability, resolution, uncertainty and calibration error from the bins."""
     total, rate = F.sum("n"), F.sum(F.col("n") * F.col("observed")) / F.sum("n")
-    first = bins.agg(total.alias("N"), rate.alias("base"))
-    return bins.crossJoin(F.broadcast(first)).groupBy("base").agg(F.sum(F.col("n") / F.col("N") * F.pow(F.col("confidence") - F.col("observed"), 2)).alias("reliability"), F.sum(F.col("n") / F.col("N") * F.pow(F.col("observed") - F.col("base"), 2)).alias("resolution"), F.sum("gap").alias("ece")).select("reliability", "resolution", (F.col("base") * (1 - F.col("base"))).alias("uncertainty"), "ece")
+    first = bins.agg(total.alias("__total"), rate.alias("base"))
+    return bins.crossJoin(F.broadcast(first)).groupBy("base").agg(F.sum(F.col("n") / F.col("__total") * F.pow(F.col("confidence") - F.col("observed"), 2)).alias("reliability"), F.sum(F.col("n") / F.col("__total") * F.pow(F.col("observed") - F.col("base"), 2)).alias("resolution"), F.sum("gap").alias("ece")).select("reliability", "resolution", (F.col("base") * (1 - F.col("base"))).alias("uncertainty"), "ece")
 
 
 def threshold_sweep(df: DataFrame, thresholds: Sequence[float], y: str = "y", p: str = "p") -> DataFrame:

@@ -73,7 +73,8 @@ def robust(df: DataFrame, x: Column, f: Frame = DEFAULT, k: int = 20, m: int = 1
     w = f.rows(k)
     df = df.withColumns({"__x": x, "__all": F.collect_list(x).over(w), "__q": F.percentile(x, F.array(F.lit(0.01), F.lit(0.25), F.lit(0.75), F.lit(0.99))).over(w), "__n": F.count(x).over(w), "__z": F.try_divide(x - F.avg(x).over(w), F.stddev_samp(x).over(w))})
     ready = lambda c: F.when(F.col("__n") >= m, c)
-    df = df.withColumns({"median": ready(W.median(F.col("__all"))), "mad": ready(W.mad(F.col("__all")))})
+    df = df.withColumn("median", ready(W.median(F.col("__all"))))
+    df = df.withColumn("mad", ready(W.mad(F.col("__all"), F.col("median"))))
     q = F.col("__q")
     iqr = q[2] - q[1]
     return df.withColumns({

@@ -33,4 +33,4 @@ def oracle_sql() -> dict[str, str]:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import pit, windows  # noqa: F401
+    from . import evaluation, pit, windows  # noqa: F401
