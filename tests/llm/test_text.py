@@ -176,6 +176,14 @@ def test_packing_covers_all_tokens(spark):
     assert pad < 0.01 * total
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abXYZéÉßüÑçœŒıIŸÿ'stdm.,!?-012%$[]<|>×÷µªÞþİĲſŉ½ﬁ\u0301", min_size=1, max_size=14))
+def test_words_match_the_tokenizer(word):
+    words = packing._tokenizer(PATH)
+    words.learn({word})
+    assert words.known and np.frombuffer(words.ids[word], "<u4").tolist() == words.tok.encode(word, add_special_tokens=False).ids
+
+
 def test_best_cuts_are_optimal():
     rng = np.random.default_rng(2)
     for _ in range(60):

@@ -9,9 +9,10 @@ which adds one transition for each power.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +22,63 @@ from pyspark.sql import functions as F
 
 SENTENCE, HARD, SEQUENCE = 24.0, 96.0, 16.0  # penalties in tokens; SEQUENCE: of each sequence, against needless short ones
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-MEMO = 200_000
-_state: dict[str, tuple] = {}
+MEMO = 500_000  # words held by a Python worker; all are forgotten beyond it
+_state: dict[str, Words] = {}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer and a memo: piece between blanks -> ids as little-endian unsigned 32-bit bytes."""
-    if path not in _state:
+# The steps before the model for which plain words are given to the model one by one (see Words).
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LOWER = "".join(c for c in map(chr, range(97, 0x17F)) if c.isalpha() and c.islower() and c.isascii() == (c <= "z") and c not in "ªµºŉ")
+_LETTERS = _LOWER + "".join(c for c in map(chr, range(65, 0x17F)) if c.isalpha() and len(c.lower()) == 1 and c.lower() != c and c.lower() in _LOWER)
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^{_LOWER}0-9]+")
+_PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
+
+
+class Words:
+    """Ids of words (pieces between blanks) of one tokenizer, as little-endian unsigned 32-bit bytes, with a memo.
+
+    The library's normaliser and splitter take most of its time. For words of printable ASCII and composed Latin letters
+    their result is known (lower case, split by the pattern), so each part goes straight to the library's model; all other
+    words, and all words if the tokenizer's file describes other steps, take the library's whole way.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        _state[path] = (Tokenizer.from_file(path), {})
+        self.tok = Tokenizer.from_file(path)
+        self.ids: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        said = json.loads(self.tok.to_str())
+        pre = said.get("pre_tokenizer") or {}
+        steps = pre.get("pretokenizers") or [{}]
+        self.known = (said.get("normalizer") or {}).get("normalizers") == NORMALIZER and steps[0].get("pattern") == {"Regex": SPLIT} and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+        chars = [*map(chr, range(33, 127)), *(c for c in _LOWER if not c.isascii())]
+        self.bytes_of = str.maketrans({c: "".join(x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)) for c in chars}) if self.known else {}
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            got = self.parts[part] = array("I", [t.id for t in self.tok.model.tokenize(part.translate(self.bytes_of))]).tobytes()
+        return got
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.ids) > MEMO:
+            self.ids.clear()
+        if len(self.parts) > MEMO:
+            self.parts.clear()
+        for w in words:
+            if w not in self.ids:
+                if self.known and _PLAIN.fullmatch(w) and not any(t in w for t in self.special):
+                    self.ids[w] = b"".join(map(self._part, _PARTS.findall(w.lower())))
+                else:
+                    self.ids[w] = array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
+
+
+def _tokenizer(path: str) -> Words:
+    if path not in _state:
+        _state[path] = Words(path)
     return _state[path]
 
 
@@ -40,43 +88,66 @@ def encode(texts: list[str], path: str) -> list[list[bytes]]:
     The tokenizer drops white space and never joins across it, so the pieces' ids in order are the text's ids; only
     pieces not met before are given to it.
     """
-    tok, memo = _tokenizer(path)
+    words = _tokenizer(path)
     cut = [t.replace("\n", " ").split(" ") for t in texts]
-    if len(memo) > MEMO:
-        memo.clear()
-    new = list({w for ws in cut for w in ws if w not in memo})
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            memo[w] = array("I", e.ids).tobytes()
-    return [[memo[w] for w in ws] for ws in cut]
+    words.learn(set().union(*cut))
+    return [list(map(words.ids.__getitem__, ws)) for ws in cut]
+
+
+def sentence_ends(text: str, pieces: list[bytes]) -> np.ndarray:
+    """Tokens up to each end of a sentence: a piece that ends in a full stop, an exclamation or a question mark."""
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = (cp == 32) | (cp == 10)
+    stop = ((cp == 46) | (cp == 33) | (cp == 63)) & np.append(blank[1:], True)
+    if not stop.any():
+        return np.zeros(0, np.int64)
+    word = np.searchsorted(np.flatnonzero(blank), np.flatnonzero(stop))
+    return np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))[word] // 4
+
+
+def _sorted_set(*parts: np.ndarray) -> np.ndarray:
+    x = np.sort(np.concatenate(parts))
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if x.size else x
 
 
 def best_cuts(position: np.ndarray, penalty: np.ndarray, size: int) -> list[int]:
     """Indexes of the chosen cuts among candidate positions (ascending from 0; gaps of at most size); the last is chosen."""
     n = len(position)
-    pos, pen = position.tolist(), penalty.tolist()
+    # pairs of candidates that are a power of two apart: (later, earlier), by the later
+    late, early = [], []
+    for k in range(size.bit_length()):
+        if 1 << k < size:
+            at = np.searchsorted(position, position - (1 << k))
+            hit = np.flatnonzero(position[at] == position - (1 << k))
+            late.append(hit)
+            early.append(at[hit])
+    late, early = np.concatenate(late), np.concatenate(early)
+    order = np.argsort(late, kind="stable")
+    late, early = [*late[order].tolist(), n], early[order].tolist()
+    pos, pen = position.tolist(), (penalty + SEQUENCE).tolist()
     best, back = [0.0] * n, [0] * n
-    window: deque[int] = deque([0])
-    at = {pos[0]: 0}
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k < size]
+    keys, places, index = [0.0], [0], [0]  # the monotone queue, from head: best + position, position, candidate
+    head = match = 0
     for j in range(1, n):
         p = pos[j]
-        while pos[window[0]] < p - size:
-            window.popleft()
-        i = window[0]
-        low, frm = best[i] + size - (p - pos[i]), i
-        if p - pos[i] < size:
-            for length in powers:
-                k = at.get(p - length)
-                if k is not None and best[k] < low:
-                    low, frm = best[k], k
-        best[j], back[j] = low + pen[j] + SEQUENCE, frm
-        at[p] = j
-        key = best[j] + p
-        while window and best[window[-1]] + pos[window[-1]] >= key:
-            window.pop()
-        window.append(j)
+        while places[head] < p - size:
+            head += 1
+        low, frm = keys[head] + size - p, index[head]
+        while late[match] == j:
+            k = early[match]
+            match += 1
+            if best[k] < low:
+                low, frm = best[k], k
+        low += pen[j]
+        best[j], back[j] = low, frm
+        low += p
+        while len(keys) > head and keys[-1] >= low:
+            keys.pop()
+            places.pop()
+            index.pop()
+        keys.append(low)
+        places.append(p)
+        index.append(j)
     out, j = [], n - 1
     while j:
         out.append(j)
@@ -87,21 +158,20 @@ def best_cuts(position: np.ndarray, penalty: np.ndarray, size: int) -> list[int]
 def candidates(ends: np.ndarray, sentences: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Cut positions and penalties from ends of documents and of sentences; gaps over size / 8 get hard cuts, as does the tail."""
     total = int(ends[-1])
-    pos = np.union1d(ends, sentences)
-    soft = np.concatenate([[0], pos])
+    soft = _sorted_set(np.zeros(1, np.int64), ends, sentences)
     gap = max(1, size // 8)
     wide = np.flatnonzero(np.diff(soft) > gap)
     hard = [np.arange(soft[i] + gap, soft[i + 1], gap) for i in wide]
-    # the last size tokens: the ends of blocks of falling powers of two, so that what is left over needs no padding
+    # what is left after whole sequences: the ends of blocks of falling powers of two, which need no padding
     tail, left = [], total % size
     for k in reversed(range(size.bit_length())):
         if left >> k & 1:
             left -= 1 << k
             tail.append(total - left)
-    every = np.unique(np.concatenate([[0], pos, *hard, np.array([t for t in tail if 0 < t < total], np.int64), np.arange(size, total, size)])).astype(np.int64)
+    every = _sorted_set(soft, *hard, np.array([t for t in tail if 0 < t < total], np.int64), np.arange(size, total, size))
     penalty = np.full(len(every), HARD)
-    penalty[np.isin(every, sentences)] = SENTENCE
-    penalty[np.isin(every, ends)] = 0
+    penalty[np.searchsorted(every, sentences)] = SENTENCE
+    penalty[np.searchsorted(every, ends)] = 0
     penalty[0] = 0
     return every, penalty
 
@@ -115,7 +185,7 @@ def pack_block(keys: list, ids: list[bytes], marks: list[np.ndarray], size: int,
     pos, pen = candidates(ends, sentences, size)
     cuts = pos[best_cuts(pos, pen, size)]
     seq_start = np.concatenate([[0], cuts[:-1]])
-    piece_start = np.union1d(starts, seq_start)
+    piece_start = _sorted_set(starts, seq_start)
     piece_end = np.concatenate([piece_start[1:], ends[-1:]])
     doc = np.searchsorted(ends, piece_start, side="right")
     seq = np.searchsorted(cuts, piece_start, side="right")
@@ -152,11 +222,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, key
                 part = [t or "" for t in texts.slice(at, 512).to_pylist()]
                 for k, t, pieces in zip(names[at : at + 512], part, encode(part, tokenizer), strict=True):
                     whole = b"".join(pieces) + tail
-                    stops = [i for i, w in enumerate(t.replace("\n", " ").split(" ")) if w[-1:] in (".", "!", "?")]
-                    mark = np.zeros(0, np.int64)
-                    if stops:
-                        mark = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))[stops] // 4
-                        mark = mark[mark < len(whole) // 4]
+                    mark = sentence_ends(t, pieces) if t else np.zeros(0, np.int64)
                     keys.append(k)
                     ids.append(whole)
                     marks.append(mark)
