@@ -180,6 +180,13 @@ def cross_rank(x: Column, keys: Sequence[str]) -> Column:
     return F.when(x.isNotNull(), (F.rank().over(order) + (F.count("*").over(ties) - 1) / 2) / F.count(x).over(group))
 
 
+def correlation(x: Column | str, y: Column | str) -> Column:
+    """Aggregate: correlation over rows where both are present; null, not an error, if one does not vary."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(a) * F.var_pop(b)))
+
+
 def island(at_start: Column, f: Frame) -> Column:
     """A running number that grows at each row where at_start holds."""
     return F.sum(at_start.cast("long")).over(f.upto())

@@ -60,7 +60,7 @@ def benchmark(df: DataFrame, keys: Sequence[str], ret: str = "ret", bench: str =
     a, r, b = F.col(ret) - F.col(bench), F.col(ret), F.col(bench)
     beta = F.try_divide(F.covar_samp(r, b), F.var_samp(b))
     capture = lambda c: F.try_divide(F.avg(F.when(c, r)), F.avg(F.when(c, b)))
-    got = rows.groupBy(*keys).agg(F.count("*").alias("n"), (F.avg(a) * YEAR).alias("active_return"), (F.stddev_samp(a) * sqrt(YEAR)).alias("tracking_error"), (F.try_divide(F.avg(a), F.stddev_samp(a)) * sqrt(YEAR)).alias("information_ratio"), beta.alias("beta"), ((F.avg(r) - beta * F.avg(b)) * YEAR).alias("alpha"), capture(b > 0).alias("up_capture"), capture(b < 0).alias("down_capture"), F.corr(r, b).alias("correlation"))
+    got = rows.groupBy(*keys).agg(F.count("*").alias("n"), (F.avg(a) * YEAR).alias("active_return"), (F.stddev_samp(a) * sqrt(YEAR)).alias("tracking_error"), (F.try_divide(F.avg(a), F.stddev_samp(a)) * sqrt(YEAR)).alias("information_ratio"), beta.alias("beta"), ((F.avg(r) - beta * F.avg(b)) * YEAR).alias("alpha"), capture(b > 0).alias("up_capture"), capture(b < 0).alias("down_capture"), W.correlation(r, b).alias("correlation"))
     return got.where(F.col("n") >= least)
 
 
@@ -105,7 +105,7 @@ def rank_ic(df: DataFrame, signal: str, forward: str, date: str = "ts", least: i
     """Spearman correlation of signal and forward return by date, from average-tie ranks."""
     rows = df.where(F.col(signal).isNotNull() & F.col(forward).isNotNull())
     rows = rows.withColumns({"__a": W.cross_rank(F.col(signal), [date]), "__b": W.cross_rank(F.col(forward), [date])})
-    return rows.groupBy(date).agg(F.count("*").alias("n"), F.corr("__a", "__b").alias("ic")).where(F.col("n") >= least)
+    return rows.groupBy(date).agg(F.count("*").alias("n"), W.correlation("__a", "__b").alias("ic")).where(F.col("n") >= least)
 
 
 def ic_summary(ic: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -212,7 +212,7 @@ def correlations(df: DataFrame, date: str = "ts", symbol: str = "symbol", x: str
     """Pairwise correlations of a bounded universe by date: a, b (a < b), n, corr."""
     r = df.where(F.col(x).isNotNull()).select(date, symbol, x)
     other = r.select(date, F.col(symbol).alias("b"), F.col(x).alias("y"))
-    return r.withColumnRenamed(symbol, "a").join(other, date).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"), F.corr(x, "y").alias("corr")).where(F.col("n") >= least)
+    return r.withColumnRenamed(symbol, "a").join(other, date).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"), W.correlation(x, "y").alias("corr")).where(F.col("n") >= least)
 
 
 def walk_forward(df: DataFrame, date: str, train: int, test: int, step: int, embargo: int = 0, expanding: bool = False) -> DataFrame:
