@@ -158,3 +158,10 @@ def post_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.explode(scalars.tickers(F.col("text"))).alias("ticker")).groupBy("ticker").agg(F.count("*").alias("documents"))
 
 
+
+
+@query()
+def rule_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jobs
+
+    return rounded(jobs.signals(T.bars_h(spark, sf_dir)), 4)
