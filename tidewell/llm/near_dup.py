@@ -17,43 +17,47 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import store, textvec
 
-BANDS, ROWS, SHINGLE = 32, 4, 5
+BANDS, ROWS, SHINGLE = 24, 4, 5  # a pair of similarity 0.8 is missed with a chance of 3e-6
 BLOCK = 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prob_minhash(keys: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
-    """The ProbMinHash signature (m register values) of distinct keys with positive weights; not for an empty set."""
-    times, owner = np.full(m, np.inf), np.zeros(m, np.uint64)
-    clock, live, done = np.zeros(keys.size), np.arange(keys.size), 0
-    while live.size:
-        # as many arrivals of each key at once as should fill the registers
-        step = max(1, int(m * np.log(m) / live.size)) if done == 0 else 2 if live.size > 8 else 8
-        number = np.arange(done + 1, done + step + 1, dtype=np.uint64) * _GOLD
-        h = textvec.mix64(keys[live][:, None] + number)
-        gap = -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weights[live][:, None]
-        when = clock[live][:, None] + np.cumsum(gap, 1)
-        register = (textvec.mix64(h ^ _GOLD) % np.uint64(m)).astype(np.int64)
-        flat = when.ravel()
-        at = np.flatnonzero(flat < times.max())
-        at = at[np.argsort(-flat[at], kind="stable")]  # the earliest is written last
-        first, reg = times.copy(), register.ravel()[at]
-        first[reg] = flat[at]
-        new = np.full(m, np.inf)
-        new[reg] = flat[at]
-        mine = np.zeros(m, np.uint64)
-        mine[reg] = keys[live][at // step]
-        better = new < times
-        times, owner = np.where(better, new, times), np.where(better, mine, owner)
-        clock[live] = when[:, -1]
-        live = live[when[:, -1] < times.max()]
-        done += step
-    return owner
+    """The ProbMinHash signature (m register values) of distinct keys with positive weights; not for an empty set.
+
+    All registers are expected to be taken before a limit, so only arrivals before it are made; if one register is still
+    free then, the limit is doubled. Later arrivals cannot change a register: the result does not depend on the limit.
+    """
+    limit = (np.log(m) + 4) * m / weights.sum()
+    while True:
+        whens, registers, owners = [], [], []
+        live, clock, done = np.arange(keys.size), np.zeros(keys.size), 0
+        each = limit * weights.sum() / keys.size
+        step = int(np.ceil(each + 1.5 * np.sqrt(each)))
+        while live.size:
+            number = np.arange(done + 1, done + step + 1, dtype=np.uint64) * _GOLD
+            h = textvec.mix64(keys[live][:, None] + number)
+            gap = np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weights[live][:, None]
+            when = clock[:, None] - np.cumsum(gap, 1)
+            early = when < limit
+            whens.append(when[early])
+            registers.append((h[early] & np.uint64(2047)) % np.uint64(m))
+            owners.append(np.repeat(live, early.sum(1)))
+            more = early[:, -1]
+            live, clock, done = live[more], when[more, -1], done + step
+        when, register, owner = np.concatenate(whens), np.concatenate(registers).astype(np.int64), np.concatenate(owners)
+        last = np.full(m, -1)
+        order = np.argsort(-when, kind="stable")
+        last[register[order]] = owner[order]  # the earliest arrival is written last
+        if last.min() >= 0:
+            return keys[last]
+        limit *= 2
 
 
 def shingle_set(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -114,18 +118,15 @@ def components(edges: DataFrame) -> DataFrame:
             return roots
 
 
-def _linked(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
-    both = np.intersect1d(a, b, assume_unique=True).size
-    return both >= threshold * (a.size + b.size - both) - 1e-9
-
+def block_links(ids: np.ndarray, sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray, ring: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """A spanning forest of the links in one pair of blocks.
 
-def block_links(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """A spanning forest of the links in one pair of blocks. side: 0 and 1; a row with need false is not compared with side 1."""
-    group = group.sort_values(["side", "id"], kind="stable").reset_index(drop=True)
-    sets = [np.asarray(s) for s in group["s"]]
+    Rows of side 0 are compared with each other, and those in the ring with the rows of side 1; rows with the same root
+    are linked already.
+    """
     sizes = np.array([len(s) for s in sets])
-    words, flat = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, int))
-    offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     parent = list(range(len(sets)))
 
     def root(i: int) -> int:
@@ -134,24 +135,34 @@ def block_links(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
             i = parent[i]
         return i
 
-    side, ring, out = group["side"].to_numpy(), group["ring"].to_numpy(bool), []
-    known: dict[int, int] = {}
-    for i, c in enumerate(group["root"]):  # those that are linked already need no link
-        parent[root(i)] = root(known.setdefault(int(c), i))
-    for i in range(len(sets)):
-        if side[i] == 1 and not (side == 0).any():
-            break
+    out, known = [], {}
+    for i, c in enumerate(roots.tolist()):
+        parent[root(i)] = root(known.setdefault(c, i))
+    for i in np.flatnonzero(side == 0):
         mark = np.zeros(len(words), bool)
         mark[flat[offsets[i] : offsets[i] + sizes[i]]] = True
         both = np.add.reduceat(mark[flat], offsets)
-        good = np.flatnonzero(both >= threshold * (sizes[i] + sizes - both) - 1e-9)
-        for j in good[good > i]:
-            if side[i] == 1 and side[j] == 1 or side[i] != side[j] and not ring[i] and not ring[j]:
-                continue
+        good = (both >= threshold * (sizes[i] + sizes - both) - 1e-9) & np.where(side == 0, np.arange(len(sets)) > i, ring[i])
+        for j in np.flatnonzero(good).tolist():
             if root(i) != root(j):
                 parent[root(i)] = root(j)
-                out.append((group["id"][i], group["id"][j]))
-    return pd.DataFrame(out, columns=["a", "b"])
+                out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _packed_links(group: pa.Table, threshold: float) -> pa.Table:
+    """The links of many pairs of blocks that were sent to one task."""
+    group = group.sort_by([("bucket", "ascending"), ("i", "ascending"), ("j", "ascending"), ("cross", "ascending"), ("side", "ascending"), ("id", "ascending")])
+    names = [group[c].to_numpy() for c in ("bucket", "i", "j", "cross")]
+    ids, roots, side, ring = (group[c].to_numpy() for c in ("id", "root", "side", "ring"))
+    column = group["s"].combine_chunks()
+    values, at = column.values.to_numpy(), column.offsets.to_numpy()
+    change = np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], 0)) + 1
+    out = []
+    for a, b in zip([0, *change], [*change, group.num_rows], strict=True):
+        if b - a > 1 and len(set(roots[a:b].tolist())) > 1:
+            out += block_links(ids[a:b], [values[at[k] : at[k + 1]] for k in range(a, b)], roots[a:b], side[a:b], ring[a:b].astype(bool), threshold)
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
 def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,8 +206,10 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     none = F.array().cast("array<struct<i:int,j:int,cross:boolean>>")
     where = F.when(F.col("open"), F.concat(own, F.when(F.col("ring") & (F.col("n_linked") > 0), over).otherwise(none))).otherwise(F.when(F.col("n_ring") > 0, back).otherwise(none))
     rest = rest.select("bucket", "rep", "root", "ring", F.when(F.col("open"), 0).otherwise(1).alias("side"), F.explode(where).alias("p")).select("bucket", "p.*", F.col("rep").alias("id"), "root", "ring", "side")
-    more = rest.join(sets, "id").groupBy("bucket", "i", "j", "cross").applyInPandas(lambda g: block_links(g, threshold), "a long, b long")
-    more = store.pinned(more.distinct())
+    rest = store.pinned(rest)
+    parts = max(1, -(-rest.count() // (8 * BLOCK)))
+    rest = rest.withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j", "cross"), F.lit(parts)))
+    more = store.pinned(rest.join(sets, "id").groupBy("part").applyInArrow(lambda g: _packed_links(g, threshold), "a long, b long").distinct())
     if more.limit(1).count():
         roots = components(links.union(more))
 

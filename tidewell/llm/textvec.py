@@ -11,6 +11,7 @@ import numpy as np
 _BASE, _LIMIT = 0x9E3779B97F4A7C15, 0x33480  # no letters or digits are assigned above _LIMIT
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _classes: np.ndarray | None = None
+_salts: np.ndarray | None = None
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -36,11 +37,15 @@ def classes_of(cp: np.ndarray) -> np.ndarray:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = np.array(x, np.uint64)
+    t = np.empty_like(x)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        np.right_shift(x, np.uint64(shift), out=t)
+        np.bitwise_xor(x, t, out=x)
+        np.multiply(x, np.uint64(factor), out=x)
+    np.right_shift(x, np.uint64(31), out=t)
+    np.bitwise_xor(x, t, out=x)
+    return x
 
 
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,13 +65,21 @@ def word_spans(cp: np.ndarray, digits: bool = True) -> tuple[np.ndarray, np.ndar
     return edge[::2], edge[1::2]
 
 
+def salts_of(cp: np.ndarray) -> np.ndarray:
+    """A fixed random 64-bit number for each code point."""
+    global _salts
+    if _salts is None:
+        _salts = mix64(np.arange(1, _LIMIT + 2, dtype=np.uint64))
+    return _salts[np.minimum(cp, _LIMIT)]
+
+
 class SpanHasher:
     """Hashes of many spans of one text: a polynomial prefix sum, so each span costs a few operations."""
 
     def __init__(self, cp: np.ndarray):
         up, self.down = _pow(cp.size)
         self.prefix = np.zeros(cp.size + 1, np.uint64)
-        np.cumsum(mix64(cp.astype(np.uint64) + np.uint64(1)) * up[: cp.size], out=self.prefix[1:])
+        np.cumsum(salts_of(cp) * up[: cp.size], out=self.prefix[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix64((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
