@@ -81,7 +81,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", ke
     back by nothing: thresholds refer to grades in equal shares. A key rated more than once counts with its least grade.
     """
     marks = ratings.where(F.col(grade).between(0, grades - 1)).groupBy(key).agg(F.min(grade).cast("int").alias("__y"))
-    rows = docs.select(key, F.col(text).alias("text")).join(marks, key)
+    marks = store.pinned(marks)
     size = {r[0]: r[1] for r in marks.groupBy("__y").count().collect()}
     part = F.lit(0.0)
     for g, n in size.items():
@@ -93,7 +93,9 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", ke
             at = [np.flatnonzero(v).astype(np.int32) for v in x]
             yield pd.DataFrame({"y": b["y"], "i": at, "v": [v[i] for v, i in zip(x, at, strict=True)]})
 
-    got = rows.where(store.share(F.col(key), part)).select("text", F.col("__y").alias("y")).mapInPandas(vectors, "y int, i array<int>, v array<float>").toPandas().sort_values("y", kind="stable")
+    chosen = F.broadcast(marks.where(store.share(F.col(key), part)))
+    rows = docs.select(key, F.col(text).alias("text")).join(chosen, key)
+    got = rows.select("text", F.col("__y").alias("y")).mapInPandas(vectors, "y int, i array<int>, v array<float>").toPandas().sort_values("y", kind="stable")
     if got.empty:
         return QualityModel(np.zeros((1 << bits) + STATS, np.float32), np.arange(grades - 1, dtype=float) - 1, bits)
     x = np.zeros((len(got), (1 << bits) + STATS), np.float32)
