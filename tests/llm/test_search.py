@@ -122,6 +122,32 @@ def test_classes_of_chains_and_rings(spark, monkeypatch):
     assert got == brute_classes(shingle_sets(rows))
 
 
+def test_classes_when_hub_is_reached_through_others(spark, monkeypatch):
+    """In the one bucket of l and r, l is in the hub's component only through m, and r is far from the hub."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[6 * i : 6 * i + 60])) for i in range(4)]
+    bands = {0: [1, 2, 6], 1: [9, 2, 5], 2: [1, 3, 5], 3: [1, 4, 7]}
+    monkeypatch.setattr(near_dup, "_signatures", lambda *a: spark.createDataFrame([(k, near_dup.signature(t)[0], k, k, bands[k]) for k, t in rows], "id long, n int, fa long, fb long, bands array<long>"))
+    sets = shingle_sets(rows)
+    assert len(sets[0] & sets[3]) / len(sets[0] | sets[3]) < 0.6
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string"), 0.78).collect()}
+    assert got == brute_classes(sets, 0.78) == dict.fromkeys(range(4), 0)
+
+
+def test_classes_of_a_large_drifting_family(spark):
+    """Versions that drift by one changed word each from an earlier one, so that hubs are far from most of their bucket."""
+    rng = np.random.default_rng(3)
+    texts = [[f"d{i}" for i in range(80)]]
+    for i in range(1, 500):
+        own = list(texts[rng.integers(max(0, i - 20), i)])
+        for j in rng.choice(80, rng.integers(1, 3), replace=False):
+            own[j] = f"v{i}_{j}"
+        texts.append(own)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(shingle_sets(rows))
+
+
 def test_classes_odd_rows(spark):
     rows = [(1, "a b c", 1), (2, "A, b; C!", 1), (3, None, 1), (4, "", 1), (5, "...", 1), (6, "x", 1), (6, "x", 1), (None, "a b c", 1), (7, "word " * 30000, 1), (8, "word " * 29000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, class_id int")

@@ -6,9 +6,10 @@ termination). Two texts agree in a register with the probability Jaccard similar
 weight is 1 + ln(count), which is near the plain Jaccard similarity that verification measures.
 
 Links. Texts with the same set of shingles are one class at once. Of the others, each bucket of a band compares all
-members with its hub (the least id). Members that are not linked to the hub are compared with each other, and, if their
-similarity with the hub leaves it possible (Jaccard distance is a metric), with the members linked to it; this happens
-in pairs of blocks of bounded size, and each pair of blocks returns a spanning forest of its links, never all pairs.
+members with its hub (the least id). Members outside the hub's component are compared with each other, and, if their
+similarity with the hub leaves it possible (Jaccard distance is a metric: it is at most 1 - threshold below the least
+one of the bucket's members inside the component), with those inside; this happens in pairs of blocks of bounded size,
+and each pair of blocks returns a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -191,7 +192,10 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     root = lambda c, name: roots.select(F.col("id").alias(c), F.col("root").alias(name))
     judged = star.join(seen, ["rep", "hub"]).join(root("rep", "root_r"), "rep", "left").join(root("hub", "root_h"), "hub", "left")
     judged = judged.select("bucket", "hub", "rep", "sim", F.coalesce("root_r", "rep").alias("root"), F.coalesce("root_h", "hub").alias("root_h"))
-    judged = judged.withColumn("open", F.col("root") != F.col("root_h")).withColumn("ring", F.col("open") & (F.col("sim") >= 2 * threshold - 1 - 1e-9))
+    judged = judged.withColumn("open", F.col("root") != F.col("root_h"))
+    # members of the hub's component may be linked to it only through others: the bound is their least similarity with it
+    least = judged.groupBy("bucket").agg(F.min(F.when(~F.col("open"), F.col("sim"))).alias("least"))
+    judged = judged.join(least, "bucket").withColumn("ring", F.col("open") & F.coalesce(F.col("sim") >= F.col("least") - (1 - threshold) - 1e-9, F.lit(False))).drop("least")
     count = lambda c: F.sum(c.cast("long"))
     left = judged.groupBy("bucket").agg(count(F.col("open")).alias("n_open"), F.countDistinct(F.when(F.col("open"), F.col("root"))).alias("roots"), count(F.col("ring")).alias("n_ring"), count(~F.col("open") & (F.col("sim") < 1)).alias("n_linked"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("mark"), F.first("hub").alias("hub"))
     left = left.where("roots > 1 or (n_ring > 0 and n_linked > 0)").groupBy("hub", "mark", "n_open", "n_linked", "n_ring").agg(F.min("bucket").alias("bucket"))
