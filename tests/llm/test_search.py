@@ -148,6 +148,20 @@ def test_classes_of_a_large_drifting_family(spark):
     assert got == brute_classes(shingle_sets(rows))
 
 
+def test_classes_of_copies_with_other_repeats(spark):
+    """Pairs of similarity just above 0.8 in which one copy repeats a common line 1000 times."""
+    rng, rows = np.random.default_rng(8), []
+    line = " ".join(f"line{i}" for i in range(40)) + "\n"
+    for k in range(60):
+        word = lambda n: " ".join(map(str, rng.integers(10**9, 10**10, n)))  # noqa: E731, B023
+        same = word(72)
+        rows += [(2 * k, f"{line * 2}{same} {word(12)}"), (2 * k + 1, f"{line * 1000}{same} {word(12)}")]
+    sets = shingle_sets(rows)
+    assert all(0.8 <= len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) < 0.84 for k in range(0, 120, 2))
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - k % 2 for k in range(120)} == brute_classes(sets)
+
+
 def test_classes_odd_rows(spark):
     rows = [(1, "a b c", 1), (2, "A, b; C!", 1), (3, None, 1), (4, "", 1), (5, "...", 1), (6, "x", 1), (6, "x", 1), (None, "a b c", 1), (7, "word " * 30000, 1), (8, "word " * 29000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, class_id int")

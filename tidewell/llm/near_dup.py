@@ -1,9 +1,10 @@
-"""Near-duplicate classes: ProbMinHash signatures of weighted shingles, banding, exact verification, components.
+"""Near-duplicate classes: ProbMinHash signatures of shingles, banding, exact verification, components.
 
 Signature. A shingle of weight w arrives in a Poisson process of rate w; each arrival falls on a random register, which
 keeps the shingle of its earliest arrival. Arrivals later than the latest register are not generated (early
-termination). Two texts agree in a register with the probability Jaccard similarity of their weighted shingles; the
-weight is 1 + ln(count), which is near the plain Jaccard similarity that verification measures.
+termination). Two texts agree in a register with the probability Jaccard similarity of their weighted shingles; all
+weights are 1 here, however often a shingle is repeated, so this is the plain Jaccard similarity that verification
+measures.
 
 Links. Texts with the same set of shingles are one class at once. Of the others, each bucket of a band compares all
 members with its hub (the least id). Members outside the hub's component are compared with each other, and, if their
@@ -68,10 +69,10 @@ def shingle_set(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def signature(text: str | None) -> tuple[int, int, int, list[int]] | None:
     """Number of distinct shingles, a 128-bit fingerprint of their set, and a hash for each band; None without words."""
-    keys, counts = shingle_set(text)
+    keys = shingle_set(text)[0]
     if not keys.size:
         return None
-    sig = prob_minhash(keys, 1 + np.log(counts), BANDS * ROWS).reshape(BANDS, ROWS)
+    sig = prob_minhash(keys, np.ones(keys.size), BANDS * ROWS).reshape(BANDS, ROWS)
     bands = np.arange(1, BANDS + 1, dtype=np.uint64)
     for j in range(ROWS):
         bands = textvec.mix64(bands * _GOLD + sig[:, j])
