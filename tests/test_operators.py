@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import scalars
 from tidewell.functions import windows as W
-from tidewell.operators import asof, checks, evaluate
+from tidewell.operators import asof, checks, evaluate, rules, statistics
 from tidewell.operators import indicators as ind
 from tidewell.sources import ingest
 from tidewell.streaming import jobs
@@ -173,3 +173,23 @@ def test_stream_windows_and_dedup(spark, tmp_path):
     jobs.run_available(jobs.latest_quotes(jobs.parquet_stream(spark, f"{tmp_path}/q", ticks.schema)), f"{tmp_path}/d", "quotes", "update")
     r = spark.table("quotes").first()
     assert (r.price, r.bid, r.ask, r.high, r.low) == (5.0, 2.0, 4.0, 5.0, 5.0)
+
+
+def test_time_exit_on_a_late_bar(spark):
+    bar = lambda s, m, d, low=9.0: (s, date(2024, m, d), 10.0, low, 10.0, 5.0)
+    rows = [bar("a", 1, 2), bar("a", 2, 20), bar("a", 2, 21, 1.0), bar("b", 1, 2), bar("b", 1, 21), bar("b", 1, 22, 1.0), bar("c", 1, 2), bar("d", 3, 1, 1.0)]
+    bars = spark.createDataFrame(rows, "symbol string, ts date, high double, low double, close double, atr double")
+    p = spark.createDataFrame([(s, s, date(2024, 1, 1), 10.0, 5.0, 15.0) for s in "abcd"], "id string, symbol string, entry_date date, entry double, stop double, target double")
+    got = {r.id: (r.exit_date, r.reason) for r in rules.exits(p, bars, atr_multiple=1.0).collect()}
+    assert got == {"a": (date(2024, 2, 20), "time"), "b": (date(2024, 1, 21), "time"), "c": (None, None), "d": (date(2024, 3, 1), "stop")}
+
+
+def test_kruskal_p_of_many_groups(spark):
+    limits = [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.070498, 5, 0.05), (124.342113, 100, 0.05), (1999.3333, 2000, 0.5), (0.0, 4, 1.0), (None, 4, None), (1.0, 0, None)]
+    got = spark.createDataFrame(limits, "x double, df int, want double").withColumn("p", statistics.chi2_tail(F.col("x"), F.col("df"))).collect()
+    assert all(r.p == pytest.approx(r.want, abs=1e-5) for r in got)
+    rows = spark.createDataFrame([(f"g{i % 5}", float(i)) for i in range(25)], "g string, x double")
+    r = statistics.kruskal(rows, "g", "x").first()
+    # rank sums 55, 60, 65, 70, 75
+    h = 12 / (25 * 26) * sum(s * s / 5 for s in (55, 60, 65, 70, 75)) - 3 * 26
+    assert r.groups == 5 and r.h == pytest.approx(h) and r.p == pytest.approx(2.718281828 ** (-h / 2) * (1 + h / 2), abs=1e-6)

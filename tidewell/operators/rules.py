@@ -72,10 +72,13 @@ def exits(positions: DataFrame, bars: DataFrame, atr_multiple: float = 2.0, days
     """First exit of each position (id, symbol, entry_date, entry, stop, target): stop, trailing stop, target or time.
 
     The trailing stop is the running high since entry less atr_multiple ranges (bars need atr); on one bar the first of
-    that order counts. Positions without an exit have nulls.
+    that order counts. The time exit is on the first bar at or after the limit, however late that bar is. Positions without
+    an exit have nulls.
     """
     b = bars.select("symbol", F.col("ts").alias("d"), "high", "low", "close", "atr")
-    j = positions.join(b, "symbol").where((F.col("d") > F.col("entry_date")) & (F.col("d") <= F.date_add("entry_date", days + 10)))
+    earlier = Window.partitionBy("symbol").orderBy(F.unix_micros(F.col("d").cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("__before", F.max("d").over(earlier))
+    j = positions.join(b, "symbol").where((F.col("d") > F.col("entry_date")) & F.coalesce(F.datediff("__before", "entry_date") < days, F.lit(True)))
     top = F.max("high").over(Window.partitionBy("id").orderBy("d").rowsBetween(Window.unboundedPreceding, -1))
     j = j.withColumn("__trail", F.greatest(F.coalesce(top, F.col("entry")), F.col("entry")) - atr_multiple * F.col("atr"))
     why = F.when(F.col("low") <= F.col("stop"), "stop").when(F.col("low") <= F.col("__trail"), "trailing").when(F.col("high") >= F.col("target"), "target").when(F.datediff("d", "entry_date") >= days, "time")

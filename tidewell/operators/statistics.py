@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import sqrt
+from math import log, pi, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +37,20 @@ def ewm_correlation(df: DataFrame, a: str, b: str, f: Frame, span: int = 60) ->
     return s.select(*f.keys, F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy)).alias("corr"))
 
 
+def chi2_tail(x: Column, df: Column) -> Column:
+    """P(X > x) of a chi-square variable with df = 1, 2, ... degrees of freedom; null for none. Terms go by logarithms."""
+    half, odd = F.greatest(x, F.lit(0.0)) / 2, df % 2 == 1
+    first = F.when(odd, F.log(half) / 2 - 0.5 * log(pi / 4)).otherwise(F.lit(0.0))
+    step = lambda i: F.log(half) - F.log(i + F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0)))
+    start = F.struct(first.alias("t"), F.when(odd & (df < 3), F.lit(0.0)).otherwise(F.exp(first - half)).alias("s"))
+    more = F.when(df >= 4, F.sequence(F.lit(1), (F.floor(df / 2) - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    added = F.aggregate(more, start, lambda a, i: F.struct((a["t"] + step(i)).alias("t"), (a["s"] + F.exp(a["t"] + step(i) - half)).alias("s")), lambda a: a["s"])
+    tail = added + F.when(odd, 2 * (1 - erf_cdf(F.sqrt(2 * half)))).otherwise(F.lit(0.0))
+    return F.when(x.isNotNull() & (df >= 1), F.when(half > 0, tail).otherwise(F.lit(1.0)))
+
+
 def kruskal(df: DataFrame, group: str, x: str, keys: Sequence[str] = (), least: int = 5) -> DataFrame:
-    """Kruskal-Wallis H over groups of at least so many values, with tie correction; p for two or three groups.
+    """Kruskal-Wallis H over groups of at least so many values, with tie correction, and its chi-square p.
 
     Ranks come from counts of distinct values, so a task sorts distinct values of a key, not rows.
     """
@@ -54,8 +66,8 @@ def kruskal(df: DataFrame, group: str, x: str, keys: Sequence[str] = (), least:
     j = per.join(ties.withColumnRenamed("N", "total"), list(keys)) if keys else per.crossJoin(F.broadcast(ties.withColumnRenamed("N", "total")))
     n = F.col("total")
     h = (12 / (n * (n + 1)) * F.col("rr") - 3 * (n + 1)) / F.nullif(1 - F.col("ties") / (F.pow(n, 3) - n), F.lit(0.0))
-    p = F.when(F.col("groups") == 2, 2 * (1 - erf_cdf(F.sqrt(F.greatest(h, F.lit(0.0)))))).when(F.col("groups") == 3, F.exp(-h / 2))
-    return j.select(*keys, "groups", h.alias("h"), p.alias("p"))
+    j = j.select(*keys, "groups", h.alias("h"))
+    return j.withColumn("p", chi2_tail(F.col("h"), F.col("groups") - 1))
 
 
 def shrunk_covariance(df: DataFrame, date: str, symbol: str, x: str) -> DataFrame:

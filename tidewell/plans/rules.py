@@ -66,5 +66,5 @@ def order_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def position_exits(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = ind.technical(T.bars_supp_d(spark, sf_dir).withColumn("open", F.col("close")))
     b = b.withColumn("atr", F.col("atr_14"))
-    p = b.where(F.dayofmonth("ts") == 1).select(F.concat_ws("|", "symbol", "ts").alias("id"), "symbol", F.col("ts").alias("entry_date"), F.col("close").alias("entry"), (F.col("close") * 0.5).alias("stop"), (F.col("close") * 1.5).alias("target"))
+    p = b.select(F.concat_ws("|", "symbol", "ts").alias("id"), "symbol", F.col("ts").alias("entry_date"), F.col("close").alias("entry"), (F.col("close") * 0.5).alias("stop"), (F.col("close") * 1.5).alias("target"))
     return rules.exits(p, b)
