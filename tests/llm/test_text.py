@@ -245,3 +245,19 @@ def test_salvage_recovers_later_records():
     assert [r.headers["warc-record-id"] for r in got if not r.problem] == ["<urn:page:0>", "<urn:page:2>", "<urn:page:4>"]
     assert sum(r.problem is not None for r in got) == 3 and got[-1].end == len(data)
     assert list(warc.salvage(b"")) == [] and list(warc.salvage_gzip(b"")) == []
+
+
+def test_weak_examples_do_not_depend_on_partitions(spark, monkeypatch):
+    rows = [(i, " ; ".join(f"order no 555.{i}23.{j:04d}" for j in range(100))) for i in range(8)]
+    docs, sizes, boosted = spark.createDataFrame(rows, "doc_id long, text string"), [], pii.fit_boosted
+    monkeypatch.setattr(pii, "fit_boosted", lambda x, y: (sizes.append(len(x)), boosted(x, y))[1])
+    models = [pii.fit(docs.repartition(n, "doc_id")) for n in (1, 8)]
+    assert sizes[0] == sizes[1] >= len(pii.labelled_examples()) * 2 // 3 + 500
+    assert models[0].thresholds == models[1].thresholds
+
+
+def test_pii_thresholds_and_words_against():
+    assert not any(map(pii.AGAINST.search, ("department ", "prefer ", "a lottery ")))
+    assert all(map(pii.AGAINST.search, ("order_", "Parts: ", "ref#")))
+    z, y = np.array([-1.0, 1.0, 2.0, 3.0]), np.array([0, 0, 1, 0])
+    assert pii.least_cut(z, y, 0.99) == 2.0 and pii.least_cut(z, y, 0.3) == 1.0 and pii.least_cut(z[:1], y[:1], 0.99) == 0.0

@@ -40,7 +40,7 @@ GENERATORS = [(k, re.compile(p)) for k, p in (
 )]
 _WORTH = re.compile(r"[0-9@]|AKIA|[ \[(]at[ \])]")
 CONTEXT = re.compile(r"call|phone|tel|mobile|fax|e-?mail|mail|contact|write|reach|card|visa|pay|ssn|social|iban|account|bank|ip|host|server|key|secret|token", re.I)
-AGAINST = re.compile(r"order|invoice|version|isbn|serial|ticket|part|page|chapter|item|build|lot|ref", re.I)
+AGAINST = re.compile(r"(?<![^\W\d_])(?:order|invoice|version|isbn|serial|ticket|part|page|chapter|item|build|lot|ref)s?(?![^\W\d_])", re.I)
 
 Span = tuple[str, int, int]
 
@@ -106,7 +106,7 @@ def features(text: str, span: Span) -> list[float]:
     before, after = text[max(0, a - 40) : a], text[b : b + 24]
     groups = [len(g) for g in re.findall("[0-9]+", s)]
     valid = {"card": luhn(digits) if digits else False, "iban": kind == "iban" and _iban_ok(s), "ssn": digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000"}.get(kind, True)
-    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(before))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555")]
+    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(text, max(0, a - 40), a))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555")]
 
 
 @dataclass
@@ -193,11 +193,19 @@ def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int
     return out
 
 
+def least_cut(z: np.ndarray, y: np.ndarray, precision: float) -> float:
+    """The least score of at least 0 that reaches the precision, or else the best one; 0 without such a score."""
+    cuts = np.unique(z[z >= 0])
+    reached = [min(float(y[z >= c].mean()), precision) for c in cuts]
+    return float(cuts[int(np.argmax(reached))]) if reached else 0.0
+
+
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 3000, precision: float = 0.99) -> PiiModel:
     """Boosted trees on made examples and on weakly labelled candidates of about sample texts with digits.
 
     A corpus candidate inside a base span is a positive, one next to a word of the AGAINST list a negative; others take
-    no part. Two thirds train; on the rest each kind's threshold is the least score that reaches the precision.
+    no part; above about 10 * sample candidates, a share of them is taken by a hash of key and span. Two thirds train; on
+    the rest each kind's threshold is the least score that reaches the precision, or else the best precision there is.
     """
     rich = docs.where(F.col(text).rlike("[0-9]{3}|@"))
     part = min(1.0, sample / max(1, rich.count()))
@@ -205,16 +213,20 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
     def weak(batches: Iterator) -> Iterator:
         for b in batches:
             out = []
-            for t in b["text"]:
+            for k, t in zip(b["key"], b["text"], strict=True):
                 base = base_spans(t)
                 for c in candidates(t):
                     if any(s <= c[1] and c[2] <= e for _, s, e in base):
-                        out.append(([*map(float, features(t, c))], 1))
-                    elif AGAINST.search(t[max(0, c[1] - 12) : c[1]]):
-                        out.append(([*map(float, features(t, c))], 0))
-            yield pd.DataFrame(out[:200], columns=["x", "y"])
-
-    seen = rich.where(store.share(F.col(key), part)).select(F.col(text).alias("text")).mapInPandas(weak, "x array<double>, y int").toPandas()
+                        out.append((f"{k}:{c}", [*map(float, features(t, c))], 1))
+                    elif AGAINST.search(t, max(0, c[1] - 12), c[1]):
+                        out.append((f"{k}:{c}", [*map(float, features(t, c))], 0))
+                if len(out) >= 1000:
+                    yield pd.DataFrame(out, columns=["span", "x", "y"])
+                    out = []
+            yield pd.DataFrame(out, columns=["span", "x", "y"])
+
+    seen = store.pinned(rich.where(store.share(F.col(key), part)).select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(weak, "span string, x array<double>, y int"))
+    seen = seen.where(store.share(F.col("span"), min(1.0, 10 * sample / max(1, seen.count())))).select("x", "y").toPandas()
     made = labelled_examples()
     x = np.array([features(t, s) for t, s, _ in made] + [list(v) for v in seen["x"]], float)
     y = np.array([v for _, _, v in made] + seen["y"].tolist(), float)
@@ -225,12 +237,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
     z, thresholds = trees.margin(x[test]), {}
     for i, kind in enumerate(KINDS):
         mine = x[test][:, 0] == i
-        best = np.inf
-        for cut in np.unique(z[mine]):
-            if cut >= 0 and y[test][mine][z[mine] >= cut].mean() >= precision:
-                best = float(cut)
-                break
-        thresholds[kind] = best
+        thresholds[kind] = least_cut(z[mine], y[test][mine], precision)
     return PiiModel(trees, thresholds)
 
 
