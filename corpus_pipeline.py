@@ -10,8 +10,13 @@ from tidewell.llm import decontam, language_id, near_dup, packing, pii
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language (und: null text, or no letter)."""
+    """Drops documents without a recognisable language (und: null text, or no letter).
+
+    Where no document has a lang, no language is known, and those with a letter are kept.
+    """
     model = language_id.fit(docs)
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return docs.where(language_id.predict(docs, model)["lang_pred"] != "und")
 
 

@@ -33,3 +33,8 @@ def test_stages(spark, tmp_path):
             assert after.columns == columns
         before = after
     assert cp.run(spark, SF).select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
+
+
+def test_documents_without_any_language_label(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "é", None)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in cp.identified(spark, docs, SF).collect()) == [1, 4]
