@@ -180,8 +180,8 @@ def test_packing_covers_all_tokens(spark):
 @given(st.text(alphabet="abXYZéÉßüÑçœŒıIŸÿ'stdm.,!?-012%$[]<|>×÷µªÞþİĲſŉ½ﬁ\u0301", min_size=1, max_size=14))
 def test_words_match_the_tokenizer(word):
     words = packing._tokenizer(PATH)
-    words.learn({word})
-    assert words.known and np.frombuffer(words.ids[word], "<u4").tolist() == words.tok.encode(word, add_special_tokens=False).ids
+    got = words[word]
+    assert words.known and np.frombuffer(got, "<u4").tolist() == words.tok.encode(word, add_special_tokens=False).ids
 
 
 def test_best_cuts_are_optimal():

@@ -35,7 +35,7 @@ _PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^{_LOWER}0-9]+
 _PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
 
 
-class Words:
+class Words(dict):
     """Ids of words (pieces between blanks) of one tokenizer, as little-endian unsigned 32-bit bytes, with a memo.
 
     The library's normaliser and splitter take most of its time. For words of printable ASCII and composed Latin letters
@@ -46,8 +46,8 @@ class Words:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tok = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         said = json.loads(self.tok.to_str())
         pre = said.get("pre_tokenizer") or {}
@@ -56,24 +56,30 @@ class Words:
         chars = [*map(chr, range(33, 127)), *(c for c in _LOWER if not c.isascii())]
         self.bytes_of = str.maketrans({c: "".join(x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)) for c in chars}) if self.known else {}
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.firsts = {t[0] for t in self.special if t}
 
     def _part(self, part: str) -> bytes:
         got = self.parts.get(part)
         if got is None:
-            got = self.parts[part] = array("I", [t.id for t in self.tok.model.tokenize(part.translate(self.bytes_of))]).tobytes()
+            tokens = self.tok.model.tokenize(part if part.isascii() else part.translate(self.bytes_of))
+            got = self.parts[part] = array("I", [t.id for t in tokens]).tobytes()
         return got
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.ids) > MEMO:
-            self.ids.clear()
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        for w in words:
-            if w not in self.ids:
-                if self.known and _PLAIN.fullmatch(w) and not any(t in w for t in self.special):
-                    self.ids[w] = b"".join(map(self._part, _PARTS.findall(w.lower())))
-                else:
-                    self.ids[w] = array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
+    def __missing__(self, word: str) -> bytes:
+        if self.known and word.isascii() and word.isalpha():
+            got = self._part(word.lower())
+        elif self.known and _PLAIN.fullmatch(word) and (self.firsts.isdisjoint(word) or not any(t in word for t in self.special)):
+            got = b"".join(map(self._part, _PARTS.findall(word.lower())))
+        else:
+            got = array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = got
+        return got
+
+    def trim(self) -> None:
+        """Forgets all words, or all parts, when there are more than MEMO."""
+        for memo in (self, self.parts):
+            if len(memo) > MEMO:
+                memo.clear()
 
 
 def _tokenizer(path: str) -> Words:
@@ -86,23 +92,26 @@ def encode(texts: list[str], path: str) -> list[list[bytes]]:
     """For each text, the ids (as bytes) of each of its pieces between blanks and line ends.
 
     The tokenizer drops white space and never joins across it, so the pieces' ids in order are the text's ids; only
-    pieces not met before are given to it.
+    pieces that are not in the memo are given to it.
     """
     words = _tokenizer(path)
-    cut = [t.replace("\n", " ").split(" ") for t in texts]
-    words.learn(set().union(*cut))
-    return [list(map(words.ids.__getitem__, ws)) for ws in cut]
+    words.trim()
+    return [list(map(words.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
+
+
+_STOPS = np.zeros(256, bool)
+_STOPS[[33, 46, 63]] = True
 
 
-def sentence_ends(text: str, pieces: list[bytes]) -> np.ndarray:
-    """Tokens up to each end of a sentence: a piece that ends in a full stop, an exclamation or a question mark."""
-    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    blank = (cp == 32) | (cp == 10)
-    stop = ((cp == 46) | (cp == 33) | (cp == 63)) & np.append(blank[1:], True)
-    if not stop.any():
-        return np.zeros(0, np.int64)
-    word = np.searchsorted(np.flatnonzero(blank), np.flatnonzero(stop))
-    return np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))[word] // 4
+def by_sentence(text: str, pieces: list[bytes]) -> list[bytes]:
+    """The ids of a text in runs, each up to an end of a sentence: a piece that ends in . or ! or ?, or the last piece."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    blank = np.flatnonzero((raw == 32) | (raw == 10))  # piece k ends at blank k
+    cut = np.flatnonzero(_STOPS[raw[blank - 1]]) + 1
+    if blank.size and blank[0] == 0 and cut.size and cut[0] == 1:
+        cut = cut[1:]  # the first piece is empty
+    bounds = [0, *cut.tolist(), len(pieces)]
+    return [b"".join(pieces[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if a < b]
 
 
 def _sorted_set(*parts: np.ndarray) -> np.ndarray:
@@ -221,8 +230,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, key
             for at in range(0, b.num_rows, 512):
                 part = [t or "" for t in texts.slice(at, 512).to_pylist()]
                 for k, t, pieces in zip(names[at : at + 512], part, encode(part, tokenizer), strict=True):
-                    whole = b"".join(pieces) + tail
-                    mark = sentence_ends(t, pieces) if t else np.zeros(0, np.int64)
+                    runs = by_sentence(t, pieces) if t else []
+                    whole = b"".join(runs) + tail
+                    mark = np.cumsum(np.fromiter(map(len, runs[:-1]), np.int64, max(0, len(runs) - 1))) // 4
                     keys.append(k)
                     ids.append(whole)
                     marks.append(mark)
