@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -28,7 +29,7 @@ def ship(spark: SparkSession) -> None:
 def local(cores: int = 8, name: str = "tidewell", **conf: str) -> SparkSession:
     """A session on this machine with UTC, adaptive plans and as many shuffle partitions as cores."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    base = {"spark.sql.shuffle.partitions": str(cores), "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"}
+    base = {"spark.sql.shuffle.partitions": str(cores), "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": os.environ.get("TIDEWELL_DRIVER_MEMORY", "4g")}
     for k, v in (base | conf).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
