@@ -37,6 +37,34 @@ def test_top_k_many_shards_and_ties(spark, scale):
         assert sorted(have[q]) == [(k + 1, i, int(s[i])) for k, i in enumerate(best)]
 
 
+def test_fewer_products_as_the_threshold_rises():
+    rng = np.random.default_rng(4)
+    v, q = rng.integers(-60, 60, (3000, 32)), rng.integers(-60, 60, (5, 32)) * np.array([8] * 4 + [1] * 28)
+    ids, own = np.arange(3000), np.full(5, -1)
+    exact = np.sort(v @ q.T, 0)[::-1].T
+    made = []
+    for floor in (np.full(5, -np.inf), exact[:, 500], exact[:, 9], exact[:, 0]):
+        s = maxscore.Search(q, own, floor, 10)
+        for at in range(0, 3000, 500):
+            s.shard(v[at : at + 500], ids[at : at + 500])
+        made.append(s.products)
+        for r in range(5):
+            want = [x for x in exact[r, :10] if x >= floor[r]]
+            assert sorted(s.scores[r].tolist(), reverse=True) == want and (v[s.ids[r]] @ q[r] == s.scores[r]).all()
+    assert made == sorted(made, reverse=True) and made[-1] < made[0] < v.size * 5
+
+
+def test_top_k_of_repeated_rows_matches_sql(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.standard_normal(4)]) for i in [*range(30), 20, 20, 7, 40]] + [(50, None), (60, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("vec_id", "embedding")
+    v = df.select("vec_id", maxscore.quantized(df.embedding).alias("v"))
+    got = maxscore.top_k(v.where("vec_id % 20 = 0"), v, 20, first_rows=3, growth=2).collect()
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    assert sorted(map(tuple, got)) == sorted(con.sql(queries.OP5_SQL).fetchall())
+
+
 def test_top_k_odd_rows(spark):
     rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (2, [float("nan"), 1.0]), (3, [float("inf"), 1.0]), (4, [None, 1.0]), (5, [0.5, -0.01]), (5, [0.5, -0.01]), (6, []), (None, [1.0, 1.0])], "vec_id long, embedding array<float>")
     v = rows.select("vec_id", maxscore.quantized(rows.embedding).alias("v"))
@@ -65,14 +93,50 @@ def test_containment_matches_brute_force(spark):
     assert left.columns == docs.columns and left.count() == len(d) - len({w[0] for w in want})
 
 
+def test_short_items_and_repeated_rows(spark):
+    """Items of 1 to 40 words, planted whole or with words changed in long texts, against brute force on word tuples."""
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 400, n)]
+    items = [(i, " ".join(word(n))) for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 9, 12, 15, 20, 25, 30, 40] * 3)]
+    docs = []
+    for i in range(120):
+        own = word(int(rng.integers(1, 300)))
+        for j in rng.choice(len(items), 3):
+            planted = items[j][1].split()
+            if rng.random() < 0.5:
+                planted[int(rng.integers(len(planted)))] = "zz"
+            own[len(own) // 2 : len(own) // 2] = planted
+        docs.append((i, " ".join(own)))
+    docs.append((200, " ".join(word(60000)) + " " + items[13][1]))
+
+    def grams(text):
+        w = text.split()
+        return lambda k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+    want = set()
+    for d, text in docs:
+        of = grams(text)
+        sets = {k: of(k) for k in range(1, 6)}
+        for i, item in items:
+            k = min(5, len(item.split()))
+            g = grams(item)(k)
+            if len(g & sets[k]) >= 0.8 * len(g):
+                want.add((d, i, len(g), len(g & sets[k])))
+    make = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string")
+    got = decontam.contained(make(docs + docs[:5], "doc_id"), make(items + items[:3], "item_id")).collect()
+    assert len(got) == len(want) and {tuple(r)[:4] for r in got} == want
+    assert {n for *_, n, _ in want} >= {1, 2, 3, 5}
+
+
 def test_containment_odd_rows(spark):
     text = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, f"x {text.upper()}! y", 0), (1, f"x {text.upper()}! y", 0), (2, None, 0), (3, "", 0), (4, "one two three four", 0), (5, "one two three four five six seven eight nine", 0), (None, text, 0)], "doc_id long, text string, h int")
     items = spark.createDataFrame([(7, text, 1), (8, "one two", 1), (9, None, 1), (None, text, 1)], "item_id long, text string, h int")
-    assert {tuple(r) for r in decontam.contained(docs, items).collect()} == {(1, 7, 6, 6, 1.0), (5, 7, 6, 5, 5 / 6)}
+    short = {(k, 8, 1, 1, 1.0) for k in (1, 4, 5)}
+    assert {tuple(r) for r in decontam.contained(docs, items).collect()} == {(1, 7, 6, 6, 1.0), (5, 7, 6, 5, 5 / 6)} | short
     assert decontam.contained(docs, items.where("false")).count() == 0
     assert decontam.contained(docs.where("false"), items).count() == 0
-    assert decontam.clean(docs, items).count() == 4
+    assert sorted(r.doc_id or 0 for r in decontam.clean(docs, items).collect()) == [0, 2, 3]
 
 
 def brute_classes(sets, threshold=0.8):
@@ -172,6 +236,30 @@ def test_classes_odd_rows(spark):
     assert near_dup.classes(docs.where("false")).count() == 0
 
 
+def test_components_of_chains_in_any_order(spark):
+    rng = np.random.default_rng(2)
+    line = rng.permutation(600) + 1000
+    edges = [(int(a), int(b)) for a, b in zip(line, line[1:], strict=False)] + [(1, 2), (2, 2), (5, 4)]
+    got = {r.id: r.root for r in near_dup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {int(x): 1000 for x in line} | {1: 1, 2: 1, 4: 4, 5: 4}
+    assert near_dup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_keys_with_other_texts(spark):
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (3, "a b c d e f"), (4, "a b c d e f")]
+    seen = [tuple(sorted((r.doc_id, r.class_id) for r in near_dup.classes(spark.createDataFrame(part, "doc_id long, text string")).collect())) for part in (rows, rows[::-1])]
+    assert seen[0] == seen[1] and seen[0] in (((1, 1), (2, 1), (3, 3), (4, 3)), ((1, 1), (2, 2), (3, 1), (4, 1)))
+
+
+@pytest.mark.parametrize("m", [1, 96, 2048, 4096])
+def test_all_registers_are_filled_alike(m):
+    keys = textvec.mix64(np.arange(1, 51))
+    sig = near_dup.prob_minhash(keys, np.ones(50), m)
+    assert sig.size == m and set(sig.tolist()) <= set(keys.tolist())
+    with pytest.raises(ValueError):
+        near_dup.prob_minhash(keys, np.ones(50), 0)
+
+
 def test_prob_minhash_estimates_weighted_similarity():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 2**63, 300).astype(np.uint64)

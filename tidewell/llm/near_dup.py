@@ -35,7 +35,10 @@ def prob_minhash(keys: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
 
     All registers are expected to be taken before a limit, so only arrivals before it are made; if one register is still
     free then, the limit is doubled. Later arrivals cannot change a register: the result does not depend on the limit.
+    m: from 1 to 2**31.
     """
+    if not 1 <= m <= 1 << 31:
+        raise ValueError(f"no signature of {m} registers")
     limit = (np.log(m) + 4) * m / weights.sum()
     while True:
         whens, registers, owners = [], [], []
@@ -49,7 +52,7 @@ def prob_minhash(keys: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
             when = clock[:, None] - np.cumsum(gap, 1)
             early = when < limit
             whens.append(when[early])
-            registers.append((h[early] & np.uint64(2047)) % np.uint64(m))
+            registers.append((textvec.mix64(h[early]) >> np.uint64(32)) * np.uint64(m) >> np.uint64(32))
             owners.append(np.repeat(live, early.sum(1)))
             more = early[:, -1]
             live, clock, done = live[more], when[more, -1], done + step
@@ -67,6 +70,11 @@ def shingle_set(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(textvec.shingles(textvec.word_hashes(text), SHINGLE), return_counts=True)
 
 
+def fingerprint(keys: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of hashes."""
+    return int(textvec.mix64(keys).sum().astype(np.int64)), int(textvec.mix64(keys ^ _GOLD).sum().astype(np.int64))
+
+
 def signature(text: str | None) -> tuple[int, int, int, list[int]] | None:
     """Number of distinct shingles, a 128-bit fingerprint of their set, and a hash for each band; None without words."""
     keys = shingle_set(text)[0]
@@ -76,8 +84,7 @@ def signature(text: str | None) -> tuple[int, int, int, list[int]] | None:
     bands = np.arange(1, BANDS + 1, dtype=np.uint64)
     for j in range(ROWS):
         bands = textvec.mix64(bands * _GOLD + sig[:, j])
-    a, b = textvec.mix64(keys).sum(), textvec.mix64(keys ^ _GOLD).sum()
-    return int(keys.size), int(a.astype(np.int64)), int(b.astype(np.int64)), bands.astype(np.int64).tolist()
+    return int(keys.size), *fingerprint(keys), bands.astype(np.int64).tolist()
 
 
 def _signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -91,33 +98,50 @@ def _signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
-    """(id, s): the shingle set of each id, each hash cut to 32 bits."""
+    """(id, s): the 64-bit shingle hashes of each id, ascending; of a repeated id, of the text with the least fingerprint."""
 
     def sets(batches: Iterator) -> Iterator:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "s": [np.unique((shingle_set(t)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32)) for t in b["t"]]})
+            found = [shingle_set(t)[0] for t in b["t"]]
+            prints = [fingerprint(s) for s in found]
+            yield pd.DataFrame({"id": b["id"], "fa": [x for x, _ in prints], "fb": [y for _, y in prints], "s": [np.sort(s.view(np.int64)) for s in found]})
+
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).join(store.sent(ids), "id", "left_semi")
+    return rows.mapInPandas(sets, "id long, fa long, fb long, s array<long>").where(F.size("s") > 0).groupBy("id").agg(F.min(F.struct("fa", "fb", "s")).alias("x")).select("id", F.col("x.s").alias("s"))
 
-    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).join(ids, "id", "left_semi")
-    return rows.mapInPandas(sets, "id long, s array<int>").groupBy("id").agg(F.first("s").alias("s"))
+
+def _one_text_each(signed: DataFrame) -> DataFrame:
+    """Signatures with one row for each row of the table, but for ids with different texts only those of the least fingerprint."""
+    spans = signed.groupBy("id").agg(F.min(F.struct("fa", "fb")).alias("first"), F.max(F.struct("fa", "fb")).alias("last"))
+    mixed = store.pinned(spans.where("first <> last").select("id", "first"))
+    if not mixed.limit(1).count():
+        return signed
+    return store.pinned(signed.join(mixed, "id", "left").where(F.col("first").isNull() | (F.struct("fa", "fb") == F.col("first"))).drop("first"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root): the least id of the connected component of each id in edges (a, b).
 
-    Each round, every vertex takes the least root among itself and its neighbours, then the root of that root. Rounds
-    are written to the shared folder; their number is logarithmic for stars and trees of small depth.
+    Each round, every vertex takes its least neighbour (or itself), then that one's choice, and the edges are drawn
+    between the chosen vertices. Every component with an edge loses vertices by a constant factor, so the number of rounds is
+    logarithmic for any shape, and edges inside settled components are gone. Rounds are written to the shared folder.
     """
-    both = store.pinned(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    roots = store.pinned(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    live = store.table(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    levels = []
     while True:
-        seen = both.join(roots.withColumnsRenamed({"id": "b", "root": "near"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("near").alias("near"))
-        hooked = roots.join(seen, "id").select("id", F.least("root", "near").alias("root"), F.col("root").alias("was"))
-        above = hooked.select(F.col("id").alias("root"), F.col("root").alias("top"))
-        step = store.pinned(hooked.join(above, "root", "left").select("id", F.least("root", F.coalesce("top", "root")).alias("root"), "was"))
-        moved = step.where("root <> was").limit(1).count()
-        roots = step.select("id", "root")
-        if not moved:
-            return roots
+        hook = store.table(live.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root")).select("id", F.least("id", "root").alias("root")))
+        if levels and not hook.limit(1).count():
+            break
+        above = hook.select(F.col("id").alias("root"), F.col("root").alias("top"))
+        step = store.table(hook.join(above, "root").select("id", F.col("top").alias("root")))
+        levels.append(step)
+        of = lambda c: step.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))  # noqa: B023, E731
+        live = store.table(live.join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b").distinct())
+    roots = levels.pop()
+    for step in reversed(levels):
+        above = roots.select(F.col("id").alias("root"), F.col("root").alias("top"))
+        roots = store.table(step.join(above, "root", "left").select("id", F.coalesce("top", "root").alias("root")))
+    return roots
 
 
 def block_links(ids: np.ndarray, sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray, ring: np.ndarray, threshold: float) -> list[tuple[int, int]]:
@@ -172,15 +196,21 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
 
     Texts are linked if the Jaccard similarity of their sets of 5-word shingles (lower-cased words of letters and
     digits; a text of one to four words is one shingle) is at least the threshold; classes are connected components.
-    Null keys, null texts and texts without words are in no class and have no row. A repeated key is one document.
+    Null keys, null texts and texts without words are in no class and have no row. A repeated key is one document; if
+    its texts differ, the one with the least fingerprint counts. An empty table gives no rows; columns of other names
+    play no part.
+
+    What a join deals out is written first (pinned), so that adaptive execution can split the partitions of hot keys: a
+    bucket, hub, root or class that holds a large part of all rows.
     """
-    signed = store.pinned(_signatures(docs, key, text))
+    signed = _one_text_each(store.pinned(_signatures(docs, key, text)))
     whole = store.pinned(signed.groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"), F.min(F.struct("id", "bands")).alias("x")).select("fa", "fb", "n", "rep", F.col("x.bands").alias("bands")))
     member = whole.select("rep", F.posexplode("bands").alias("band", "h")).select("rep", F.xxhash64("band", "h").alias("bucket"))
     hubs = member.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1").select("bucket", "hub")
+    hubs = store.pinned(hubs)
     star = store.pinned(member.join(hubs, "bucket").where("rep <> hub"))
     pairs = star.select("rep", "hub").distinct()
-    ids = pairs.select(F.col("rep").alias("id")).union(pairs.select("hub")).distinct()
+    ids = store.pinned(pairs.select(F.col("rep").alias("id")).union(pairs.select("hub")).distinct())
     sets = store.pinned(_sets(docs, key, text, ids))
     size = lambda c: F.size(c)
     seen = pairs.join(sets.withColumnsRenamed({"id": "rep", "s": "sr"}), "rep").join(sets.withColumnsRenamed({"id": "hub", "s": "sh"}), "hub")
@@ -193,14 +223,14 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     root = lambda c, name: roots.select(F.col("id").alias(c), F.col("root").alias(name))
     judged = star.join(seen, ["rep", "hub"]).join(root("rep", "root_r"), "rep", "left").join(root("hub", "root_h"), "hub", "left")
     judged = judged.select("bucket", "hub", "rep", "sim", F.coalesce("root_r", "rep").alias("root"), F.coalesce("root_h", "hub").alias("root_h"))
-    judged = judged.withColumn("open", F.col("root") != F.col("root_h"))
+    judged = store.pinned(judged.withColumn("open", F.col("root") != F.col("root_h")))
     # members of the hub's component may be linked to it only through others: the bound is their least similarity with it
     least = judged.groupBy("bucket").agg(F.min(F.when(~F.col("open"), F.col("sim"))).alias("least"))
-    judged = judged.join(least, "bucket").withColumn("ring", F.col("open") & F.coalesce(F.col("sim") >= F.col("least") - (1 - threshold) - 1e-9, F.lit(False))).drop("least")
+    judged = judged.join(store.pinned(least), "bucket").withColumn("ring", F.col("open") & F.coalesce(F.col("sim") >= F.col("least") - (1 - threshold) - 1e-9, F.lit(False))).drop("least")
     count = lambda c: F.sum(c.cast("long"))
     left = judged.groupBy("bucket").agg(count(F.col("open")).alias("n_open"), F.countDistinct(F.when(F.col("open"), F.col("root"))).alias("roots"), count(F.col("ring")).alias("n_ring"), count(~F.col("open") & (F.col("sim") < 1)).alias("n_linked"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("mark"), F.first("hub").alias("hub"))
     left = left.where("roots > 1 or (n_ring > 0 and n_linked > 0)").groupBy("hub", "mark", "n_open", "n_linked", "n_ring").agg(F.min("bucket").alias("bucket"))
-    rest = judged.join(left.select("bucket", "n_open", "n_linked", "n_ring"), "bucket")
+    rest = judged.join(store.pinned(left).select("bucket", "n_open", "n_linked", "n_ring"), "bucket")
     blocks = lambda n: F.ceil(F.greatest(F.col(n), F.lit(1)) / BLOCK).cast("int")
     deal = lambda n: F.pmod(F.xxhash64("rep", F.lit(5)), blocks(n)).cast("int")
     span = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
@@ -218,14 +248,15 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     if more.limit(1).count():
         roots = components(links.union(more))
 
-    of_rep = whole.select("fa", "fb", "n", "rep").join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").select("fa", "fb", "n", F.coalesce("root", "rep").alias("class_id"))
+    of_rep = store.pinned(whole.select("fa", "fb", "n", "rep").join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").select("fa", "fb", "n", F.coalesce("root", "rep").alias("class_id")))
     out = signed.select("id", "fa", "fb", "n").join(of_rep, ["fa", "fb", "n"]).groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n").alias("n_shingles"))
-    sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
+    out = store.pinned(out)
+    sizes = store.pinned(out.groupBy("class_id").agg(F.count("*").alias("class_size")))
     return out.join(sizes, "class_id").select(F.col("id").alias(key), "class_id", "class_size", "n_shingles")
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows that are in a class of another document; rows that are in no class stay."""
     found = classes(docs, threshold, key, text)
-    gone = found.where(F.col(key) != F.col("class_id")).select(key)
+    gone = store.sent(store.pinned(found.where(F.col(key) != F.col("class_id")).select(key)))
     return docs.join(gone, key, "left_anti").select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests), a folder of this machine."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a folder of this machine in local mode (tests), else an error."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not own:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         own = "file://" + tempfile.mkdtemp(prefix="tidewell-")
         spark.conf.set("spark.checkpoint.dir", own)
     if not spark.sparkContext.getCheckpointDir():
@@ -31,6 +34,23 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def table(df: DataFrame) -> DataFrame:
+    """As pinned, but as a Parquet table. For loops: a checkpoint keeps its plan's size estimate, which multiplies in each
+    join and after some rounds of joins is a number of millions of digits; a table has the size of its files."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Largest number of rows (a few numbers each) that is sent to every task; more are joined by a shuffle.
+SENT_ROWS = 2_000_000
+
+
+def sent(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
+    """df, marked for broadcast if it has at most so many rows. df should be cheap to count (pinned) and narrow."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def share(key: Column, part: Column | float) -> Column:
     """True for about this share of the keys; the same rows on every run."""
     return F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.lit(part) * F.lit(1_000_003)
