@@ -81,6 +81,40 @@ def test_toxicity_odd_rows(spark):
     assert odd.select(toxicity.score(odd, blank).alias("s")).count() == 3
 
 
+def test_useless_voters_leave_posteriors_at_the_prior():
+    rng = np.random.default_rng(1)
+    y = (rng.random(30000) < 0.1).astype(int)
+    for voters in (3, 6):
+        v = rng.choice([-1, 1], (len(y), voters))
+        gold = np.where(rng.random(len(y)) < 0.3, y, -1)
+        pats, counts = np.unique(np.column_stack([v, gold]), axis=0, return_counts=True)
+        *_, prior, post = toxicity.fit_label_model(pats[:, :-1], counts.astype(float), pats[:, -1])
+        assert abs(prior - 0.1) < 0.02 and np.abs(post - prior).max() < 0.05
+
+
+def test_marks_do_not_set_posteriors():
+    """Wrong marks in a tenth of the rows change the prior, not what three good voters say."""
+    rng = np.random.default_rng(3)
+    y = (rng.random(20000) < 0.3).astype(int)
+    v = np.stack([np.where(rng.random(len(y)) < a, 2 * y - 1, 1 - 2 * y) for a in (0.95, 0.9, 0.85)], 1)
+    gold = np.where(rng.random(len(y)) < 0.2, np.where(rng.random(len(y)) < 0.1, 1 - y, y), -1)
+    pats, idx, counts = np.unique(np.column_stack([v, gold]), axis=0, return_inverse=True, return_counts=True)
+    accuracy, _, _, post = toxicity.fit_label_model(pats[:, :-1], counts.astype(float), pats[:, -1])
+    for p in np.unique(pats[:, :-1], axis=0):
+        assert np.ptp(post[(pats[:, :-1] == p).all(1)]) < 1e-9
+    assert np.abs(accuracy[:, 1, 2] - [0.95, 0.9, 0.85]).max() < 0.05 and ((post[idx.ravel()] > 0.5) == y).mean() > 0.93
+
+
+def test_toxicity_of_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "you idiot scum", 5), (1, "you idiot scum", 5), (2, None, 5), (None, "fine words here", 5), (3, "", 5), (4, "fine words here " * 20000, 5)], "doc_id long, text string, y int")
+    labels = spark.createDataFrame([(1, 1, "a"), (1, 0, "a"), (4, 0, "a"), (9, None, "a"), (None, 1, "a")], "doc_id long, toxic int, text string")
+    for d, m in ((docs, labels), (docs, labels.where("false")), (docs.where("false"), labels)):
+        model = toxicity.fit(d, m)
+        got = docs.withColumn("score", toxicity.score(docs, model)).collect()
+        assert len(got) == 6 and all(0 <= r.score <= 1 for r in got) and got[2].score == got[4].score and got[0].score == got[1].score
+    assert docs.where("false").select(toxicity.score(docs, model)).count() == 0
+
+
 def test_label_model_finds_accuracy_and_correlation():
     rng = np.random.default_rng(0)
     y = (rng.random(20000) < 0.3).astype(int)
