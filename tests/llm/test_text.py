@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 import zlib
 
 import duckdb
@@ -265,6 +266,39 @@ def test_warc_odd_rows(spark, tmp_path):
     assert warc.read(spark, f"file://{tmp_path}/none").count() == 0
 
 
+def test_warc_files_by_length_and_gap_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 14)
+    rows = [(i, "u", chr(97 + i) * n) for i, n in enumerate([10, 200, 3000, 3000, 70000, 70000, 1100000])] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = f"file://{tmp_path}/w"
+    warc.write(pages, path, records_per_file=16, date="2020-01-31T00:00:00Z")
+    got = warc.read(spark, path).collect()
+    assert sorted((r.headers["warc-record-id"], bytes(r.payload).decode()) for r in got) == sorted((f"<urn:page:{i}>", t) for i, _, t in rows)
+    assert all(r.headers["warc-date"] == "2020-01-31T00:00:00Z" and r.headers["content-type"] == "text/html" for r in got)
+    per_file = {}
+    for r in got:
+        per_file.setdefault(r.file, []).append(r.payload_bytes)
+    assert all(sum(v) <= 16 * (1 << 14) or len(v) == 1 for v in per_file.values())
+    assert warc.log_gaps(warc.read(spark, path), f"file://{tmp_path}/none") == 0
+    (tmp_path / "x").mkdir()
+    one = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    (tmp_path / "x" / "a.warc").write_bytes(one + b"junk" + one)
+    (tmp_path / "x" / "b.warc.gz").write_bytes(zlib.compress(one, wbits=31) * 2 + b"bad")
+    rows = warc.read(spark, f"file://{tmp_path}/x")
+    assert rows.where("problem is null").count() == 4
+    assert warc.log_gaps(rows, f"file://{tmp_path}/gaps") == 2
+    log = {(r.file.rsplit("/", 1)[1], r.start, r.end) for r in spark.read.json(f"file://{tmp_path}/gaps").collect()}
+    gz = 2 * len(zlib.compress(one, wbits=31))
+    assert log == {("a.warc", len(one), len(one) + 4), ("b.warc.gz", gz, gz + 3)}
+
+
+def test_salvage_gzip_takes_linear_time():
+    one = zlib.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 6000\r\n\r\n" + np.random.default_rng(0).bytes(6000) + b"\r\n\r\n", wbits=31)
+    began = time.process_time()
+    assert sum(r.problem is None for r in warc.salvage_gzip(one * 8000)) == 8000
+    assert time.process_time() - began < 10
+
+
 def test_salvage_recovers_later_records():
     one = lambda i, body: b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(body)) + body + b"\r\n\r\n"
     parts = [one(i, b"body %d WARC/1.1\r\n" % i * 20) for i in range(6)]

@@ -78,7 +78,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.scratch(spark, "warc")
     warc.write(pages, path)
     number = lambda header: F.regexp_extract(F.col("headers")[header], "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
-    got = warc.read(spark, path).where(F.col("problem").isNull())
+    read = store.pinned(warc.read(spark, path).drop("payload"))
+    warc.log_gaps(read, store.scratch(spark, "warc-gaps"))
+    got = read.where(F.col("problem").isNull())
     size = F.when(F.col("type") == "revisit", F.col("headers")["x-payload-length"].cast("long")).otherwise(F.col("payload_bytes"))
     digest = F.when(F.col("type") == "revisit", F.substring(F.col("headers")["warc-payload-digest"], 6, 40)).otherwise(F.col("payload_digest"))
     return got.select(number("warc-record-id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), F.col("type").alias("record_type"), number("warc-refers-to").alias("refers_to"))

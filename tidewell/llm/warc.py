@@ -2,12 +2,14 @@
 
 The reader checks every record (version line, header block, Content-Length, closing CRLFs, payload digest). After a
 failed check it searches for the next version line, or in compressed files the next valid gzip member, goes on from
-there, and reports the bytes in between as a quarantined gap.
+there, and reports the bytes in between as a quarantined gap; log_gaps writes these to a table of their own.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
+import logging
 import re
 import zlib
 from collections.abc import Iterator
@@ -82,17 +84,25 @@ def salvage(data: bytes) -> Iterator[Record]:
         at = end
 
 
+def _member(data: memoryview, at: int, chunk: int = 1 << 15) -> tuple[bytes, int]:
+    """The content of the gzip member at an offset and the offset after it; reads no more than a chunk beyond it."""
+    member, out, pos = zlib.decompressobj(31), [], at
+    while not member.eof and pos < len(data):
+        out.append(member.decompress(data[pos : pos + chunk]))
+        pos += chunk
+    if not member.eof:
+        raise zlib.error("member is cut short")
+    return b"".join(out), min(pos, len(data)) - len(member.unused_data)
+
+
 def salvage_gzip(data: bytes) -> Iterator[Record]:
     """As salvage, for a file of gzip members; offsets are of the compressed file, one member may hold many records."""
-    at, gap, wrong = 0, None, ""
+    at, gap, wrong, view = 0, None, "", memoryview(data)
     while at < len(data):
-        member = zlib.decompressobj(31)
         try:
             if data[at : at + 3] != _GZIP:
                 raise zlib.error("no gzip member")
-            plain = member.decompress(data[at:])
-            if not member.eof:
-                raise zlib.error("member is cut short")
+            plain, end = _member(view, at)
         except zlib.error as e:
             gap, wrong = (at, str(e)) if gap is None else (gap, wrong)
             nxt = data.find(_GZIP, at + 1)
@@ -101,7 +111,6 @@ def salvage_gzip(data: bytes) -> Iterator[Record]:
         if gap is not None:
             yield Record(gap, at, problem=wrong)
             gap = None
-        end = len(data) - len(member.unused_data)
         for r in salvage(plain):
             yield Record(at, end, r.headers, r.payload, r.problem)
         at = end
@@ -109,10 +118,12 @@ def salvage_gzip(data: bytes) -> Iterator[Record]:
         yield Record(gap, len(data), problem=wrong)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record and each quarantined gap (problem is not null) of the archives at a path.
+def read(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    """A row for each record and each quarantined gap (problem is not null) of the files at a path, plain or gzip.
 
-    Files are read whole, one at a time, so their size bounds a task's memory. Empty files give no rows.
+    names: a pattern of file names; files that begin with _ or . are passed over. Folders are searched at any depth. Files
+    are read whole, one at a time, so their size (below 2 GB; write makes files of about FILE_BYTES) bounds a task's
+    memory. Empty files give no rows.
     """
     def parse(batches: Iterator) -> Iterator:
         for b in batches:
@@ -122,40 +133,58 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 for at in range(0, len(rows), 500):
                     yield pd.DataFrame(rows[at : at + 500], columns=[c.split()[0] for c in RECORD.split(", ")])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(parse, RECORD)
 
 
-#: Largest number of revisits that is sent to every task; above, the join is shuffled.
-BROADCAST_ROWS = 1_000_000
+def log_gaps(records: DataFrame, path: str) -> int:
+    """Writes the quarantined gaps among records (file, start, end, problem) as JSON and returns their number."""
+    gaps = records.where(F.col("problem").isNotNull()).select("file", "start", "end", "problem")
+    gaps.write.json(path)
+    found = records.sparkSession.read.schema(gaps.schema).json(path).count()
+    if found:
+        logging.getLogger(__name__).warning("%d gaps in archives are quarantined; they are listed in %s", found, path)
+    return found
+
+
+#: Bytes of an archive file that the writer aims at: payloads are dealt by length, so that long ones get files of few records.
+FILE_BYTES = 1 << 26
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the standard
 
 
-def referrals(pages: DataFrame, key: str, digest: str, length: str, least: int = 1000) -> DataFrame:
-    """(key, digest, refers_to) of the rows that repeat a payload of at least so many bytes under another, larger key."""
-    rows = pages.where(F.col(length) >= least).select(key, digest)
-    last = rows.groupBy(digest).agg(F.max(key).alias("refers_to"), F.count("*").alias("__n")).where("__n > 1 and refers_to IS NOT NULL")
-    return rows.join(last, digest).where(~F.col(key).eqNullSafe(F.col("refers_to"))).select(key, digest, "refers_to").distinct()
+def repeated(pages: DataFrame, key: str, digest: str, length: str, least: int = 1000) -> DataFrame:
+    """(digest, refers_to) of payloads of at least so many bytes under more than one key: the largest one."""
+    rows = pages.where(F.col(length) >= least).groupBy(digest).agg(F.max(key).alias("refers_to"), F.count("*").alias("__n"))
+    return rows.where("__n > 1 and refers_to IS NOT NULL").select(digest, "refers_to")
 
 
-def record_text(key: Column, url: Column, payload: Column, length: Column, digest: Column, refers: Column) -> Column:
+def record_text(key: Column, url: Column, payload: Column, length: Column, digest: Column, refers: Column, date: str) -> Column:
     """One record without its closing CRLFs; a revisit (refers is not null) has no payload but its length and digest."""
     clean = F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", " ")
     name = F.coalesce(key.cast("string"), F.lit("none"))
-    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.when(refers.isNull(), "response").otherwise("revisit"), F.lit("\r\nWARC-Record-ID: <urn:page:"), name, F.lit(">\r\nWARC-Target-URI: "), clean, F.lit("\r\nWARC-Payload-Digest: sha1:"), digest, F.lit("\r\nX-Payload-Length: "), length.cast("string"))
-    return F.when(refers.isNull(), F.concat(head, F.lit("\r\nContent-Length: "), length.cast("string"), F.lit(END.decode()), payload)).otherwise(F.concat(head, F.lit("\r\nWARC-Refers-To: <urn:page:"), refers.cast("string"), F.lit(">\r\nContent-Length: 0\r\n\r\n")))
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.when(refers.isNull(), "response").otherwise("revisit"), F.lit("\r\nWARC-Record-ID: <urn:page:"), name, F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), clean, F.lit("\r\nWARC-Payload-Digest: sha1:"), digest, F.lit("\r\nX-Payload-Length: "), length.cast("string"), F.lit("\r\nContent-Type: text/html"))
+    return F.when(refers.isNull(), F.concat(head, F.lit("\r\nContent-Length: "), length.cast("string"), F.lit(END.decode()), payload)).otherwise(F.concat(head, F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: <urn:page:"), refers.cast("string"), F.lit(">\r\nContent-Length: 0\r\n\r\n")))
 
 
-def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = 1000, records_per_file: int = 1000) -> None:
+def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = 1000, records_per_file: int = 1000, date: str | None = None) -> None:
     """Writes a record for each row; payloads that repeat (least bytes or more) are written once, under the largest key.
 
     Null html is an empty payload, null urls and keys are written as empty and none. Rows that repeat the largest key
-    are each a response. Payload text is written as UTF-8 without any change.
+    are each a response. Payload text is written as UTF-8 without any change; a response's block is the payload alone.
+    An empty table makes an empty archive; other columns play no part. date: of all records, as in 2020-01-31T00:00:00Z,
+    else now. Files hold up to records_per_file records; payloads of more than FILE_BYTES / records_per_file bytes go
+    to folders of their own by length (a sixteenfold step each), with fewer records a file.
     """
+    date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.coalesce(F.col(html), F.lit("")).alias("p"))
     rows = rows.withColumns({"n": F.octet_length("p").cast("long"), "d": F.sha1(F.encode("p", "UTF-8"))})
-    repeats = store.pinned(referrals(rows.select("k", "d", "n"), "k", "d", "n", least).toDF("rk", "rd", "refers_to"))
-    small = F.broadcast(repeats) if repeats.count() <= BROADCAST_ROWS else repeats
-    keyed = rows.join(small, F.col("k").eqNullSafe(F.col("rk")) & (F.col("d") == F.col("rd")), "left")
-    refers = F.col("refers_to")
-    made = keyed.select(record_text(F.col("k"), F.col("u"), F.col("p"), F.col("n"), F.col("d"), refers).alias("value"))
-    made.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).text(path)
+    last = store.sent(store.pinned(repeated(rows.select("k", "d", "n"), "k", "d", "n", least).withColumnRenamed("d", "rd")), 1_000_000)
+    keyed = rows.join(last, (F.col("n") >= least) & (F.col("d") == F.col("rd")), "left")
+    refers = F.when(~F.col("k").eqNullSafe(F.col("refers_to")), F.col("refers_to"))
+    made = keyed.select("n", record_text(F.col("k"), F.col("u"), F.col("p"), F.col("n"), F.col("d"), refers, date).alias("value"))
+    longest = rows.agg(F.max("n")).first()[0] or 0
+    low, high, several = -1, max(1, FILE_BYTES // records_per_file), records_per_file
+    while low < longest or low < 0:
+        part = made.where((F.col("n") > low) & (F.col("n") <= high)).select("value")
+        part.write.option("lineSep", END.decode()).option("maxRecordsPerFile", several).text(f"{path.rstrip('/')}/to-{high}")
+        low, high, several = high, high * 16, max(1, several // 16)
