@@ -38,7 +38,9 @@ GENERATORS = [(k, re.compile(p)) for k, p in (
     ("key", r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z.-])"),
 )]
-_WORTH = re.compile(r"[0-9@]|AKIA|[ \[(]at[ \])]")
+_WORTH = re.compile(r"[0-9@]|AKIA|gh[pousr]_|:[0-9A-Fa-f]{1,4}:|[ \[(]at[ \])]")
+#: Common ends of host names.
+ENDINGS = frozenset("com org net edu gov info io co de fr es it nl uk us eu ch at be".split())
 CONTEXT = re.compile(r"call|phone|tel|mobile|fax|e-?mail|mail|contact|write|reach|card|visa|pay|ssn|social|iban|account|bank|ip|host|server|key|secret|token", re.I)
 AGAINST = re.compile(r"(?<![^\W\d_])(?:order|invoice|version|isbn|serial|ticket|part|page|chapter|item|build|lot|ref)s?(?![^\W\d_])", re.I)
 
@@ -106,7 +108,7 @@ def features(text: str, span: Span) -> list[float]:
     before, after = text[max(0, a - 40) : a], text[b : b + 24]
     groups = [len(g) for g in re.findall("[0-9]+", s)]
     valid = {"card": luhn(digits) if digits else False, "iban": kind == "iban" and _iban_ok(s), "ssn": digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000"}.get(kind, True)
-    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(text, max(0, a - 40), a))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555")]
+    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(text, max(0, a - 40), a))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555"), float(re.split(r"[\s.)\]]+", s.lower())[-1] in ENDINGS)]
 
 
 @dataclass
@@ -159,8 +161,31 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, r
 
 @dataclass
 class PiiModel:
+    """thresholds: least calibrated probability of each kind; held_out: (precision, recall) at it on held-out examples."""
+
     trees: BoostedTrees
     thresholds: dict[str, float]
+    steps: tuple[np.ndarray, np.ndarray]  # margins and probabilities of the calibration, both ascending
+    held_out: dict[str, tuple[float, float]]
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return np.interp(self.trees.margin(x), *self.steps)
+
+
+def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Margins and calibrated probabilities: the non-decreasing fit to y (pooled adjacent violators), each pool's mean
+    margin. Pools are drawn to a half by one example."""
+    order = np.lexsort([y, z])
+    pools: list[list[float]] = []
+    for margin, label in zip(z[order], y[order], strict=True):
+        pools.append([1.0, float(label), float(margin)])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            n, good, total = pools.pop()
+            pools[-1] = [pools[-1][0] + n, pools[-1][1] + good, pools[-1][2] + total]
+    if not pools:
+        return np.zeros(1), np.full(1, 0.5)
+    n, good, total = np.array(pools).T
+    return total / n, np.maximum.accumulate((good + 0.5) / (n + 1))
 
 
 def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int]]:
@@ -179,33 +204,38 @@ def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int
         body = num(18)
         return f"DE{98 - int(body + '131400') % 97:02d}{body}" if ok else f"DE{num(2)}{body}"
 
-    good = [lambda: f"{word()}{rng.choice([' [at] ', '[at]', ' (at) '])}{word()}{rng.choice([' [dot] ', '[dot]', ' (dot) '])}com", lambda: f"({num(3)}) 555-{num(4)}", lambda: f"{rng.randint(201, 989)}-{num(3)}-{num(4)}", lambda: amex(True), lambda: iban(True), lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16)), lambda: f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", lambda: ":".join(f"{rng.getrandbits(16):x}" for _ in range(8)), lambda: f"0{rng.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}"]
-    bad = [lambda: f"{word()} at {word()}. {word()}", lambda: f"{word()} at {word()}.{word()[:5]}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"{num(3)} {num(3)} {num(4)}", lambda: amex(False), lambda: iban(False), lambda: f"000-{num(2)}-{num(4)}", lambda: f"0{rng.randint(1, 9)}{num(8)}"]
+    spoken = lambda: f"{word()} at {word()}.{rng.choice(sorted(ENDINGS))}"
+    good = [spoken, spoken, lambda: f"{word()}{rng.choice([' [at] ', '[at]', ' (at) '])}{word()}{rng.choice([' [dot] ', '[dot]', ' (dot) '])}com", lambda: f"({num(3)}) 555-{num(4)}", lambda: f"{rng.randint(201, 989)}-{num(3)}-{num(4)}", lambda: amex(True), lambda: iban(True), lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16)), lambda: f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", lambda: ":".join(f"{rng.getrandbits(16):x}" for _ in range(8)), lambda: f"0{rng.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}"]
+    bad = [lambda: f"{word()} at {word()}. {word()}", lambda: f"{word()} at {word()}.{word()}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"{num(3)} {num(3)} {num(4)}", lambda: amex(False), lambda: iban(False), lambda: f"000-{num(2)}-{num(4)}", lambda: f"0{rng.randint(1, 9)}{num(8)}"]
     hints, noise = ("call ", "contact ", "my card ", "email ", "account ", "phone: ", "reach me: "), ("order ", "invoice no ", "version ", "part ", "serial ", "item ")
     out = []
     for i in range(n):
         y = int(i % 2 == 0)
         s = rng.choice(good if y else bad)()
-        lead = rng.choice((hints if rng.random() < 0.6 else ("",)) if y else (noise if rng.random() < 0.6 else ("",)))
+        lead = rng.choice((hints if rng.random() < 0.6 else ("",)) if y else (noise if rng.random() < 0.5 else ("",)))
+        if rng.random() < 0.15:  # words that say the other thing
+            lead = rng.choice(noise if y else hints)
         text = f"{word()} {word()} {lead}{s} {word()} {word()}."
         for span in candidates(text):
             out.append((text, span, y))
     return out
 
 
-def least_cut(z: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The least score of at least 0 that reaches the precision, or else the best one; 0 without such a score."""
-    cuts = np.unique(z[z >= 0])
-    reached = [min(float(y[z >= c].mean()), precision) for c in cuts]
-    return float(cuts[int(np.argmax(reached))]) if reached else 0.0
+def least_cut(p: np.ndarray, y: np.ndarray, precision: float) -> float:
+    """The least probability of at least 0.5 that reaches the precision, or else the best one; 0.5 without such a score."""
+    cuts = np.unique(p[p >= 0.5])
+    reached = [min(float(y[p >= c].mean()), precision) for c in cuts]
+    return float(cuts[int(np.argmax(reached))]) if reached else 0.5
 
 
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 3000, precision: float = 0.99) -> PiiModel:
     """Boosted trees on made examples and on weakly labelled candidates of about sample texts with digits.
 
     A corpus candidate inside a base span is a positive, one next to a word of the AGAINST list a negative; others take
-    no part; above about 10 * sample candidates, a share of them is taken by a hash of key and span. Two thirds train; on
-    the rest each kind's threshold is the least score that reaches the precision, or else the best precision there is.
+    no part; above about 10 * sample candidates, a share of them is taken by a hash of key and span. Two thirds train; the
+    rest calibrates margins to probabilities and sets each kind's threshold: the least probability that reaches the
+    precision there, or else the best precision there is. Null and empty texts and an empty table give no example; repeated
+    rows count as often as they are given.
     """
     rich = docs.where(F.col(text).rlike("[0-9]{3}|@"))
     part = min(1.0, sample / max(1, rich.count()))
@@ -234,11 +264,15 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
     x, y = x[order], y[order]
     test = np.arange(len(x)) % 3 == 0
     trees = fit_boosted(x[~test], y[~test])
-    z, thresholds = trees.margin(x[test]), {}
+    model = PiiModel(trees, {}, isotonic(trees.margin(x[test]), y[test]), {})
+    p = model.probability(x[test])
     for i, kind in enumerate(KINDS):
         mine = x[test][:, 0] == i
-        thresholds[kind] = least_cut(z[mine], y[test][mine], precision)
-    return PiiModel(trees, thresholds)
+        own, truth = p[mine], y[test][mine]
+        cut = model.thresholds[kind] = least_cut(own, truth, precision)
+        taken = truth[own >= cut]
+        model.held_out[kind] = (float(taken.mean()) if taken.size else 1.0, float(taken.sum() / max(1, truth.sum())))
+    return model
 
 
 def all_spans(text: str | None, model: PiiModel) -> tuple[list[Span], list[Span]]:
@@ -247,7 +281,7 @@ def all_spans(text: str | None, model: PiiModel) -> tuple[list[Span], list[Span]
     found = candidates(text)
     if not found:
         return base, base
-    z = model.trees.margin(np.array([features(text, c) for c in found], float))
+    z = model.probability(np.array([features(text, c) for c in found], float))
     taken = [(s, e) for _, s, e in base]
     extra = []
     for i in np.argsort(-z, kind="stable"):

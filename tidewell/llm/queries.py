@@ -20,11 +20,13 @@ def _remainder(n: int):
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url's host, path, rule, verdict and score; the model is fitted on the module's labelled urls."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, url_filter.fit(url_filter.seed(spark)))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; learnt from rows whose crc32(doc_id) mod 5 is not 0."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(_remainder(5) != 0))
     got = docs.withColumn("j", language_id.predict(docs, model))
@@ -32,6 +34,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; learnt from labels whose crc32(doc_id) mod 3 is not 1."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels.where(_remainder(3) != 1))
@@ -40,23 +43,27 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of base spans, and all spans."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     got = docs.withColumn("p", pii.detect(docs, pii.fit(docs)))
     count = lambda kind: F.size(F.filter("p.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return got.select("doc_id", *map(count, pii.BASE_KINDS), "p.base_sha256", F.col("p.joined").alias("spans"))
+    return got.select("doc_id", *map(count, pii.BASE_KINDS), "p.base_sha256", F.col("p.joined").alias("spans"), F.size("p.spans").cast("long").alias("n_spans"))
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors of every 20th id, against all."""
     rows = _read(spark, sf_dir, "embeddings").select("vec_id", maxscore.quantized(F.col("embedding")).alias("v"))
     return maxscore.top_k(rows.where(F.col("vec_id") % 20 == 0), rows, 20)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contained(docs, _read(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near copies; none for texts without words."""
     return near_dup.classes(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -70,10 +77,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of the documents' tokens in sequences of at most 4096."""
     return packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from archives; gaps go to a log in the shared folder."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = store.scratch(spark, "warc")
     warc.write(pages, path)
