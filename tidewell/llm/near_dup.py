@@ -226,7 +226,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     judged = store.pinned(judged.withColumn("open", F.col("root") != F.col("root_h")))
     # members of the hub's component may be linked to it only through others: the bound is their least similarity with it
     least = judged.groupBy("bucket").agg(F.min(F.when(~F.col("open"), F.col("sim"))).alias("least"))
-    judged = judged.join(store.pinned(least), "bucket").withColumn("ring", F.col("open") & F.coalesce(F.col("sim") >= F.col("least") - (1 - threshold) - 1e-9, F.lit(False))).drop("least")
+    judged = store.pinned(judged.join(store.pinned(least), "bucket").withColumn("ring", F.col("open") & F.coalesce(F.col("sim") >= F.col("least") - (1 - threshold) - 1e-9, F.lit(False))).drop("least"))
     count = lambda c: F.sum(c.cast("long"))
     left = judged.groupBy("bucket").agg(count(F.col("open")).alias("n_open"), F.countDistinct(F.when(F.col("open"), F.col("root"))).alias("roots"), count(F.col("ring")).alias("n_ring"), count(~F.col("open") & (F.col("sim") < 1)).alias("n_linked"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("mark"), F.first("hub").alias("hub"))
     left = left.where("roots > 1 or (n_ring > 0 and n_linked > 0)").groupBy("hub", "mark", "n_open", "n_linked", "n_ring").agg(F.min("bucket").alias("bucket"))
