@@ -18,3 +18,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def r(expr: str, name: str, digits: int = 6) -> str:
     """The same in SQL."""
     return f"round(({expr}) + {NUDGE}, {digits}) + 0.0 AS {name}"
+
+
+def cdf_sql(z: str) -> str:
+    """The normal distribution function of operators.evaluate.erf_cdf in SQL."""
+    x = f"(abs({z}) / sqrt(2))"
+    t = f"(1 / (1 + 0.3275911 * {x}))"
+    half = f"(0.5 * {t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429)))) * exp(-{x} * {x}))"
+    return f"(CASE WHEN ({z}) >= 0 THEN 1 - {half} ELSE {half} END)"

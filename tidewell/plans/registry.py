@@ -33,4 +33,4 @@ def oracle_sql() -> dict[str, str]:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import evaluation, pit, portfolio, rules, statistics, windows  # noqa: F401
+    from . import evaluation, pit, portfolio, research, risk, rules, statistics, windows  # noqa: F401
