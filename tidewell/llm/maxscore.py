@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 from . import store
 
 #: Terms that are probed between two looks at what is still competitive.
-PROBE = 4
+PROBE = 8
+#: Queries whose terms are traversed together; a term is passed over if none of them needs it.
+QUERIES = 64
+#: Share of competitive vectors above which the next terms are added for all vectors, since single probes would cost more.
+DENSE = 0.05
 #: Bytes of query vectors that are sent to every task at a time; more queries are searched in further blocks.
 BLOCK_BYTES = 32_000_000
 
@@ -38,7 +42,7 @@ class Search:
     """The k best vectors so far of each query of a block. q: queries x terms; floor: known lower bounds of k-th scores.
 
     Exact: integers are held in floats only where sums are sure to fit; else sums are of Python integers and nothing
-    is skipped. products counts what was multiplied.
+    is skipped. products counts the terms of queries that were multiplied (without the zeros of joint traversals).
     """
 
     def __init__(self, q: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int):
@@ -80,31 +84,51 @@ class Search:
         posts = np.ascontiguousarray((rows - low if most < 2**22 else rows.astype(np.float64) - low).T)
         span = posts.max(1).astype(np.float64)
         low, top = low.astype(np.float64), rows.max(0).astype(np.float64)
-        for r, one in enumerate(self.q.astype(posts.dtype)):
-            weight = one.astype(np.float64)
-            least = np.where(weight >= 0, weight * low, weight * top)  # each term's least contribution
-            bound = np.abs(weight) * span
-            order = np.argsort(-bound, kind="stable")
-            after = np.concatenate([np.cumsum(bound[order][::-1])[::-1], [0.0]])  # what the terms from here on can add
-            need = self.floor[r] - least.sum()
-            if after[0] < need:
-                continue
-            first = max(int(np.searchsorted(-after, -need, side="right")), 1) if need > 0 else dims
-            essential = order[:first]
-            base = weight @ low  # posts are counted from low
-            score = one @ posts if first == dims else one[essential] @ posts[essential]
-            self.products += first * len(rows)
-            lead = np.concatenate([np.cumsum((weight * low - least)[order][::-1])[::-1], [0.0]])  # of negative weights
-            live = np.flatnonzero((score + (base + (after - lead)[first]) >= self.floor[r]) & (ids != self.own[r]))
-            score = score[live]
-            for at in range(first, dims, PROBE):
-                more = order[at : at + PROBE]
-                score = score + one[more] @ posts[np.ix_(more, live)]
+        for at in range(0, len(self.q), QUERIES):
+            self._traverse(np.arange(at, min(at + QUERIES, len(self.q))), posts, low, top, span, ids)
+
+    def _traverse(self, block: np.ndarray, posts: np.ndarray, low: np.ndarray, top: np.ndarray, span: np.ndarray, ids: np.ndarray) -> None:
+        """One shard for a block of queries: each has its own essential terms, which are traversed together."""
+        weight, dims = self.q[block].astype(np.float64), len(span)
+        least = np.where(weight >= 0, weight * low, weight * top)  # each term's least contribution
+        bound = np.abs(weight) * span
+        order = np.argsort(-bound, axis=1, kind="stable")
+        tail = lambda x: np.concatenate([np.cumsum(np.take_along_axis(x, order, 1)[:, ::-1], 1)[:, ::-1], np.zeros((len(block), 1))], 1)
+        after = tail(bound)  # what the terms from here on can add to their least contributions
+        reach = tail(np.maximum(weight, 0) * span)  # and to posts counted from low
+        need = self.floor[block] - least.sum(1)
+        first = np.where(need > 0, (after >= need[:, None]).sum(1), dims)  # the terms from first on sum to less than the need
+        first = np.minimum(np.maximum(first, 1), dims)
+        place = np.argsort(order, axis=1, kind="stable")
+        alive = after[:, 0] >= need  # queries that a vector of this shard may still serve
+        base = weight @ low  # posts are counted from low
+        rest = self.floor[block] - base
+
+        def together(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            """Sums of each query's terms from start to end of its order, for all vectors."""
+            mine = (place >= start[:, None]) & (place < end[:, None]) & alive[:, None]
+            used = np.flatnonzero(mine.any(0))
+            self.products += int(mine.sum()) * len(ids)
+            return np.where(mine, weight, 0).astype(posts.dtype)[:, used] @ posts[used]
+
+        partial = together(np.zeros_like(first), first)
+        may = (partial >= (rest - reach[np.arange(len(block)), first])[:, None]) & (ids != self.own[block][:, None]) & alive[:, None]
+        while may.mean() > DENSE and (first < dims).any():  # so many are competitive that probing goes over all vectors
+            further = np.minimum(dims, first + np.maximum((dims - first) // 2, PROBE))
+            partial += together(first, further)
+            first = further
+            may &= partial >= (rest - reach[np.arange(len(block)), first])[:, None]
+        for j in np.flatnonzero(may.any(1)):
+            live = np.flatnonzero(may[j])
+            score = partial[j, live].astype(np.float64)
+            for at in range(int(first[j]), dims, PROBE):
+                more = order[j, at : at + PROBE]
+                score += weight[j, more] @ posts[more[:, None], live]
                 self.products += len(more) * live.size
-                stay = score + (base + (after - lead)[min(at + PROBE, dims)]) >= self.floor[r]
+                stay = score >= rest[j] - reach[j, min(at + PROBE, dims)]
                 live, score = live[stay], score[stay]
             if live.size:
-                self._keep(r, ids[live], np.rint(score + base).astype(np.int64))
+                self._keep(block[j], ids[live], np.rint(score + base[j]).astype(np.int64))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
