@@ -84,9 +84,9 @@ def coded(code: Column, names: dict[str, str] = INSIDER_CODES) -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[code], code)
 
 
-def tickers(text: Column, known: Sequence[str] | None = None, limit: int = 5000) -> Column:
-    """Sorted distinct $TICK or plain upper-case words of at least two letters, without stop words."""
-    raw = F.regexp_extract_all(F.substring(text, 1, limit), F.lit(r"(?<![A-Za-z])\$?([A-Z]{2,5})(?![A-Za-z])"), F.lit(1))
+def tickers(text: Column, known: Sequence[str] | None = None) -> Column:
+    """Sorted distinct $TICK or plain upper-case words of two to five letters of the whole text, without stop words."""
+    raw = F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z])\$?([A-Z]{2,5})(?![A-Za-z])"), F.lit(1))
     out = F.array_except(raw, F.array(*map(F.lit, STOP_WORDS)))
     return F.array_sort(F.array_intersect(out, F.array(*map(F.lit, known)))) if known is not None else F.array_sort(out)
 

@@ -45,10 +45,15 @@ def sharpe_interval(m: DataFrame, level: float = 0.95) -> DataFrame:
     return m.withColumns({"sharpe_low": ok(F.col("sharpe") - z * se), "sharpe_high": ok(F.col("sharpe") + z * se)})
 
 
+def best_of_trials(trials: int) -> float:
+    """Expected largest of so many standard normal draws (approximation by the extreme-value law)."""
+    euler, nd = 0.5772156649015329, NormalDist()
+    return (1 - euler) * nd.inv_cdf(1 - 1 / trials) + euler * nd.inv_cdf(1 - 1 / (trials * 2.718281828459045)) if trials > 1 else 0.0
+
+
 def deflated(m: DataFrame, trials: int) -> DataFrame:
     """deflated: the chance that the Sharpe ratio beats the best of so many unskilled trials."""
-    euler, nd = 0.5772156649015329, NormalDist()
-    best = (1 - euler) * nd.inv_cdf(1 - 1 / trials) + euler * nd.inv_cdf(1 - 1 / (trials * 2.718281828459045)) if trials > 1 else 0.0
+    best = best_of_trials(trials)
     s = F.col("sharpe") / sqrt(YEAR)
     se = F.sqrt(F.greatest(1 - F.col("skew") * s + (F.col("kurt") + 2) / 4 * s * s, F.lit(1e-12)) / (F.col("n") - 1))
     return m.withColumn("deflated", F.when(F.col("n") > 1, erf_cdf((s - best / F.sqrt(F.col("n") - 1)) / se)))

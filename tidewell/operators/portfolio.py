@@ -65,8 +65,9 @@ def rule_score(df: DataFrame, regime: str = "regime") -> DataFrame:
 
 
 def levels(df: DataFrame, price: Column, atr: Column) -> DataFrame:
-    """Stop 1.5 ranges below, targets 2 and 3 ranges above, to cents."""
-    return df.withColumns({"stop_price": F.round(price - 1.5 * atr, 2), "target_1": F.round(price + 2 * atr, 2), "target_2": F.round(price + 3 * atr, 2)})
+    """Stop 1.5 ranges below, targets 2 and 3 ranges above, to cents (halves up, within a billionth)."""
+    cents = lambda k: F.round(price + k * atr + 1e-9, 2)
+    return df.withColumns({"stop_price": cents(-1.5), "target_1": cents(2), "target_2": cents(3)})
 
 
 def resolve(predictions: DataFrame, bars: DataFrame, days: int) -> DataFrame:

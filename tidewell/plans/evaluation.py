@@ -9,7 +9,7 @@ from ..functions import windows as W
 from ..operators import evaluate as ev
 from ..operators import indicators as ind
 from ..sources import tables as T
-from ._common import r, rounded
+from ._common import cdf_sql, r, rounded
 from .registry import query
 
 _RET = "ret AS (SELECT symbol, ts, close, volume, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_user_d)"
@@ -31,9 +31,15 @@ def return_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.sharpe_interval(ev.moments(returns(spark, sf_dir), ["symbol"])))
 
 
-@query()
+_BEST = ev.best_of_trials(150)
+
+
+@query(T.with_tables("bars_user_d", then=f"""
+, {_RET}, m AS (SELECT symbol, count(ret) AS n, avg(ret) / nullif(stddev_samp(ret), 0) AS s, CASE WHEN count(ret) > 2 THEN skewness(ret) END AS skew, CASE WHEN count(ret) > 3 THEN kurtosis(ret) END AS kurt FROM ret GROUP BY symbol),
+z AS (SELECT symbol, s * sqrt(252) AS sharpe, CASE WHEN n > 1 THEN (s - {_BEST!r} / sqrt(n - 1)) / sqrt(greatest(1 - skew * s + (kurt + 2) / 4 * s * s, 1e-12) / (n - 1)) END AS z FROM m)
+SELECT symbol, {r('sharpe', 'sharpe')}, {r(cdf_sql('z'), 'deflated')} FROM z"""))
 def deflated_sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.deflated(ev.moments(returns(spark, sf_dir), ["symbol"]), trials=150).select("symbol", "sharpe", "deflated")
+    return rounded(ev.deflated(ev.moments(returns(spark, sf_dir), ["symbol"]), trials=150).select("symbol", "sharpe", "deflated"))
 
 
 @query(T.with_tables("bars_user_d", then=f"""
@@ -193,7 +199,11 @@ def bootstrap_sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ev.bootstrap(b, ["symbol"], "ts"))
 
 
-@query()
+@query(T.with_tables("bars_user_d", then=f"""
+, e AS (SELECT symbol, ts, close / 500 AS price, (open + close) / 1000 AS model, (open + close) / 1000 - close / 500 AS edge, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i FROM bars_user_d),
+s AS (SELECT symbol, i, CASE WHEN abs(edge) > 0.05 THEN CASE WHEN edge > 0 THEN 100.0 ELSE -100.0 END ELSE 0.0 END AS held, 1 AS age FROM e WHERE i = 1
+  UNION ALL SELECT e.symbol, e.i, CASE WHEN s.held <> 0 AND s.age < 3 THEN s.held WHEN abs(edge) > 0.05 THEN CASE WHEN edge > 0 THEN 100.0 ELSE -100.0 END ELSE 0.0 END, CASE WHEN (s.held = 0 OR s.age >= 3) AND abs(edge) > 0.05 THEN 1 ELSE s.age + 1 END FROM s JOIN e ON e.symbol = s.symbol AND e.i = s.i + 1)
+SELECT symbol, ts, {r('price', 'price')}, {r('model', 'model')}, {r('held', 'position')} FROM s JOIN e USING (symbol, i)""").replace("WITH ", "WITH RECURSIVE ", 1))
 def edge_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = T.bars_user_d(spark, sf_dir)
     px = b.select("symbol", "ts", (F.col("close") / 500).alias("price"), ((F.col("open") + F.col("close")) / 1000).alias("model"))

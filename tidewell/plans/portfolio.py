@@ -13,6 +13,7 @@ from ._common import r, rounded
 from .evaluation import _RET, _signal, returns
 from .pit import _DAYS, days
 from .registry import query
+from .windows import _O, sma
 
 
 @query(T.with_tables("bars_user_d", then=f"""
@@ -124,7 +125,14 @@ def contract_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(snapshots.contracts(cells, t))
 
 
-@query()
+@query(T.with_tables("bars_user_d", then=f"""
+, b AS (SELECT symbol, CAST(ts AS TIMESTAMP) AS ts, close, volume FROM bars_user_d), c AS (SELECT DISTINCT symbol, asof_ts FROM b, ({_DAYS})),
+s AS (SELECT c.symbol, c.asof_ts, b.ts, close, volume FROM c JOIN b ON b.symbol = c.symbol AND b.ts BETWEEN c.asof_ts - INTERVAL 60 DAY AND c.asof_ts AND b.ts + INTERVAL 16 HOUR <= c.asof_ts),
+w AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol, asof_ts ORDER BY ts) - 1 AS ret, lag(close, 7) OVER (PARTITION BY symbol, asof_ts ORDER BY ts) AS before, row_number() OVER (PARTITION BY symbol, asof_ts ORDER BY ts DESC) AS k FROM s),
+q AS (SELECT symbol, asof_ts, quantile_cont(ret, 0.01) AS lo, quantile_cont(ret, 0.99) AS hi, quantile_cont(volume, 0.01) AS vl, quantile_cont(volume, 0.99) AS vh FROM w GROUP BY 1, 2),
+z AS (SELECT w.*, lo, hi, CASE WHEN ret IS NOT NULL THEN greatest(least(ret, hi), lo) END AS wr, greatest(least(volume, vh), vl) AS wv FROM w JOIN q USING (symbol, asof_ts) WHERE k <= 20),
+m AS (SELECT symbol, asof_ts, quantile_cont(wr, 0.5) AS med FROM z GROUP BY 1, 2), d AS (SELECT symbol, asof_ts, quantile_cont(abs(wr - med), 0.5) AS mad, avg(wv) AS v FROM z JOIN m USING (symbol, asof_ts) GROUP BY 1, 2)
+SELECT symbol, asof_ts, {r('close', 'price')}, {r('wr', 'return_1')}, {r('CASE WHEN before IS NOT NULL THEN greatest(least(close / before - 1, hi), lo) END', 'change_7')}, {r('1.4826 * mad', 'volatility')}, {r('v', 'volume_20')} FROM z JOIN d USING (symbol, asof_ts) WHERE k = 1"""))
 def symbol_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = T.bars_user_d(spark, sf_dir).select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 16 HOURS")).alias("available_time"), "close", "volume")
     cells = b.select("symbol").distinct().crossJoin(F.broadcast(days(spark)))
@@ -152,7 +160,9 @@ def walk_forward_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.walk_forward_ridge(folds, ["signal", "level"], "fwd").select("symbol", "ts", "fold", "fwd", "prediction")
 
 
-@query()
+@query(f"""
+WITH t AS (SELECT unnest(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda x: regexp_full_match(x, '[A-Z]{{2,5}}')))) AS ticker FROM documents)
+SELECT ticker, count(*) AS documents FROM t WHERE ticker NOT IN ({", ".join(f"'{w}'" for w in scalars.STOP_WORDS)}) GROUP BY ticker""")
 def post_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = T.table(spark, sf_dir, "documents")
     return d.select("doc_id", F.explode(scalars.tickers(F.col("text"))).alias("ticker")).groupBy("ticker").agg(F.count("*").alias("documents"))
@@ -160,7 +170,15 @@ def post_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query()
+_PTS = {"trend_pts": "CASE WHEN close > slow THEN 15.0 ELSE 0 END + CASE WHEN fast > slow THEN 15 ELSE 0 END + CASE WHEN slope > 0 THEN 10 ELSE 0 END", "pullback_pts": "CASE WHEN rsi BETWEEN 30 AND 50 THEN 15.0 ELSE 0 END + CASE WHEN pb < 0.4 THEN 15 ELSE 0 END", "volume_pts": "CASE WHEN vr > 1 THEN 10.0 ELSE 0 END + CASE WHEN vr > 1.5 THEN 5 ELSE 0 END", "volatility_pts": "CASE WHEN ap BETWEEN 0.01 AND 0.06 THEN 15.0 ELSE 0 END"}
+
+
+@query(T.with_tables("bars_h", then=f"""
+, a AS (SELECT *, close - lag(close) OVER o AS d, lag(close) OVER o AS pc, max(close) OVER u AS peak FROM bars_h {_O}), b AS (SELECT *, CASE WHEN d > 0 THEN d ELSE 0 END AS up, CASE WHEN d < 0 THEN -d ELSE 0 END AS down, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr, (close - peak) / nullif(peak, 0) AS dd FROM a),
+t AS (SELECT symbol, ts, close, dd, {sma('close', 20, m=5)} AS ma, {sma('close', 5)} AS fast, {sma('close', 10)} AS slow, (close - lag(close, 5) OVER o) / 5 AS slope, 100 - 100 / (1 + {sma('up', 14)} / nullif({sma('down', 14)}, 0)) AS rsi, (close - {sma('close', 20)} + 2 * {sma('close', 20, 'stddev_samp')}) / nullif(4 * {sma('close', 20, 'stddev_samp')}, 0) AS pb, volume / nullif({sma('volume', 10)}, 0) AS vr, {sma('tr', 14)} AS atr FROM b {_O}),
+p AS (SELECT *, CASE WHEN close < ma OR dd < -0.2 THEN 'bear' WHEN close > ma AND dd > -0.1 THEN 'bull' ELSE 'flat' END AS regime, atr / nullif(close, 0) AS ap FROM t), q AS (SELECT *, {", ".join(f"{e} AS {n}" for n, e in _PTS.items())} FROM p), s AS (SELECT *, trend_pts + pullback_pts + volume_pts + volatility_pts AS score FROM q)
+SELECT symbol, ts, regime, {", ".join(r(n, n) for n in (*_PTS, 'score'))}, coalesce(trend_pts >= 25 AND pullback_pts > 0 AND score >= CASE regime WHEN 'bull' THEN 60 WHEN 'flat' THEN 70 END, false) AS eligible, CASE WHEN score >= 80 THEN 'HIGH' WHEN score >= 70 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
+  {r('close', 'close', 4)}, {r('round(close - 1.5 * atr + 1e-9, 2)', 'stop_price', 4)}, {r('round(close + 2 * atr + 1e-9, 2)', 'target_1', 4)}, {r('round(close + 3 * atr + 1e-9, 2)', 'target_2', 4)} FROM s"""))
 def rule_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jobs
 

@@ -175,7 +175,10 @@ def ema_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ind.macd(T.bars_h(spark, sf_dir)).select(*KEY, "ema_12", "ema_26", "macd", "macd_signal", "macd_hist"))
 
 
-@query()
+@query(T.with_tables("bars_h", then=f"""
+, x0 AS (SELECT symbol, ts, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS x FROM bars_h), x AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i FROM x0 WHERE x IS NOT NULL),
+s AS (SELECT a.symbol, a.ts, sum(pow(59 / 61, a.i - b.i)) AS w, sum(pow(59 / 61, 2 * (a.i - b.i))) AS w2, sum(pow(59 / 61, a.i - b.i) * b.x) AS wx, sum(pow(59 / 61, a.i - b.i) * b.x * b.x) AS wxx FROM x a JOIN x b ON a.symbol = b.symbol AND b.i <= a.i GROUP BY 1, 2 HAVING count(*) >= 2)
+SELECT symbol, ts, {r('sqrt(greatest(wxx / w - pow(wx / w, 2), 0) * w * w / (w * w - w2))', 'ewma_vol')} FROM x0 LEFT JOIN s USING (symbol, ts)"""))
 def ewma_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = T.bars_h(spark, sf_dir).withColumn("return_1", W.returns(F.col("close"), ind.DEFAULT))
     return rounded(ind.ewm(b, "return_1", {"ewma_vol": 60}, kind="std").select(*KEY, "ewma_vol"))
