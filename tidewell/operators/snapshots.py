@@ -17,13 +17,12 @@ def contracts(cells: DataFrame, trades: DataFrame, hours: int = 24) -> DataFrame
     """
     k = ["contract_id", "asof_ts"]
     last = asof.latest(cells, trades, "contract_id", ["ts", "trade_id"], ["ts", "price"]).where(F.col("price").isNotNull())
-    window = asof.look_back(cells, trades, "contract_id", hours * 3600)
-    side = lambda s: F.sum(F.when(F.col("side") == s, F.col("size")).otherwise(0.0))
-    stats = window.groupBy(*k).agg(F.count("price").alias("n_trades"), F.sum("size").alias("volume"), F.stddev_samp("price").alias("price_std"), F.try_divide(side("buy") - side("sell"), side("buy") + side("sell")).alias("imbalance"))
-    month = asof.look_back(cells, trades, "contract_id", 30 * 86400)
-    med = month.groupBy(*k).agg(F.percentile("price", F.lit(0.5)).alias("__m"), F.count("price").alias("__n"))
-    mad = month.join(med, k).groupBy(*k, "__m", "__n").agg(F.percentile(F.abs(F.col("price") - F.col("__m")), F.lit(0.5)).alias("__d"))
-    out = last.join(stats, k, "left").join(mad, k, "left")
+    month = asof.look_back(cells, trades, "contract_id", 30 * 86400).select(*k, "price", "size", "side", (F.col("ts") >= F.col("asof_ts") - F.expr(f"INTERVAL {hours} HOURS")).alias("__in"))
+    near = lambda c: F.when(F.col("__in"), c)
+    side = lambda s: F.sum(near(F.when(F.col("side") == s, F.col("size")).otherwise(0.0)))
+    stats = month.groupBy(*k).agg(F.count(near(F.col("price"))).alias("n_trades"), F.sum(near(F.col("size"))).alias("volume"), F.stddev_samp(near(F.col("price"))).alias("price_std"), F.try_divide(side("buy") - side("sell"), side("buy") + side("sell")).alias("imbalance"), F.array_agg("price").alias("__p"), F.count("price").alias("__n"))
+    mad = stats.withColumn("__m", W.median(F.col("__p"))).withColumn("__d", W.mad(F.col("__p"), F.col("__m"))).drop("__p")
+    out = last.join(mad, k, "left")
     score = F.when((F.col("__n") >= 10) & (F.col("__d") > 0), 0.6745 * F.abs(F.col("price") - F.col("__m")) / F.col("__d"))
     age = (F.unix_timestamp(F.col("asof_ts").cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))) / 3600
     out = out.withColumns({"outlier_score": score, "price_age_hours": age, "n_trades": F.coalesce("n_trades", F.lit(0).cast("long")), "volume": F.coalesce("volume", F.lit(0.0))})
@@ -53,6 +52,28 @@ def symbols(cells: DataFrame, bars: DataFrame, lookback_days: int = 60, rows: in
     return got.select(*k, F.element_at("s", -1)["close"].alias("price"), F.when(F.size("w") > 0, F.element_at("w", -1)).alias("return_1"), W.clip(change, F.col("lo"), F.col("hi")).alias("change_7"), (1.4826 * W.mad(F.col("t"), F.col("m"))).alias("volatility"), mean(F.col("tv")).alias("volume_20"))
 
 
+def event_counts(times: DataFrame, events: DataFrame, news: DataFrame, hours: int = 24, windows: tuple[int, ...] = (1, 24, 168)) -> DataFrame:
+    """asof_ts with event_count and mean tone (0 without events) of the last hours, and news_<h>h counts.
+
+    times: asof_ts (a short spine; counted once for all entities). events: ts, available_time, tone; news: ts, available_time.
+    """
+    day = asof.look_back(times, events, None, hours * 3600).groupBy("asof_ts").agg(F.count("*").alias("event_count"), F.avg("tone").alias("event_tone"))
+    week = asof.look_back(times, news, None, max(windows) * 3600)
+    news_counts = week.groupBy("asof_ts").agg(*[F.count_if(F.col("ts") >= F.col("asof_ts") - F.expr(f"INTERVAL {h} HOURS")).alias(f"news_{h}h") for h in windows])
+    return times.join(day, "asof_ts", "left").join(news_counts, "asof_ts", "left").fillna(0, ["event_count", *[f"news_{h}h" for h in windows]]).fillna(0.0, ["event_tone"])
+
+
+def insider_activity(cells: DataFrame, filings: DataFrame, days: int = 90) -> DataFrame:
+    """cells with net_shares (purchases less sales) and buy_count over the last days, 0 without filings.
+
+    filings: symbol, ts, available_time, code (P or S count), shares.
+    """
+    k = ["symbol", "asof_ts"]
+    code, shares = F.col("code"), F.col("shares")
+    got = asof.look_back(cells, filings, "symbol", days * 86400).groupBy(*k).agg(F.coalesce(F.sum(F.when(code == "P", shares).when(code == "S", -shares).otherwise(0.0)), F.lit(0.0)).alias("net_shares"), F.count_if(code == "P").alias("buy_count"))
+    return cells.join(got, k, "left").fillna(0.0, ["net_shares"]).fillna(0, ["buy_count"])
+
+
 def _quantile(values, p: float):
     """Linear-interpolation quantile of an array; null if empty."""
     s = F.sort_array(values)

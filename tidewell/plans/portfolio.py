@@ -139,6 +139,32 @@ def symbol_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(snapshots.symbols(cells, b))
 
 
+_EV = "ev AS (SELECT ts, ts + INTERVAL 6 HOUR AS known, value AS tone, event_type, user_id, event_id FROM events)"
+_SEEN = "known <= asof_ts AND ts BETWEEN asof_ts - INTERVAL {h} HOUR AND asof_ts"
+
+
+@query(f"""
+WITH {_EV}, c AS ({_DAYS})
+SELECT asof_ts, count(*) FILTER (WHERE {_SEEN.format(h=24)} AND event_type <> 'view') AS event_count, {r(f"coalesce(avg(CASE WHEN {_SEEN.format(h=24)} AND event_type <> 'view' THEN tone END), 0)", 'event_tone')},
+  {", ".join(f"count(*) FILTER (WHERE {_SEEN.format(h=h)} AND event_type = 'view') AS news_{h}h" for h in (1, 24, 168))} FROM c, ev GROUP BY asof_ts""")
+def event_and_news_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views stand for news, all other events for world events."""
+    e = T.table(spark, sf_dir, "events").select("ts", (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("available_time"), F.col("value").alias("tone"), "event_type")
+    return rounded(snapshots.event_counts(days(spark), e.where("event_type <> 'view'"), e.where("event_type = 'view'")))
+
+
+@query(f"""
+WITH {_EV}, c AS (SELECT DISTINCT user_id AS symbol, asof_ts FROM events, ({_DAYS}))
+SELECT symbol, asof_ts, {r("coalesce(sum(CASE event_type WHEN 'purchase' THEN tone WHEN 'error' THEN -tone END), 0)", 'net_shares')}, count(*) FILTER (WHERE event_type = 'purchase') AS buy_count
+FROM c LEFT JOIN ev ON user_id = symbol AND {_SEEN.format(h=2160)} GROUP BY 1, 2""")
+def insider_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases stand for code P, errors for S, values for shares."""
+    t = F.col("event_type")
+    e = T.table(spark, sf_dir, "events").select(F.col("user_id").alias("symbol"), "ts", (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("available_time"), F.when(t == "purchase", "P").when(t == "error", "S").otherwise(t).alias("code"), F.col("value").alias("shares"))
+    cells = e.select("symbol").distinct().crossJoin(F.broadcast(days(spark)))
+    return rounded(snapshots.insider_activity(cells, e))
+
+
 @query(T.with_tables("bars_user_d", then=f"""
 SELECT symbol, ts, CAST(isodow(ts) - 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER) AS month, CAST(quarter(ts) AS INTEGER) AS quarter, CAST(weekofyear(ts) AS INTEGER) AS week, CAST(dayofyear(ts) AS INTEGER) AS doy, last_day(ts) = ts AS month_end, last_day(ts) = ts AND month(ts) % 3 = 0 AS quarter_end, month(ts) = 1 AND day(ts) <= 5 AS year_start,
   CAST(ts + CASE isodow(ts) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS next_business_day, {r('open * close', 'open_x_close', 4)}, {r('open / nullif(close, 0)', 'open_over_close', 4)}, {r('open - close', 'open_minus_close', 4)} FROM bars_user_d"""))
