@@ -45,7 +45,10 @@ def latest_group(cells: DataFrame, facts: DataFrame, key: str, period: str, t: s
 
 
 def panel(times: DataFrame, facts: DataFrame, series: str, period: str, value: str, t: str = "asof_ts", known: str = "available_time") -> DataFrame:
-    """(t, panel): a map from each series to its value of the latest period known at t; later vintages win ties."""
+    """(t, panel): a map from each series to its value of the latest period known at t; later vintages win ties.
+
+    A row holds all series: for a short list of macro series. Where there are many, use latest and keep long rows.
+    """
     cells = times.crossJoin(facts.select(series).distinct())
     got = latest(cells, facts.withColumn("__v", F.col(known)), series, [period, "__v"], [value], t, known)
     return got.where(F.col(value).isNotNull()).groupBy(t).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(series).cast("string"), value)))).alias("panel"))
@@ -69,18 +72,18 @@ def next_after(cells: DataFrame, facts: DataFrame, key: str, date: str, t: str =
     """cells with the first date after t of their key (no availability rule) and the days until then."""
     right = facts.select(F.col(key), F.col(date).cast("timestamp_ntz").alias("__t"), F.col(date).alias("__d"))
     left = cells.select(F.col(key), F.col(t).cast("timestamp_ntz").alias("__t"), F.col(t), F.lit(True).alias("__cell"))
-    w = Window.partitionBy(key).orderBy(F.col("__t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("__r", F.when(F.col("__d").isNotNull(), F.struct("__t", "__d")))
+    both = left.unionByName(right, allowMissingColumns=True)
     seen = both.withColumn("next_date", F.min(F.when(F.col("__d").isNotNull(), F.col("__d"))).over(Window.partitionBy(key).orderBy(F.col("__t").desc()).rowsBetween(Window.unboundedPreceding, 0)))
-    del w
     return seen.where("__cell").select(key, t, F.when(F.col("next_date") > F.to_date(t), F.col("next_date")).alias("next_date")).withColumn("days_until", F.datediff("next_date", F.to_date(t)))
 
 
 def point_in_time(facts: DataFrame, dates: DataFrame, keys: Sequence[str], filed: str, sequence: Sequence[str], date: str = "as_of") -> DataFrame:
     """For each date the latest filing on or before it of each key (last by filed and sequence)."""
-    joined = dates.join(facts, F.col(filed) <= F.col(date))
-    w = Window.partitionBy(date, *keys).orderBy(F.desc(filed), *[F.desc(s) for s in sequence])
-    return joined.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    rows = facts.withColumn("__key", F.struct(*keys))
+    cells = rows.select("__key").distinct().crossJoin(F.broadcast(dates.select(date).distinct()))
+    values = [c for c in facts.columns if c not in keys]
+    got = latest(cells, rows, "__key", [filed, *sequence], values, t=date, known=filed)
+    return got.where(F.col(filed).isNotNull()).select(date, *[F.col(f"__key.{k}").alias(k) for k in keys], *values)
 
 
 def lateral_actions(prices: DataFrame, actions: DataFrame, keys: Sequence[str]) -> DataFrame:

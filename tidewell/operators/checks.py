@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import asof, ranks
+
 
 def ohlcv_flag(o: Column, h: Column, lo: Column, c: Column, v: Column) -> Column:
     """The first that holds: negative_price, ohlc_error, negative_volume, invalid_price, zero_volume; else ok."""
@@ -85,8 +87,9 @@ def coverage_sanity(df: DataFrame, price: str, volume: str) -> DataFrame:
 
 def look_ahead(snapshots: DataFrame, facts: DataFrame, key: str, seen: str = "asof_ts") -> DataFrame:
     """Snapshots with a fact of the same key that had happened but was not available: ts <= asof < available_time."""
-    late = facts.select(key, "ts", "available_time").where("available_time > ts")
-    return snapshots.join(late, (snapshots[key] == late[key]) & (late["ts"] <= snapshots[seen]) & (late["available_time"] > snapshots[seen]), "left_semi")
+    cells = snapshots.select(key, seen).distinct()
+    last = asof.latest(cells, facts, key, ["available_time"], ["available_time"], t=seen, known="ts")
+    return snapshots.join(last.where(F.col("available_time") > F.col(seen)).select(key, seen), [key, seen], "left_semi").select(*snapshots.columns)
 
 
 def staleness(df: DataFrame, ts: str, now: str, limit_hours: float, keys: Sequence[str] = ()) -> DataFrame:
@@ -103,17 +106,20 @@ def completeness(df: DataFrame, columns: Sequence[str], least: float = 0.95) ->
 
 def mad_anomalies(df: DataFrame, keys: Sequence[str], value: str, least: int = 20, limit: float = 4.0) -> DataFrame:
     """Rows whose modified z-score (0.6745 |x - median| / MAD) within their keys' group is over the limit."""
-    first = df.groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("med"), F.count(value).alias("n")).where(F.col("n") >= least)
+    first = ranks.quantiles(df, keys, value, {"med": 0.5}).where(F.col("n") >= least)
     dev = df.join(first, list(keys)).withColumn("dev", F.abs(F.col(value) - F.col("med")))
-    second = dev.groupBy(*keys).agg(F.percentile("dev", F.lit(0.5)).alias("mad")).where("mad > 0")
+    second = ranks.quantiles(dev, keys, "dev", {"mad": 0.5}).where("mad > 0").drop("n")
     return dev.join(second, list(keys)).withColumn("score", 0.6745 * F.col("dev") / F.col("mad")).where(F.col("score") > limit).drop("dev", "n")
 
 
 def latency_stats(df: DataFrame, keys: Sequence[str], event: str, available: str) -> DataFrame:
     """Lag in minutes (lags of at least 0): count, mean, deviation, median, 90th and 95th percentile."""
     lag = (F.unix_timestamp(F.col(available).cast("timestamp")) - F.unix_timestamp(F.col(event).cast("timestamp"))) / 60
-    q = F.percentile("lag", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
-    return df.withColumn("lag", lag).where("lag >= 0").groupBy(*keys).agg(F.count("*").alias("n"), F.avg("lag").alias("mean_min"), F.stddev_samp("lag").alias("std_min"), q.alias("q")).select(*keys, "n", "mean_min", "std_min", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p90"), F.col("q")[2].alias("p95"))
+    rows = df.withColumn("lag", lag).where("lag >= 0")
+    got = rows.groupBy(*keys).agg(F.avg("lag").alias("mean_min"), F.stddev_samp("lag").alias("std_min"))
+    q = ranks.quantiles(rows, keys, "lag", {"p50": 0.5, "p90": 0.9, "p95": 0.95})
+    both = got.join(q, list(keys)) if keys else got.crossJoin(F.broadcast(q))
+    return both.select(*keys, "n", "mean_min", "std_min", "p50", "p90", "p95")
 
 
 def latency_or(stats: DataFrame, fallback: float, now: str, least: int = 500, hours: int = 24, column: str = "p90") -> DataFrame:

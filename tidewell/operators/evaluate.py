@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows as W
+from . import ranks
 
 YEAR = W.YEAR
 
@@ -189,7 +190,8 @@ def benjamini_hochberg(df: DataFrame, keys: Sequence[str], alpha: float = 0.05,
 
 def population_stability(reference: DataFrame, current: DataFrame, x: str, bins: int = 10) -> DataFrame:
     """psi: over the reference's quantile bins (repeated edges merged, outer bins open), shares clipped at 1e-6."""
-    edges = reference.agg(F.array_sort(F.array_distinct(F.percentile(x, F.array(*[F.lit(i / bins) for i in range(1, bins)])))).alias("__e"))
+    names = [f"q{i}" for i in range(1, bins)]
+    edges = ranks.quantiles(reference, [], x, {n: i / bins for i, n in enumerate(names, 1)}).select(F.array_sort(F.array_distinct(F.array(*names))).alias("__e"))
     both = reference.select(x, F.lit(0).alias("__s")).unionByName(current.select(x, F.lit(1).alias("__s"))).crossJoin(F.broadcast(edges))
     counted = both.groupBy(F.size(F.filter("__e", lambda e: e < F.col(x))).alias("bin")).agg(F.count_if(F.col("__s") == 0).alias("a"), F.count_if(F.col("__s") == 1).alias("b"))
     total = counted.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
@@ -200,21 +202,26 @@ def population_stability(reference: DataFrame, current: DataFrame, x: str, bins:
 def kolmogorov(a: DataFrame, b: DataFrame, x: str) -> DataFrame:
     """The two-sample statistic: the largest gap of the distribution functions, by running sums over distinct values.
 
-    Values are first counted, then summed in ranges by a coarse bucket, so that the running sum is over few rows per
-    bucket and the buckets' own offsets.
+    Values are first counted; the running sums are those of ranks.prefix, so no task sorts all values.
     """
     both = a.select(F.col(x), F.lit(1).alias("u"), F.lit(0).alias("v")).unionByName(b.select(F.col(x), F.lit(0).alias("u"), F.lit(1).alias("v")))
     each = both.groupBy(x).agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
-    span = each.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum("u").alias("n"), F.sum("v").alias("m"))
-    each = each.crossJoin(F.broadcast(span)).withColumn("k", F.least(F.floor(F.coalesce(F.try_divide(F.col(x) - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * 200), F.lit(199)))
-    before = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    sums = each.groupBy("k").agg(F.sum("u").alias("su"), F.sum("v").alias("sv")).select("k", F.coalesce(F.sum("su").over(before), F.lit(0)).alias("u0"), F.coalesce(F.sum("sv").over(before), F.lit(0)).alias("v0"))
-    inside = Window.partitionBy("k").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    return each.join(F.broadcast(sums), "k").withColumn("gap", F.abs((F.col("u0") + F.sum("u").over(inside)) / F.col("n") - (F.col("v0") + F.sum("v").over(inside)) / F.col("m"))).agg(F.max("gap").alias("ks"), F.max("n").alias("n"), F.max("m").alias("m"))
+    total = each.agg(F.sum("u").alias("n"), F.sum("v").alias("m"))
+    at = ranks.prefix(each, [], x, ["u", "v"]).crossJoin(F.broadcast(total))
+    gap = F.abs((F.col("before_u") + F.col("u")) / F.col("n") - (F.col("before_v") + F.col("v")) / F.col("m"))
+    return at.agg(F.max(gap).alias("ks"), F.max("n").alias("n"), F.max("m").alias("m"))
 
 
-def correlations(df: DataFrame, date: str = "ts", symbol: str = "symbol", x: str = "ret", least: int = 10) -> DataFrame:
-    """Pairwise correlations of a bounded universe by date: a, b (a < b), n, corr."""
+def bounded(df: DataFrame, symbol: str, most: int) -> None:
+    """Raises an error if there are more than so many names: all pairs of names are about to be formed on each date."""
+    found = df.select(F.count_distinct(symbol)).first()[0]
+    if found > most:
+        raise ValueError(f"{found} names; all their pairs would be formed, and the bound is {most}")
+
+
+def correlations(df: DataFrame, date: str = "ts", symbol: str = "symbol", x: str = "ret", least: int = 10, most: int = 5000) -> DataFrame:
+    """Pairwise correlations of a universe of at most so many names (else an error) by date: a, b (a < b), n, corr."""
+    bounded(df, symbol, most)
     r = df.where(F.col(x).isNotNull()).select(date, symbol, x)
     other = r.select(date, F.col(symbol).alias("b"), F.col(x).alias("y"))
     return r.withColumnRenamed(symbol, "a").join(other, date).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"), W.correlation(x, "y").alias("corr")).where(F.col("n") >= least)
@@ -230,7 +237,7 @@ def walk_forward(df: DataFrame, date: str, train: int, test: int, step: int, emb
     at = F.col("__i")
     role = F.when((at >= (F.lit(0) if expanding else lo)) & (at < lo + train), "train").when((at >= lo + train + embargo) & (at < lo + train + embargo + test), "test")
     spread = days.crossJoin(F.broadcast(folds)).withColumn("role", role).where("role IS NOT NULL").drop("__i")
-    return df.join(F.broadcast(spread), date)
+    return df.join(spread, date)
 
 
 def purged_folds(df: DataFrame, date: str, k: int, embargo: int = 0) -> DataFrame:
@@ -241,7 +248,7 @@ def purged_folds(df: DataFrame, date: str, k: int, embargo: int = 0) -> DataFram
     size = F.ceil(F.col("__n") / k)
     lo, hi = F.col("fold") * size, (F.col("fold") + 1) * size
     role = F.when((F.col("__i") >= lo) & (F.col("__i") < hi), "test").when((F.col("__i") < lo) | (F.col("__i") >= hi + embargo), "train")
-    return df.join(F.broadcast(folds.withColumn("role", role).where("role IS NOT NULL").select(date, "fold", "role")), date)
+    return df.join(folds.withColumn("role", role).where("role IS NOT NULL").select(date, "fold", "role"), date)
 
 
 def bootstrap(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret", replicates: int = 200, block: int = 21, alpha: float = 0.05, seed: int = 0) -> DataFrame:

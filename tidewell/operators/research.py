@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from . import evaluate as ev
+from . import ranks
 
 HORIZONS = (1, 5, 10, 21, 63)
 
@@ -113,10 +114,16 @@ def improvements(runs: DataFrame, keys: Sequence[str], order: Sequence[str], sco
 def overfit_share(scores: DataFrame, train: str = "train", test: str = "test", top: float = 0.9) -> DataFrame:
     """n, chosen, overfit: share of the candidates at or above the train quantile whose test score is below the median."""
     rows = scores.where(F.col(train).isNotNull() & F.col(test).isNotNull())
-    cut = rows.agg(F.percentile(train, F.lit(top)).alias("__cut"), F.percentile(test, F.lit(0.5)).alias("__mid"))
+    cut = ranks.quantiles(rows, [], train, {"__cut": top}).drop("n").crossJoin(ranks.quantiles(rows, [], test, {"__mid": 0.5}).drop("n"))
     return rows.crossJoin(F.broadcast(cut)).agg(F.count("*").alias("n"), F.count_if(F.col(train) >= F.col("__cut")).alias("chosen"), F.avg(F.when(F.col(train) >= F.col("__cut"), (F.col(test) < F.col("__mid")).cast("double"))).alias("overfit"))
 
 
+def timers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """keys, n, low, high, mean, p95 of recorded values."""
+    got = df.groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"))
+    return got.join(ranks.quantiles(df, keys, value, {"p95": 0.95}), list(keys)).select(*keys, "n", "low", "high", "mean", "p95")
+
+
 def block_size(df: DataFrame, f: W.Frame, x: str = "ret", most: int = 50) -> DataFrame:
     """Keys, n, block: one more than the last lag (up to n / 3) whose autocorrelation exceeds 1.96 / sqrt(n), within
     [5, sqrt(n)]; below 30 rows, n."""

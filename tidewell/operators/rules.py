@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from ..functions.windows import Frame
+from . import ranks
 
 
 def failed(rules: dict[str, Column]) -> Column:
@@ -50,7 +51,7 @@ def regime_performance(df: DataFrame, keys: Sequence[str], regime: str = "regime
 def concept_drift(df: DataFrame, features: Sequence[str], error: str, limit: float = 1.5) -> DataFrame:
     """For each feature: mean error above and up to its median, their ratio, and whether that is over the limit."""
     long = df.unpivot([error], list(features), "feature", "x").where("x IS NOT NULL")
-    med = long.groupBy("feature").agg(F.percentile("x", F.lit(0.5)).alias("__m"))
+    med = ranks.quantiles(long, ["feature"], "x", {"__m": 0.5}).drop("n")
     e = F.col(error)
     got = long.join(F.broadcast(med), "feature").groupBy("feature").agg(F.avg(F.when(F.col("x") > F.col("__m"), e)).alias("above"), F.avg(F.when(F.col("x") <= F.col("__m"), e)).alias("below"))
     return got.withColumn("ratio", F.try_divide(F.greatest("above", "below"), F.least("above", "below"))).withColumn("drifted", F.coalesce(F.col("ratio") > limit, F.lit(False)))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from ..functions.windows import Frame
-from .evaluate import erf_cdf
+from .evaluate import bounded, erf_cdf
+from .ranks import prefix
 
 
 def hurst(df: DataFrame, x: Column, f: Frame, longest: int = 100, least: int = 5) -> DataFrame:
@@ -52,16 +53,15 @@ def chi2_tail(x: Column, df: Column) -> Column:
 def kruskal(df: DataFrame, group: str, x: str, keys: Sequence[str] = (), least: int = 5) -> DataFrame:
     """Kruskal-Wallis H over groups of at least so many values, with tie correction, and its chi-square p.
 
-    Ranks come from counts of distinct values, so a task sorts distinct values of a key, not rows.
+    Ranks come from counts of distinct values in ranges (ranks.prefix), so no task sorts all values of a key.
     """
     rows = df.where(F.col(x).isNotNull() & F.col(group).isNotNull())
     big = rows.groupBy(*keys, group).agg(F.count("*").alias("__c")).where(F.col("__c") >= least).select(*keys, group)
     rows = rows.join(big, [*keys, group], "left_semi")
     counts = rows.groupBy(*keys, x).agg(F.count("*").alias("t"))
-    before = Window.partitionBy(*keys).orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn("rank", F.coalesce(F.sum("t").over(before), F.lit(0)) + (F.col("t") + 1) / 2)
-    ties = ranks.groupBy(*keys).agg(F.sum("t").alias("N"), F.sum(F.pow("t", 3) - F.col("t")).alias("ties"))
-    per = rows.join(ranks.drop("t"), [*keys, x]).groupBy(*keys, group).agg(F.count("*").alias("n"), F.sum("rank").alias("r"))
+    ranked = prefix(counts, keys, x, ["t"]).withColumn("rank", F.col("before_t") + (F.col("t") + 1) / 2).drop("before_t")
+    ties = ranked.groupBy(*keys).agg(F.sum("t").alias("N"), F.sum(F.pow("t", 3) - F.col("t")).alias("ties"))
+    per = rows.join(ranked.drop("t"), [*keys, x]).groupBy(*keys, group).agg(F.count("*").alias("n"), F.sum("rank").alias("r"))
     per = per.groupBy(*keys).agg(F.count("*").alias("groups"), F.sum(F.col("r") * F.col("r") / F.col("n")).alias("rr"))
     j = per.join(ties.withColumnRenamed("N", "total"), list(keys)) if keys else per.crossJoin(F.broadcast(ties.withColumnRenamed("N", "total")))
     n = F.col("total")
@@ -71,10 +71,12 @@ def kruskal(df: DataFrame, group: str, x: str, keys: Sequence[str] = (), least:
 
 
 def shrunk_covariance(df: DataFrame, date: str, symbol: str, x: str) -> DataFrame:
-    """a, b, cov: covariance (by n) of a bounded universe, shrunk to a scaled identity with the estimated intensity.
+    """a, b, cov: covariance (by n) of at most 5,000 names (else an error), shrunk to a scaled identity with the estimated
+    intensity.
 
     Only dates on which every symbol has a value count, as in a complete panel.
     """
+    bounded(df, symbol, 5000)
     rows = df.where(F.col(x).isNotNull()).select(F.col(date).alias("d"), F.col(symbol).alias("s"), F.col(x).alias("x"))
     k = rows.agg(F.count_distinct("s").alias("k"))
     full = rows.join(rows.groupBy("d").agg(F.count("*").alias("c")).join(F.broadcast(k), F.col("c") == F.col("k")).select("d"), "d", "left_semi")

@@ -268,3 +268,13 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def table_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.content_hash(T.table(spark, sf_dir, "orders"), ["o_orderstatus"])
+
+
+@query(T.with_tables("filings", then=f"""
+, q AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 3 MONTH)) AS DATE) AS as_of), k AS (SELECT as_of, filings.*, row_number() OVER (PARTITION BY as_of, entity, metric ORDER BY filed DESC, filing_id DESC) AS n FROM filings JOIN q ON filed <= as_of)
+SELECT as_of, entity, metric, filing_id, filed, period, {r('value', 'value')} FROM k WHERE n = 1"""))
+def filings_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filing of each entity and metric in force at each quarter's first day."""
+    dates = spark.sql("SELECT explode(sequence(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 3 MONTH)) AS as_of")
+    got = asof.point_in_time(T.filings(spark, sf_dir), dates, ["entity", "metric"], "filed", ["filing_id"])
+    return rounded(got.select("as_of", "entity", "metric", "filing_id", "filed", "period", "value"))

@@ -201,3 +201,8 @@ def experiment_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(T.with_tables("bars_user_d", then=f", {_RET} SELECT ts, count(*) AS n, {r('avg(ret)', 'mean_return')}, {r('stddev_samp(ret)', 'dispersion')} FROM ret WHERE ret IS NOT NULL GROUP BY ts"))
 def market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(research.market_features(T.bars_user_d(spark, sf_dir), ind.DEFAULT))
+
+
+@query(f"SELECT event_type, count(value) AS n, {r('min(value)', 'low')}, {r('max(value)', 'high')}, {r('avg(value)', 'mean')}, {r('quantile_cont(value, 0.95)', 'p95')} FROM events GROUP BY event_type")
+def metric_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(research.timers(T.table(spark, sf_dir, "events"), ["event_type"], "value"))
