@@ -153,7 +153,7 @@ def test_streams_match_batch(spark, tmp_path):
     assert set(last.values()) == {tuple(r) for r in batch.collect()}
     keyed = stream.select("symbol", "ts", "price")
     jobs.run_available(keyed, f"{tmp_path}/cp2", each=jobs.upsert_into(f"{tmp_path}/table", ["symbol"]))
-    assert spark.read.parquet(f"{tmp_path}/table/v1").count() == 2
+    assert jobs.upserted(spark, f"{tmp_path}/table").count() == 2
 
 
 def test_stream_windows_and_dedup(spark, tmp_path):

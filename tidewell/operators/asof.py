@@ -144,3 +144,14 @@ def delisted(bars: DataFrame, key: str = "symbol", date: str = "ts", days: int =
     end = bars.agg(F.max(date).alias("__end"))
     gone = F.datediff("__end", "last_date") > days
     return per.crossJoin(F.broadcast(end)).select(key, "start_date", gone.alias("is_delisted"), F.when(gone, F.col("last_date")).alias("end_date"))
+
+
+def recent(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The n last rows of each key by order (all columns of order descending)."""
+    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
+
+
+def sampled(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """n rows in the order of a seeded hash of their key: the same rows on every run."""
+    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)

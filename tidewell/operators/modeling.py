@@ -1,4 +1,5 @@
-"""Models on features by date folds: search, calibration, ensembles, weights. Fits are pyspark.ml, folds are few."""
+"""Models on features by date folds: search, calibration, ensembles, weights. Fits are pyspark.ml, folds and models are few:
+they are looped over on the driver, each fit is a Spark job, and the rows are kept in memory or on disk between them."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, LinearRegression
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +54,99 @@ def blended(df: DataFrame, predictions: dict[str, float]) -> DataFrame:
     top = sum((F.coalesce(F.col(c) * w, F.lit(0.0)) for c, w in predictions.items()), F.lit(0.0))
     low = sum((F.when(F.col(c).isNotNull(), F.lit(w)).otherwise(0.0) for c, w in predictions.items()), F.lit(0.0))
     return df.withColumn("prediction", F.try_divide(top, low))
+
+
+def grid(target: str) -> dict[str, object]:
+    """Named regressors of the search: ridge and lasso at three strengths, a forest and boosted trees (fixed seeds)."""
+    own = {"featuresCol": "__x", "labelCol": target, "predictionCol": "prediction"}
+    models: dict[str, object] = {}
+    for strength in (0.01, 0.1, 1.0):
+        models[f"ridge_{strength}"] = LinearRegression(regParam=strength, elasticNetParam=0.0, **own)
+        models[f"lasso_{strength}"] = LinearRegression(regParam=strength, elasticNetParam=1.0, **own)
+    return models | {"forest": RandomForestRegressor(numTrees=10, maxDepth=4, seed=1, **own), "boosted": GBTRegressor(maxIter=5, maxDepth=3, seed=1, **own)}
+
+
+def model_search(folds: DataFrame, features: Sequence[str], target: str, models: dict[str, object] | None = None) -> DataFrame:
+    """model, fold, n, rmse, corr on each fold's test rows. folds: rows with fold and role."""
+    rows = assembled(folds.where(F.col(target).isNotNull()), features).persist()
+    out = None
+    for fold in [r["fold"] for r in rows.select("fold").distinct().orderBy("fold").collect()]:
+        mine = rows.where(F.col("fold") == fold)
+        for name, model in (models or grid(target)).items():
+            part = model.fit(mine.where("role = 'train'")).transform(mine.where("role = 'test'"))
+            got = part.agg(F.count("*").alias("n"), F.sqrt(F.avg((F.col("prediction") - F.col(target)) ** 2)).alias("rmse"), F.try_divide(F.covar_pop("prediction", target), F.stddev_pop("prediction") * F.stddev_pop(target)).alias("corr")).select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "n", "rmse", "corr")
+            out = got if out is None else out.unionByName(got)
+    return out
+
+
+def best_model(search: DataFrame) -> DataFrame:
+    """model, mean_rmse, mean_corr, best: the least mean error over folds (ties: first by name)."""
+    means = search.groupBy("model").agg(F.avg("rmse").alias("mean_rmse"), F.avg("corr").alias("mean_corr"))
+    top = means.agg(F.min(F.struct("mean_rmse", "model")).alias("__t"))
+    return means.crossJoin(F.broadcast(top)).withColumn("best", F.col("model") == F.col("__t.model")).drop("__t")
+
+
+def _products(df: DataFrame, predictions: Sequence[str], target: str):
+    """Sums of products of the predictions and the target: all that a squared-error ensemble needs, in one aggregate."""
+    import numpy as np
+
+    names = [*predictions, target]
+    row = df.dropna(subset=names).agg(F.count("*").alias("n"), *[F.sum(F.col(a) * F.col(b)).alias(f"s{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if j >= i]).first()
+    return row["n"], np.array([[row[f"s{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(len(names))] for i in range(len(names))], float)
+
+
+def greedy_ensemble(df: DataFrame, predictions: Sequence[str], target: str, rounds: int = 10) -> dict[str, float]:
+    """Weights by forward selection with replacement: each round adds the prediction that makes the mean's squared error
+    least (ties: the first), and stops when none improves it."""
+    import numpy as np
+
+    n, s = _products(df, predictions, target)
+    k, counts, best = len(predictions), np.zeros(len(predictions)), np.inf
+    error = lambda w: w @ s[:k, :k] @ w - 2 * w @ s[:k, k] + s[k, k]
+    for _ in range(rounds if n else 0):
+        tried = [error((counts + np.eye(k)[i]) / (counts.sum() + 1)) for i in range(k)]
+        if min(tried) >= best - 1e-12:
+            break
+        best = min(tried)
+        counts[int(np.argmin(tried))] += 1
+    total = counts.sum() or 1.0
+    return {p: float(c / total) for p, c in zip(predictions, counts, strict=True) if c}
+
+
+def stacked_ensemble(df: DataFrame, predictions: Sequence[str], target: str, ridge: float = 1.0) -> dict[str, float]:
+    """Weights of a ridge regression of the target on the predictions, without an intercept, from their products."""
+    import numpy as np
+
+    n, s = _products(df, predictions, target)
+    k = len(predictions)
+    w = np.linalg.solve(s[:k, :k] + ridge * np.eye(k), s[:k, k]) if n else np.zeros(k)
+    return dict(zip(predictions, map(float, w), strict=True))
+
+
+def weighted(df: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """prediction: the sum of the columns times their weights; null where one of them is null."""
+    return df.withColumn("prediction", sum((F.col(c) * w for c, w in weights.items()), F.lit(0.0)))
+
+
+def ensemble_search(folds: DataFrame, predictions: Sequence[str], target: str) -> DataFrame:
+    """method, n, rmse, best: mean, greedy and stacked ensembles fitted on train rows and scored on the test rows of all
+    folds. folds: with fold and role."""
+    rows = folds.dropna(subset=[*predictions, target]).persist()
+    parts = None
+    for fold in [r["fold"] for r in rows.select("fold").distinct().orderBy("fold").collect()]:
+        train, test = (rows.where((F.col("fold") == fold) & (F.col("role") == role)) for role in ("train", "test"))
+        for name, weights in (("mean", {p: 1 / len(predictions) for p in predictions}), ("greedy", greedy_ensemble(train, predictions, target)), ("stacked", stacked_ensemble(train, predictions, target))):
+            got = weighted(test, weights).select(F.lit(name).alias("method"), "prediction", F.col(target).alias("y"))
+            parts = got if parts is None else parts.unionByName(got)
+    scores = parts.groupBy("method").agg(F.count("*").alias("n"), F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2)).alias("rmse"))
+    top = scores.agg(F.min(F.struct("rmse", "method")).alias("__t"))
+    return scores.crossJoin(F.broadcast(top)).withColumn("best", F.col("method") == F.col("__t.method")).drop("__t")
+
+
+def raw_against_calibrated(df: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
+    """kind (raw, platt, isotonic), brier, best: in-sample Brier scores of p and of its calibrations."""
+    c = calibrated(df, p, y)
+    long = c.select(F.col(y).alias("__y"), F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(x).alias("q")) for n, x in (("raw", p), ("platt", "p_platt"), ("isotonic", "p_isotonic"))])).alias("x")).select("__y", "x.*")
+    scores = long.groupBy("kind").agg(F.avg((F.col("q") - F.col("__y")) ** 2).alias("brier"))
+    top = scores.agg(F.min(F.struct("brier", "kind")).alias("__t"))
+    return scores.crossJoin(F.broadcast(top)).withColumn("best", F.col("kind") == F.col("__t.kind")).drop("__t")

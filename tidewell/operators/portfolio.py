@@ -173,3 +173,9 @@ def option_summary(chain: DataFrame, closes: DataFrame) -> DataFrame:
     )
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return got.withColumns({"pc_volume": ratio("put_volume", "call_volume"), "pc_oi": ratio("put_oi", "call_oi"), "skew": F.col("__otm") - F.col("atm_call_iv"), "slope": (F.col("iv_90") - F.col("iv_30")) / 60, "data_quality_flag": F.when(F.col("n") < 10, "thin_chain").otherwise("ok")}).drop("__otm")
+
+
+def universe_prices(bars: DataFrame, universe: DataFrame, as_of: str) -> DataFrame:
+    """bars up to a date of the names that are listed on it (survivors and later delisted ones alike)."""
+    dates = bars.sparkSession.createDataFrame([(as_of,)], "as_of string").select(F.col("as_of").cast("date").alias("as_of"))
+    return bars.where(F.col("ts") <= F.lit(as_of).cast("date")).join(active_on(universe, dates).select("symbol"), "symbol", "left_semi")

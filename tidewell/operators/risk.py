@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..functions import windows as W
 from . import evaluate as ev
 from .rules import failed
@@ -42,17 +43,17 @@ def clusters(names: DataFrame, pairs: DataFrame, threshold: float = 0.7) -> Data
     A name leads a cluster unless an earlier leader's |corr| with it is at the threshold or above; others join their
     earliest such leader. mean_corr: mean |corr| of the pairs inside the cluster, 1 for a single name.
     names: symbol; pairs: a < b, corr. Each round, names without an undecided or leading earlier neighbour lead and their
-    later neighbours are decided, so rounds are as many as the longest chain of decisions, and each round is one checkpoint.
+    later neighbours are decided, so rounds are as many as the longest chain of decisions, and each round is one table in the shared folder.
     """
-    edges = pairs.where(F.abs("corr") >= threshold).select("a", "b").checkpoint()
-    state = names.select("symbol").distinct().withColumn("lead", F.lit(None).cast("boolean")).checkpoint()
+    edges = shared.table(pairs.where(F.abs("corr") >= threshold).select("a", "b"))
+    state = shared.table(names.select("symbol").distinct().withColumn("lead", F.lit(None).cast("boolean")))
     while state.where("lead IS NULL").limit(1).count():
         open_, leaders = state.where("lead IS NULL").select(F.col("symbol").alias("a")), state.where("lead").select(F.col("symbol").alias("a"))
         blocked = edges.join(open_, "a").select(F.col("b").alias("symbol")).distinct().withColumn("__blocked", F.lit(True))
         lost = edges.join(leaders, "a").select(F.col("b").alias("symbol")).distinct().withColumn("__lost", F.lit(True))
         now = state.join(blocked, "symbol", "left").join(lost, "symbol", "left")
         lead = F.when(F.col("lead").isNotNull(), F.col("lead")).when(F.col("__lost"), F.lit(False)).when(F.col("__blocked").isNull(), F.lit(True))
-        state = now.select("symbol", lead.alias("lead")).checkpoint()
+        state = shared.table(now.select("symbol", lead.alias("lead")))
     mine = edges.join(state.where("lead").select(F.col("symbol").alias("a")), "a").groupBy(F.col("b").alias("symbol")).agg(F.min("a").alias("__of"))
     got = state.join(mine, "symbol", "left").select("symbol", F.when(F.col("lead"), F.col("symbol")).otherwise(F.col("__of")).alias("leader"))
     side = lambda c: got.select(F.col("symbol").alias(c), F.col("leader").alias(f"l{c}"))

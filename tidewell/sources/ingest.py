@@ -196,3 +196,98 @@ def write_partitioned(df: DataFrame, path: str, date: str, by: Sequence[str] = (
 def retain(df: DataFrame, ts: str, days: int, now: Column) -> DataFrame:
     """Rows of the last so many days."""
     return df.where(F.col(ts) >= now - F.make_dt_interval(F.lit(days)))
+
+
+_RAW = "struct<raw: double, fmt: string>"
+EARNINGS = f"struct<earningsHistory: struct<history: array<struct<quarter: {_RAW}, period: struct<fmt: string>, epsEstimate: {_RAW}, epsActual: {_RAW}, epsDifference: {_RAW}, surprisePercent: {_RAW}>>>, earnings: struct<financialsChart: struct<quarterly: array<struct<date: string, revenue: {_RAW}>>>>>"
+
+
+def earnings_from_json(df: DataFrame, ticker: str = "ticker", payload: str = "payload") -> DataFrame:
+    """History entries: report date (quarter, else period), estimate, actual, surprise, surprise in percent, and the revenue
+    of the first quarter whose name holds the period. Entries without a date are dropped."""
+    p = df.select(F.col(ticker).alias("ticker"), F.from_json(payload, EARNINGS).alias("p")).select("ticker", F.col("p.earnings.financialsChart.quarterly").alias("quarters"), F.explode("p.earningsHistory.history").alias("h"))
+    period = F.col("h.period.fmt")
+    revenue = F.get(F.filter("quarters", lambda q: q["date"].contains(period) & q["revenue"]["raw"].isNotNull()), F.lit(0))["revenue"]["raw"]
+    made = p.select("ticker", F.coalesce("h.quarter.fmt", period).alias("report_date"), period.alias("fiscal_quarter_end"), F.col("h.epsEstimate.raw").alias("eps_estimate"), F.col("h.epsActual.raw").alias("eps_actual"), F.col("h.epsDifference.raw").alias("eps_surprise"), (F.col("h.surprisePercent.raw") * 100).alias("eps_surprise_pct"), revenue.alias("revenue_actual"))
+    return made.where(F.col("report_date").isNotNull())
+
+
+def price_history(trades: DataFrame, start: str, end: str) -> DataFrame:
+    """market_id, ts, price, size of trades (market_id, timestamp in epoch seconds, price and size as text) from start to end."""
+    rows = trades.select("market_id", F.timestamp_seconds(F.col("timestamp").try_cast("bigint")).alias("ts"), F.col("price").try_cast("double").alias("price"), F.col("size").try_cast("double").alias("size"))
+    return rows.where(F.col("ts").between(start, end) & F.col("price").isNotNull())
+
+
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Parquet files by their extension, anything else as CSV with a header (types inferred unless given)."""
+    if path.rstrip("/").endswith(".parquet"):
+        return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    return spark.read.csv(path, header=True, schema=schema) if schema else spark.read.csv(path, header=True, inferSchema=True)
+
+
+BLOTTER = {"date": "date", "ticker": "string", "direction": "string", "score": "double", "confidence": "string", "entry_price": "double", "stop_price": "double", "target_1": "double", "target_2": "double", "shares": "bigint", "regime": "string"}
+
+
+def write_blotter(signals: DataFrame, path: str) -> None:
+    """Signals as CSV by date, in the column order of BLOTTER; a date that is written again is replaced."""
+    rows = signals.select(*[(F.col(c) if c in signals.columns else F.lit(None)).cast(t).alias(c) for c, t in BLOTTER.items()])
+    rows.withColumn("day", F.date_format("date", "yyyyMMdd")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("day").csv(path)
+
+
+def parse_blotter(rows: DataFrame) -> DataFrame:
+    """Rows of a blotter read as text: casts, upper-case tickers, defaults (LONG, score 0); rows without a ticker or a
+    positive entry price are dropped; best score first within a date."""
+    typed = rows.select(*[(F.col(c).try_cast(t) if c in rows.columns else F.lit(None).cast(t)).alias(c) for c, t in BLOTTER.items()])
+    made = typed.withColumns({"ticker": F.upper(F.trim("ticker")), "direction": F.coalesce(F.upper("direction"), F.lit("LONG")), "score": F.coalesce("score", F.lit(0.0))})
+    return made.where((F.length("ticker") > 0) & (F.col("entry_price") > 0)).orderBy("date", F.desc("score"), "ticker")
+
+
+SUMMARY = f"struct<defaultKeyStatistics: struct<sharesShort: {_RAW}, dateShortInterest: {_RAW}, averageDailyVolume10Day: {_RAW}, averageVolume: {_RAW}, floatShares: {_RAW}, shortRatio: {_RAW}, shortPercentOfFloat: {_RAW}, totalAssets: {_RAW}, navPrice: {_RAW}>, summaryDetail: struct<totalAssets: {_RAW}, navPrice: {_RAW}, previousClose: {_RAW}>>"
+
+
+def short_interest_from_json(df: DataFrame, today, ticker: str = "ticker", payload: str = "payload") -> DataFrame:
+    """Key statistics -> settlement date (else today), short interest, volume, days to cover, shares; rows without short
+    interest are dropped."""
+    s = F.col("s")
+    rows = df.select(F.col(ticker).alias("ticker"), F.from_json(payload, SUMMARY)["defaultKeyStatistics"].alias("s")).where(s["sharesShort"]["raw"].isNotNull())
+    raw = lambda n: s[n]["raw"]
+    return rows.select("ticker", F.coalesce(F.to_date(F.timestamp_seconds(raw("dateShortInterest"))), today).alias("settlement_date"), raw("sharesShort").cast("bigint").alias("short_interest"), F.coalesce(F.nullif(raw("averageDailyVolume10Day"), F.lit(0.0)), raw("averageVolume")).cast("bigint").alias("avg_daily_volume"), raw("shortRatio").alias("days_to_cover"), raw("shortPercentOfFloat").alias("short_pct_float"), raw("floatShares").cast("bigint").alias("float_shares"))
+
+
+def fund_profile_from_json(df: DataFrame, ticker: str = "ticker", payload: str = "payload") -> DataFrame:
+    """ticker, total_assets, nav: from the summary, else the key statistics; rows without assets are dropped."""
+    p = df.select(F.col(ticker).alias("ticker"), F.from_json(payload, SUMMARY).alias("p"))
+    first = lambda *xs: F.coalesce(*[F.col(f"p.{x}.raw") for x in xs])
+    return p.select("ticker", first("summaryDetail.totalAssets", "defaultKeyStatistics.totalAssets").alias("total_assets"), first("summaryDetail.navPrice", "defaultKeyStatistics.navPrice", "summaryDetail.previousClose").alias("nav")).where("total_assets IS NOT NULL")
+
+
+def bars_from_named(df: DataFrame, names: dict[str, str], scale: dict[str, float] | None = None) -> DataFrame:
+    """The bar schema from a vendor's flat layout. names: vendor column -> ticker, date, open, ...; volume and adj_close
+    are optional; scale: factors by bar column. Rows with a null price are dropped."""
+    have = {b: F.col(f"`{a}`") for a, b in names.items() if a in df.columns}
+    number = lambda b: have.get(b, F.lit(None)).try_cast("double") * (scale or {}).get(b, 1.0)
+    made = df.select(have["ticker"].alias("ticker"), have["date"].try_cast("date").alias("date"), *[number(c).alias(c) for c in ("open", "high", "low", "close")], F.coalesce(number("adj_close"), number("close")).alias("adj_close"), number("volume").cast("bigint").alias("volume"), F.lit(None).cast("string").alias("split_ratio"), F.lit(0.0).alias("dividend"))
+    return made.dropna(subset=["date", "open", "high", "low", "close"])
+
+
+def bars_from_series(df: DataFrame, ticker: str = "ticker", payload: str = "payload", key: str = "Time Series (Daily)") -> DataFrame:
+    """The bar schema from an object that maps dates to numbered fields ('1. open', ... '5. volume')."""
+    entries = F.from_json(F.get_json_object(payload, f"$['{key}']"), "map<string, map<string, string>>")
+    rows = df.select(F.col(ticker).alias("ticker"), F.explode(entries).alias("date", "f"))
+    field = lambda name: F.get(F.map_values(F.map_filter("f", lambda k, v: k.endswith(f". {name}"))), F.lit(0))
+    flat = rows.select("ticker", "date", *[field(n).alias(n) for n in ("open", "high", "low", "close", "adjusted close", "volume")])
+    return bars_from_named(flat, {"ticker": "ticker", "date": "date", "open": "open", "high": "high", "low": "low", "close": "close", "adjusted close": "adj_close", "volume": "volume"})
+
+
+def backfilled(dim: DataFrame, column: str, value) -> DataFrame:
+    """dim with value where the column is null (a conditional update)."""
+    return dim.withColumn(column, F.coalesce(column, value))
+
+
+def seconds_of(interval: str) -> int:
+    """'30s', '5m', '1h' or plain seconds; off, none and 0 are 0. For triggers of streaming jobs."""
+    text = interval.strip().lower()
+    if text in ("off", "none", "0"):
+        return 0
+    unit = {"s": 1, "m": 60, "h": 3600}.get(text[-1:])
+    return int(text[:-1]) * unit if unit else int(text)

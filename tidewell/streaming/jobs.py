@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars
 from ..operators import asof
 
 
@@ -107,21 +108,108 @@ def inventory(fills: DataFrame) -> DataFrame:
     return fills.groupBy("symbol").applyInPandas(run, INVENTORY)
 
 
-def upsert_into(path: str, key: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that upserts each micro-batch into a parquet table, version by version.
+def rolling_liquidity(hourly: DataFrame, key: str = "contract_id", hours: Sequence[int] = (1, 6, 24)) -> DataFrame:
+    """hourly (key, start, n, volume) with empty hours between the first and last of each key, and n and volume over the
+    last so many hours. For the table that the liquidity stream has written."""
+    at = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    span = hourly.groupBy(key).agg(F.min("start").alias("a"), F.max("start").alias("b"))
+    every = span.select(key, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("start"))
+    rows = every.join(hourly.select(key, "start", "n", "volume"), [key, "start"], "left").fillna(0, ["n"]).fillna(0.0, ["volume"])
+    back = lambda h: Window.partitionBy(key).orderBy(at("start")).rangeBetween(-(h - 1) * 3600, 0)
+    return rows.withColumns({f"{c}_{h}h": F.sum(c).over(back(h)) for h in hours for c in ("n", "volume")})
 
-    Every version is written to its own folder and named in a small table, so a batch that is run again gives the same.
+
+STALE = "symbol string, last timestamp, stale boolean"
+
+
+def stale_quotes(ticks: DataFrame, seconds: int) -> DataFrame:
+    """(symbol, last, stale): fresh after each batch with ticks of the symbol, stale once none came for so many seconds of
+    processing time. The state is one time of each symbol.
+
+    For a running query: with time-outs by processing time, run_available would wait for them for ever.
+    """
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], store) -> Iterator[pd.DataFrame]:
+        last = store.get[0] if store.exists else None
+        if store.hasTimedOut:
+            yield pd.DataFrame([(key[0], last, True)], columns=["symbol", "last", "stale"])
+            return
+        newest = max(b["ts"].max() for b in batches)
+        last = newest if last is None else max(last, newest)
+        store.update((last,))
+        store.setTimeoutDuration(seconds * 1000)
+        yield pd.DataFrame([(key[0], last, False)], columns=["symbol", "last", "stale"])
+
+    return ticks.groupBy("symbol").applyInPandasWithState(update, STALE, "last timestamp", "update", "ProcessingTimeTimeout")
+
+
+def stale_at(quotes: DataFrame, now: str, seconds: int) -> DataFrame:
+    """The batch twin: each symbol's latest time and whether it is older than so many seconds at now."""
+    last = quotes.groupBy("symbol").agg(F.max("ts").alias("last"))
+    return last.withColumn("stale", F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("last").cast("timestamp")) > seconds)
+
+
+def books_into(path: str, days: int) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends curated order books (contract_id, ts, bids, asks) by day and removes days that
+    are more than so many before the newest one. A batch that is run again replaces its own files."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("contract_id", "ts", *[c.alias(n) for n, c in scalars.book_summary(F.col("bids"), F.col("asks")).items()])
+        rows.withColumns({"day": F.to_date("ts"), "batch": F.lit(number)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
+        kept = spark.read.parquet(path).select("day").distinct().collect()  # one row a day of the retention
+        newest = max((r.day for r in kept), default=None)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for r in kept:
+            if (newest - r.day).days > days:
+                old = place(f"{path}/day={r.day}")
+                old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+    return write
+
+
+def facts_into(path: str, now: Callable[[], str]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends facts (ts, available_time, ...) to a bitemporal table. None is dropped for being
+    late: a fact is available when it says, but not before the batch that brought it, so as-of reads of earlier times do not see it."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        known = F.greatest(F.col("available_time").cast("timestamp"), F.lit(now()).cast("timestamp"))
+        batch.withColumns({"available_time": known, "batch": F.lit(number)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    return write
+
+
+def upsert_into(path: str, key: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that upserts each micro-batch into a parquet table of key buckets (read it with upserted).
+
+    Only the buckets that a batch touches are written, as a new version under the batch's number, so what is written grows
+    with the batch, and a batch that is run again gives the same.
     """
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        last = f"{path}/v{number - 1}"
-        old = spark.read.parquet(last) if number else batch.where("false")
-        asof.upsert(old, batch, key).write.mode("overwrite").parquet(f"{path}/v{number}")
+        new = batch.withColumn("bucket", bucket)
+        old = new.where("false")
+        if number:
+            before = upserted(spark, path, number - 1, keep=True)
+            old = before.join(F.broadcast(new.select("bucket").distinct()), "bucket", "left_semi").select(*new.columns)
+        rows = asof.upsert(old.drop("bucket"), batch, key).withColumns({"bucket": bucket, "version": F.lit(number)})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version", "bucket").parquet(path)
 
     return write
 
 
+def upserted(spark: SparkSession, path: str, upto: int | None = None, keep: bool = False) -> DataFrame:
+    """The table that upsert_into has written: of each bucket the latest version, or the latest up to a batch."""
+    rows = spark.read.parquet(path)
+    if upto is not None:
+        rows = rows.where(F.col("version") <= upto)
+    last = rows.select("bucket", "version").distinct().groupBy("bucket").agg(F.max("version").alias("version"))  # at most one row a bucket
+    got = rows.join(F.broadcast(last), ["bucket", "version"], "left_semi").drop("version")
+    return got if keep else got.drop("bucket")
+
+
 def alerts_into(path: str, slas: DataFrame, now: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends freshness violations of a batch of (source, last_updated)."""
     from ..operators import checks
