@@ -7,7 +7,7 @@ decoder weighs each bit's logistic loss by that bit's training reliability and t
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,6 @@ class LanguageModel:
     bits: int
     scale: float = 4.0
     close: float = 0.15
-    extra: dict = field(default_factory=dict)
 
     def decode(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its probability and the gap to the second, from the bits' margins z (n x bits)."""
@@ -65,6 +64,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     Rows with a null language or text take no part; without any rows the model knows no language and answers und.
     """
+    store.small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
     names = sorted(counts)
@@ -97,6 +97,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column
     und with score 0 for a null text, a text without a letter, or a model without languages. ambiguous: the two best
     languages are closer than model.close; ties go to the first language by name.
     """
+    store.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(SCHEMA)

@@ -203,6 +203,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text:
     What a join deals out is written first (pinned), so that adaptive execution can split the partitions of hot keys: a
     bucket, hub, root or class that holds a large part of all rows.
     """
+    store.small_batches(docs.sparkSession)
     signed = _one_text_each(store.pinned(_signatures(docs, key, text)))
     whole = store.pinned(signed.groupBy("fa", "fb", "n").agg(F.min("id").alias("rep"), F.min(F.struct("id", "bands")).alias("x")).select("fa", "fb", "n", "rep", F.col("x.bands").alias("bands")))
     member = whole.select("rep", F.posexplode("bands").alias("band", "h")).select("rep", F.xxhash64("band", "h").alias("bucket"))

@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import store
+
 SENTENCE, HARD, SEQUENCE = 24.0, 96.0, 16.0  # penalties in tokens; SEQUENCE: of each sequence, against needless short ones
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-MEMO = 500_000  # words held by a Python worker; all are forgotten beyond it
+MEMO = 250_000  # words held by a Python worker; all are forgotten beyond it
 _state: dict[str, Words] = {}
 
 
@@ -211,6 +213,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, key
     times 2**33 and a running number. A null or empty text is the end id alone; repeated rows are each packed; a null
     key stays null. tokenizer: path of a tokenizers file on every executor.
     """
+    store.small_batches(docs.sparkSession)
     tail = array("I", [end_id]).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -237,6 +237,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
     precision there, or else the best precision there is. Null and empty texts and an empty table give no example; repeated
     rows count as often as they are given.
     """
+    store.small_batches(docs.sparkSession)
     rich = docs.where(F.col(text).rlike("[0-9]{3}|@"))
     part = min(1.0, sample / max(1, rich.count()))
 
@@ -313,6 +314,7 @@ def detect(docs: DataFrame, model: PiiModel, text: str = "text", redact: bool =
 
     Offsets are code points, end exclusive. Null and empty texts have no span; redacted is null unless asked for.
     """
+    store.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = "array<struct<kind:string,start:int,end:int>>"
 

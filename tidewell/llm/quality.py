@@ -80,6 +80,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", ke
     Fits on a bounded sample, about per_grade rows of each grade (whole texts), chosen by a hash of the key and weighed
     back by nothing: thresholds refer to grades in equal shares. A key rated more than once counts with its least grade.
     """
+    store.small_batches(docs.sparkSession)
     marks = ratings.where(F.col(grade).between(0, grades - 1)).groupBy(key).agg(F.min(grade).cast("int").alias("__y"))
     marks = store.pinned(marks)
     size = {r[0]: r[1] for r in marks.groupBy("__y").count().collect()}
@@ -106,6 +107,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", ke
 
 def rate(docs: DataFrame, model: QualityModel, text: str = "text") -> Column:
     """Struct (expected, tail): the expected grade and P(grade > k) for each k. Null and empty texts: a vector of their own."""
+    store.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("expected double, tail array<double>")

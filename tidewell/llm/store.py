@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import scratch, shared_dir, table  # noqa: F401  used by the operators
+
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where that is unset, a folder of this machine in local mode (tests), else an error."""
-    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not own:
-        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
-        own = "file://" + tempfile.mkdtemp(prefix="tidewell-")
-        spark.conf.set("spark.checkpoint.dir", own)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(own)
-    return own
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Makes the session send texts to Python in batches of so many rows, unless its batch size was set: at Spark's default
+    of 10,000 rows a batch of whole texts takes tens of MB, several times over, in the JVM and in each worker."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(rows))
 
 
 def pinned(df: DataFrame) -> DataFrame:
@@ -34,14 +24,6 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def table(df: DataFrame) -> DataFrame:
-    """As pinned, but as a Parquet table. For loops: a checkpoint keeps its plan's size estimate, which multiplies in each
-    join and after some rounds of joins is a number of millions of digits; a table has the size of its files."""
-    path = scratch(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 #: Largest number of rows (a few numbers each) that is sent to every task; more are joined by a shuffle.
 SENT_ROWS = 2_000_000
 

@@ -178,6 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     if any of its rows is. Repeated documents count as often as they are given; null keys vote but are not drawn. Without
     rows of both labels only the fixed lists vote; without documents the model scores by the prior alone.
     """
+    store.small_batches(docs.sparkSession)
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("y"))
     marks = marks.where(store.share(F.col("key"), min(1.0, marked_rows / max(1, marks.count()))))
     marks = F.broadcast(store.pinned(marks))
@@ -243,6 +244,7 @@ def _columns(sets: list[np.ndarray], features: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> Column:
     """The probability that each whole text is toxic. Null and empty texts have no feature: the bias alone. Repeated rows
     score alike, texts of any length are read whole, other columns play no part."""
+    store.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
