@@ -36,10 +36,11 @@ def risk_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(T.with_tables("bars_user_d", then=f"""
-, {_RET}, g AS (SELECT symbol, CASE WHEN symbol % 3 = 0 THEN 'bull' ELSE 'bear' END AS regime, ret FROM ret WHERE ret IS NOT NULL AND extract(day FROM ts) % 2 = 0)
+, {_RET}, q AS (SELECT *, max(close) OVER (PARTITION BY symbol ORDER BY ts) AS peak, CASE WHEN count(close) OVER w >= 3 THEN avg(close) OVER w END AS ma FROM ret WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+g AS (SELECT symbol, CASE WHEN round(close - ma, 9) < 0 OR (close - peak) / peak < -0.2 THEN 'bear' WHEN round(close - ma, 9) > 0 AND (close - peak) / peak > -0.1 THEN 'bull' ELSE 'flat' END AS regime, ret FROM q WHERE ret IS NOT NULL)
 SELECT symbol, regime, count(*) AS n, {r('avg(ret) * 252', 'mean')}, {r('stddev_samp(ret) * sqrt(252)', 'volatility')}, {r('avg(ret) * 252 / nullif(stddev_samp(ret) * sqrt(252), 0)', 'sharpe')} FROM g GROUP BY 1, 2"""))
 def regime_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rr = returns(spark, sf_dir).where(F.dayofmonth("ts") % 2 == 0).withColumn("regime", F.when(F.col("symbol") % 3 == 0, "bull").otherwise("bear"))
+    rr = ind.regime(returns(spark, sf_dir), ind.DEFAULT, 5, 3)
     return rounded(rules.regime_performance(rr, ["symbol"]))
 
 
@@ -56,6 +57,7 @@ WITH t AS (SELECT o_custkey AS k, sum(o_totalprice) AS gross, sum(CASE WHEN o_or
 j AS (SELECT o.*, coalesce(gross, 0) AS gross, coalesce(net, 0) AS net FROM o LEFT JOIN t USING (k)), w AS (SELECT id, k, notional, CASE WHEN abs(notional) > 400000 THEN 'order_size' WHEN gross + abs(notional) > 3000000 THEN 'gross' WHEN abs(net + notional) > 900000 THEN 'net' WHEN (gross + abs(notional)) / 1000000 > 2.5 THEN 'leverage' END AS reason FROM j)
 SELECT id, k, notional, reason, reason IS NULL AS allowed FROM w""")
 def order_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the orders is proposed, all others are what is held: every order is in one of the two parts."""
     o, k, p = T.table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_totalprice")
     totals = o.where(k % 10 != 0).groupBy(F.col("o_custkey").alias("k")).agg(F.sum(p).alias("gross"), F.sum(F.when(k % 2 == 0, p).otherwise(-p)).alias("net"))
     orders = o.where(k % 10 == 0).select(k.alias("id"), F.col("o_custkey").alias("k"), F.when(k % 20 == 0, p).otherwise(-p).alias("notional"))

@@ -30,13 +30,13 @@ def weighted_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH k AS (SELECT event_type AS g, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS rk, count(*) OVER () AS n FROM events WHERE event_type IN ('click', 'purchase', 'signup')),
-t AS (SELECT sum(pow(c, 3) - c) AS ties FROM (SELECT count(*) AS c FROM events WHERE event_type IN ('click', 'purchase', 'signup') GROUP BY value)),
+WITH k AS (SELECT event_type AS g, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS rk, count(*) OVER () AS n FROM events),
+t AS (SELECT sum(pow(c, 3) - c) AS ties FROM (SELECT count(*) AS c FROM events GROUP BY value)),
 p AS (SELECT g, count(*) AS c, sum(rk) AS s, max(n) AS n FROM k GROUP BY g), h AS (SELECT count(*) AS groups, (12 / (max(n) * (max(n) + 1)) * sum(s * s / c) - 3 * (max(n) + 1)) / (1 - max(ties) / (pow(max(n), 3) - max(n))) AS h FROM p, t)
-SELECT groups, {r('h', 'h', 4)}, {r('exp(-h / 2)', 'p')} FROM h""")
+SELECT groups, {r('h', 'h', 4)}, {r('exp(-h / 2) * (1 + h / 2)', 'p')} FROM h""")
 def kruskal_wallis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = T.table(spark, sf_dir, "events").where("event_type in ('click', 'purchase', 'signup')")
-    got = st.kruskal(e, "event_type", "value")
+    """Values by event type; the SQL's p is that of four degrees of freedom (five types)."""
+    got = st.kruskal(T.table(spark, sf_dir, "events"), "event_type", "value")
     return got.select("groups", (F.round(F.col("h") + 3.3e-9, 4) + F.lit(0.0)).alias("h"), (F.round(F.col("p") + 3.3e-9, 6) + F.lit(0.0)).alias("p"))
 
 
