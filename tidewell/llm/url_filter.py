@@ -93,6 +93,8 @@ def judge(pages: DataFrame, model: PipelineModel, rules: list[tuple[str, str]] =
     return scored.withColumn("__hit", hit).select(key, "host", "path", F.col("__hit.rule").alias("rule"), F.coalesce(F.col("__hit.verdict"), F.when(F.col("score") >= threshold, "block").otherwise("allow")).alias("verdict"), "score")
 
 
-def keep(pages: DataFrame, verdicts: DataFrame, key: str = "page_id") -> DataFrame:
-    """The rows of pages whose verdict is allow."""
-    return pages.join(verdicts.where(F.col("verdict") == "allow").select(key).distinct(), key, "left_semi")
+def keep(pages: DataFrame, model: PipelineModel, rules: list[tuple[str, str]] = RULES, url: str = "url", threshold: float = 0.5) -> DataFrame:
+    """The rows of pages whose url is allowed, judged row by row: null and repeated keys play no part, columns stay."""
+    rows = pages.select(F.struct(*pages.columns).alias("__row"), F.col(url).alias("__url"))
+    allowed = judge(rows, model, rules, "__row", "__url", threshold).where(F.col("verdict") == "allow")
+    return allowed.select(*[F.col(f"__row.`{c}`").alias(c) for c in pages.columns])
