@@ -68,9 +68,9 @@ def portfolio_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(T.with_tables("holdings", then=f"""
 , s AS (SELECT * FROM (VALUES ('crash', -0.2, 0.01), ('rally', 0.1, 0.0), ('drift', -0.05, 0.002)) t(shock, move, spread))
-SELECT quarter, shock, {r('sum(value * CAST(move AS DOUBLE) - abs(value) * CAST(spread AS DOUBLE))', 'pnl', 2)} FROM holdings, s GROUP BY 1, 2"""))
+SELECT quarter, shock, {r('sum(value * CAST(move AS DOUBLE) - abs(value) * CAST(spread AS DOUBLE))', 'pnl', 5)} FROM holdings, s GROUP BY 1, 2"""))
 def shock_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(portfolio.shock_losses(T.holdings(spark, sf_dir), F.col("value"), {"crash": (-0.2, 0.01), "rally": (0.1, 0.0), "drift": (-0.05, 0.002)}, ["quarter"]), 2)
+    return rounded(portfolio.shock_losses(T.holdings(spark, sf_dir), F.col("value"), {"crash": (-0.2, 0.01), "rally": (0.1, 0.0), "drift": (-0.05, 0.002)}, ["quarter"]), 5)
 
 
 @query(T.with_tables("bars_user_d", then=f"""
