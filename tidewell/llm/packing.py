@@ -134,10 +134,11 @@ def best_cuts(position: np.ndarray, penalty: np.ndarray, size: int) -> list[int]
             early.append(at[hit])
     late, early = np.concatenate(late), np.concatenate(early)
     order = np.argsort(late, kind="stable")
-    late, early = [*late[order].tolist(), n], early[order].tolist()
-    pos, pen = position.tolist(), (penalty + SEQUENCE).tolist()
-    best, back = [0.0] * n, [0] * n
-    keys, places, index = [0.0], [0], [0]  # the monotone queue, from head: best + position, position, candidate
+    packed = lambda kind, x: array(kind, np.ascontiguousarray(x, np.float64 if kind == "d" else np.int64).tobytes())  # noqa: E731  8 bytes an entry
+    late, early = packed("q", np.append(late[order], n)), packed("q", early[order])
+    pos, pen = packed("q", position), packed("d", penalty + SEQUENCE)
+    best, back = packed("d", np.zeros(n)), packed("q", np.zeros(n))
+    keys, places, index = array("d", [0.0]), array("q", [0]), array("q", [0])  # the monotone queue, from head: best + position, position, candidate
     head = match = 0
     for j in range(1, n):
         p = pos[j]
