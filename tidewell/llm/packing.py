@@ -24,7 +24,7 @@ from . import store
 
 SENTENCE, HARD, SEQUENCE = 24.0, 96.0, 16.0  # penalties in tokens; SEQUENCE: of each sequence, against needless short ones
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-MEMO = 250_000  # words held by a Python worker; all are forgotten beyond it
+MEMO = 200_000  # words of each of two generations that a Python worker holds, and parts of words
 _state: dict[str, Words] = {}
 
 
@@ -51,6 +51,7 @@ class Words(dict):
         super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         said = json.loads(self.tok.to_str())
         pre = said.get("pre_tokenizer") or {}
         steps = pre.get("pretokenizers") or [{}]
@@ -68,6 +69,10 @@ class Words(dict):
         return got
 
     def __missing__(self, word: str) -> bytes:
+        got = self.older.pop(word, None)
+        if got is not None:
+            self[word] = got
+            return got
         if self.known and word.isascii() and word.isalpha():
             got = self._part(word.lower())
         elif self.known and _PLAIN.fullmatch(word) and (self.firsts.isdisjoint(word) or not any(t in word for t in self.special)):
@@ -78,10 +83,12 @@ class Words(dict):
         return got
 
     def trim(self) -> None:
-        """Forgets all words, or all parts, when there are more than MEMO."""
-        for memo in (self, self.parts):
-            if len(memo) > MEMO:
-                memo.clear()
+        """With more than MEMO words, those not met since the last time are forgotten; with more parts, all of these."""
+        if len(self) > MEMO:
+            self.older = dict(self)
+            self.clear()
+        if len(self.parts) > MEMO:
+            self.parts.clear()
 
 
 def _tokenizer(path: str) -> Words:
