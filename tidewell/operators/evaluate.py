@@ -284,3 +284,18 @@ def edge_positions(df: DataFrame, key: str, order: str, price: str, model: str,
         return g.assign(position=out)
 
     return df.groupBy(key).applyInPandas(run, schema)
+
+
+def stability(df: DataFrame, period: str, keys: Sequence[str] = (), y: str = "y", p: str = "p") -> DataFrame:
+    """periods, mean and deviation of the Brier score over periods, and the worst period (ties: the first) with its score."""
+    each = df.groupBy(*keys, period).agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("b"))
+    got = each.groupBy(*keys).agg(F.count("*").alias("periods"), F.avg("b").alias("mean_brier"), F.stddev_samp("b").alias("std_brier"), F.min(F.struct((-F.col("b")).alias("m"), F.col(period).alias("q"))).alias("x"))
+    return got.select(*keys, "periods", "mean_brier", "std_brier", F.col("x.q").alias("worst_period"), (-F.col("x.m")).alias("worst_brier"))
+
+
+def label_shift(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), y: str = "y", limit: float = 0.05) -> DataFrame:
+    """Shares of label 1 before and now, their difference, and whether it is over the limit. Null labels take no part."""
+    both = reference.select(*keys, y, F.lit(0).alias("__s")).unionByName(current.select(*keys, y, F.lit(1).alias("__s")))
+    share = lambda s: F.avg(F.when(F.col("__s") == s, (F.col(y) == 1).cast("double")))
+    got = both.where(F.col(y).isNotNull()).groupBy(*keys).agg(share(0).alias("before"), share(1).alias("now"))
+    return got.withColumn("shift", F.col("now") - F.col("before")).withColumn("shifted", F.coalesce(F.abs("shift") > limit, F.lit(False)))

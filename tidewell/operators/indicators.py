@@ -194,3 +194,16 @@ def target_encoding(df: DataFrame, category: str, target: str, order: list[str],
         "__m": F.avg(target).over(own), "__k": F.count(F.lit(1)).over(own),
     })
     return df.withColumns({"target_enc": F.when(F.col("__k") >= least, F.col("__m")).otherwise(F.try_divide(F.col("__gs"), F.col("__gc"))), "freq_enc": F.try_divide(F.coalesce("__k", F.lit(0)), F.col("__gn"))}).drop("__s0", "__c0", "__n0", "__gs", "__gc", "__gn", "__m", "__k")
+
+
+def drawdown_episodes(df: DataFrame, f: Frame = DEFAULT, close: str = "close") -> DataFrame:
+    """Keys, peak, trough, recovered, depth, rows: each spell below a running peak; recovered is null for one that lasts.
+
+    peak: the row of the peak; trough: the first row of the lowest close; recovered: the first row back at the peak or above.
+    """
+    order, c = f.order[0], F.col(close)
+    rows = df.where(c.isNotNull()).withColumn("__top", F.max(close).over(f.upto()))
+    rows = rows.withColumn("__spell", W.island(c == F.col("__top"), f))
+    own = rows.groupBy(*f.keys, "__spell").agg(F.min(order).alias("peak"), F.min(F.struct(c.alias("c"), F.col(order).alias("t"))).alias("__low"), F.max("__top").alias("__top"), (F.count("*") - 1).alias("rows"))
+    after = own.withColumn("recovered", F.lead("peak").over(Frame(f.keys, ["__spell"]).spec))
+    return after.where("rows > 0").select(*f.keys, "peak", F.col("__low.t").alias("trough"), "recovered", F.try_divide(F.col("__low.c") - F.col("__top"), F.col("__top")).alias("depth"), "rows")

@@ -206,3 +206,28 @@ def market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT event_type, count(value) AS n, {r('min(value)', 'low')}, {r('max(value)', 'high')}, {r('avg(value)', 'mean')}, {r('quantile_cont(value, 0.95)', 'p95')} FROM events GROUP BY event_type")
 def metric_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(research.timers(T.table(spark, sf_dir, "events"), ["event_type"], "value"))
+
+
+@query(T.with_tables("bars_supp_d", then=f"""
+, t AS (SELECT symbol, ts, close, max(close) OVER (PARTITION BY symbol ORDER BY ts) AS top FROM bars_supp_d WHERE close IS NOT NULL), s AS (SELECT *, sum(CASE WHEN close = top THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY ts) AS spell FROM t),
+g AS (SELECT symbol, spell, min(ts) AS peak, arg_min(ts, (close, ts)) AS trough, min(close) AS low, max(top) AS top, count(*) - 1 AS rows FROM s GROUP BY 1, 2), a AS (SELECT *, lead(peak) OVER (PARTITION BY symbol ORDER BY spell) AS recovered FROM g)
+SELECT symbol, peak, trough, recovered, {r('(low - top) / top', 'depth')}, rows FROM a WHERE rows > 0"""))
+def drawdown_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ind.drawdown_episodes(T.bars_supp_d(spark, sf_dir)))
+
+
+@query(T.with_tables("probs", then=f"""
+, e AS (SELECT id % 12 AS month, avg(pow(p - y, 2)) AS b FROM probs GROUP BY 1)
+SELECT count(*) AS periods, {r('avg(b)', 'mean_brier')}, {r('stddev_samp(b)', 'std_brier')}, arg_min(month, (-b, month)) AS worst_period, {r('max(b)', 'worst_brier')} FROM e"""))
+def prediction_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residues of the id stand for months."""
+    return rounded(ev.stability(T.probs(spark, sf_dir).withColumn("month", F.col("id") % 12), "month"))
+
+
+@query(f"""
+WITH s AS (SELECT o_orderstatus AS k, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS y, o_orderdate < TIMESTAMP '1998-01-01' AS old FROM orders), g AS (SELECT k, avg(CASE WHEN old THEN y END) AS before, avg(CASE WHEN NOT old THEN y END) AS now FROM s GROUP BY k)
+SELECT k, {r('before', 'before')}, {r('now', 'now')}, {r('now - before', 'shift')}, coalesce(abs(now - before) > 0.05, false) AS shifted FROM g""")
+def label_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dear orders as labels, before 1998 and from then on, by status."""
+    o = T.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.when(F.col("o_totalprice") > 150000, 1).otherwise(0).alias("y"), (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).alias("old"))
+    return rounded(ev.label_shift(o.where("old"), o.where("not old"), ["k"]))
