@@ -41,7 +41,7 @@ def starts(vectors: DataFrame, k: int = 16, salt: str = "1:") -> np.ndarray:
     """The k vectors with the smallest hexadecimal SHA-256 of salt and key; ties by components, null keys last."""
     h = F.sha2(F.concat(F.lit(salt), F.col("key").cast("string")), 256)
     rows = vectors.select(h.alias("h"), "v").orderBy(F.asc_nulls_last("h"), "v").limit(k).collect()
-    return np.array([r.v for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.v for r in rows] or np.zeros((0, 0)), np.int64)
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -149,7 +149,7 @@ f AS (
     + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
     + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(first < doc_id, FALSE)::INT AS mask
   FROM d LEFT JOIN l USING (doc_id)),
-m AS (SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY part, mask),
+m AS (SELECT part, mask, count(*) AS n, count_if(coalesce(good, FALSE)) AS good, count_if(coalesce(toxic, FALSE)) AS toxic FROM f GROUP BY part, mask),
 x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([0, 1, 2, 3, 4]) AS bit),
 p AS (
   SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
