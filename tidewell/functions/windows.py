@@ -97,6 +97,16 @@ def williams_r(high: Column, low: Column, close: Column, f: Frame, k: int = 14)
     return -100 * F.try_divide(hi - close, hi - lo)
 
 
+def compounded(r: Column, w=None) -> Column:
+    """Aggregate, or running value over w: the product of 1 + r, by sign and logarithm; a total loss (r = -1) stays 0, and r
+    below -1 turns the sign."""
+    g = 1 + r
+    over = lambda c: c.over(w) if w is not None else c
+    size = F.exp(over(F.sum(F.when(g != 0, F.ln(F.abs(g))))))
+    sign = F.when(over(F.count_if(g < 0)) % 2 == 1, -1.0).otherwise(1.0)
+    return F.when(over(F.count_if(g == 0)) > 0, 0.0).otherwise(sign * size)
+
+
 def drawdown(x: Column, f: Frame) -> Column:
     peak = F.max(x).over(f.upto())
     return F.try_divide(x - peak, peak)

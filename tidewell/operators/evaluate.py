@@ -33,7 +33,7 @@ def moments(df: DataFrame, keys: Sequence[str], ret: str = "ret") -> DataFrame:
     return df.groupBy(*keys).agg(
         n.alias("n"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"), F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"), F.when(n > 3, ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))).alias("kurt"),
         (F.try_divide(F.avg(r), F.stddev_samp(r)) * sqrt(YEAR)).alias("sharpe"), (F.try_divide(F.avg(r), down) * sqrt(YEAR)).alias("sortino"), F.avg((r > 0).cast("double")).alias("win_rate"),
-        F.try_divide(F.sum(F.when(r > 0, r)), -F.sum(F.when(r < 0, r))).alias("profit_factor"), (F.exp(F.sum(F.ln(1 + r))) - 1).alias("total_return"),
+        F.try_divide(F.sum(F.when(r > 0, r)), -F.sum(F.when(r < 0, r))).alias("profit_factor"), (W.compounded(r) - 1).alias("total_return"),
     )
 
 
@@ -251,17 +251,6 @@ def purged_folds(df: DataFrame, date: str, k: int, embargo: int = 0) -> DataFram
     return df.join(folds.withColumn("role", role).where("role IS NOT NULL").select(date, "fold", "role"), date)
 
 
-def bootstrap(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret", replicates: int = 200, block: int = 21, alpha: float = 0.05, seed: int = 0) -> DataFrame:
-    """Block-bootstrap percentiles (alpha and 1 - alpha) of the yearly Sharpe ratio; starts come from a seeded hash."""
-    w = Window.partitionBy(*keys)
-    rows = df.where(F.col(ret).isNotNull()).withColumns({"__i": F.row_number().over(w.orderBy(order)) - 1, "__n": F.count("*").over(w)})
-    sizes = rows.select(*keys, "__n").distinct()
-    grid = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / block))))
-    grid = grid.withColumn("start", F.pmod(F.xxhash64("rep", "blk", F.lit(seed), *keys), F.col("__n"))).withColumn("off", F.explode(F.sequence(F.lit(0), F.lit(block - 1)))).withColumn("__i", (F.col("start") + F.col("off")) % F.col("__n")).where(F.col("blk") * block + F.col("off") < F.col("__n"))
-    draws = grid.join(rows.select(*keys, "__i", ret), [*keys, "__i"]).groupBy(*keys, "rep").agg((F.try_divide(F.avg(ret), F.stddev_samp(ret)) * sqrt(YEAR)).alias("s"))
-    return draws.groupBy(*keys).agg(F.count("*").alias("replicates"), F.percentile("s", F.lit(alpha)).alias("low"), F.percentile("s", F.lit(1 - alpha)).alias("high"))
-
-
 def edge_positions(df: DataFrame, key: str, order: str, price: str, model: str, threshold: float = 0.05, hold: int = 3, size: float = 100.0) -> DataFrame:
     """position: opened where the model's edge over the price exceeds the threshold, closed after hold rows.
 
@@ -293,9 +282,35 @@ def stability(df: DataFrame, period: str, keys: Sequence[str] = (), y: str = "y"
     return got.select(*keys, "periods", "mean_brier", "std_brier", F.col("x.q").alias("worst_period"), (-F.col("x.m")).alias("worst_brier"))
 
 
-def label_shift(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), y: str = "y", limit: float = 0.05) -> DataFrame:
-    """Shares of label 1 before and now, their difference, and whether it is over the limit. Null labels take no part."""
+def return_stability(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret", least: int = 20) -> DataFrame:
+    """keys, n, sharpe_first, sharpe_second, sharpe_stability, worst_month, worst_return: yearly Sharpe ratios of the first
+    and the second half of the rows (null below `least` rows), the lesser over the larger in size, and the calendar month with
+    the least compounded return (ties: the first). A half that does not vary counts 0. Null returns take no part."""
+    w = Window.partitionBy(*keys)
+    rows = df.where(F.col(ret).isNotNull()).select(*keys, F.col(order).alias("__o"), F.col(ret).alias("__r"))
+    rows = rows.withColumns({"__i": F.row_number().over(w.orderBy("__o")), "__n": F.count("*").over(w)})
+    first, r = F.col("__i") <= F.floor(F.col("__n") / 2), F.col("__r")
+    month = rows.groupBy(*keys, F.trunc("__o", "month").alias("__m")).agg(
+        F.sum(F.when(first, 1).otherwise(0)).alias("a_n"), *[F.sum(F.when(c, e)).alias(f"{tag}_{k}") for tag, c in (("a", first), ("b", ~first)) for k, e in (("s", r), ("q", r * r))],
+        F.count("*").alias("n"), (W.compounded(r) - 1).alias("c"))
+    got = month.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("a_n").alias("a_n"), *[F.sum(c).alias(c) for c in ("a_s", "a_q", "b_s", "b_q")], F.min(F.struct("c", "__m")).alias("x"))
+
+    def sharpe(tag: str, n: Column) -> Column:
+        mean = F.col(f"{tag}_s") / n
+        spread = F.sqrt(F.greatest((F.col(f"{tag}_q") - F.col(f"{tag}_s") * mean) / (n - 1), F.lit(0.0)))
+        return F.when(F.col("n") >= least, F.when(spread > 1e-12, mean / spread * sqrt(YEAR)).otherwise(0.0))
+
+    got = got.withColumns({"sharpe_first": sharpe("a", F.col("a_n")), "sharpe_second": sharpe("b", F.col("n") - F.col("a_n"))})
+    s, t = F.col("sharpe_first"), F.col("sharpe_second")
+    both = F.when(F.col("n") >= least, F.least(s, t) / F.greatest(F.abs(s), F.abs(t), F.lit(1e-10)))
+    return got.select(*keys, "n", "sharpe_first", "sharpe_second", both.alias("sharpe_stability"), F.col("x.__m").alias("worst_month"), F.col("x.c").alias("worst_return"))
+
+
+def label_shift(reference: DataFrame, current: DataFrame, keys: Sequence[str] = (), y: str = "y", limit: float = 0.2) -> DataFrame:
+    """before, now: the labels' base rates (means); shift: their difference in size, relative to the one before (as it is where
+    that is 0); shifted: whether it is over the limit. Null labels take no part."""
     both = reference.select(*keys, y, F.lit(0).alias("__s")).unionByName(current.select(*keys, y, F.lit(1).alias("__s")))
-    share = lambda s: F.avg(F.when(F.col("__s") == s, (F.col(y) == 1).cast("double")))
-    got = both.where(F.col(y).isNotNull()).groupBy(*keys).agg(share(0).alias("before"), share(1).alias("now"))
-    return got.withColumn("shift", F.col("now") - F.col("before")).withColumn("shifted", F.coalesce(F.abs("shift") > limit, F.lit(False)))
+    rate = lambda s: F.avg(F.when(F.col("__s") == s, F.col(y).cast("double")))
+    got = both.where(F.col(y).isNotNull()).groupBy(*keys).agg(rate(0).alias("before"), rate(1).alias("now"))
+    gap = F.abs(F.col("now") - F.col("before"))
+    return got.withColumn("shift", F.when(F.col("before") == 0, gap).otherwise(gap / F.abs("before"))).withColumn("shifted", F.coalesce(F.col("shift") > limit, F.lit(False)))

@@ -60,15 +60,21 @@ def top_share_returns(df: DataFrame, signal: str = "signal", forward: str = "fwd
 
 
 def strategy_metrics(df: DataFrame, keys: Sequence[str], date: str = "ts", ret: str = "ret", cost: float = 0.0) -> DataFrame:
-    """n, total_return, annual_return, sharpe, max_drawdown, win_rate, profit_factor of daily returns net of a daily cost."""
-    net = F.col(ret) - cost
-    rows = df.where(F.col(ret).isNotNull()).withColumn("__r", net)
+    """n, total_return, annual_return, sharpe, max_drawdown, win_rate, profit_factor of daily returns net of a daily cost.
+
+    Returns compound as a product, so a total loss stays one. sharpe: yearly return over yearly volatility, 0 without any;
+    max_drawdown: from the highest value so far (after the first day); win_rate: of days that are not 0; profit_factor: infinite
+    without a loss. A single day has zeros throughout.
+    """
+    rows = df.where(F.col(ret).isNotNull()).withColumn("__r", F.col(ret) - cost)
     up = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("__v", F.exp(F.sum(F.ln(1 + F.col("__r"))).over(up)))
-    rows = rows.withColumn("__d", F.col("__v") / F.greatest(F.max("__v").over(up), F.lit(1.0)) - 1)
-    r = F.col("__r")
-    growth = F.exp(F.sum(F.ln(1 + r)))
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), (growth - 1).alias("total_return"), (F.pow(growth, W.YEAR / F.count("*")) - 1).alias("annual_return"), (F.try_divide(F.avg(r), F.stddev_samp(r)) * sqrt(W.YEAR)).alias("sharpe"), F.min("__d").alias("max_drawdown"), F.avg((r > 0).cast("double")).alias("win_rate"), F.try_divide(F.sum(F.when(r > 0, r)), -F.sum(F.when(r < 0, r))).alias("profit_factor"))
+    rows = rows.withColumn("__v", W.compounded(F.col("__r"), up))
+    rows = rows.withColumn("__d", F.try_divide(F.col("__v"), F.max("__v").over(up)) - 1)
+    r, n = F.col("__r"), F.col("n")
+    got = rows.groupBy(*keys).agg(F.count("*").alias("n"), W.compounded(r).alias("__g"), F.stddev_samp(r).alias("__s"), F.min("__d").alias("__d"), F.count_if(r > 0).alias("__w"), F.count_if(r != 0).alias("__t"), F.coalesce(F.sum(F.when(r > 0, r)), F.lit(0.0)).alias("__up"), F.coalesce(F.sum(F.when(r < 0, -r)), F.lit(0.0)).alias("__down"))
+    annual, vol = F.pow(F.col("__g"), W.YEAR / n) - 1, F.col("__s") * sqrt(W.YEAR)
+    some = lambda c: F.when(n >= 2, c).otherwise(0.0)
+    return got.select(*keys, "n", some(F.col("__g") - 1).alias("total_return"), some(annual).alias("annual_return"), some(F.when(vol > 0, annual / vol).otherwise(0.0)).alias("sharpe"), some(F.col("__d")).alias("max_drawdown"), some(F.when(F.col("__t") > 0, F.col("__w") / F.col("__t")).otherwise(0.0)).alias("win_rate"), some(F.when(F.col("__down") > 0, F.col("__up") / F.col("__down")).otherwise(float("inf"))).alias("profit_factor"))
 
 
 def trade_summary(trades: DataFrame, keys: Sequence[str], pnl: str = "pnl_pct", opened: str = "entry_date", closed: str = "exit_date", reason: str = "outcome", reasons: Sequence[str] = ("target", "stop", "expired")) -> DataFrame:
@@ -156,20 +162,6 @@ def shift_test(df: DataFrame, f: W.Frame, feature: str, target: str, shifts: Seq
     return got.crossJoin(F.broadcast(base)).withColumns({"degradation": loss, "suspicious": (F.col("shift") > 0) & F.coalesce(loss < 0.1, F.lit(False))}).drop("__b")
 
 
-def shuffle_test(df: DataFrame, keys: Sequence[str], order: Sequence[str], signal: str, ret: str, replicates: int = 100, seed: int = 0) -> DataFrame:
-    """keys, real, mean, std, z, p: mean of signal times return against replicates in which a series' returns are dealt
-    to its signals by a seeded hash; p counts replicates at least as good."""
-    rows = df.where(F.col(signal).isNotNull() & F.col(ret).isNotNull()).select(*keys, *order, signal, ret)
-    grid = rows.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    by = [*keys, "rep"]
-    left = grid.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).select(*by, "__i", signal)
-    right = grid.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("rep", F.lit(seed), *order), *order))).select(*by, "__i", ret)
-    made = left.join(right, [*by, "__i"]).groupBy(*by).agg(F.avg(F.col(signal) * F.col(ret)).alias("m"))
-    real = rows.groupBy(*keys).agg(F.avg(F.col(signal) * F.col(ret)).alias("real"))
-    got = made.join(real, list(keys)).groupBy(*keys).agg(F.max("real").alias("real"), F.avg("m").alias("mean"), F.stddev_samp("m").alias("std"), ((F.count_if(F.col("m") >= F.col("real")) + 1) / (F.count("*") + 1)).alias("p"))
-    return got.withColumn("z", F.try_divide(F.col("real") - F.col("mean"), F.col("std")))
-
-
 def sensitivity(df: DataFrame, grid: Sequence[float], metric, keys: Sequence[str] = (), robust: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """(points, summary): metric(parameter column) as an aggregate for each value of a short grid, and over the grid its
     mean, std, coefficient of variation and whether that is below robust."""
@@ -193,7 +185,11 @@ def audit(runs: DataFrame, config: Sequence[str], captured: Sequence[str]) -> Da
     return runs.agg(F.count("*").alias("runs"), F.count_distinct(key).alias("unique_configs"), (F.count("*") - F.count_distinct(key)).alias("duplicate_configs"), F.avg(full.cast("double")).alias("fully_captured"))
 
 
-def market_features(bars: DataFrame, f: W.Frame, close: str = "close", date: str = "ts") -> DataFrame:
-    """date, n, mean_return, dispersion: mean and standard deviation of all series' returns at each time."""
+def market_features(bars: DataFrame, f: W.Frame, close: str = "close", date: str = "ts", macro: DataFrame | None = None) -> DataFrame:
+    """date, n, mean_return, dispersion, volatility: mean and standard deviation of all series' returns, and the standard
+    deviation of their prices, at each time. macro: date and value columns (one row a date), added as macro_<name>."""
     r = W.returns(F.col(close), f)
-    return bars.withColumn("__r", r).where("__r IS NOT NULL").groupBy(date).agg(F.count("*").alias("n"), F.avg("__r").alias("mean_return"), F.stddev_samp("__r").alias("dispersion"))
+    got = bars.withColumn("__r", r).where("__r IS NOT NULL").groupBy(date).agg(F.count("*").alias("n"), F.avg("__r").alias("mean_return"), F.stddev_samp("__r").alias("dispersion"), F.stddev_samp(close).alias("volatility"))
+    if macro is None:
+        return got
+    return got.join(macro.select(F.col(date), *[F.col(c).alias(f"macro_{c}") for c in macro.columns if c != date]), date, "left")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..functions import windows as W
 from ..functions.windows import Frame
-from . import ranks
+from . import ranks, series
 
 
 def failed(rules: dict[str, Column]) -> Column:
@@ -72,16 +74,50 @@ def order_audit(orders: DataFrame, totals: DataFrame, key: str, limits: dict[str
 def exits(positions: DataFrame, bars: DataFrame, atr_multiple: float = 2.0, days: int = 20) -> DataFrame:
     """First exit of each position (id, symbol, entry_date, entry, stop, target): stop, trailing stop, target or time.
 
-    The trailing stop is the running high since entry less atr_multiple ranges (bars need atr); on one bar the first of
-    that order counts. The time exit is on the first bar at or after the limit, however late that bar is. Positions without
-    an exit have nulls.
+    The trailing stop is the running high since entry (the entry price at least) less atr_multiple ranges (bars need atr); on
+    one bar the first of that order counts. The time exit is on the first bar at or after the limit, however late that bar is.
+    Positions without an exit have nulls. Bars have one row a symbol and time.
+
+    No position meets the bars of its path. Each rule is a first hit of a level by block search (series.first_hit). A trailing
+    stop is hit at bar t if the entry, or a high since entry, is at least low + atr_multiple * atr =: c. The first bar with
+    c <= entry is a first hit; for the highs, let p(t) be the last bar before t with a high of at least c(t), a first hit
+    backwards: bar t stops all positions entered before p(t), so each position's is the least t with p(t) after its entry, a
+    minimum over the bars from there on.
     """
-    b = bars.select("symbol", F.col("ts").alias("d"), "high", "low", "close", "atr")
-    earlier = Window.partitionBy("symbol").orderBy(F.unix_micros(F.col("d").cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("__before", F.max("d").over(earlier))
-    j = positions.join(b, "symbol").where((F.col("d") > F.col("entry_date")) & F.coalesce(F.datediff("__before", "entry_date") < days, F.lit(True)))
-    top = F.max("high").over(Window.partitionBy("id").orderBy("d").rowsBetween(Window.unboundedPreceding, -1))
-    j = j.withColumn("__trail", F.greatest(F.coalesce(top, F.col("entry")), F.col("entry")) - atr_multiple * F.col("atr"))
-    why = F.when(F.col("low") <= F.col("stop"), "stop").when(F.col("low") <= F.col("__trail"), "trailing").when(F.col("high") >= F.col("target"), "target").when(F.datediff("d", "entry_date") >= days, "time")
-    first = j.withColumn("__why", why).where("__why IS NOT NULL").groupBy("id").agg(F.min(F.struct("d", "__why", "close")).alias("x"))
-    return positions.join(first, "id", "left").select("id", "symbol", "entry_date", F.col("x.d").alias("exit_date"), F.col("x.__why").alias("reason"))
+    micros = lambda c: F.unix_micros(c.cast("timestamp_ntz").cast("timestamp"))
+    b = bars.select("symbol", micros(F.col("ts")).alias("t"), F.col("ts").alias("d"), "high", "low", "atr").where("symbol IS NOT NULL AND ts IS NOT NULL")
+    b = shared.pinned(series.numbered(shared.pinned(b), ["symbol"], ["t"], "i"))
+    positions = shared.pinned(positions.select("id", "symbol", "entry_date", "entry", "stop", "target"))
+    n = b.groupBy("symbol").agg(F.max("i").alias("n"))
+    c = F.col("low") + atr_multiple * F.col("atr")
+
+    def channel(name: str, df: DataFrame, at: Column, value: Column, label: str, *more: str) -> DataFrame:
+        return df.select("symbol", F.lit(name).alias("rule"), at.alias("i"), value.cast("double").alias(label), *more)
+
+    with_n = b.join(n, "symbol")
+    points = [channel("stop", b, F.col("i"), -F.col("low"), "x"), channel("target", b, F.col("i"), F.col("high"), "x"), channel("entry", b, F.col("i"), -c, "x"), channel("back", with_n, F.col("n") - F.col("i"), F.col("high"), "x")]
+    # where each position starts: the last bar up to its entry, and the last bar before its time limit
+    day = F.to_date("entry_date")
+    times = positions.select("symbol", F.explode(F.array(micros(F.col("entry_date")), micros(F.date_add(day, days)) - 1)).alias("asof_ts")).distinct()
+    found = series.latest(times, b.select("symbol", F.col("t").alias("available_time"), "i"), "symbol", ["i"], ["i"])
+    start, limit = found.select(F.col("symbol").alias("__s"), F.col("asof_ts").alias("__t"), F.col("i").alias("__i")), found.select(F.col("symbol").alias("__s2"), F.col("asof_ts").alias("__t2"), F.col("i").alias("__j"))
+    p = positions.join(start, (F.col("symbol") == F.col("__s")) & (micros(F.col("entry_date")) == F.col("__t")), "left").join(limit, (F.col("symbol") == F.col("__s2")) & (micros(F.date_add(day, days)) - 1 == F.col("__t2")), "left")
+    p = shared.pinned(p.select("id", "symbol", "entry_date", "entry", "stop", "target", F.coalesce("__i", F.lit(-1)).alias("i"), (F.coalesce("__j", F.lit(-1)) + 1).alias("time_at")))
+    searches = [channel("stop", p, F.col("i"), -F.col("stop"), "level", "id"), channel("target", p, F.col("i"), F.col("target"), "level", "id"), channel("entry", p, F.col("i"), -F.col("entry"), "level", "id"), channel("back", with_n, F.col("n") - F.col("i"), c, "level", F.col("i").cast("string").alias("id"))]
+    hits = shared.pinned(series.first_hit(_union(searches), _union(points), ["symbol", "rule"], "level"))
+    # trailing stops by highs: the least bar t with p(t) after the entry
+    after = hits.where("rule = 'back' AND hit IS NOT NULL").join(n, "symbol").groupBy("symbol", (F.col("n") - F.col("hit")).alias("p")).agg(F.min(F.col("n") - F.col("i")).alias("t"))
+    trail = series.first_from(p.select("symbol", (F.col("i") + 1).alias("from")).distinct(), after, ["symbol"], "from", "p", "t")
+    own = hits.where("rule <> 'back'").groupBy("id").pivot("rule", ["stop", "target", "entry"]).agg(F.min("hit"))
+    j = p.join(own.select(F.col("id").alias("__id"), F.col("stop").alias("__stop"), F.col("target").alias("__target"), F.col("entry").alias("__entry")), F.col("id") == F.col("__id"), "left")
+    j = j.alias("j").join(trail.alias("r"), (F.col("j.symbol") == F.col("r.symbol")) & (F.col("j.i") + 1 == F.col("r.from")), "left").select("j.*", F.col("r.t").alias("__high"))
+    ranked = [F.struct(at.alias("at"), F.lit(k).alias("k"), F.lit(why).alias("why")) for k, (why, at) in enumerate((("stop", F.col("__stop")), ("trailing", F.least("__entry", "__high")), ("target", F.col("__target")), ("time", F.col("time_at"))))]
+    first = F.array_min(F.filter(F.array(*ranked), lambda s: s["at"].isNotNull()))
+    j = j.withColumn("__x", first)
+    place = b.select(F.col("symbol").alias("__s"), F.col("i").alias("__at"), F.col("d").alias("exit_date"))
+    j = j.join(place, (F.col("symbol") == F.col("__s")) & (F.col("__x.at") == F.col("__at")), "left")
+    return j.select("id", "symbol", "entry_date", "exit_date", F.when(F.col("exit_date").isNotNull(), F.col("__x.why")).alias("reason"))
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)

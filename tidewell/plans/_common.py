@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import MULTIPLIERS, PRIMES
+
 
 #: Added before rounding: far below the last digit, it keeps exact halves from falling differently in two engines.
 NUDGE = 3.3e-9
@@ -26,3 +28,11 @@ def cdf_sql(z: str) -> str:
     t = f"(1 / (1 + 0.3275911 * {x}))"
     half = f"(0.5 * {t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429)))) * exp(-{x} * {x}))"
     return f"(CASE WHEN ({z}) >= 0 THEN 1 - {half} ELSE {half} END)"
+
+
+def mixed_sql(*parts: str) -> str:
+    """functions.scalars.mixed in SQL."""
+    v = "1 + " + " + ".join(f"CAST({p} AS BIGINT) % {PRIMES[0]} * {m}" for p, m in zip(parts, MULTIPLIERS, strict=False))
+    for prime, m in zip(PRIMES, MULTIPLIERS[::-1], strict=False):
+        v = f"({v}) % {prime} * {m}"
+    return f"(({v}) % {PRIMES[2]})"

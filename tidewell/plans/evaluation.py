@@ -193,12 +193,6 @@ def purged_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy("fold", "role").agg(F.count("*").alias("rows"), F.min("ts").alias("first"), F.max("ts").alias("last"))
 
 
-@query()
-def bootstrap_sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = T.bars_h(spark, sf_dir).withColumn("ret", W.returns(F.col("close"), ind.DEFAULT))
-    return rounded(ev.bootstrap(b, ["symbol"], "ts"))
-
-
 @query(T.with_tables("bars_user_d", then=f"""
 , e AS (SELECT symbol, ts, close / 500 AS price, (open + close) / 1000 AS model, (open + close) / 1000 - close / 500 AS edge, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i FROM bars_user_d),
 s AS (SELECT symbol, i, CASE WHEN abs(edge) > 0.05 THEN CASE WHEN edge > 0 THEN 100.0 ELSE -100.0 END ELSE 0.0 END AS held, 1 AS age FROM e WHERE i = 1

@@ -69,13 +69,13 @@ def top_quintile_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(T.with_tables("bars_user_d", then=f"""
-, {_LONG}, {_TOP}, {_DAYS}, v AS (SELECT fold, role, ts, ret - 0.0001 AS r, exp(sum(ln(1 + ret - 0.0001)) OVER (PARTITION BY fold, role ORDER BY ts)) AS v FROM top JOIN sp USING (ts) WHERE role IS NOT NULL),
-dd AS (SELECT *, v / greatest(max(v) OVER (PARTITION BY fold, role ORDER BY ts), 1) - 1 AS dd FROM v)
-SELECT fold, role, count(*) AS n, {r('exp(sum(ln(1 + r))) - 1', 'total_return')}, {r('pow(exp(sum(ln(1 + r))), 252 / count(*)) - 1', 'annual_return', 4)}, {r('avg(r) / nullif(stddev_samp(r), 0) * sqrt(252)', 'sharpe')}, {r('min(dd)', 'max_drawdown')}, {r('avg(CASE WHEN r > 0 THEN 1.0 ELSE 0 END)', 'win_rate')}, {r('sum(CASE WHEN r > 0 THEN r END) / nullif(-sum(CASE WHEN r < 0 THEN r END), 0)', 'profit_factor')} FROM dd GROUP BY fold, role"""))
+, {_LONG}, {_TOP}, {_DAYS}, v AS (SELECT fold, role, ts, ret - 0.0001 AS r, product(1 + ret - 0.0001) OVER (PARTITION BY fold, role ORDER BY ts) AS v FROM top JOIN sp USING (ts) WHERE role IS NOT NULL),
+dd AS (SELECT *, v / nullif(max(v) OVER (PARTITION BY fold, role ORDER BY ts), 0) - 1 AS dd FROM v), g AS (SELECT fold, role, count(*) AS n, product(1 + r) AS g, stddev_samp(r) * sqrt(252) AS s, min(dd) AS dd, count_if(r > 0) AS w, count_if(r <> 0) AS t, coalesce(sum(CASE WHEN r > 0 THEN r END), 0) AS up, -coalesce(sum(CASE WHEN r < 0 THEN r END), 0) AS down FROM dd GROUP BY fold, role)
+SELECT fold, role, n, {r('CASE WHEN n >= 2 THEN g - 1 ELSE 0 END', 'total_return')}, {r('CASE WHEN n >= 2 THEN pow(g, 252 / n) - 1 ELSE 0 END', 'annual_return', 4)}, {r('CASE WHEN n >= 2 AND s > 0 THEN (pow(g, 252 / n) - 1) / s ELSE 0 END', 'sharpe', 4)}, {r('CASE WHEN n >= 2 THEN dd ELSE 0 END', 'max_drawdown')}, {r('CASE WHEN n >= 2 AND t > 0 THEN w / t ELSE 0 END', 'win_rate')}, {r("CASE WHEN n < 2 THEN 0 WHEN down > 0 THEN up / down ELSE 'inf'::DOUBLE END", 'profit_factor')} FROM g"""))
 def strategy_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _top(spark, sf_dir).join(F.broadcast(_folds(spark, sf_dir)), "ts")
     got = research.strategy_metrics(rows, ["fold", "role"], cost=0.0001)
-    return rounded(rounded(got.withColumn("annual_return", F.round(F.col("annual_return") + 3.3e-9, 4))))
+    return rounded(rounded(got.withColumns({c: F.round(F.col(c) + 3.3e-9, 4) for c in ("annual_return", "sharpe")})))
 
 
 @query(T.with_tables("bars_user_d", then=f"""
@@ -166,14 +166,6 @@ def target_shift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(got.withColumn("degradation", F.round(F.col("degradation") + 3.3e-9, 3)))
 
 
-@query()
-def shuffle_bias_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = T.bars_h(spark, sf_dir)
-    c = F.col("close")
-    x = b.select("symbol", "ts", W.returns(c, ind.DEFAULT).alias("signal"), W.forward_returns(c, ind.DEFAULT).alias("ret"))
-    return rounded(research.shuffle_test(x, ["symbol"], ["ts"], "signal", "ret"))
-
-
 @query(T.with_tables("probs", then=f"""
 , t AS (SELECT CAST(unnest([0.3, 0.4, 0.5, 0.6, 0.7]) AS DOUBLE) AS parameter), m AS (SELECT parameter, avg(CASE WHEN (p > parameter) = (y = 1) THEN 1.0 ELSE 0 END) AS metric FROM probs, t GROUP BY 1)
 SELECT {r('avg(metric)', 'mean')}, {r('stddev_samp(metric)', 'std')}, {r('abs(stddev_samp(metric) / nullif(avg(metric), 0))', 'cv')}, coalesce(abs(stddev_samp(metric) / nullif(avg(metric), 0)) < 0.5, false) AS robust FROM m"""))
@@ -198,9 +190,12 @@ def experiment_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(research.audit(T.table(spark, sf_dir, "events"), ["user_id", "event_type"], ["value", "props"]))
 
 
-@query(T.with_tables("bars_user_d", then=f", {_RET} SELECT ts, count(*) AS n, {r('avg(ret)', 'mean_return')}, {r('stddev_samp(ret)', 'dispersion')} FROM ret WHERE ret IS NOT NULL GROUP BY ts"))
+@query(T.with_tables("bars_user_d", then=f""", {_RET}, e AS (SELECT CAST(ts AS DATE) AS d, avg(value) AS level FROM events GROUP BY 1)
+SELECT ts, count(*) AS n, {r('avg(ret)', 'mean_return')}, {r('stddev_samp(ret)', 'dispersion')}, {r('stddev_samp(close)', 'volatility')}, {r('max(level)', 'macro_level')} FROM ret LEFT JOIN e ON e.d = ts WHERE ret IS NOT NULL GROUP BY ts"""))
 def market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(research.market_features(T.bars_user_d(spark, sf_dir), ind.DEFAULT))
+    """The mean of all events of a day stands for a macro series."""
+    macro = T.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("ts")).agg(F.avg("value").alias("level"))
+    return rounded(research.market_features(T.bars_user_d(spark, sf_dir), ind.DEFAULT, macro=macro))
 
 
 @query(f"SELECT event_type, count(value) AS n, {r('min(value)', 'low')}, {r('max(value)', 'high')}, {r('avg(value)', 'mean')}, {r('quantile_cont(value, 0.95)', 'p95')} FROM events GROUP BY event_type")
@@ -226,8 +221,18 @@ def prediction_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH s AS (SELECT o_orderstatus AS k, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS y, o_orderdate < TIMESTAMP '1998-01-01' AS old FROM orders), g AS (SELECT k, avg(CASE WHEN old THEN y END) AS before, avg(CASE WHEN NOT old THEN y END) AS now FROM s GROUP BY k)
-SELECT k, {r('before', 'before')}, {r('now', 'now')}, {r('now - before', 'shift')}, coalesce(abs(now - before) > 0.05, false) AS shifted FROM g""")
+SELECT k, {r('before', 'before')}, {r('now', 'now')}, {r('CASE WHEN before = 0 THEN abs(now - before) ELSE abs(now - before) / abs(before) END', 'shift')}, coalesce(CASE WHEN before = 0 THEN abs(now - before) ELSE abs(now - before) / abs(before) END > 0.2, false) AS shifted FROM g""")
 def label_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dear orders as labels, before 1998 and from then on, by status."""
     o = T.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("k"), F.when(F.col("o_totalprice") > 150000, 1).otherwise(0).alias("y"), (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).alias("old"))
     return rounded(ev.label_shift(o.where("old"), o.where("not old"), ["k"]))
+
+
+@query(T.with_tables("bars_supp_d", then=f"""
+, q AS (SELECT symbol, ts, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_supp_d), k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i, count(*) OVER (PARTITION BY symbol) AS n FROM q WHERE ret IS NOT NULL),
+s AS (SELECT symbol, max(n) AS n, avg(CASE WHEN i <= n // 2 THEN ret END) / nullif(stddev_samp(CASE WHEN i <= n // 2 THEN ret END), 0) * sqrt(252) AS a, avg(CASE WHEN i > n // 2 THEN ret END) / nullif(stddev_samp(CASE WHEN i > n // 2 THEN ret END), 0) * sqrt(252) AS b FROM k GROUP BY symbol),
+m AS (SELECT symbol, CAST(date_trunc('month', ts) AS DATE) AS month, product(1 + ret) - 1 AS c FROM k GROUP BY 1, 2), w AS (SELECT symbol, arg_min(month, (c, month)) AS worst_month, min(c) AS c FROM m GROUP BY symbol), z AS (SELECT symbol, n, CASE WHEN n >= 20 THEN coalesce(a, 0) END AS a, CASE WHEN n >= 20 THEN coalesce(b, 0) END AS b FROM s)
+SELECT symbol, n, {r('a', 'sharpe_first')}, {r('b', 'sharpe_second')}, {r('CASE WHEN n >= 20 THEN least(a, b) / greatest(abs(a), abs(b), 1e-10) END', 'sharpe_stability')}, worst_month, {r('c', 'worst_return')} FROM z JOIN w USING (symbol)"""))
+def return_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = T.bars_supp_d(spark, sf_dir)
+    return rounded(ev.return_stability(b.select("symbol", "ts", W.returns(F.col("close"), ind.DEFAULT).alias("ret")), ["symbol"], "ts"))

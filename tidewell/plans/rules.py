@@ -66,11 +66,14 @@ def order_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(T.with_tables("bars_supp_d", then=f"""
-, t AS (SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY ts) AS pc FROM bars_supp_d)), b AS (SELECT *, {sma('tr', 14)} AS atr, lag(ts) OVER (PARTITION BY symbol ORDER BY ts) AS before FROM t),
-j AS (SELECT p.symbol, p.ts AS entry_date, p.close AS entry, b.ts AS d, b.high, b.low, b.atr, max(b.high) OVER (PARTITION BY p.symbol, p.ts ORDER BY b.ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM b p JOIN b ON b.symbol = p.symbol AND b.ts > p.ts AND coalesce(b.before - p.ts < 20, true)),
-w AS (SELECT *, CASE WHEN low <= entry * 0.5 THEN 'stop' WHEN low <= greatest(coalesce(top, entry), entry) - 2 * atr THEN 'trailing' WHEN high >= entry * 1.5 THEN 'target' WHEN d - entry_date >= 20 THEN 'time' END AS why FROM j), f AS (SELECT symbol, entry_date, min(d) AS exit_date, arg_min(why, d) AS reason FROM w WHERE why IS NOT NULL GROUP BY 1, 2)
+, t AS (SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY ts) AS pc FROM bars_supp_d)),
+b AS MATERIALIZED (SELECT *, {sma('tr', 14)} AS atr, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i, count(*) OVER (PARTITION BY symbol) AS n, min(ts) OVER (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 20 DAYS FOLLOWING AND UNBOUNDED FOLLOWING) AS late FROM t),
+p AS MATERIALIZED (SELECT p.symbol, p.ts AS entry_date, p.close AS entry, unnest(generate_series(p.i + 1, coalesce(l.i, p.n))) AS i FROM b p LEFT JOIN b l ON l.symbol = p.symbol AND l.ts = p.late),
+j AS (SELECT p.*, b.ts AS d, b.high, b.low, b.atr, max(b.high) OVER (PARTITION BY p.symbol, p.entry_date ORDER BY p.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM p JOIN b ON b.symbol = p.symbol AND b.i = p.i),
+w AS (SELECT *, CASE WHEN low <= entry * 0.5 THEN 'stop' WHEN low + 2 * atr <= greatest(coalesce(top, entry), entry) THEN 'trailing' WHEN high >= entry * 1.5 THEN 'target' WHEN d - entry_date >= 20 THEN 'time' END AS why FROM j), f AS (SELECT symbol, entry_date, min(d) AS exit_date, arg_min(why, d) AS reason FROM w WHERE why IS NOT NULL GROUP BY 1, 2)
 SELECT concat_ws('|', b.symbol, b.ts) AS id, b.symbol, b.ts AS entry_date, exit_date, reason FROM b LEFT JOIN f ON f.symbol = b.symbol AND f.entry_date = b.ts"""))
 def position_exits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A position is entered at the close of every bar; its path ends at the first bar 20 days later or more."""
     b = ind.technical(T.bars_supp_d(spark, sf_dir).withColumn("open", F.col("close")))
     b = b.withColumn("atr", F.col("atr_14"))
     p = b.select(F.concat_ws("|", "symbol", "ts").alias("id"), "symbol", F.col("ts").alias("entry_date"), F.col("close").alias("entry"), (F.col("close") * 0.5).alias("stop"), (F.col("close") * 1.5).alias("target"))
