@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..functions import windows as W
 from ..operators import indicators as ind
-from ..operators import inference
+from ..operators import inference, lineage
 from ..sources import tables as T
 from ._common import mixed_sql, r, rounded
 from .registry import query
@@ -94,3 +95,19 @@ SELECT symbol, {r('sum(c) / max(n - 1)', 'mean_corr')}, {r('max(m)', 'market_cor
 def market_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean correlation of each supplier's daily volume with all others'; the SQL forms the pairs."""
     return rounded(inference.mean_correlation(T.bars_supp_d(spark, sf_dir), "symbol", "ts", "volume"))
+
+
+@query("""
+WITH t AS (SELECT event_type AS name, user_id AS id, user_id % 3 AS seq, (user_id * 7919 % 1009 + 0.5) / 1009 * CASE WHEN user_id % 5 = 0 THEN 0.002 ELSE 1 END AS p FROM (SELECT DISTINCT event_type, user_id FROM events)),
+u AS (SELECT p, unnest(generate_series(seq, 2)) AS upto FROM t), k AS (SELECT upto, p, row_number() OVER (PARTITION BY upto ORDER BY p) AS k, count(*) OVER (PARTITION BY upto) AS m FROM u), c AS (SELECT upto, max(p) AS cut FROM k WHERE p <= k * 0.05 / m GROUP BY upto)
+SELECT 'run' || seq AS run, name, id, coalesce(p <= (SELECT cut FROM c WHERE upto = seq), false) AS rejected_then, coalesce(p <= (SELECT cut FROM c WHERE upto = 2), false) AS rejected_now FROM t""")
+def trial_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of trials go into a registry, the second one twice."""
+    u = F.col("user_id")
+    e = T.table(spark, sf_dir, "events").select(F.col("event_type").alias("name"), u).distinct()
+    trials = e.select("name", u.alias("id"), ((u * 7919 % 1009 + 0.5).cast("double") / 1009 * F.when(u % 5 == 0, 0.002).otherwise(1.0)).alias("p"), (u % 3).alias("part"))
+    path = shared.scratch(spark, "trials")
+    for run in (0, 1, 1, 2):
+        lineage.register_trials(trials.where(F.col("part") == run).drop("part"), path, f"run{run}")
+    got = lineage.trial_verdicts(lineage.registered_trials(spark, path))
+    return got.select("run", "name", "id", "rejected_then", "rejected_now")

@@ -183,7 +183,8 @@ def upsert_into(path: str, key: Sequence[str], buckets: int = 64) -> Callable[[D
     """A foreachBatch function that upserts each micro-batch into a parquet table of key buckets (read it with upserted).
 
     Only the buckets that a batch touches are written, as a new version under the batch's number, so what is written grows
-    with the batch, and a batch that is run again gives the same.
+    with the batch, and a batch that is run again gives the same. Versions stay for as-of reads; where they should not, or
+    where batches are small against the table, use delta.DeltaTable.
     """
     bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
