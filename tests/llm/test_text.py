@@ -1,5 +1,7 @@
 """Filters, scoring, personal data, packing and archives."""
 
+import base64
+import hashlib
 import os
 import re
 import time
@@ -413,3 +415,104 @@ def test_quality_matches_brute_force_and_odd_rows(spark):
     marks = spark.createDataFrame([(4, 1), (4, 0), (2, None), (None, 1), (3, 7)], "doc_id long, grade int")
     for d, m in ((df, marks), (df.where("false"), marks), (df, marks.where("false"))):
         assert df.select(quality.rate(df, quality.fit(d, m, 3)).alias("r")).where("size(r.tail) = 2 and r.expected between 0 and 2").count() == 6
+
+
+def record(body, *headers, kind=b"response"):
+    return b"WARC/1.1\r\nWARC-Type: " + kind + b"\r\n" + b"".join(h + b"\r\n" for h in headers) + b"Content-Length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+
+
+def test_digests_as_archives_write_them():
+    head, body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n", b"<html>caf\xc3\xa9</html>"
+    sha = hashlib.sha1(body).digest()
+    forms = [b"sha1:" + base64.b32encode(sha), b"sha1:" + base64.b32encode(sha).lower(), b"sha1:" + sha.hex().encode(), b"SHA1:" + sha.hex().upper().encode(), b"sha-256:" + hashlib.sha256(body).hexdigest().encode(), b"md5:" + base64.b32encode(hashlib.md5(body).digest()).rstrip(b"="), b"crc32:1234", b"sha1:odd"]
+    http = b"Content-Type: application/http; msgtype=response"
+    for form in forms:
+        (r,) = warc.salvage(record(head + body, http, b"WARC-Payload-Digest: " + form))
+        assert r.problem is None and r.payload == body, form
+        (r,) = warc.salvage(record(body, b"WARC-Payload-Digest: " + form))
+        assert r.problem is None and r.payload == body
+    whole = b"sha1:" + base64.b32encode(hashlib.sha1(head + body).digest())
+    (r,) = warc.salvage(record(head + body, http, b"WARC-Payload-Digest: " + whole, b"WARC-Block-Digest: " + whole))
+    assert r.problem is None and r.payload == body
+    wrong = base64.b32encode(hashlib.sha1(b"x").digest())
+    for name in (b"Payload", b"Block"):
+        (r,) = warc.salvage(record(head + body, http, b"WARC-" + name + b"-Digest: sha1:" + wrong))
+        assert r.problem == f"{name.decode().lower()} digest differs"
+        (r,) = warc.salvage(record(head + body, http, b"WARC-Truncated: length", b"WARC-" + name + b"-Digest: sha1:" + wrong))
+        assert r.problem is None
+    (r,) = warc.salvage(record(b"", b"WARC-Payload-Digest: sha1:" + wrong, kind=b"revisit"))
+    assert r.problem is None
+    (r,) = warc.salvage(record(body, b"X-Long: a", b"  b", b"\tc"))
+    assert r.headers["x-long"] == "a b c" and r.payload == body
+
+
+def test_salvage_is_linear_before_a_far_end_of_headers():
+    good = record(b"body")
+    for junk in (b"WARC/1.1\r\n", b"WARC/1.1\r\nContent-Length: 3\r\n", b"a: WARC/1.1\r\n", b"WARC/1.0\r\nno colon here\r\n"):
+        for tail in (b"", good):
+            data = junk * 60_000 + b"x: y\r\n\r\n" + tail
+            began = time.process_time()
+            got = list(warc.salvage(data))
+            assert time.process_time() - began < 4, junk
+            assert [r.problem is None for r in got] == ([False, True] if tail else [False]) and got[-1].end == len(data) and got[0].start == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([b"WARC/1.1\r\n", b"Content-Length: 4\r\n", b"Content-Length: 9\r\n", b"\r\n", b"\r\n\r\n", b"body", b"a: b\r\n", b"junk", b"WARC-Payload-Digest: sha1:" + hashlib.sha1(b"body").hexdigest().encode() + b"\r\n", b"WARC-Payload-Digest: sha1:" + hashlib.sha1(b"else").hexdigest().encode() + b"\r\n", record(b"body")]), max_size=14).map(b"".join))
+def test_salvage_skips_no_record(data):
+    """The kept reasons against a search that tries every version line by itself."""
+    at, want = 0, []
+    while at < len(data):
+        got = warc._one(data, at)[0]
+        while not got and at < len(data):
+            at += 1
+            got = warc._one(data, at)[0]
+        if got:
+            want.append((got.start, got.end))
+            at = got.end
+    assert [(r.start, r.end) for r in warc.salvage(data) if not r.problem] == want
+
+
+def test_gaps_inside_members_have_their_bytes(spark, tmp_path):
+    one = record(b"body")
+    plain = one + b"junk" + one
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.warc.gz").write_bytes(zlib.compress(one, wbits=31) + zlib.compress(plain, wbits=31))
+    rows = warc.read(spark, f"file://{tmp_path}/x")
+    assert warc.log_gaps(rows, f"file://{tmp_path}/gaps") == 1
+    (g,) = spark.read.json(f"file://{tmp_path}/gaps").collect()
+    first = len(zlib.compress(one, wbits=31))
+    assert (g.start, g.inner_start, g.inner_end) == (first, len(one), len(one) + 4)
+    assert sorted((r.start, r.inner_start) for r in rows.where("problem IS NULL").collect()) == [(0, 0), (first, 0), (first, len(one) + 4)]
+
+
+def test_warc_query_on_null_and_repeated_keys_matches_sql(spark, tmp_path):
+    long = "x" * 1500
+    rows = [(1, "u", long), (None, "u", long), (None, None, "y" * 1200), (None, "v", "y" * 1200), (2, "u", "short"), (3, "u", "short"), (4, "u", None), (5, "u", long), (5, "w", long), (None, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas().astype({"page_id": "Int64"}))
+    rel = con.sql(queries.OP10_SQL)
+    got = queries.op10_warc(spark, str(tmp_path)).select(*rel.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rel.fetchall(), key=repr)
+    assert sum(r.record_type == "revisit" for r in got) == 2
+
+
+def test_tokenizers_that_keep_blanks_take_texts_whole(tmp_path):
+    """A byte-level vocabulary written by hand: blanks are joined to the word after them."""
+    from tokenizers import decoders, models, pre_tokenizers
+
+    letters = {c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))}
+    merges = [("a", "b"), ("Ġ", "ab"), ("Ġ", "Ġ")]
+    vocab = letters | {a + b: len(letters) + i for i, (a, b) in enumerate(merges)}
+    tok = Tokenizer(models.BPE(vocab, merges))
+    tok.pre_tokenizer, tok.decoder = pre_tokenizers.ByteLevel(add_prefix_space=False), decoders.ByteLevel()
+    path = str(tmp_path / "byte_level.json")
+    tok.save(path)
+    texts = ["ab ab  ab. Ab!\n\n ab?  é中 ab\U0001f600 ", "", " ", "\n", "ab", "a" * 500 + " ab" * 100, "x. y z! "]
+    for text, pieces in zip(texts, packing.encode(texts, path), strict=True):
+        assert np.frombuffer(b"".join(pieces), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(pieces) == text.count(" ") + text.count("\n") + 1
+        runs = packing.by_sentence(text, pieces)
+        assert b"".join(runs) == b"".join(pieces)

@@ -100,14 +100,27 @@ def _tokenizer(path: str) -> Words:
 def encode(texts: list[str], path: str) -> list[list[bytes]]:
     """For each text, the ids (as bytes) of each of its pieces between blanks and line ends.
 
-    The tokenizer drops white space and never joins across it, so the pieces' ids in order are the text's ids; only
-    pieces that are not in the memo are given to it.
+    A tokenizer with the known steps drops white space and never joins across it, so the pieces' ids in order are the text's
+    ids; only pieces that are not in the memo are given to it. Any other tokenizer takes each text whole, and an id belongs to
+    the piece in which its token ends.
     """
     words = _tokenizer(path)
     words.trim()
+    if not words.known:
+        return [_whole(words.tok, t) for t in texts]
     return [list(map(words.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
+def _whole(tok, text: str) -> list[bytes]:
+    got = tok.encode(text, add_special_tokens=False)
+    blanks = np.array([i for i, c in enumerate(text) if c in " \n"], np.int64)
+    ends = np.maximum.accumulate(np.array([e for _, e in got.offsets], np.int64)) if got.offsets else np.zeros(0, np.int64)
+    piece = np.searchsorted(blanks, ends - 1, "right")
+    ids = np.array(got.ids, "<u4")
+    edges = np.searchsorted(piece, np.arange(len(blanks) + 2))
+    return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+
+
 _STOPS = np.zeros(256, bool)
 _STOPS[[33, 46, 63]] = True
 

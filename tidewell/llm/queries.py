@@ -132,8 +132,8 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
 SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+  CASE WHEN payload_bytes >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM m
 """
 

@@ -1,12 +1,14 @@
 """WARC archives: a writer on Spark's text sink and a salvage reader.
 
-The reader checks every record (version line, header block, Content-Length, closing CRLFs, payload digest). After a
-failed check it searches for the next version line, or in compressed files the next valid gzip member, goes on from
+The reader checks every record (version line, header block, Content-Length, closing CRLFs, digests of block and payload).
+After a failed check it searches for the next version line, or in compressed files the next valid gzip member, goes on from
 there, and reports the bytes in between as a quarantined gap; log_gaps writes these to a table of their own.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import datetime
 import hashlib
 import logging
@@ -24,62 +26,115 @@ from . import store
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 END = b"\r\n\r\n"
 _GZIP = b"\x1f\x8b\x08"
-RECORD = "file string, start long, end long, type string, headers map<string,string>, payload_bytes long, payload_digest string, payload binary, problem string"
+RECORD = "file string, start long, end long, type string, headers map<string,string>, payload_bytes long, payload_digest string, payload binary, problem string, inner_start long, inner_end long"
 
 
 @dataclass
 class Record:
-    """A record, or with problem set a quarantined gap, of bytes start to end of a file."""
+    """A record, or with problem set a quarantined gap, of bytes start to end of a file. inner: the bytes of the content of
+    the gzip member at start to end, for records and gaps inside one."""
 
     start: int
     end: int
     headers: dict[str, str] = field(default_factory=dict)
     payload: bytes | None = None
     problem: str | None = None
+    inner: tuple[int | None, int | None] = (None, None)
 
 
-def _one(data: bytes, at: int) -> tuple[Record | None, str]:
-    """The record at an offset, or None and what is wrong."""
+def digest_fits(said: str, data: bytes) -> bool:
+    """Whether a labelled digest (sha1:..., in hexadecimal of either case or base32) is that of the data. True where none is
+    said, or one that cannot be checked: of an unknown algorithm, or not of its length in either form."""
+    name, colon, value = said.partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if not colon or name not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return True
+    own = hashlib.new(name, data).digest()
+    try:
+        want = bytes.fromhex(value) if len(value) == 2 * len(own) else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        return True
+    return len(want) != len(own) or want == own
+
+
+def http_body(block: bytes, content_type: str) -> bytes:
+    """The payload of a block: what follows the HTTP head, where the type says that there is one; else the block."""
+    at = block.find(END) if content_type.lower().startswith("application/http") else -1
+    return block if at < 0 else block[at + len(END) :]
+
+
+def _one(data: bytes, at: int, stop: int | None = None) -> tuple[Record | None, str, int]:
+    """The record at an offset, or None, what is wrong, and an offset up to which a version line fails for the same reason.
+
+    stop: where the next end of headers is, if that is known (-1: nowhere).
+    """
     if not VERSION.match(data, at):
-        return None, "no version line"
-    stop = data.find(END, at)
+        return None, "no version line", at
+    stop = data.find(END, at) if stop is None else stop
     if stop < 0:
-        return None, "no end of headers"
-    headers = {}
-    for line in data[at:stop].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return None, "malformed header"
-        headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        return None, "no end of headers", len(data)
+    headers: dict[str, str] = {}
+    places: dict[str, int] = {}
+    name, line = "", data.find(b"\r\n", at) + 2
+    while line < stop:
+        after = data.find(b"\r\n", line, stop)
+        after = stop if after < 0 else after
+        text = data[line:after]
+        if text[:1] in (b" ", b"\t") and name:  # a folded line goes on with the header before
+            headers[name] += " " + text.decode("utf-8", "replace").strip()
+        else:
+            key, colon, value = text.partition(b":")
+            if not colon:
+                return None, "malformed header", line - 1
+            name = key.decode("utf-8", "replace").strip().lower()
+            headers[name], places[name] = value.decode("utf-8", "replace").strip(), line
+        line = after + 2
     length = headers.get("content-length", "")
     if not re.fullmatch("[0-9]{1,15}", length):
-        return None, "no content length"
+        return None, "no content length", places.get("content-length", stop)
     body = stop + len(END)
     end = body + int(length)
     if data[end : end + len(END)] != END:
-        return None, "content length does not fit"
-    payload = data[body:end]
-    digest = headers.get("warc-payload-digest", "")
-    if headers.get("warc-type") != "revisit" and digest.startswith("sha1:") and digest[5:] != hashlib.sha1(payload).hexdigest():
-        return None, "payload digest differs"
-    return Record(at, end + len(END), headers, payload), ""
+        return None, "content length does not fit", places["content-length"]
+    block = data[body:end]
+    payload = http_body(block, headers.get("content-type", "")) if headers.get("warc-type") in ("response", "request", "revisit") else block
+    if "warc-truncated" not in headers:
+        said = headers.get("warc-payload-digest", "")
+        # writers differ on whether the HTTP head belongs to the payload; revisits name the digest of what they refer to
+        if headers.get("warc-type") != "revisit" and not digest_fits(said, payload) and (len(payload) == len(block) or not digest_fits(said, block)):
+            return None, "payload digest differs", min(places["content-length"], places["warc-payload-digest"])
+        if not digest_fits(headers.get("warc-block-digest", ""), block):
+            return None, "block digest differs", min(places["content-length"], places["warc-block-digest"])
+    return Record(at, end + len(END), headers, payload), "", end
 
 
 def salvage(data: bytes) -> Iterator[Record]:
-    """All valid records of an uncompressed file in order, and a Record with problem for every gap between them."""
-    at = 0
+    """All valid records of an uncompressed file in order, and a Record with problem for every gap between them.
+
+    Where many version lines come before one end of headers, the place of that end and of what is wrong is kept, so that the
+    search is linear in the file.
+    """
+    at, ahead = 0, -1
+
+    def one(at: int) -> tuple[Record | None, str, int]:
+        nonlocal ahead
+        if 0 <= ahead < at or ahead == -1:
+            ahead = data.find(END, at)
+            ahead = ahead if ahead >= 0 else -2
+        return _one(data, at, ahead if ahead >= 0 else -1)
+
     while at < len(data):
-        got, wrong = _one(data, at)
+        got, wrong, until = one(at)
         if got:
             yield got
             at = got.end
             continue
-        look = at + 1
-        while m := VERSION.search(data, look):
-            if _one(data, m.start())[0]:
+        found = None
+        while m := VERSION.search(data, max(until, at) + 1):
+            found, _, until = one(m.start())
+            if found:
                 break
-            look = m.start() + 1
-        end = m.start() if m else len(data)
+        end = found.start if found else len(data)
         yield Record(at, end, problem=wrong)
         at = end
 
@@ -96,7 +151,8 @@ def _member(data: memoryview, at: int, chunk: int = 1 << 15) -> tuple[bytes, int
 
 
 def salvage_gzip(data: bytes) -> Iterator[Record]:
-    """As salvage, for a file of gzip members; offsets are of the compressed file, one member may hold many records."""
+    """As salvage, for a file of gzip members; offsets are of the compressed file. A member may hold
+    many records: inner has their offsets in its content."""
     at, gap, wrong, view = 0, None, "", memoryview(data)
     while at < len(data):
         try:
@@ -112,7 +168,7 @@ def salvage_gzip(data: bytes) -> Iterator[Record]:
             yield Record(gap, at, problem=wrong)
             gap = None
         for r in salvage(plain):
-            yield Record(at, end, r.headers, r.payload, r.problem)
+            yield Record(at, end, r.headers, r.payload, r.problem, (r.start, r.end))
         at = end
     if gap is not None:
         yield Record(gap, len(data), problem=wrong)
@@ -129,7 +185,7 @@ def read(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
         for b in batches:
             for name, data in zip(b["path"], b["content"], strict=True):
                 data = bytes(data)
-                rows = [(name, r.start, r.end, r.headers.get("warc-type"), r.headers, None if r.payload is None else len(r.payload), None if r.payload is None else hashlib.sha1(r.payload).hexdigest(), r.payload, r.problem) for r in (salvage_gzip if data[:2] == _GZIP[:2] else salvage)(data)]
+                rows = [(name, r.start, r.end, r.headers.get("warc-type"), r.headers, None if r.payload is None else len(r.payload), None if r.payload is None else hashlib.sha1(r.payload).hexdigest(), r.payload, r.problem, *r.inner) for r in (salvage_gzip if data[:2] == _GZIP[:2] else salvage)(data)]
                 for at in range(0, len(rows), 500):
                     yield pd.DataFrame(rows[at : at + 500], columns=[c.split()[0] for c in RECORD.split(", ")])
 
@@ -138,8 +194,9 @@ def read(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
 
 
 def log_gaps(records: DataFrame, path: str) -> int:
-    """Writes the quarantined gaps among records (file, start, end, problem) as JSON and returns their number."""
-    gaps = records.where(F.col("problem").isNotNull()).select("file", "start", "end", "problem")
+    """Writes the quarantined gaps among records (file, start, end, problem; inner_start and inner_end in the content of the
+    gzip member at start, for gaps inside one) as JSON and returns their number."""
+    gaps = records.where(F.col("problem").isNotNull()).select("file", "start", "end", "inner_start", "inner_end", "problem")
     gaps.write.json(path)
     found = records.sparkSession.read.schema(gaps.schema).json(path).count()
     if found:
