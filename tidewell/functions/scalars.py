@@ -134,14 +134,15 @@ def quality_score(hours: Column, days: Column, outlier: Column, has_micro: Colum
     return F.greatest(100.0 - p - F.when(outlier, 20.0).otherwise(0.0) - F.when(has_micro, 0.0).otherwise(10.0), F.lit(0.0))
 
 
-#: Multipliers of multiplicative congruential generators, and primes below 2**31.
-MULTIPLIERS, PRIMES = (48271, 69621, 16807, 39373), (2147483647, 1999999973, 1610612741)
+#: Multipliers of multiplicative congruential generators, primes below 2**31, and bit patterns.
+MULTIPLIERS, PRIMES, BITS = (48271, 69621, 16807, 39373), (2147483647, 1999999973, 1610612741), (0x2C9277B5, 0x5A827999, 0x6ED9EBA1)
 
 
 def mixed(*parts: Column) -> Column:
     """A pseudo-random number from 0 up to PRIMES[2] of up to four whole numbers that are not negative: products modulo one
-    prime after another, by arithmetic that any SQL engine has. Each part is used once, so that calls can be nested."""
+    prime after another with bits flipped between, by arithmetic that any SQL engine has. Each part is used once, so that
+    calls can be nested."""
     v = sum((p.cast("long") % PRIMES[0] * m for p, m in zip(parts, MULTIPLIERS, strict=False)), F.lit(1).cast("long"))
-    for prime, m in zip(PRIMES, MULTIPLIERS[::-1], strict=False):
-        v = v % prime * m
+    for prime, m, bits in zip(PRIMES, MULTIPLIERS[::-1], BITS, strict=False):
+        v = (v % prime).bitwiseXOR(F.lit(bits).cast("long")) * m
     return v % PRIMES[2]

@@ -73,8 +73,8 @@ def newey_west(df: DataFrame, keys: Sequence[str], order: str, y: str, xs: Seque
     fitted = shared.pinned(sums.mapInPandas(solve, f"{key_types}n long, beta array<double>, inv array<double>, sst double"))
     fitted = fitted.withColumn("lags", F.when(F.col("n") > least, lag_count(F.col("n"))).otherwise(0))
     most = fitted.agg(F.max("lags")).first()[0] or 0
-    one = fitted.select(*[F.col(c).alias(f"__{c}") for c in keys], "n", "beta", "lags")
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+    one = fitted.select(*[F.col(c).alias(f"__key_{c}") for c in keys], "n", "beta", "lags")
+    same = [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in keys]
     r = (rows.join(one, same) if keys else rows.crossJoin(F.broadcast(one))).withColumn("__e", F.col(y) - sum(F.col("beta")[i] * x[i] for i in range(k)))
     r = r.withColumns({f"__g{i}": x[i] * F.col("__e") for i in range(k)})
     w = Window.partitionBy(*keys).orderBy(order)
@@ -82,7 +82,7 @@ def newey_west(df: DataFrame, keys: Sequence[str], order: str, y: str, xs: Seque
     r = r.withColumns({f"__h{i}": sum((weight(lag) * F.coalesce(F.lag(f"__g{i}", lag).over(w), F.lit(0.0)) for lag in range(1, most + 1)), F.lit(0.0)) for i in range(k)})
     g, h = (lambda i: F.col(f"__g{i}")), (lambda i: F.col(f"__h{i}"))
     moments = r.groupBy(*keys).agg(F.sum(F.col("__e") * F.col("__e")).alias("sse"), *[F.sum(g(i) * g(j) + g(i) * h(j) + h(i) * g(j)).alias(f"s{i}_{j}") for i, j in pairs])
-    again = fitted.select(*[F.col(c).alias(f"__{c}") for c in keys], "n", "beta", "inv", "sst", "lags")
+    again = fitted.select(*[F.col(c).alias(f"__key_{c}") for c in keys], "n", "beta", "inv", "sst", "lags")
     both = moments.join(again, same) if keys else moments.crossJoin(F.broadcast(again))
 
     def errors(batches):
@@ -110,8 +110,8 @@ def bootstrap(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret",
     """
     r = F.col(ret).cast("double")
     at = series.numbered(df.where(r.isNotNull()).select(*keys, order, ret), keys, [order], "__i", sums={"__a": r, "__b2": r * r})
-    at = shared.pinned(at.select(*[F.col(c).alias(f"__{c}") for c in keys], (F.col("__i") + 1).alias("__p"), "__a", "__b2"))
-    sizes = at.groupBy(*[f"__{c}" for c in keys]).agg(F.max("__p").alias("__n")).select(*[F.col(f"__{c}").alias(c) for c in keys], "__n")
+    at = shared.pinned(at.select(*[F.col(c).alias(f"__key_{c}") for c in keys], (F.col("__i") + 1).alias("__p"), "__a", "__b2"))
+    sizes = at.groupBy(*[f"__key_{c}" for c in keys]).agg(F.max("__p").alias("__n")).select(*[F.col(f"__key_{c}").alias(c) for c in keys], "__n")
     n = F.col("__n")
     grid = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / block))))
     start = mixed(F.col("rep"), F.col("blk"), F.lit(seed)) % n
@@ -121,7 +121,7 @@ def bootstrap(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret",
     rounds = F.floor(F.col("__end") / n)
     ends = F.array(end(F.col("__start"), -1.0), F.struct(F.pmod("__end", n).alias("p"), F.lit(1.0).alias("s")), F.struct(n.alias("p"), rounds.cast("double").alias("s")))
     ends = grid.select(*keys, "__n", "rep", F.explode(ends).alias("e")).select(*keys, "__n", "rep", "e.p", "e.s").where("p > 0 AND s <> 0")
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys] + [F.col("p") == F.col("__p")]
+    same = [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in keys] + [F.col("p") == F.col("__p")]
     sums = ends.join(at.hint("shuffle_hash"), same).groupBy(*keys, "__n", "rep").agg(F.sum(F.col("s") * F.col("__a")).alias("__s1"), F.sum(F.col("s") * F.col("__b2")).alias("__s2"))
     mean = F.col("__s1") / n
     spread = F.sqrt(F.greatest((F.col("__s2") - F.col("__s1") * mean) / F.when(n > 1, n - 1), F.lit(0.0)))
@@ -171,11 +171,11 @@ def shuffle_test(df: DataFrame, keys: Sequence[str], order: str, signal: str, re
     rows = series.numbered(df.where(F.col(signal).isNotNull() & F.col(ret).isNotNull()).select(*keys, order, signal, ret), keys, [order], "__i")
     rows = shared.pinned(rows.select(*keys, "__i", F.col(signal).alias("__s"), F.col(ret).alias("__r")))
     real = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.avg(F.col("__s") * F.col("__r")).alias("real"))
-    side = real.select(*[F.col(c).alias(f"__{c}") for c in keys], "__n", "real")
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+    side = real.select(*[F.col(c).alias(f"__key_{c}") for c in keys], "__n", "real")
+    same = [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in keys]
     grid = (rows.join(side, same) if keys else rows.crossJoin(F.broadcast(side))).select(*keys, "__i", "__s", "__n", "real", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
     made = permuted(grid.withColumn("__seed", F.lit(seed)), "__i", "__n", ["rep", "__seed"], "__j")
-    other = rows.select(*[F.col(c).alias(f"__{c}") for c in keys], F.col("__i").alias("__k"), F.col("__r"))
+    other = rows.select(*[F.col(c).alias(f"__key_{c}") for c in keys], F.col("__i").alias("__k"), F.col("__r"))
     # a left join: for an inner one the optimiser would evaluate the permutation once more, in a filter on __j
     made = made.join(other.hint("shuffle_hash"), [*same, F.col("__j") == F.col("__k")], "left").groupBy(*keys, "rep").agg(F.avg(F.col("__s") * F.col("__r")).alias("m"), F.max("real").alias("real"))
     got = made.groupBy(*keys).agg(F.max("real").alias("real"), F.avg("m").alias("mean"), F.stddev_samp("m").alias("std"), ((F.count_if(F.round(F.col("m") - F.col("real"), 12) >= 0) + 1) / (F.count("*") + 1)).alias("p"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import MULTIPLIERS, PRIMES
+from ..functions.scalars import BITS, MULTIPLIERS, PRIMES
 
 
 #: Added before rounding: far below the last digit, it keeps exact halves from falling differently in two engines.
@@ -33,6 +33,6 @@ def cdf_sql(z: str) -> str:
 def mixed_sql(*parts: str) -> str:
     """functions.scalars.mixed in SQL."""
     v = "1 + " + " + ".join(f"CAST({p} AS BIGINT) % {PRIMES[0]} * {m}" for p, m in zip(parts, MULTIPLIERS, strict=False))
-    for prime, m in zip(PRIMES, MULTIPLIERS[::-1], strict=False):
-        v = f"({v}) % {prime} * {m}"
+    for prime, m, bits in zip(PRIMES, MULTIPLIERS[::-1], BITS, strict=False):
+        v = f"xor(({v}) % {prime}, CAST({bits} AS BIGINT)) * {m}"
     return f"(({v}) % {PRIMES[2]})"

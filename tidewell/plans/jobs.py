@@ -21,7 +21,7 @@ def daily_prices(spark: SparkSession, raw_dir: str, out_dir: str, run_id: str, n
     lineage.log_run(spark, log, run_id, "daily_prices", "started", now)
     raw, bad = ingest.load(spark, "prices", raw_dir, now=now)
     raw.write.mode("overwrite").parquet(f"{out_dir}/raw_prices")
-    bad.write.mode("overwrite").json(f"{out_dir}/quarantine")
+    ingest.quarantine(bad, f"{out_dir}/quarantine", "prices", run_id, now)
     raw = spark.read.parquet(f"{out_dir}/raw_prices")
     curated.prices(raw).drop("ingested_at").write.mode("overwrite").parquet(f"{out_dir}/cur_prices")
     prices = spark.read.parquet(f"{out_dir}/cur_prices")

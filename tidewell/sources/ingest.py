@@ -52,7 +52,7 @@ def split_required(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, D
     missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda x: x.isNotNull())
     judged = df.withColumn("__missing", missing)
     bad = judged.where(F.size("__missing") > 0)
-    record = F.substring(F.to_json(F.struct(*df.columns)), 1, 2000)
+    record = F.to_json(F.struct(*df.columns))  # whole: it is the only copy of the row
     return judged.where(F.size("__missing") == 0).drop("__missing"), bad.select(record.alias("record"), F.lit("missing_fields").alias("error_type"), F.concat(F.lit("Missing required fields: "), F.array_join("__missing", ", ")).alias("error_message"))
 
 
@@ -82,8 +82,20 @@ def load(spark: SparkSession, source: str, path: str, existing: DataFrame | None
     return asof.upsert(start, made, list(s.key)), bad
 
 
+def quarantine(bad: DataFrame, path: str, source: str, run_id: str, at: str) -> None:
+    """Writes a run's quarantine records as JSON lines under its source and run; records of other runs stay, and a run that is
+    done again replaces its own."""
+    stamped = bad.withColumns({"source": F.lit(source), "run_id": F.lit(run_id), "at": F.lit(at).cast("timestamp")})
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "run_id").json(path)
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("record string, error_type string, error_message string, at timestamp, source string, run_id string").json(path)
+
+
 def quarantine_summary(bad: DataFrame) -> DataFrame:
-    return bad.groupBy("error_type").agg(F.count("*").alias("n"))
+    """n by error_type, and by source where there is such a column."""
+    return bad.groupBy(*[c for c in ("source", "error_type") if c in bad.columns]).agg(F.count("*").alias("n"))
 
 
 def events_from_tsv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
@@ -175,6 +187,29 @@ def bars_from_arrays(df: DataFrame, ticker: str = "ticker", payload: str = "payl
     return made.dropna(subset=["open", "high", "low", "close"])
 
 
+def bars_with_events(df: DataFrame, ticker: str = "ticker", payload: str = "payload") -> DataFrame:
+    """The bar schema from a chart payload: parallel arrays of quotes, and maps of splits and dividends by time stamp.
+
+    An event belongs to the bar of its date; of several on one date the last one of the map counts. Maps are lined up with the
+    bars inside the row, so there is no join. A split without a ratio is '1:1', a dividend without an amount 0; bars without an
+    event have no ratio and dividend 0. Rows with a null price are dropped; payloads without time stamps or quotes give none.
+    """
+    series = ("open", "high", "low", "close")
+    quote = "struct<open: array<double>, high: array<double>, low: array<double>, close: array<double>, volume: array<bigint>>"
+    schema = f"struct<chart: struct<result: array<struct<timestamp: array<bigint>, indicators: struct<quote: array<{quote}>, adjclose: array<struct<adjclose: array<double>>>>, events: struct<splits: map<string, struct<splitRatio: string>>, dividends: map<string, struct<amount: double>>>>>>>"
+    p = df.select(F.col(ticker).alias("ticker"), F.get(F.from_json(payload, schema)["chart"]["result"], F.lit(0)).alias("p"))
+    day = lambda seconds: F.to_date(F.timestamp_seconds(seconds))
+    entries = lambda name, field, missing: F.transform(F.coalesce(F.map_entries(F.col(f"p.events.{name}")), F.expr("array()")), lambda e: F.struct(day(e["key"].try_cast("bigint")).alias("d"), F.coalesce(e["value"][field], F.lit(missing)).alias("v")))
+    p = p.withColumns({"q": F.get("p.indicators.quote", F.lit(0)), "adj": F.get("p.indicators.adjclose", F.lit(0))["adjclose"]})
+    p = p.where(F.col("p.timestamp").isNotNull() & F.col("q").isNotNull())
+    p = p.withColumns({"splits": F.when(F.col("p.events.splits").isNotNull(), entries("splits", "splitRatio", "1:1")), "dividends": F.when(F.col("p.events.dividends").isNotNull(), entries("dividends", "amount", 0.0))})
+    rows = p.select("ticker", "q", "adj", "splits", "dividends", F.posexplode("p.timestamp").alias("i", "t")).withColumn("date", day(F.col("t")))
+    at = lambda c: F.get(c, F.col("i"))
+    event = lambda c: F.try_element_at(F.filter(c, lambda e: e["d"] == F.col("date")), F.lit(-1))["v"]
+    made = rows.select("ticker", "date", *[at(F.col(f"q.{c}")).alias(c) for c in series], F.coalesce(at(F.col("adj")), at(F.col("q.close"))).alias("adj_close"), at(F.col("q.volume")).alias("volume"), event("splits").alias("split_ratio"), F.coalesce(event("dividends"), F.lit(0.0)).alias("dividend"))
+    return made.dropna(subset=list(series))
+
+
 def first_available(primary: DataFrame, secondary: DataFrame, key: str = "ticker") -> DataFrame:
     """The primary's rows, and the secondary's for keys that the primary lacks."""
     return primary.unionByName(secondary.join(primary.select(key).distinct(), key, "left_anti"))
