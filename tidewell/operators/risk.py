@@ -68,17 +68,21 @@ def cluster_limits(members: DataFrame, positions: DataFrame, limit: float) -> Da
     return got.withColumn("within_limit", F.col("notional") <= limit)
 
 
-def constraints(weights: DataFrame, keys: Sequence[str], limits: dict[str, float], sectors: Sequence[str] = (), correlation: float = 0.5) -> DataFrame:
+def constraints(weights: DataFrame, keys: Sequence[str], limits: dict[str, float], sectors: Sequence[str] = (), correlation: float = 0.5, countries: Sequence[str] = ()) -> DataFrame:
     """keys, constraint, actual, bound, passed for each portfolio and limit.
 
     weights: keys, symbol, weight, volatility, adv, shares, sector. Limits by name: position_weight, gross, net,
-    portfolio_risk (uniform correlation), participation, concentration (five largest), and sector:<name> for sectors.
+    portfolio_risk (uniform correlation), participation, concentration (five largest), sector:<name> for sectors and
+    country:<name> for countries (a column country), and max_drawdown and turnover, the largest of the columns drawdown and
+    turnover (a portfolio's own figures, on any of its rows; null is 0).
     """
     w = F.abs("weight")
     rows = weights.withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(w), "symbol")))
     own, risk = F.col("weight") * F.coalesce("volatility", F.lit(0.0)), F.lit(correlation)
     alone = F.sum(own * own)
     actual = {"position_weight": F.max(w), "gross": F.sum(w), "net": F.abs(F.sum("weight")), "portfolio_risk": F.sqrt(F.greatest(alone + risk * (F.sum(own) * F.sum(own) - alone), F.lit(0.0))), "participation": F.max(F.when(F.col("adv") > 0, F.abs("shares") / F.col("adv")).otherwise(0.0)), "concentration": F.sum(F.when(F.col("__k") <= 5, w).otherwise(0.0))}
+    actual |= {f"country:{c}": F.sum(F.when(F.col("country") == c, w).otherwise(0.0)) for c in countries}
+    actual |= {n: F.coalesce(F.max(F.abs(c)), F.lit(0.0)) for n, c in (("max_drawdown", F.col("drawdown")), ("turnover", F.col("turnover"))) if n in limits}
     actual |= {f"sector:{s}": F.sum(F.when(F.col("sector") == s, w).otherwise(0.0)) for s in sectors}
     used = [n for n in actual if n in limits]
     wide = rows.groupBy(*keys).agg(*[actual[n].cast("double").alias(f"__{i}") for i, n in enumerate(used)])

@@ -44,6 +44,21 @@ def risk_state(pnl: DataFrame, keys: Sequence[str], order: str, value: str, ret:
     return df.withColumn("cooldown", cool).withColumn("can_open", F.col("level").isin("GREEN", "YELLOW") & ~F.col("cooldown") & (F.col("loss_streak") < 4) & (F.coalesce(F.col(ret), F.lit(0.0)) >= -0.02)).drop("__island", "__red")
 
 
+def intraday_state(pnl: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str, nav: float, drawdown: float = 0.05, loss: float = 1e5) -> DataFrame:
+    """realised, drawdown (from the session's highest value so far, its start included), state and halted at each profit or
+    loss of a session (keys): throttle at a limit, shutdown at twice a limit; halted from the first shutdown on. Null changes
+    count 0."""
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = pnl.withColumn("realised", F.sum(F.coalesce(F.col(delta), F.lit(0.0))).over(w))
+    value = F.col("realised") + nav
+    peak = F.greatest(F.max(value).over(w), F.lit(nav))
+    rows = rows.withColumn("drawdown", F.when(peak > 0, value / peak - 1).otherwise(0.0))
+    down = F.round("drawdown", 12)
+    state = F.when((down <= -2 * drawdown) | (F.col("realised") <= -2 * loss), "shutdown").when((down <= -drawdown) | (F.col("realised") <= -loss), "throttle").otherwise("ok")
+    rows = rows.withColumn("state", state)
+    return rows.withColumn("halted", F.max(F.col("state") == "shutdown").over(w))
+
+
 def regime_performance(df: DataFrame, keys: Sequence[str], regime: str = "regime", ret: str = "ret") -> DataFrame:
     """Rows, yearly mean, volatility and Sharpe ratio by keys and regime."""
     m, s = F.avg(ret) * W.YEAR, F.stddev_samp(ret) * F.sqrt(F.lit(float(W.YEAR)))

@@ -52,11 +52,18 @@ def symbols(cells: DataFrame, bars: DataFrame, lookback_days: int = 60, rows: in
     return got.select(*k, F.element_at("s", -1)["close"].alias("price"), F.when(F.size("w") > 0, F.element_at("w", -1)).alias("return_1"), W.clip(change, F.col("lo"), F.col("hi")).alias("change_7"), (1.4826 * W.mad(F.col("t"), F.col("m"))).alias("volatility"), mean(F.col("tv")).alias("volume_20"))
 
 
+#: Largest number of times (a few numbers each) that is sent to every task.
+SPINE = 100_000
+
+
 def event_counts(times: DataFrame, events: DataFrame, news: DataFrame, hours: int = 24, windows: tuple[int, ...] = (1, 24, 168)) -> DataFrame:
     """asof_ts with event_count and mean tone (0 without events) of the last hours, and news_<h>h counts.
 
     times: asof_ts (a short spine; counted once for all entities). events: ts, available_time, tone; news: ts, available_time.
+    A spine of at most SPINE rows is sent to every task, so that facts are counted where they are and only sums are shuffled:
+    a join by time alone would put all facts of a day under one key.
     """
+    times = F.broadcast(times) if times.count() <= SPINE else times
     day = asof.look_back(times, events, None, hours * 3600).groupBy("asof_ts").agg(F.count("*").alias("event_count"), F.avg("tone").alias("event_tone"))
     week = asof.look_back(times, news, None, max(windows) * 3600)
     news_counts = week.groupBy("asof_ts").agg(*[F.count_if(F.col("ts") >= F.col("asof_ts") - F.expr(f"INTERVAL {h} HOURS")).alias(f"news_{h}h") for h in windows])
@@ -74,6 +81,18 @@ def insider_activity(cells: DataFrame, filings: DataFrame, days: int = 90) -> Da
     return cells.join(got, k, "left").fillna(0.0, ["net_shares"]).fillna(0, ["buy_count"])
 
 
+def full_symbols(cells: DataFrame, bars: DataFrame, filings: DataFrame, times: DataFrame, events: DataFrame, news: DataFrame) -> DataFrame:
+    """symbols() with the counts of events and news of the time and the insider activity of the symbol and time. times: the
+    distinct asof_ts of cells."""
+    k = ["symbol", "asof_ts"]
+    return symbols(cells, bars).join(insider_activity(cells, filings), k, "left").join(event_counts(times, events, news), "asof_ts", "left")
+
+
+def full_contracts(cells: DataFrame, trades: DataFrame, times: DataFrame, events: DataFrame, news: DataFrame, hours: int = 24) -> DataFrame:
+    """contracts() with the counts of events and news of the time."""
+    return contracts(cells, trades, hours).join(event_counts(times, events, news), "asof_ts", "left")
+
+
 def _quantile(values, p: float):
     """Linear-interpolation quantile of an array; null if empty."""
     s = F.sort_array(values)

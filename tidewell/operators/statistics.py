@@ -133,6 +133,49 @@ def edge_decay(trades: DataFrame, keys: Sequence[str], order: Sequence[str], pnl
     return got.withColumn("breaches", breach).withColumn("level", F.when(F.col("breaches") >= 3, "RED").when(F.col("breaches") == 2, "ORANGE").when(F.col("breaches") == 1, "YELLOW").otherwise("GREEN"))
 
 
+#: Floors of the edge monitor by metric, and how far the hit rate may fall against all trades.
+FLOORS = {"win_rate": 0.45, "profit_factor": 1.0, "sharpe": 0.0, "winner_loser": 1.0, "hurst": 0.45}
+HIT_DECAY = 0.2
+
+
+def edge_monitor(trades: DataFrame, keys: Sequence[str], order: Sequence[str], pnl: str, hit: str, equity: DataFrame, value: str, at: Sequence[str], window: int = 60, least: int = 10) -> DataFrame:
+    """keys, n, win_rate, profit_factor, sharpe (20 trades or more, yearly, population deviation), hit_rate and hit_decay against
+    all trades, winner_loser (mean gain over mean loss, no gain counts as loss), hurst of the last 252 equity values (100 or
+    more), breaches (names) and level of one evaluation: YELLOW from one breach, ORANGE from two; see edge_levels for RED.
+
+    trades: keys, order, pnl, hit (boolean), the last `window` count; below `least` of them all is null and GREEN. equity: keys,
+    at, value. Ratios without a loss are infinite.
+    """
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])) <= window
+    rows = trades.where(F.col(pnl).isNotNull()).withColumn("__in", last)
+    p, inside = F.when(F.col("__in"), F.col(pnl)), F.col("__in")
+    hits = F.coalesce(F.col(hit), F.lit(False)).cast("double")
+    got = rows.groupBy(*keys).agg(F.count(p).alias("n"), F.avg((p > 0).cast("double")).alias("win_rate"), F.coalesce(F.sum(F.when(p > 0, p)), F.lit(0.0)).alias("__up"), F.coalesce(F.sum(F.when(p <= 0, -p)), F.lit(0.0)).alias("__down"), F.count_if(p > 0).alias("__w"), F.count_if(p <= 0).alias("__l"), F.avg(p).alias("__m"), F.stddev_pop(p).alias("__s"), F.avg(F.when(inside, hits)).alias("hit_rate"), F.avg(hits).alias("__all"))
+    tail = equity.withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in at]))).where("__k <= 252")
+    long = tail.groupBy(*keys).agg(F.count(value).alias("__q"))
+    h = hurst(tail, F.col(value), Frame(keys, at)).select(*keys, "hurst").join(long, list(keys)).select(*keys, F.when(F.col("__q") >= 100, F.col("hurst")).alias("hurst"))
+    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(float("inf"))
+    mean_win, mean_loss = F.coalesce(F.try_divide(F.col("__up"), F.col("__w")), F.lit(0.0)), F.coalesce(F.try_divide(F.col("__down"), F.col("__l")), F.lit(0.0))
+    got = got.join(h, list(keys), "left").withColumns({"profit_factor": ratio(F.col("__up"), F.col("__down")), "sharpe": F.when(F.col("n") >= 20, F.when(F.col("__s") > 0, F.col("__m") / F.col("__s") * sqrt(W.YEAR)).otherwise(0.0)), "winner_loser": ratio(mean_win, mean_loss), "hit_decay": F.when(F.col("__all") > 0, (F.col("__all") - F.col("hit_rate")) / F.col("__all"))})
+    enough = F.col("n") >= least
+    names = ("win_rate", "profit_factor", "sharpe", "hit_rate", "hit_decay", "winner_loser", "hurst")
+    got = got.select(*keys, "n", *[F.when(enough, F.col(c)).alias(c) for c in names])
+    low = [F.when(F.round(c, 12) < floor, F.lit(c)) for c, floor in FLOORS.items()]
+    low.insert(3, F.when(F.round("hit_decay", 12) > HIT_DECAY, F.lit("hit_rate")))
+    got = got.withColumn("breaches", F.filter(F.array(*low), lambda c: c.isNotNull()))
+    k = F.size("breaches")
+    return got.withColumn("level", F.when(k >= 2, "ORANGE").when(k == 1, "YELLOW").otherwise("GREEN"))
+
+
+def edge_levels(history: DataFrame, keys: Sequence[str], order: str, breaches: str = "n_breaches", months: int = 3) -> DataFrame:
+    """history (one evaluation a row) with level: RED where this and the evaluations before it, `months` in all, each have three
+    breaches or more; else ORANGE from two breaches, YELLOW from one."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(months - 1), 0)
+    b = F.col(breaches)
+    red = F.count_if(b >= 3).over(w) >= months
+    return history.withColumn("level", F.when(red, "RED").when(b >= 2, "ORANGE").when(b == 1, "YELLOW").otherwise("GREEN"))
+
+
 def capacity(returns: DataFrame, keys: Sequence[str], levels: Sequence[float], price: float, adv: float, turnover: float = 12.0, sigma: float = 0.02, eta: float = 0.1, spread: float = 0.0005, ret: str = "ret") -> DataFrame:
     """Net yearly return and Sharpe at each capital level (a short list): impact, spread and turnover against moments."""
     m = returns.groupBy(*keys).agg(F.avg(ret).alias("__m"), F.stddev_samp(ret).alias("__s"))

@@ -12,7 +12,7 @@ from ..sources import tables as T
 from ._common import r, rounded
 from .evaluation import _RET, _signal, returns
 from .pit import _DAYS, days
-from .registry import query
+from .registry import oracle_sql, query
 from .windows import _O, sma
 
 
@@ -165,6 +165,36 @@ def insider_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(snapshots.insider_activity(cells, e))
 
 
+def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """World events, news and insider filings, as in event_and_news_counts and insider_activity."""
+    t = F.col("event_type")
+    e = T.table(spark, sf_dir, "events").withColumn("available_time", F.col("ts") + F.expr("INTERVAL 6 HOURS"))
+    counted = e.select("ts", "available_time", F.col("value").alias("tone"), "event_type")
+    filed = e.select(F.col("user_id").alias("symbol"), "ts", "available_time", F.when(t == "purchase", "P").when(t == "error", "S").otherwise(t).alias("code"), F.col("value").alias("shares"))
+    return counted.where(t != "view"), counted.where(t == "view"), filed
+
+
+_COUNTS = "event_count, event_tone, news_1h, news_24h, news_168h"
+
+
+@query(f"SELECT s.*, net_shares, buy_count, {_COUNTS} FROM ({oracle_sql()['symbol_snapshots']}) s LEFT JOIN ({oracle_sql()['insider_activity']}) i USING (symbol, asof_ts) LEFT JOIN ({oracle_sql()['event_and_news_counts']}) e USING (asof_ts)")
+def full_symbol_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbol snapshots with event and news counts and insider activity."""
+    b = T.bars_user_d(spark, sf_dir).select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 16 HOURS")).alias("available_time"), "close", "volume")
+    cells = b.select("symbol").distinct().crossJoin(F.broadcast(days(spark)))
+    events, news, filed = _facts(spark, sf_dir)
+    return rounded(snapshots.full_symbols(cells, b, filed, days(spark), events, news))
+
+
+@query(f"SELECT s.*, {_COUNTS} FROM ({oracle_sql()['contract_snapshots']}) s LEFT JOIN ({oracle_sql()['event_and_news_counts']}) e USING (asof_ts)")
+def full_contract_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract snapshots with event and news counts."""
+    t = T.trades(spark, sf_dir)
+    events, news, _ = _facts(spark, sf_dir)
+    cells = t.select("contract_id").distinct().crossJoin(F.broadcast(days(spark)))
+    return rounded(snapshots.full_contracts(cells, t, days(spark), events, news))
+
+
 @query(T.with_tables("bars_user_d", then=f"""
 SELECT symbol, ts, CAST(isodow(ts) - 1 AS INTEGER) AS dow, CAST(month(ts) AS INTEGER) AS month, CAST(quarter(ts) AS INTEGER) AS quarter, CAST(weekofyear(ts) AS INTEGER) AS week, CAST(dayofyear(ts) AS INTEGER) AS doy, last_day(ts) = ts AS month_end, last_day(ts) = ts AND month(ts) % 3 = 0 AS quarter_end, month(ts) = 1 AND day(ts) <= 5 AS year_start,
   CAST(ts + CASE isodow(ts) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS next_business_day, {r('open * close', 'open_x_close', 4)}, {r('open / nullif(close, 0)', 'open_over_close', 4)}, {r('open - close', 'open_minus_close', 4)} FROM bars_user_d"""))

@@ -60,8 +60,8 @@ def cluster_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(risk.cluster_limits(_clusters(spark, sf_dir), last, 100_000.0))
 
 
-_LIMITS = {"position_weight": 0.3, "gross": 1.0, "net": 0.8, "portfolio_risk": 0.1, "participation": 0.1, "concentration": 0.9, "sector:2": 0.3}
-_W = "w AS (SELECT filer, quarter, asset, CASE WHEN asset % 4 = 0 THEN -1 ELSE 1 END * value / sum(value) OVER (PARTITION BY filer, quarter) AS weight, 0.05 + (asset % 7) / 50 AS volatility, (asset % 11) * 100000.0 AS adv, value / 10 AS shares, CAST(asset % 5 AS VARCHAR) AS sector FROM holdings)"
+_LIMITS = {"position_weight": 0.3, "gross": 1.0, "net": 0.8, "portfolio_risk": 0.1, "participation": 0.1, "concentration": 0.9, "sector:2": 0.3, "country:1": 0.5, "max_drawdown": 0.15, "turnover": 0.25}
+_W = "w AS (SELECT filer, quarter, asset, CASE WHEN asset % 4 = 0 THEN -1 ELSE 1 END * value / sum(value) OVER (PARTITION BY filer, quarter) AS weight, 0.05 + (asset % 7) / 50 AS volatility, (asset % 11) * 100000.0 AS adv, value / 10 AS shares, CAST(asset % 5 AS VARCHAR) AS sector, CAST(asset % 3 AS VARCHAR) AS country, (filer % 40) / 200 AS drawdown, (filer % 30) / 100 AS turnover FROM holdings)"
 
 
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +69,10 @@ def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     a, v = F.col("asset"), F.col("value")
     share = F.when(a % 4 == 0, -1).otherwise(1) * v / F.sum(v).over(Window.partitionBy("filer", "quarter"))
-    return T.holdings(spark, sf_dir).select("filer", "quarter", a.alias("symbol"), share.alias("weight"), (0.05 + (a % 7) / 50).alias("volatility"), ((a % 11) * 100000.0).alias("adv"), (v / 10).alias("shares"), (a % 5).cast("string").alias("sector"))
+    return T.holdings(spark, sf_dir).select("filer", "quarter", a.alias("symbol"), share.alias("weight"), (0.05 + (a % 7) / 50).alias("volatility"), ((a % 11) * 100000.0).alias("adv"), (v / 10).alias("shares"), (a % 5).cast("string").alias("sector"), (a % 3).cast("string").alias("country"), (F.col("filer") % 40 / 200).alias("drawdown"), (F.col("filer") % 30 / 100).alias("turnover"))
 
 
-_ACTUAL = {"position_weight": "max(abs(weight))", "gross": "sum(abs(weight))", "net": "abs(sum(weight))", "portfolio_risk": "sqrt(greatest(sum(pow(weight * volatility, 2)) + 0.5 * (pow(sum(weight * volatility), 2) - sum(pow(weight * volatility, 2))), 0))", "participation": "max(CASE WHEN adv > 0 THEN abs(shares) / adv ELSE 0 END)", "concentration": "sum(CASE WHEN k <= 5 THEN abs(weight) ELSE 0 END)", "sector:2": "sum(CASE WHEN sector = '2' THEN abs(weight) ELSE 0 END)"}
+_ACTUAL = {"position_weight": "max(abs(weight))", "gross": "sum(abs(weight))", "net": "abs(sum(weight))", "portfolio_risk": "sqrt(greatest(sum(pow(weight * volatility, 2)) + 0.5 * (pow(sum(weight * volatility), 2) - sum(pow(weight * volatility, 2))), 0))", "participation": "max(CASE WHEN adv > 0 THEN abs(shares) / adv ELSE 0 END)", "concentration": "sum(CASE WHEN k <= 5 THEN abs(weight) ELSE 0 END)", "sector:2": "sum(CASE WHEN sector = '2' THEN abs(weight) ELSE 0 END)", "country:1": "sum(CASE WHEN country = '1' THEN abs(weight) ELSE 0 END)", "max_drawdown": "max(drawdown)", "turnover": "max(turnover)"}
 
 
 @query(T.with_tables("holdings", then=f"""
@@ -81,7 +81,7 @@ g AS (SELECT filer, quarter, {", ".join(f'{e} AS x{i}' for i, e in enumerate(_AC
 l AS ({" UNION ALL ".join(f"SELECT filer, quarter, '{n}' AS \"constraint\", x{i} AS actual, {_LIMITS[n]}::DOUBLE AS bound FROM g" for i, n in enumerate(_ACTUAL))})
 SELECT filer, quarter, "constraint", {r('actual', 'actual')}, {r('bound', 'bound')}, round(actual, 9) <= bound AS passed FROM l"""))
 def risk_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = risk.constraints(_weights(spark, sf_dir), ["filer", "quarter"], _LIMITS, ["2"])
+    got = risk.constraints(_weights(spark, sf_dir), ["filer", "quarter"], _LIMITS, ["2"], countries=["1"])
     return rounded(got.withColumn("passed", F.round("actual", 9) <= F.col("bound")))
 
 

@@ -78,3 +78,13 @@ def position_exits(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = b.withColumn("atr", F.col("atr_14"))
     p = b.select(F.concat_ws("|", "symbol", "ts").alias("id"), "symbol", F.col("ts").alias("entry_date"), F.col("close").alias("entry"), (F.col("close") * 0.5).alias("stop"), (F.col("close") * 1.5).alias("target"))
     return rules.exits(p, b)
+
+
+@query(T.with_tables("bars_h", then=f"""
+, w AS (SELECT symbol, ts, sum(close - open) OVER o AS realised FROM bars_h WINDOW o AS (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY ts)), p AS (SELECT *, greatest(max(realised + 1000) OVER (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY ts), 1000) AS peak FROM w),
+d AS (SELECT *, (realised + 1000) / peak - 1 AS dd FROM p), s AS (SELECT *, CASE WHEN round(dd, 12) <= -0.1 OR realised <= -160 THEN 'shutdown' WHEN round(dd, 12) <= -0.05 OR realised <= -80 THEN 'throttle' ELSE 'ok' END AS state FROM d)
+SELECT symbol, ts, {r('realised', 'realised')}, {r('dd', 'drawdown')}, state, bool_or(state = 'shutdown') OVER (PARTITION BY symbol, CAST(ts AS DATE) ORDER BY ts) AS halted FROM s"""))
+def intraday_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A session is a symbol's day; each hour's move is its profit or loss on a value of 1,000."""
+    b = T.bars_h(spark, sf_dir).select("symbol", "ts", F.to_date("ts").alias("day"), (F.col("close") - F.col("open")).alias("delta"))
+    return rounded(rules.intraday_state(b, ["symbol", "day"], ["ts"], "delta", 1000.0, 0.05, 80.0).drop("day", "delta"))

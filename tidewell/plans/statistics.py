@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import windows as W
 from ..operators import indicators as ind
 from ..operators import statistics as st
 from ..sources import tables as T
@@ -87,3 +88,31 @@ def capacity_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(st.capacity(returns(spark, sf_dir), ["symbol"], [1e4, 1e5, 1e6], 50.0, 1e5))
 
 
+
+
+@query(T.with_tables("bars_h", then=f"""
+, q AS (SELECT symbol, ts, close, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS p, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS age FROM bars_h), t AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) <= 60 AS inside, p > 0.05 AS hit FROM q WHERE p IS NOT NULL),
+g AS (SELECT symbol, count(*) FILTER (WHERE inside) AS n, avg(CASE WHEN inside THEN CASE WHEN p > 0 THEN 1.0 ELSE 0 END END) AS win_rate, coalesce(sum(p) FILTER (WHERE inside AND p > 0), 0) AS up, coalesce(-sum(p) FILTER (WHERE inside AND p <= 0), 0) AS down, count(*) FILTER (WHERE inside AND p > 0) AS w, count(*) FILTER (WHERE inside AND p <= 0) AS l, avg(p) FILTER (WHERE inside) AS m, stddev_pop(p) FILTER (WHERE inside) AS s, avg(CASE WHEN inside THEN CASE WHEN hit THEN 1.0 ELSE 0 END END) AS hit_rate, avg(CASE WHEN hit THEN 1.0 ELSE 0 END) AS total FROM t GROUP BY symbol),
+e AS (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS i, count(*) OVER (PARTITION BY symbol) AS k FROM q WHERE age <= 252), lags AS (SELECT unnest(generate_series(2, 100)) AS lag), d AS (SELECT a.symbol, lag, max(a.k) AS k, stddev_pop(a.close - b.close) AS dev, count(*) AS c FROM e a, lags JOIN e b ON b.symbol = a.symbol AND b.i = a.i - lag GROUP BY 1, 2),
+h AS (SELECT symbol, CASE WHEN count(*) >= 5 AND max(k) >= 100 THEN regr_slope(ln(dev), ln(lag)) END AS hurst FROM d WHERE c > 1 AND dev > 0 GROUP BY symbol),
+x AS (SELECT symbol, n, win_rate, CASE WHEN down > 0 THEN up / down ELSE 'inf'::DOUBLE END AS profit_factor, CASE WHEN n >= 20 THEN CASE WHEN s > 0 THEN m / s * sqrt(252) ELSE 0 END END AS sharpe, hit_rate, CASE WHEN total > 0 THEN (total - hit_rate) / total END AS hit_decay, CASE WHEN down > 0 THEN coalesce(up / nullif(w, 0), 0) / (down / l) ELSE 'inf'::DOUBLE END AS winner_loser, hurst FROM g LEFT JOIN h USING (symbol)),
+b AS (SELECT *, concat_ws(',', CASE WHEN round(win_rate, 12) < 0.45 THEN 'win_rate' END, CASE WHEN round(profit_factor, 12) < 1 THEN 'profit_factor' END, CASE WHEN round(sharpe, 12) < 0 THEN 'sharpe' END, CASE WHEN round(hit_decay, 12) > 0.2 THEN 'hit_rate' END, CASE WHEN round(winner_loser, 12) < 1 THEN 'winner_loser' END, CASE WHEN round(hurst, 12) < 0.45 THEN 'hurst' END) AS breaches FROM x)
+SELECT symbol, n, {r('win_rate', 'win_rate')}, {r('profit_factor', 'profit_factor')}, {r('sharpe', 'sharpe')}, {r('hit_rate', 'hit_rate')}, {r('hit_decay', 'hit_decay')}, {r('winner_loser', 'winner_loser')}, {r('hurst', 'hurst')}, breaches, CASE WHEN breaches = '' THEN 'GREEN' WHEN strpos(breaches, ',') > 0 THEN 'ORANGE' ELSE 'YELLOW' END AS level FROM b"""))
+def edge_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly moves stand for trades, moves of over 5 percent for reached targets, closes for the equity curve."""
+    b = T.bars_h(spark, sf_dir)
+    trades = b.select("symbol", "ts", W.returns(F.col("close"), ind.DEFAULT).alias("p")).withColumn("hit", F.col("p") > 0.05)
+    got = st.edge_monitor(trades, ["symbol"], ["ts"], "p", "hit", b.select("symbol", "ts", "close"), "close", ["ts"])
+    return rounded(got.withColumn("breaches", F.array_join("breaches", ",")))
+
+
+@query(T.with_tables("bars_supp_d", then=f"""
+, q AS (SELECT symbol, ts, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS p FROM bars_supp_d), m AS (SELECT symbol, CAST(date_trunc('month', ts) AS DATE) AS month, CAST(round(avg(p), 12) < 0 AS INT) + CAST(avg(CASE WHEN p > 0 THEN 1.0 ELSE 0 END) < 0.5 AS INT) + CAST(round(min(p), 12) < -0.2 AS INT) AS n_breaches FROM q WHERE p IS NOT NULL GROUP BY 1, 2),
+w AS (SELECT *, count(CASE WHEN n_breaches >= 3 THEN 1 END) OVER (PARTITION BY symbol ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS k FROM m)
+SELECT symbol, month, n_breaches, CASE WHEN k >= 3 THEN 'RED' WHEN n_breaches >= 2 THEN 'ORANGE' WHEN n_breaches = 1 THEN 'YELLOW' ELSE 'GREEN' END AS level FROM w"""))
+def edge_alert_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three breaches of a supplier's month: a mean move below 0, under half of the moves up, a fall of over a fifth."""
+    q = T.bars_supp_d(spark, sf_dir).select("symbol", F.trunc("ts", "month").alias("month"), W.returns(F.col("close"), ind.DEFAULT).alias("p"))
+    b = lambda c: c.cast("int")
+    months = q.where("p IS NOT NULL").groupBy("symbol", "month").agg((b(F.round(F.avg("p"), 12) < 0) + b(F.avg((F.col("p") > 0).cast("double")) < 0.5) + b(F.round(F.min("p"), 12) < -0.2)).alias("n_breaches"))
+    return st.edge_levels(months, ["symbol"], "month")
