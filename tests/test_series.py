@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import asof, evaluate, inference, lineage, research, rules, series
+from tidewell.operators import asof, evaluate, inference, lineage, ranks, research, rules, series, snapshots, statistics
 from tidewell.sources import ingest
 from tidewell.streaming import delta, jobs
 
@@ -338,3 +338,49 @@ def test_quarantine_keeps_whole_records_of_every_run(spark, tmp_path):
     ingest.quarantine(bad, path, "prices", "r1", "2024-01-01 00:00:00")
     kept = ingest.quarantined(spark, path)
     assert kept.count() == 3 and {(r.source, r.n) for r in ingest.quarantine_summary(kept).collect()} == {("posts", 2), ("prices", 1)}
+
+
+def test_prefix_sums_in_ranges_and_in_one_step(spark):
+    rng = np.random.default_rng(6)
+    rows = [("hot" if rng.random() < 0.9 else "b", float(rng.integers(0, 400))) for _ in range(3000)]
+    counts = spark.createDataFrame(rows, "k string, x double").groupBy("k", "x").agg(F.count("*").alias("t"))
+    a, b = (sorted(map(tuple, ranks.prefix(counts, ["k"], "x", ["t"], few=few).select("k", "x", "t", "before_t").collect())) for few in (0, 10**6))
+    assert a == b
+    for k in ("hot", "b"):
+        v = np.sort([x for s, x in rows if s == k])
+        assert all(before == np.searchsorted(v, x) for s, x, _, before in a if s == k)
+
+
+def test_intraday_limits_and_sustained_alerts(spark):
+    rows = [("s", i, v) for i, v in enumerate([10.0, -40.0, None, -30.0, 100.0, -150.0, 400.0, 0.0])] + [("t", 0, -200.0)]
+    got = {(r.k, r.i): r for r in rules.intraday_state(spark.createDataFrame(rows, "k string, i int, d double"), ["k"], ["i"], "d", 1000.0, 0.05, 100.0).collect()}
+    assert [got["s", i].state for i in range(8)] == ["ok", "ok", "ok", "throttle", "ok", "shutdown", "ok", "ok"]
+    assert [got["s", i].halted for i in range(8)] == [False] * 5 + [True] * 3 and got["t", 0].state == "shutdown"
+    assert abs(got["s", 5].drawdown - (890 / 1040 - 1)) < 1e-12 and got["s", 6].drawdown == 0.0
+    history = spark.createDataFrame([("a", i, n) for i, n in enumerate([3, 4, 3, 3, 2, 3, 1, 0])], "k string, m int, n_breaches int")
+    assert [r.level for r in statistics.edge_levels(history, ["k"], "m").orderBy("m").collect()] == ["ORANGE", "ORANGE", "RED", "RED", "ORANGE", "ORANGE", "YELLOW", "GREEN"]
+
+
+def test_edge_monitor(spark):
+    gains = [0.02, -0.01, 0.03, 0.0, 0.01] * 6
+    trades = spark.createDataFrame([("good", i, v, v > 0.015) for i, v in enumerate(gains)] + [("bad", i, -abs(v), i < 10) for i, v in enumerate(gains)] + [("few", i, 0.1, True) for i in range(5)], "k string, i int, p double, hit boolean")
+    equity = spark.createDataFrame([(k, i, 1.0 * i * i) for k in ("good", "few") for i in range(120)] + [("bad", i, 1.0 * i) for i in range(50)], "k string, i int, v double")
+    got = {r.k: r for r in statistics.edge_monitor(trades, ["k"], ["i"], "p", "hit", equity, "v", ["i"], window=20).collect()}
+    last = np.array(gains[-20:])
+    g = got["good"]
+    assert abs(g.win_rate - 0.6) < 1e-12 and abs(g.profit_factor - last[last > 0].sum() / -last[last < 0].sum()) < 1e-9
+    assert abs(g.sharpe - last.mean() / last.std() * math.sqrt(252)) < 1e-9 and abs(g.winner_loser - last[last > 0].mean() / abs(last[last <= 0].mean())) < 1e-9
+    assert g.level == "GREEN" and g.breaches == [] and g.hurst > 0.45
+    assert got["bad"].breaches == ["win_rate", "profit_factor", "sharpe", "hit_rate", "winner_loser"] and got["bad"].level == "ORANGE" and got["bad"].hurst is None
+    assert got["few"].level == "GREEN" and got["few"].win_rate is None
+
+
+def test_event_counts_with_and_without_a_short_spine(spark, monkeypatch):
+    at = lambda h: datetime(2024, 1, 5) + timedelta(hours=h)
+    times = spark.createDataFrame([(at(0),), (at(24),), (at(900),)], "asof_ts timestamp_ntz")
+    events = spark.createDataFrame([(at(-1), at(-1), 2.0), (at(-1), at(5), 4.0), (at(-30), at(-30), 8.0), (at(23), at(24), 1.0)], "ts timestamp_ntz, available_time timestamp_ntz, tone double")
+    want = [(1, 2.0, 1, 1, 2), (1, 1.0, 1, 1, 4), (0, 0.0, 0, 0, 0)]
+    for most in (10, 0):
+        monkeypatch.setattr(snapshots, "SPINE", most)
+        got = snapshots.event_counts(times, events, events.drop("tone")).orderBy("asof_ts").collect()
+        assert [(r.event_count, r.event_tone, r.news_1h, r.news_24h, r.news_168h) for r in got] == want
