@@ -282,6 +282,46 @@ def stability(df: DataFrame, period: str, keys: Sequence[str] = (), y: str = "y"
     return got.select(*keys, "periods", "mean_brier", "std_brier", F.col("x.q").alias("worst_period"), (-F.col("x.m")).alias("worst_brier"))
 
 
+def market_values(panel: DataFrame, key: str, date: str, price: str, position: str, capital: float = 1e6, fee_bps: float = 10.0) -> DataFrame:
+    """date, profit, fee, turnover, value, net_return of a portfolio of contracts that trades at each row's price: yesterday's
+    position earns the price's move, the change of position (at first all of it) pays the fee on its notional. turnover: half
+    the summed changes of position, none on a contract's first row. A null position or price is 0; a change at a price of 0 is
+    free. One row a date; the running sum of values is over dates alone."""
+    w = Window.partitionBy(key).orderBy(date)
+    px, pos = F.coalesce(F.col(price), F.lit(0.0)), F.coalesce(F.col(position), F.lit(0.0))
+    rows = panel.select(key, date, px.alias("__p"), pos.alias("__q"))
+    change = F.abs(F.col("__q") - F.coalesce(F.lag("__q").over(w), F.lit(0.0)))
+    rows = rows.withColumns({"__c": change, "__t": F.coalesce(F.abs(F.col("__q") - F.lag("__q").over(w)), F.lit(0.0)), "__g": F.coalesce(F.lag("__q").over(w) * (F.col("__p") - F.lag("__p").over(w)), F.lit(0.0))})
+    days = rows.groupBy(date).agg(F.sum("__g").alias("profit"), F.sum(F.col("__c") * F.col("__p") * (fee_bps / 1e4)).alias("fee"), (F.sum("__t") / 2).alias("turnover"))
+    through = Window.orderBy(date)
+    days = days.withColumn("value", F.lit(capital) + F.sum(F.col("profit") - F.col("fee")).over(through.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.coalesce(F.lag("value").over(through), F.lit(capital))
+    return days.withColumn("net_return", F.when(before != 0, (F.col("value") - before) / before).otherwise(0.0))
+
+
+def market_report(values: DataFrame, predictions: DataFrame, date: str, windows: dict[str, tuple[str, str]] | None = None, y: str = "y", p: str = "p") -> DataFrame:
+    """(metric, value): Sharpe, Sortino, largest drawdown, mean turnover and total return of market_values; Brier score, log
+    loss and calibration error of predictions (y, p); for each date window its total return (null without days); and the gates
+    sharpe_gt_2, sortino_gt_2 and max_dd_gt_-0_10 as 1 or 0. Ratios of returns that do not vary are null and fail."""
+    r = F.col("net_return")
+    up = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    rows = values.withColumn("__v", W.compounded(r, up))
+    rows = rows.withColumn("__d", F.col("__v") / F.max("__v").over(up) - 1)
+    down = F.sqrt(F.avg(F.when(r < 0, r * r)))
+    spans = {f"stress:{n}": W.compounded(F.when(F.col(date).between(F.lit(a).cast("date"), F.lit(b).cast("date")), r).otherwise(0.0)) - 1 for n, (a, b) in (windows or {}).items()}
+    some = {f"stress:{n}": F.count_if(F.col(date).between(F.lit(a).cast("date"), F.lit(b).cast("date"))) for n, (a, b) in (windows or {}).items()}
+    made = {"sharpe": F.try_divide(F.avg(r), F.stddev_samp(r)) * sqrt(YEAR), "sortino": F.try_divide(F.avg(r), down) * sqrt(YEAR), "max_drawdown": F.min("__d"), "turnover": F.avg("turnover"), "total_return": W.compounded(r) - 1} | {n: F.when(some[n] > 0, c) for n, c in spans.items()}
+    one = rows.agg(*[c.cast("double").alias(f"__{i}") for i, c in enumerate(made.values())])
+    core = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"__{i}").alias("value")) for i, n in enumerate(made)])).alias("x")).select("x.*")
+    gates = [("sharpe_gt_2", "sharpe", 2.0), ("sortino_gt_2", "sortino", 2.0), ("max_dd_gt_-0_10", "max_drawdown", -0.1)]
+    gate = lambda n, m, bound: core.where(F.col("metric") == m).select(F.lit(n).alias("metric"), F.coalesce((F.col("value") > bound).cast("double"), F.lit(0.0)).alias("value"))
+    scores = classification(predictions, (), y, p).unpivot([], ["brier", "log_loss"], "metric", "value")
+    ece = brier_parts(reliability(predictions, 10, y, p)).select(F.lit("calibration_error").alias("metric"), F.col("ece").alias("value"))
+    for part in (scores, ece, *[gate(*g) for g in gates]):
+        core = core.unionByName(part)
+    return core
+
+
 def return_stability(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret", least: int = 20) -> DataFrame:
     """keys, n, sharpe_first, sharpe_second, sharpe_stability, worst_month, worst_return: yearly Sharpe ratios of the first
     and the second half of the rows (null below `least` rows), the lesser over the larger in size, and the calendar month with

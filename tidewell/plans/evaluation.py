@@ -10,7 +10,7 @@ from ..operators import evaluate as ev
 from ..operators import indicators as ind
 from ..sources import tables as T
 from ._common import cdf_sql, r, rounded
-from .registry import query
+from .registry import oracle_sql, query
 
 _RET = "ret AS (SELECT symbol, ts, close, volume, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_user_d)"
 
@@ -222,3 +222,31 @@ def scorecard_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = T.table(spark, sf_dir, "orders").join(T.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     got = o.rollup("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("orders"), F.count_distinct("o_custkey").alias("customers"), F.sum("o_totalprice").alias("total"), F.grouping("c_mktsegment").cast("long").alias("g1"), F.grouping("o_orderpriority").cast("long").alias("g2"))
     return rounded(got, 2)
+
+
+_SPANS = {"first_week": ("2024-01-01", "2024-01-07"), "mid_month": ("2024-01-10", "2024-01-20"), "none": ("2020-02-15", "2020-05-31")}
+_VALUES = f"""z AS MATERIALIZED ({oracle_sql()['edge_positions']}),
+k AS (SELECT *, coalesce(abs(position - lag(position) OVER o), 0) AS t, abs(position - coalesce(lag(position) OVER o, 0)) AS c, coalesce(lag(position) OVER o * (price - lag(price) OVER o), 0) AS g FROM z WINDOW o AS (PARTITION BY symbol ORDER BY ts)),
+d AS (SELECT ts, sum(g) AS profit, sum(c * price * 0.001) AS fee, sum(t) / 2 AS turnover FROM k GROUP BY ts), v AS (SELECT *, 100000 + sum(profit - fee) OVER (ORDER BY ts) AS value FROM d), n AS (SELECT *, value / coalesce(lag(value) OVER (ORDER BY ts), 100000) - 1 AS r FROM v)"""
+
+
+@query(f"WITH {_VALUES} SELECT ts, {r('profit', 'profit', 3)}, {r('fee', 'fee', 3)}, {r('turnover', 'turnover', 3)}, {r('value', 'value', 3)}, {r('r', 'net_return')} FROM n")
+def market_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily values of the portfolio of edge_positions."""
+    got = ev.market_values(edge_positions(spark, sf_dir), "symbol", "ts", "price", "position", 1e5)
+    return rounded(got.select("ts", *[(F.round(F.col(c) + 3.3e-9, 3) + F.lit(0.0)).alias(c) for c in ("profit", "fee", "turnover", "value")], "net_return"))
+
+
+@query(f"""
+WITH {_VALUES}, w AS (SELECT *, exp(sum(ln(1 + r)) OVER (ORDER BY ts)) AS u FROM n), x AS (SELECT *, u / max(u) OVER (ORDER BY ts) - 1 AS dd FROM w),
+q AS (SELECT CASE WHEN price > 0.5 THEN 1 ELSE 0 END AS y, model AS p FROM z), e AS (SELECT min(p) AS lo, max(p) AS hi, count(*) AS n FROM q), b AS (SELECT least(greatest(ceil(round((p - lo) / (hi - lo) * 10, 9)) - 1, 0), 9) AS bin, p, y, n FROM q, e), c AS (SELECT bin, count(*) / max(n) * abs(avg(y) - avg(p)) AS gap FROM b GROUP BY bin),
+m AS (SELECT 'sharpe' AS metric, avg(r) / nullif(stddev_samp(r), 0) * sqrt(252) AS value FROM x UNION ALL SELECT 'sortino', avg(r) / sqrt(avg(CASE WHEN r < 0 THEN r * r END)) * sqrt(252) FROM x UNION ALL SELECT 'max_drawdown', min(dd) FROM x UNION ALL SELECT 'turnover', avg(turnover) FROM x UNION ALL SELECT 'total_return', product(1 + r) - 1 FROM x
+  {" ".join(f"UNION ALL SELECT 'stress:{n}', product(CASE WHEN ts BETWEEN DATE '{a}' AND DATE '{b}' THEN 1 + r END) - 1 FROM x" for n, (a, b) in _SPANS.items())}
+  UNION ALL SELECT 'brier', avg(pow(p - y, 2)) FROM q UNION ALL SELECT 'log_loss', avg(-(y * ln({_CLIP}) + (1 - y) * ln(1 - {_CLIP}))) FROM q UNION ALL SELECT 'calibration_error', sum(gap) FROM c)
+SELECT metric, {r('value', 'value', 4)} FROM m UNION ALL SELECT 'sharpe_gt_2', coalesce(max(value) > 2, false)::DOUBLE FROM m WHERE metric = 'sharpe' UNION ALL SELECT 'sortino_gt_2', coalesce(max(value) > 2, false)::DOUBLE FROM m WHERE metric = 'sortino' UNION ALL SELECT 'max_dd_gt_-0_10', coalesce(max(value) > -0.1, false)::DOUBLE FROM m WHERE metric = 'max_drawdown'""")
+def prediction_market_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The portfolio of edge_positions as one report; whether the price is above one half stands for a contract's outcome."""
+    z = edge_positions(spark, sf_dir)
+    predictions = z.select((F.col("price") > 0.5).cast("int").alias("y"), F.col("model").alias("p"))
+    values = ev.market_values(z, "symbol", "ts", "price", "position", 1e5)
+    return rounded(ev.market_report(values, predictions, "ts", _SPANS), 4)
