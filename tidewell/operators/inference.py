@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import shared
 from ..functions import windows as W
 from ..functions.scalars import mixed
-from . import series
+from . import evaluate, series
 
 
 def t_tail(t: float, df: float) -> float:
@@ -129,6 +129,15 @@ def bootstrap(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret",
     return draws.groupBy(*keys).agg(F.count("*").alias("replicates"), F.percentile("s", F.lit(alpha)).alias("low"), F.percentile("s", F.lit(1 - alpha)).alias("high"))
 
 
+def robustness_summary(df: DataFrame, keys: Sequence[str], order: str, ret: str = "ret", trials: int = 1, replicates: int = 500, block: int = 21) -> DataFrame:
+    """keys, n, sharpe, deflated (the chance to beat the best of so many unskilled trials), low and high (bootstrap bounds) and
+    robust: deflated over 0.95 and low over 0."""
+    core = evaluate.deflated(evaluate.moments(df.where(F.col(ret).isNotNull()), keys, ret), trials).select(*keys, "n", "sharpe", "deflated")
+    bounds = bootstrap(df, keys, order, ret, replicates, block).drop("replicates")
+    got = core.join(bounds, list(keys), "left")
+    return got.withColumn("robust", F.coalesce((F.col("deflated") > 0.95) & (F.col("low") > 0), F.lit(False)))
+
+
 def permuted(df: DataFrame, at: str, n: str, salts: Sequence[str], name: str = "j", rounds: int = 6) -> DataFrame:
     """df with at (0 <= at < n) under a permutation of 0 .. n - 1 that is keyed by the salts (one or two columns of numbers).
 

@@ -115,7 +115,17 @@ def scenario_metrics(returns: DataFrame, windows: dict[str, tuple[str, str]], ke
     rows = returns.where(F.col(ret).isNotNull()).withColumn("__w", grid).where(F.col(date).between(F.col("__w.a"), F.col("__w.b"))).withColumn("scenario", F.col("__w.scenario"))
     cut = rows.groupBy(*keys, "scenario").agg(F.percentile(ret, F.lit(0.05)).alias("var_5"))
     r = F.col(ret)
-    return rows.join(cut, [*keys, "scenario"]).groupBy(*keys, "scenario", "var_5").agg(F.count("*").alias("n"), F.avg(F.when(r <= F.col("var_5"), r)).alias("shortfall"), (F.exp(F.sum(F.ln(1 + r))) - 1).alias("total_return"))
+    return rows.join(cut, [*keys, "scenario"]).groupBy(*keys, "scenario", "var_5").agg(F.count("*").alias("n"), F.avg(F.when(r <= F.col("var_5"), r)).alias("shortfall"), (W.compounded(r) - 1).alias("total_return"))
+
+
+def stress_bundle(scenarios: DataFrame, shocks: DataFrame, scenario_keys: Sequence[str], shock_keys: Sequence[str]) -> DataFrame:
+    """kind, name, portfolio, metric, value: all scenario_metrics and shock_losses of any number of portfolios in one long table;
+    portfolio is the keys as text, joined by |."""
+    who = lambda keys: F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("portfolio")
+    a = scenarios.select(F.lit("scenario").alias("kind"), F.col("scenario").alias("name"), who(scenario_keys), *[F.col(c).cast("double").alias(c) for c in ("var_5", "shortfall", "total_return", "n")])
+    b = shocks.select(F.lit("shock").alias("kind"), F.col("shock").alias("name"), who(shock_keys), F.col("pnl").cast("double").alias("pnl"))
+    ids = ["kind", "name", "portfolio"]
+    return a.unpivot(ids, ["var_5", "shortfall", "total_return", "n"], "metric", "value").unionByName(b.unpivot(ids, ["pnl"], "metric", "value"))
 
 
 def net_of_costs(positions: DataFrame, f: Frame, date: str = "ts", sigma: float = 0.02) -> DataFrame:

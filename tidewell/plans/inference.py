@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from .. import shared
 from ..functions import windows as W
 from ..operators import indicators as ind
+from ..operators import evaluate as ev
 from ..operators import inference, lineage
 from ..sources import tables as T
-from ._common import mixed_sql, r, rounded
-from .registry import query
+from ._common import cdf_sql, mixed_sql, r, rounded
+from .registry import oracle_sql, query
 
 _LAGS = "CASE WHEN n > 20 THEN CAST(floor(round(4 * pow(n / 100, 2 / 9), 9)) AS INTEGER) ELSE 0 END"
 
@@ -111,3 +112,13 @@ def trial_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         lineage.register_trials(trials.where(F.col("part") == run).drop("part"), path, f"run{run}")
     got = lineage.trial_verdicts(lineage.registered_trials(spark, path))
     return got.select("run", "name", "id", "rejected_then", "rejected_now")
+
+
+@query(T.with_tables("bars_h", then=f"""
+, q AS (SELECT symbol, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_h), m AS (SELECT symbol, count(ret) AS n, avg(ret) / nullif(stddev_samp(ret), 0) AS s, CASE WHEN count(ret) > 2 THEN skewness(ret) END AS skew, CASE WHEN count(ret) > 3 THEN kurtosis(ret) END AS kurt FROM q GROUP BY symbol),
+z AS (SELECT *, CASE WHEN n > 1 THEN (s - {ev.best_of_trials(10)!r} / sqrt(n - 1)) / sqrt(greatest(1 - skew * s + (kurt + 2) / 4 * s * s, 1e-12) / (n - 1)) END AS z FROM m)
+SELECT symbol, n, {r('s * sqrt(252)', 'sharpe')}, {r(cdf_sql('z'), 'deflated')}, low, high, coalesce({cdf_sql('z')} > 0.95 AND low > 0, false) AS robust FROM z LEFT JOIN ({oracle_sql()['bootstrap_sharpe']}) b USING (symbol)"""))
+def robustness_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly moves as returns, each series as one of ten trials."""
+    b = T.bars_h(spark, sf_dir).withColumn("ret", W.returns(F.col("close"), ind.DEFAULT))
+    return rounded(inference.robustness_summary(b, ["symbol"], "ts", trials=10))

@@ -239,3 +239,12 @@ def rule_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jobs
 
     return rounded(jobs.signals(T.bars_h(spark, sf_dir)), 4)
+
+
+@query(f"""
+WITH s AS ({oracle_sql()['scenario_metrics']}), k AS ({oracle_sql()['shock_losses']})
+SELECT 'scenario' AS kind, scenario AS name, CAST(symbol AS VARCHAR) AS portfolio, unnest(['var_5', 'shortfall', 'total_return', 'n']) AS metric, unnest([var_5, shortfall, total_return, n]) AS value FROM s
+UNION ALL SELECT 'shock', shock, CAST(quarter AS VARCHAR), 'pnl', pnl FROM k""")
+def stress_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenarios of the symbols' returns and shocks to the holdings of each quarter in one report."""
+    return rounded(portfolio.stress_bundle(scenario_metrics(spark, sf_dir), shock_losses(spark, sf_dir), ["symbol"], ["quarter"]))
