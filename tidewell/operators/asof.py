@@ -153,5 +153,5 @@ def recent(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) ->
 
 
 def sampled(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows in the order of a seeded hash of their key: the same rows on every run."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """n rows in the order of the MD5 of seed and key (as text): the same rows on every run and in any engine."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

@@ -191,7 +191,7 @@ def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.recent(T.table(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], 3)
 
 
-@query()
+@query("SELECT event_id, user_id, ts FROM events ORDER BY md5('0:' || event_id), event_id LIMIT 100")
 def snapshot_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A hundred events chosen by a seeded hash of their id (a sampling operator)."""
     return asof.sampled(T.table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id", 100)

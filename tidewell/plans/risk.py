@@ -48,13 +48,22 @@ def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.clusters(b.select("symbol"), ev.correlations(b), 0.05)
 
 
-@query()
+_GREEDY = T.with_tables("bars_h", then="""
+, r AS (SELECT symbol, ts, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS ret FROM bars_h), pairs AS (SELECT x.symbol AS a, y.symbol AS b, corr(x.ret, y.ret) AS c FROM r x JOIN r y ON x.ts = y.ts AND x.symbol < y.symbol WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 10),
+names AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS i FROM (SELECT DISTINCT symbol FROM bars_h)), near AS (SELECT symbol, i, list(a ORDER BY a) FILTER (WHERE abs(c) >= 0.05) AS nbrs FROM names LEFT JOIN pairs ON b = symbol GROUP BY 1, 2),
+s AS (SELECT CAST(1 AS BIGINT) AS i, [symbol] AS leaders FROM near WHERE i = 1 UNION ALL SELECT n.i, CASE WHEN len(list_intersect(leaders, coalesce(nbrs, []))) > 0 THEN leaders ELSE list_append(leaders, n.symbol) END FROM s JOIN near n ON n.i = s.i + 1),
+l AS (SELECT leaders FROM s ORDER BY i DESC LIMIT 1), g AS (SELECT symbol, CASE WHEN list_contains(leaders, symbol) THEN symbol ELSE list_min(list_intersect(leaders, nbrs)) END AS leader FROM near, l),
+m AS (SELECT x.leader, avg(abs(c)) AS c FROM pairs JOIN g x ON x.symbol = a JOIN g y ON y.symbol = b WHERE x.leader = y.leader GROUP BY 1)""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_GREEDY + f" SELECT symbol, g.leader, {r('coalesce(m.c, 1)', 'mean_corr')} FROM g LEFT JOIN m ON m.leader = g.leader")
 def correlation_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of event types by correlation of hourly returns; the threshold suits these nearly independent series."""
     return rounded(_clusters(spark, sf_dir))
 
 
-@query()
+@query(_GREEDY + f""", p AS (SELECT symbol, arg_max(close, ts) AS price, sum(volume) AS quantity FROM bars_h GROUP BY 1)
+SELECT leader, count(DISTINCT g.symbol) AS names, {r('sum(coalesce(abs(quantity * price), 0))', 'notional')}, sum(coalesce(abs(quantity * price), 0)) <= 100000 AS within_limit FROM g LEFT JOIN p USING (symbol) GROUP BY leader""")
 def cluster_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = T.bars_h(spark, sf_dir).groupBy("symbol").agg(F.max_by("close", "ts").alias("price"), F.sum("volume").alias("quantity"))
     return rounded(risk.cluster_limits(_clusters(spark, sf_dir), last, 100_000.0))
