@@ -333,11 +333,13 @@ def test_quarantine_keeps_whole_records_of_every_run(spark, tmp_path):
     good, bad = ingest.split_required(df, ["id"])
     assert good.count() == 1 and json.loads(bad.first().record)["body"] == "x" * 5000
     path = f"file://{tmp_path}/q"
-    for run in ("r1", "r2", "r2"):
-        ingest.quarantine(bad, path, "posts", run, "2024-01-01 00:00:00")
+    other = ingest.split_required(df.withColumn("body", F.lit("z")), ["id"])[1]
+    for run, rows in (("r1", bad), ("r2", bad.union(other)), ("r2", bad.union(other)), ("r3", bad)):
+        ingest.quarantine(rows, path, "posts", run, "2024-01-01 00:00:00")
     ingest.quarantine(bad, path, "prices", "r1", "2024-01-01 00:00:00")
     kept = ingest.quarantined(spark, path)
-    assert kept.count() == 3 and {(r.source, r.n) for r in ingest.quarantine_summary(kept).collect()} == {("posts", 2), ("prices", 1)}
+    assert sorted((r.source, r.run_id, len(r.record) > 5000) for r in kept.collect()) == [("posts", "r1", True), ("posts", "r2", False), ("prices", "r1", True)]
+    assert {(r.source, r.n) for r in ingest.quarantine_summary(kept).collect()} == {("posts", 2), ("prices", 1)}
 
 
 def test_prefix_sums_in_ranges_and_in_one_step(spark):

@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import shared
+
 
 def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="__x", handleInvalid="skip").transform(df)
@@ -79,6 +81,35 @@ def model_search(folds: DataFrame, features: Sequence[str], target: str, models:
     return out
 
 
+def classifiers(target: str) -> dict[str, object]:
+    """Named classifiers of the search: logistic regression (ridge and lasso) at two strengths, a forest and boosted trees."""
+    own = {"featuresCol": "__x", "labelCol": target, "probabilityCol": "__q", "rawPredictionCol": "__r", "predictionCol": "__c"}
+    models: dict[str, object] = {}
+    for strength in (0.01, 0.1):
+        models[f"logistic_{strength}"] = LogisticRegression(regParam=strength, elasticNetParam=0.0, **own)
+        models[f"sparse_logistic_{strength}"] = LogisticRegression(regParam=strength, elasticNetParam=1.0, **own)
+    return models | {"forest": RandomForestClassifier(numTrees=10, maxDepth=4, seed=1, **own), "boosted": GBTClassifier(featuresCol="__x", labelCol=target, predictionCol="__c", maxIter=5, maxDepth=3, seed=1).setProbabilityCol("__q").setRawPredictionCol("__r")}
+
+
+def classifier_search(folds: DataFrame, features: Sequence[str], target: str, models: dict[str, object] | None = None) -> DataFrame:
+    """model, fold, n, brier, log_loss, hit_rate on each fold's test rows of a 0/1 target; rmse is the root of the Brier score
+    and corr that of probability and target, so that best_model picks the least Brier score. Folds whose train rows have one
+    class alone are left out; rows with a null target or feature take no part."""
+    rows = shared.pinned(assembled(folds.where(F.col(target).isin(0, 1)).withColumn(target, F.col(target).cast("double")), features).select("fold", "role", "__x", target))
+    both = rows.where("role = 'train'").groupBy("fold").agg(F.count_distinct(target).alias("k")).where("k = 2").orderBy("fold").collect()
+    out = folds.sparkSession.createDataFrame([], "model string, fold long, n long, brier double, log_loss double, hit_rate double, rmse double, corr double")
+    for fold in [r["fold"] for r in both]:
+        mine = rows.where(F.col("fold") == fold)
+        for name, model in (models or classifiers(target)).items():
+            part = model.fit(mine.where("role = 'train'")).transform(mine.where("role = 'test'")).withColumn("__p", vector_to_array("__q")[1])
+            q = F.greatest(F.least(F.col("__p"), F.lit(1 - 1e-12)), F.lit(1e-12))
+            y = F.col(target)
+            brier = F.avg((F.col("__p") - y) ** 2)
+            got = part.agg(F.count("*").alias("n"), brier.alias("brier"), F.avg(-(y * F.ln(q) + (1 - y) * F.ln(1 - q))).alias("log_loss"), F.avg(((F.col("__p") > 0.5) == (y == 1)).cast("double")).alias("hit_rate"), F.sqrt(brier).alias("rmse"), F.try_divide(F.covar_pop("__p", target), F.stddev_pop("__p") * F.stddev_pop(target)).alias("corr"))
+            out = out.unionByName(got.select(F.lit(name).alias("model"), F.lit(fold).cast("long").alias("fold"), "n", "brier", "log_loss", "hit_rate", "rmse", "corr"))
+    return out
+
+
 def best_model(search: DataFrame) -> DataFrame:
     """model, mean_rmse, mean_corr, best: the least mean error over folds (ties: first by name)."""
     means = search.groupBy("model").agg(F.avg("rmse").alias("mean_rmse"), F.avg("corr").alias("mean_corr"))

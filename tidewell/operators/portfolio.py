@@ -118,6 +118,16 @@ def scenario_metrics(returns: DataFrame, windows: dict[str, tuple[str, str]], ke
     return rows.join(cut, [*keys, "scenario"]).groupBy(*keys, "scenario", "var_5").agg(F.count("*").alias("n"), F.avg(F.when(r <= F.col("var_5"), r)).alias("shortfall"), (W.compounded(r) - 1).alias("total_return"))
 
 
+def filtered_signals(signals: DataFrame, least_score: float = 0.0, confidence: Sequence[str] = (), symbols: Sequence[str] | None = None, top: int | None = None, date: str = "ts") -> DataFrame:
+    """The eligible signals with at least a score, of the named confidences (all if none is named) and symbols, with their rank
+    by score within the date (ties by symbol); at most `top` of a date if that is given."""
+    rows = signals.where(F.col("eligible") & (F.col("score") >= least_score))
+    rows = rows.where(F.col("confidence").isin(*confidence)) if confidence else rows
+    rows = rows.where(F.col("symbol").isin(*symbols)) if symbols is not None else rows
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(date).orderBy(F.desc("score"), "symbol")))
+    return rows.where(F.col("rank") <= top) if top else rows
+
+
 def stress_bundle(scenarios: DataFrame, shocks: DataFrame, scenario_keys: Sequence[str], shock_keys: Sequence[str]) -> DataFrame:
     """kind, name, portfolio, metric, value: all scenario_metrics and shock_losses of any number of portfolios in one long table;
     portfolio is the keys as text, joined by |."""

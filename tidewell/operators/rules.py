@@ -31,6 +31,11 @@ def pre_trade(candidates: DataFrame, bars: DataFrame, held: DataFrame, as_of: st
     return j.select(*candidates.columns, "price", "mean_volume", F.array_join("reasons", ",").alias("reasons"), (F.size("reasons") == 0).alias("passed"))
 
 
+def ranked(passed: DataFrame, by: str, tie: str) -> DataFrame:
+    """A filtered list (one row a candidate, so no longer than the universe) with its rank, largest first."""
+    return passed.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(by), tie)))
+
+
 def risk_state(pnl: DataFrame, keys: Sequence[str], order: str, value: str, ret: str, cooldown_days: int = 30) -> DataFrame:
     """Drawdown, level (5, 10, 15 percent), losing streak, cooldown after RED, and whether positions may be opened."""
     f = Frame(keys, [order])

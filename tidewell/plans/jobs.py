@@ -52,3 +52,23 @@ def signals(bars: DataFrame, fast: int = 5, slow: int = 10) -> DataFrame:
     t = ind.regime(ind.technical(bars, f), f, 20, 5)
     t = t.withColumns({"sma_fast": W.sma(c, f, fast), "sma_slow": W.sma(c, f, slow), "slope": F.col("slope_5"), "rsi": F.col("rsi_14"), "percent_b": F.col("bb_position"), "volume_ratio": F.try_divide("volume", W.rolling(F.avg, F.col("volume"), f, slow)), "atr_pct": F.try_divide("atr_14", "close")})
     return portfolio.levels(portfolio.rule_score(t), c, F.col("atr_14")).select("symbol", "ts", "regime", "trend_pts", "pullback_pts", "volume_pts", "volatility_pts", "score", "eligible", "confidence", "close", "stop_price", "target_1", "target_2")
+
+
+def signal_run(spark: SparkSession, bars: DataFrame, out_dir: str, run_id: str, now: str, first: str, last: str | None = None, least_score: float = 0.0, top: int | None = None, strategy: str = "rules") -> DataFrame:
+    """The filtered signals of a day, or of a range of days (a back-fill), written as blotters by date and returned.
+
+    Scores of a day see the bars up to it alone, so a day gives the same alone or in a range. A date that is run again is
+    replaced; dates without signals are left as they are. The run is logged with its end or its error.
+    """
+    log = f"{out_dir}/runs"
+    lineage.log_run(spark, log, run_id, "signals", "started", now, f"{first} to {last or first}")
+    try:
+        rows = signals(bars).withColumn("date", F.to_date("ts")).where(F.col("date").between(F.lit(first).cast("date"), F.lit(last or first).cast("date")))
+        chosen = portfolio.filtered_signals(rows, least_score, top=top, date="date")
+        blotter = chosen.select("date", F.col("symbol").cast("string").alias("ticker"), F.lit("LONG").alias("direction"), "score", "trend_pts", "pullback_pts", "volume_pts", "volatility_pts", F.col("close").alias("entry_price"), "stop_price", "target_1", "target_2", "regime", "confidence", F.lit(strategy).alias("strategy_id"))
+        ingest.write_blotter(blotter, f"{out_dir}/signals")
+    except Exception as stop:
+        lineage.log_run(spark, log, run_id, "signals", "failed", now, str(stop).split("\n")[0])
+        raise
+    lineage.log_run(spark, log, run_id, "signals", "finished", now)
+    return blotter

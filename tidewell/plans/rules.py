@@ -10,7 +10,7 @@ from ..operators import rules
 from ..sources import tables as T
 from ._common import r, rounded
 from .evaluation import _RET, returns
-from .registry import query
+from .registry import oracle_sql, query
 from .windows import sma
 
 
@@ -88,3 +88,10 @@ def intraday_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A session is a symbol's day; each hour's move is its profit or loss on a value of 1,000."""
     b = T.bars_h(spark, sf_dir).select("symbol", "ts", F.to_date("ts").alias("day"), (F.col("close") - F.col("open")).alias("delta"))
     return rounded(rules.intraday_state(b, ["symbol", "day"], ["ts"], "delta", 1000.0, 0.05, 80.0).drop("day", "delta"))
+
+
+@query(f"SELECT symbol, price, mean_volume, CAST(row_number() OVER (ORDER BY mean_volume DESC, symbol) AS INTEGER) AS rank FROM ({oracle_sql()['pre_trade_checks']}) WHERE passed")
+def filtered_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates that pass all pre-trade checks, by volume."""
+    got = pre_trade_checks(spark, sf_dir).where("passed")
+    return rules.ranked(got, "mean_volume", "symbol").select("symbol", "price", "mean_volume", "rank")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import scalars
 from ..operators import asof
@@ -83,9 +84,17 @@ def load(spark: SparkSession, source: str, path: str, existing: DataFrame | None
 
 
 def quarantine(bad: DataFrame, path: str, source: str, run_id: str, at: str) -> None:
-    """Writes a run's quarantine records as JSON lines under its source and run; records of other runs stay, and a run that is
-    done again replaces its own."""
+    """Writes a run's quarantine records as JSON lines under its source and run. Records of other runs stay; what another run
+    of the source has quarantined already is not written again, and a run that is done again replaces its own."""
+    spark = bad.sparkSession
     stamped = bad.withColumns({"source": F.lit(source), "run_id": F.lit(run_id), "at": F.lit(at).cast("timestamp")})
+    try:
+        known = quarantined(spark, path).where((F.col("source") == source) & (F.col("run_id") != run_id))
+        mark = lambda: [F.sha2(F.coalesce("record", F.lit("")), 256).alias("__d"), F.col("error_type").alias("__e")]
+        stamped = stamped.withColumns({c: v for c, v in zip(("__d", "__e"), mark(), strict=True)}).join(known.select(*mark()).distinct(), ["__d", "__e"], "left_anti").drop("__d", "__e")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "run_id").json(path)
 
 
