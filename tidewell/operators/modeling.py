@@ -1,5 +1,5 @@
 """Models on features by date folds: search, calibration, ensembles, weights. Fits are pyspark.ml, folds and models are few:
-they are looped over on the driver, each fit is a Spark job, and the rows are kept in memory or on disk between them."""
+they are looped over on the driver, each fit is a Spark job, and the rows are written once to the shared folder before them."""
 
 from __future__ import annotations
 
@@ -70,7 +70,7 @@ def grid(target: str) -> dict[str, object]:
 
 def model_search(folds: DataFrame, features: Sequence[str], target: str, models: dict[str, object] | None = None) -> DataFrame:
     """model, fold, n, rmse, corr on each fold's test rows. folds: rows with fold and role."""
-    rows = assembled(folds.where(F.col(target).isNotNull()), features).persist()
+    rows = shared.pinned(assembled(folds.where(F.col(target).isNotNull()), features))
     out = None
     for fold in [r["fold"] for r in rows.select("fold").distinct().orderBy("fold").collect()]:
         mine = rows.where(F.col("fold") == fold)
@@ -162,7 +162,7 @@ def weighted(df: DataFrame, weights: dict[str, float]) -> DataFrame:
 def ensemble_search(folds: DataFrame, predictions: Sequence[str], target: str) -> DataFrame:
     """method, n, rmse, best: mean, greedy and stacked ensembles fitted on train rows and scored on the test rows of all
     folds. folds: with fold and role."""
-    rows = folds.dropna(subset=[*predictions, target]).persist()
+    rows = shared.pinned(folds.dropna(subset=[*predictions, target]))
     parts = None
     for fold in [r["fold"] for r in rows.select("fold").distinct().orderBy("fold").collect()]:
         train, test = (rows.where((F.col("fold") == fold) & (F.col("role") == role)) for role in ("train", "test"))
