@@ -156,6 +156,21 @@ def table_stats(df: DataFrame, name: str, date: str) -> DataFrame:
     return df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"), F.min(date).cast("string").alias("first"), F.max(date).cast("string").alias("last"))
 
 
+def alert_summary(alerts: DataFrame) -> DataFrame:
+    """By table: open critical, error and warning alerts and the time of the latest open one. alerts: table_name, severity,
+    created_at, resolved_at (null while open)."""
+    still = F.col("resolved_at").isNull()
+    return alerts.groupBy("table_name").agg(*[F.count_if(still & (F.col("severity") == s)).alias(f"{s}_alerts") for s in ("critical", "error", "warning")], F.max(F.when(still, F.col("created_at"))).alias("latest_alert_at"))
+
+
+def staleness_summary(rows: DataFrame) -> DataFrame:
+    """The checks of each table's latest checked_at (all, if several), with status CRITICAL above twice the threshold, WARNING above
+    it, else OK. The latest times are aggregated first, so a long history of one table stays spread out."""
+    last = rows.groupBy("table_name").agg(F.max("checked_at").alias("checked_at"))
+    hours, limit = F.col("staleness_hours"), F.col("threshold_hours")
+    return rows.join(last, ["table_name", "checked_at"], "left_semi").withColumn("status", F.when(hours > limit * 2, "CRITICAL").when(hours > limit, "WARNING").otherwise("OK"))
+
+
 def suite(parts: Sequence[DataFrame]) -> DataFrame:
     """All checks as rows (check_name, table_name, severity, message)."""
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import windows as W
 from ..functions.windows import Frame
+from . import ranks
 
 DEFAULT = Frame(["symbol"], ["ts"])
 
@@ -83,6 +84,38 @@ def robust(df: DataFrame, x: Column, f: Frame = DEFAULT, k: int = 20, m: int = 1
     }).drop("__x", "__all", "__q", "__n", "__z")
 
 
+def cleaned(df: DataFrame, x: str, f: Frame = DEFAULT, k: int = 60, m: int = 10, low: float = 0.01, high: float = 0.99, limit: float = 5.0) -> DataFrame:
+    """<x>_clean: x drawn into its series' own quantiles low and high, and null where the robust z over the last k rows (at least m
+    values) is above limit. Null stays null; a series without deviation has no outlier."""
+    w = f.rows(k)
+    df = df.withColumns({"__all": F.collect_list(x).over(w), "__n": F.count(x).over(w)})
+    df = df.withColumn("__med", F.when(F.col("__n") >= m, W.median(F.col("__all"))))
+    df = df.withColumn("__z", F.abs(F.try_divide(0.6745 * (F.col(x) - F.col("__med")), W.mad(F.col("__all"), F.col("__med")))))
+    bounds = ranks.quantiles(df.select(*f.keys, x), f.keys, x, {"__lo": low, "__hi": high}).drop("n")
+    value = F.when(~F.coalesce(F.col("__z") > limit, F.lit(False)), W.clip(F.col(x), F.col("__lo"), F.col("__hi")))
+    return df.join(bounds, list(f.keys), "left").withColumn(f"{x}_clean", value).drop("__all", "__n", "__med", "__z", "__lo", "__hi")
+
+
+def aligned(df: DataFrame, features: list[str], label: str, f: Frame = DEFAULT, horizon: int = 1) -> DataFrame:
+    """Keys, order, features of horizon rows before and the label; rows that lack any of them are dropped."""
+    made = df.select(*f.keys, *f.order, *[W.lag(F.col(c), f, horizon).alias(c) for c in features], label)
+    return made.dropna(subset=[*features, label])
+
+
+def group_scores(df: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """<x>_mean, <x>_rank (share, mean of ties) and <x>_z within the keys' group; z is null without deviation.
+
+    Means and deviations are aggregated before they meet the rows; ranks come from counts of distinct values, so that no task
+    sorts a large group.
+    """
+    stats = df.groupBy(*keys).agg(F.avg(x).alias("__m"), F.stddev_samp(x).alias("__s"), F.count(x).alias("__n"))
+    counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count("*").alias("__t"))
+    placed = ranks.prefix(counts, keys, x, ["__t"])
+    made = df.join(stats, keys, "left").join(placed, [*keys, x], "left")
+    rank = (F.col("before___t") + (F.col("__t") + 1) / 2) / F.col("__n")
+    return made.withColumns({f"{x}_mean": F.col("__m"), f"{x}_rank": rank, f"{x}_z": F.try_divide(F.col(x) - F.col("__m"), F.col("__s"))}).drop("__m", "__s", "__n", "__t", "before___t")
+
+
 def raw_signals(df: DataFrame, f: Frame = DEFAULT, fast: int = 5, slow: int = 20, skip: int = 2, vol: int = 10) -> DataFrame:
     """Momentum with a skip, crossing means, mean reversion by rsi, low volatility, crash protection, volume ratio, %B."""
     c, v = F.col("close"), F.col("volume")

@@ -280,3 +280,34 @@ def filings_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = spark.sql("SELECT explode(sequence(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 3 MONTH)) AS as_of")
     got = asof.point_in_time(T.filings(spark, sf_dir), dates, ["entity", "metric"], "filed", ["filing_id"])
     return rounded(got.select("as_of", "entity", "metric", "filing_id", "filed", "period", "value"))
+
+
+@query("""
+SELECT event_type AS table_name, count(*) FILTER (event_id % 5 > 0 AND event_id % 3 = 0) AS critical_alerts, count(*) FILTER (event_id % 5 > 0 AND event_id % 3 = 1) AS error_alerts, count(*) FILTER (event_id % 5 > 0 AND event_id % 3 = 2) AS warning_alerts, max(ts) FILTER (event_id % 5 > 0) AS latest_alert_at
+FROM events GROUP BY 1""")
+def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stand for alerts on their type's table; every fifth is resolved."""
+    k = F.col("event_id")
+    rows = T.table(spark, sf_dir, "events").select(F.col("event_type").alias("table_name"), F.element_at(F.array(*map(F.lit, ("critical", "error", "warning"))), (k % 3 + 1).cast("int")).alias("severity"), F.col("ts").alias("created_at"), F.when(k % 5 == 0, F.col("ts")).alias("resolved_at"))
+    return checks.alert_summary(rows)
+
+
+@query(f"""
+WITH s AS (SELECT user_id AS table_name, CAST(ts AS DATE) AS checked_at, event_id, value AS staleness_hours, 10.0 AS threshold_hours FROM events)
+SELECT table_name, event_id, checked_at, {r('staleness_hours', 'staleness_hours')}, CASE WHEN staleness_hours > 20 THEN 'CRITICAL' WHEN staleness_hours > 10 THEN 'WARNING' ELSE 'OK' END AS status FROM s WHERE checked_at = (SELECT max(t.checked_at) FROM s t WHERE t.table_name = s.table_name)""")
+def staleness_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stand for staleness checks of their user's table; those of the table's last day are its current ones."""
+    rows = T.table(spark, sf_dir, "events").select(F.col("user_id").alias("table_name"), F.to_date("ts").alias("checked_at"), "event_id", F.col("value").alias("staleness_hours"), F.lit(10.0).alias("threshold_hours"))
+    return rounded(checks.staleness_summary(rows).drop("threshold_hours"))
+
+
+@query("""
+WITH l AS (SELECT event_type AS source, max(ts) AS last_updated FROM events WHERE event_type <> 'error' GROUP BY 1), s AS (SELECT DISTINCT event_type AS source, length(event_type) * 3600 AS sla_seconds FROM events),
+j AS (SELECT source, sla_seconds, CAST(floor(epoch(TIMESTAMP '2024-01-31 05:00:00')) - floor(epoch(last_updated)) AS BIGINT) AS age_s FROM s LEFT JOIN l USING (source))
+SELECT source, CAST(sla_seconds AS BIGINT) AS sla_seconds, age_s FROM j WHERE age_s IS NULL OR age_s > sla_seconds""")
+def late_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types stand for sources, an hour of grace for each letter of their name; one has no rows."""
+    e = T.table(spark, sf_dir, "events")
+    last = e.where("event_type <> 'error'").groupBy(F.col("event_type").alias("source")).agg(F.max("ts").alias("last_updated"))
+    slas = e.select(F.col("event_type").alias("source")).distinct().withColumn("sla_seconds", F.length("source") * F.lit(3600).cast("long"))
+    return checks.freshness(last, slas, "2024-01-31 05:00:00").select("source", "sla_seconds", "age_s")

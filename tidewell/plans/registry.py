@@ -33,4 +33,4 @@ def oracle_sql() -> dict[str, str]:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from . import curate, evaluation, inference, pit, portfolio, research, risk, rules, statistics, windows  # noqa: F401
+    from . import curate, evaluation, inference, payloads, pit, portfolio, research, risk, rules, statistics, windows  # noqa: F401

@@ -211,3 +211,45 @@ def lags_and_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, v, f = F.col("close"), F.col("volume"), ind.DEFAULT
     b = T.bars_user_d(spark, sf_dir)
     return rounded(b.select(*KEY, W.lag(c, f).alias("close_lag1"), W.forward_returns(c, f, 5).alias("forward_5"), W.rolling(F.avg, v, f, 20, 5).alias("adv_20"), F.sum(v).over(f.rows(5)).alias("flow_5"), (c - W.lag(c, f)).alias("change"), W.returns(c, f).alias("change_pct")))
+
+
+_W10 = "OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+
+
+@query(T.with_tables("bars_supp_d", then=f"""
+, a AS (SELECT *, count(close) {_W10} AS n, min(close) {_W10} AS lo, max(close) {_W10} AS hi, avg(close) {_W10} AS m, stddev_samp(close) {_W10} AS s, list(close) {_W10} AS xs FROM bars_supp_d)
+SELECT symbol, ts, {r('CASE WHEN n >= 5 THEN (close - lo) / nullif(hi - lo, 0) END', 'minmax')}, {r('CASE WHEN n >= 5 THEN (len(list_filter(xs, lambda x: x < close)) + (len(list_filter(xs, lambda x: x = close)) + 1) / 2) / n END', 'percentile')}, {r('CASE WHEN n >= 5 THEN greatest(least((close - m) / nullif(s, 0), 3), -3) END', 'winsorized')}
+FROM a"""))
+def signal_normalisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min-max, percentile of the last value and winsorised z of closes over ten rows."""
+    b = T.bars_supp_d(spark, sf_dir)
+    for how in ("minmax", "percentile", "winsorized"):
+        b = ind.normalized(b, ["close"], k=10, m=5, how=how).withColumnRenamed("close_n", how)
+    return rounded(b.select(*KEY, "minmax", "percentile", "winsorized"))
+
+
+@query(T.with_tables("bars_supp_d", then=f"""
+, a AS (SELECT *, list(close) {_W20} AS xs, count(close) {_W20} AS n FROM bars_supp_d), b AS (SELECT *, CASE WHEN n >= 10 THEN list_median(xs) END AS med FROM a),
+z AS (SELECT *, abs(0.6745 * (close - med)) / nullif(list_median(list_transform(xs, lambda x: abs(x - med))), 0) AS z FROM b), q AS (SELECT symbol, quantile_cont(close, 0.01) AS lo, quantile_cont(close, 0.99) AS hi FROM bars_supp_d GROUP BY 1)
+SELECT symbol, ts, {r('CASE WHEN NOT coalesce(z > 4, false) THEN greatest(least(close, hi), lo) END', 'close_clean', 4)} FROM z JOIN q USING (symbol)"""))
+def cleaned_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closes drawn into their series' quantiles; outliers of the last 20 rows become null."""
+    return rounded(ind.cleaned(T.bars_supp_d(spark, sf_dir), "close", k=20, limit=4.0).select(*KEY, "close_clean"), 4)
+
+
+@query(T.with_tables("bars_user_d", then=f"""
+, a AS (SELECT symbol, ts, lag(close, 2) OVER o AS close, lag(volume, 2) OVER o AS volume, CASE WHEN symbol % 3 > 0 OR volume > 2 THEN close / open END AS label FROM bars_user_d WINDOW o AS (PARTITION BY symbol ORDER BY ts))
+SELECT symbol, ts, {r('close', 'close')}, {r('volume', 'volume')}, {r('label', 'label')} FROM a WHERE close IS NOT NULL AND volume IS NOT NULL AND label IS NOT NULL"""))
+def aligned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closes and volumes of two rows before beside the day's move; incomplete rows are dropped."""
+    b = T.bars_user_d(spark, sf_dir).withColumn("label", F.when((F.col("symbol") % 3 > 0) | (F.col("volume") > 2), F.try_divide("close", "open")))
+    return rounded(ind.aligned(b, ["close", "volume"], "label", horizon=2))
+
+
+@query(f"""
+SELECT o_orderkey, {r('avg(o_totalprice) OVER g', 'o_totalprice_mean', 4)}, {r('(rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_orderpriority, o_totalprice) - 1) / 2) / count(*) OVER g', 'o_totalprice_rank', 4)}, {r('(o_totalprice - avg(o_totalprice) OVER g) / nullif(stddev_samp(o_totalprice) OVER g, 0)', 'o_totalprice_z', 4)}
+FROM orders WINDOW g AS (PARTITION BY o_orderpriority)""")
+def group_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean, percentile rank and z of an order's price within its priority."""
+    made = ind.group_scores(T.table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice")
+    return rounded(made.select("o_orderkey", "o_totalprice_mean", "o_totalprice_rank", "o_totalprice_z"), 4)
