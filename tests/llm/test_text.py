@@ -518,3 +518,46 @@ def test_tokenizers_that_keep_blanks_take_texts_whole(tmp_path):
         assert len(pieces) == text.count(" ") + text.count("\n") + 1
         runs = packing.by_sentence(text, pieces)
         assert b"".join(runs) == b"".join(pieces)
+
+
+def test_pii_recall_of_planted_spans_by_kind(spark):
+    """Spans of forms and words that the made examples do not use, planted in prose; decoys beside them."""
+    import random
+
+    rng = random.Random(11)
+    some = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
+    digits, hexes, mixed = "0123456789", "0123456789abcdef", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789"
+
+    def amex() -> str:
+        while True:
+            s = "37" + some(digits, 13)
+            if pii.luhn(s):
+                return f"{s[:4]} {s[4:10]} {s[10:]}"
+
+    def iban() -> str:
+        body = some(digits, 20)
+        return f"FR{98 - int(body + '152700') % 97:02d}{body}"
+
+    planted = {
+        "email": lambda: ("You may ask ", f"{rng.choice(['maria', 'zoe', 'quentin'])}.{rng.choice(['voss', 'kw'])} at {rng.choice(['wizardry', 'zwolle'])}.org", " for it."),
+        "ip": lambda: ("The machine ", ":".join(some(hexes, 4) for _ in range(8)), " was down."),
+        "card": lambda: ("They paid with ", amex(), " in May."),
+        "phone": lambda: ("Ring ", f"({rng.randint(201, 989)}) {rng.randint(201, 989)}-{some(digits, 4)}", " at night."),
+        "iban": lambda: ("Send it to ", iban(), " by Friday."),
+        "key": lambda: rng.choice([("set TOKEN='", some(hexes, 40), "' there"), ("the api_key => ", some(mixed, 32) + "7", " of it"), ("passwd: ", f"Xylo{some(digits, 3)}!", " is old"), ("see ", some(mixed, 20) + "9" + some(mixed, 20), " below")]),
+        "ssn": lambda: ("Her number is ", f"{rng.randint(101, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", " now."),
+    }
+    rows, want = [], {}
+    for kind, make in planted.items():
+        for _ in range(40):
+            before, span, after = make()
+            want[len(rows)] = (kind, len(before) + 10, len(before) + 10 + len(span))
+            rows.append((len(rows), "Some words" + before + span + after))
+    decoys = ["password: mandatory for all", "the token = placeholder here", "secret: nobody knows", "checksum " + some(hexes, 40), "read /usr/share/doc/package9/copyright/file", "a-long-title-of-an-article-2019-part-three", "id 123e4567-e89b-12d3-a456-426614174000 of it", "serial 212 456 7890 came", "we met at noon. Then", "version 10.2.3"]
+    rows += [(len(rows) + i, "Some words " + d) for i, d in enumerate(decoys)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs.where("false"))
+    got = {r.doc_id: r.p.joined.split(",") for r in docs.select("doc_id", pii.detect(docs, model).alias("p")).collect()}
+    recall = {kind: np.mean([f"{k}:{s}:{e}" in got[i] for i, (k, s, e) in want.items() if k == kind]) for kind in planted}
+    assert all(v >= 0.9 for v in recall.values()), recall
+    assert [got[len(want) + i] for i in range(len(decoys))] == [[""]] * len(decoys)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,13 +36,17 @@ GENERATORS = [(k, re.compile(p)) for k, p in (
     ("phone", r"(?<![0-9A-Za-z+.-])0[1-9](?:[ .-]?[0-9]{2,4}){3,4}(?![0-9A-Za-z.-])"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("key", r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])"),
+    ("key", r"(?i:password|passwd|secret|token|api_?key|access_?key|credentials?)[\"']?[ \t]*(?:[:=]|=>|:=)[ \t]*[\"']?(?P<value>[A-Za-z0-9+/_.=!#$%^&*~-]{6,}+)(?!@)"),
+    ("key", r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}(?![@.][A-Za-z0-9])"),
     ("ssn", r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z.-])"),
 )]
-_WORTH = re.compile(r"[0-9@]|AKIA|gh[pousr]_|:[0-9A-Fa-f]{1,4}:|[ \[(]at[ \])]")
+_WORTH = re.compile(r"[0-9@]|(?i:passw|secret|token|api_?key|access_?key|credential)|AKIA|gh[pousr]_|:[0-9A-Fa-f]{1,4}:|[ \[(]at[ \])]")
 #: Common ends of host names.
 ENDINGS = frozenset("com org net edu gov info io co de fr es it nl uk us eu ch at be".split())
-CONTEXT = re.compile(r"call|phone|tel|mobile|fax|e-?mail|mail|contact|write|reach|card|visa|pay|ssn|social|iban|account|bank|ip|host|server|key|secret|token", re.I)
-AGAINST = re.compile(r"(?<![^\W\d_])(?:order|invoice|version|isbn|serial|ticket|part|page|chapter|item|build|lot|ref)s?(?![^\W\d_])", re.I)
+CONTEXT = re.compile(r"call|phone|tel|mobile|fax|e-?mail|mail|contact|write|reach|card|visa|pay|ssn|social|iban|account|bank|ip|host|server|key|secret|token|passw|credential", re.I)
+_ISSUED = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}")
+_ASSIGNED = re.compile(r"[:=]>?[ \t]*[\"']?\Z")
+AGAINST = re.compile(r"(?<![^\W\d_])(?:order|invoice|version|isbn|serial|ticket|part|page|chapter|item|build|lot|ref|commit|revision|checksum|digest)s?(?![^\W\d_])", re.I)
 
 Span = tuple[str, int, int]
 
@@ -89,10 +93,10 @@ def base_spans(text: str | None) -> list[Span]:
 
 
 def candidates(text: str | None) -> list[Span]:
-    """Spans of the further generators; they may overlap."""
+    """Distinct spans of the further generators; they may overlap. Of an assignment, the span is the value."""
     if not text or not _WORTH.search(text):
         return []
-    return [(kind, *m.span()) for kind, pattern in GENERATORS for m in pattern.finditer(text)]
+    return list(dict.fromkeys((kind, *m.span("value" if pattern.groupindex else 0)) for kind, pattern in GENERATORS for m in pattern.finditer(text)))
 
 
 def _iban_ok(s: str) -> bool:
@@ -100,6 +104,20 @@ def _iban_ok(s: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+_CHANGE = re.compile(r"(?<=[a-z])[^a-z\W_]|(?<=[A-Z])[^A-Z\W_]|(?<=[0-9])[^0-9\W_]")
+
+
+def randomness(s: str) -> list[float]:
+    """How a string is made: bits a character, share of vowels among its letters, changes between lower case, upper case and digits
+    as a share of its length, longest run of letters, whether all of it is hexadecimal, share of other characters."""
+    n = max(len(s), 1)
+    counts = np.unique(np.frombuffer(s.encode("utf-32-le"), np.uint32), return_counts=True)[1] / n
+    letters = re.findall("[A-Za-z]+", s)
+    plain = sum(map(len, letters))
+    vowels = sum(s.count(c) for c in "aeiouAEIOU")
+    return [float(-(counts * np.log2(counts)).sum()), vowels / max(plain, 1), len(_CHANGE.findall(s)) / n, max(map(len, letters), default=0), float(not re.search("[^0-9A-Fa-f]", s)), len(re.findall("[^A-Za-z0-9]", s)) / n]
+
+
 def features(text: str, span: Span) -> list[float]:
     """Format and context features of a candidate."""
     kind, a, b = span
@@ -108,7 +126,7 @@ def features(text: str, span: Span) -> list[float]:
     before, after = text[max(0, a - 40) : a], text[b : b + 24]
     groups = [len(g) for g in re.findall("[0-9]+", s)]
     valid = {"card": luhn(digits) if digits else False, "iban": kind == "iban" and _iban_ok(s), "ssn": digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000"}.get(kind, True)
-    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(text, max(0, a - 40), a))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555"), float(re.split(r"[\s.)\]]+", s.lower())[-1] in ENDINGS)]
+    return [KINDS.index(kind), b - a, len(digits), len(set(digits)), len(groups), max(groups, default=0), float(valid), s.count("-"), s.count(" "), s.count("."), s.count("("), float("[at]" in s or "(at)" in s), float("dot" in s), sum(map(str.isalpha, s)), float(a == 0 or text[a - 1].isspace()), float(b == len(text) or text[b].isspace() or text[b] in ".,;:"), float(bool(CONTEXT.search(before))), float(bool(AGAINST.search(text, max(0, a - 40), a))), float(bool(CONTEXT.search(after))), float(digits[:1] == "0"), float(digits[:3] == "555" or digits[3:6] == "555"), float(re.split(r"[\s.)\]]+", s.lower())[-1] in ENDINGS), float(bool(_ASSIGNED.search(text, max(0, a - 24), a))), float(bool(_ISSUED.match(s))), *randomness(s)]
 
 
 @dataclass
@@ -129,7 +147,7 @@ class BoostedTrees:
         return z
 
 
-def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.2, l2: float = 1.0) -> BoostedTrees:
+def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 3, rate: float = 0.2, l2: float = 1.0) -> BoostedTrees:
     p = np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99)
     model = BoostedTrees(float(np.log(p / (1 - p))), [], depth)
     z = np.full(len(x), model.start)
@@ -188,8 +206,8 @@ def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return total / n, np.maximum.accumulate((good + 0.5) / (n + 1))
 
 
-def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int]]:
-    """Texts with one candidate each and its label, made from templates by a rule; the same on every call."""
+def labelled_examples(n: int = 2400, seed: int = 3) -> list[tuple[str, Span, int]]:
+    """Texts with a candidate or two of one label, made from templates by a rule; the same on every call."""
     rng = random.Random(seed)
     num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
     word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9)))
@@ -198,14 +216,18 @@ def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int
         while True:
             s = rng.choice(("34", "37")) + num(13)
             if luhn(s) == ok:
-                return s
+                gap = rng.choice(("", " ", "-"))
+                return f"{s[:4]}{gap}{s[4:10]}{gap}{s[10:]}"
 
     def iban(ok: bool) -> str:
-        body = num(18)
-        return f"DE{98 - int(body + '131400') % 97:02d}{body}" if ok else f"DE{num(2)}{body}"
-
-    spoken = lambda: f"{word()} at {word()}.{rng.choice(sorted(ENDINGS))}"
-    good = [spoken, spoken, lambda: f"{word()}{rng.choice([' [at] ', '[at]', ' (at) '])}{word()}{rng.choice([' [dot] ', '[dot]', ' (dot) '])}com", lambda: f"({num(3)}) 555-{num(4)}", lambda: f"{rng.randint(201, 989)}-{num(3)}-{num(4)}", lambda: amex(True), lambda: iban(True), lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16)), lambda: f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", lambda: ":".join(f"{rng.getrandbits(16):x}" for _ in range(8)), lambda: f"0{rng.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}"]
+        land, body = rng.choice(("DE", "GB", "NL", "ES", "IT")), num(rng.choice((14, 18, 20)))
+        check = 98 - int(body + "".join(str(int(c, 36)) for c in land) + "00") % 97 if ok else rng.randint(2, 98)
+        s = f"{land}{check:02d}{body}"
+        return " ".join(s[i : i + 4] for i in range(0, len(s), 4)) if rng.random() < 0.4 else s
+
+    local = lambda: word() + rng.choice(("", "", f".{word()}", f"_{word()}", num(2)))
+    spoken = lambda: f"{local()} at {word()}.{rng.choice(sorted(ENDINGS))}"
+    good = [spoken, spoken, lambda: f"{local()}{rng.choice([' [at] ', '[at]', ' (at) '])}{word()}{rng.choice([' [dot] ', '[dot]', ' (dot) '])}com", lambda: f"({num(3)}) {rng.choice(('555', num(3)))}-{num(4)}", lambda: f"{rng.randint(201, 989)}-{num(3)}-{num(4)}", lambda: amex(True), lambda: iban(True), lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16)), lambda: f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", lambda: ":".join(f"{rng.getrandbits(16):x}" for _ in range(8)), lambda: f"0{rng.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}"]
     bad = [lambda: f"{word()} at {word()}. {word()}", lambda: f"{word()} at {word()}.{word()}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"{num(3)} {num(3)} {num(4)}", lambda: amex(False), lambda: iban(False), lambda: f"000-{num(2)}-{num(4)}", lambda: f"0{rng.randint(1, 9)}{num(8)}"]
     hints, noise = ("call ", "contact ", "my card ", "email ", "account ", "phone: ", "reach me: "), ("order ", "invoice no ", "version ", "part ", "serial ", "item ")
     out = []
@@ -218,6 +240,41 @@ def labelled_examples(n: int = 1200, seed: int = 3) -> list[tuple[str, Span, int
         text = f"{word()} {word()} {lead}{s} {word()} {word()}."
         for span in candidates(text):
             out.append((text, span, y))
+    return out + _credential_examples(rng, n // 2, word)
+
+
+def _credential_examples(rng: random.Random, n: int, word: Callable[[], str]) -> list[tuple[str, Span, int]]:
+    """Assigned and bare credentials, and what looks like them: words, names of variables, slugs, paths, hashes of versions."""
+    some = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    mixed, hexes = lower + lower.upper() + digits, digits + "abcdef"
+    name = lambda: rng.choice(("password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "credential", "db_password", "AUTH_TOKEN"))
+
+    def assigned(value: str) -> str:
+        quote = rng.choice(("", "'", '"'))
+        return f"{name()}{rng.choice((' = ', '=', ': ', ':', ' := '))}{quote}{value}{quote}"
+
+    def random_key() -> str:
+        while True:
+            s = some(mixed + rng.choice(("", "+/", "_-")), rng.randint(24, 64))
+            if re.search("[0-9]", s) and s[0].isalnum() and s[-1].isalnum():
+                return s
+
+    good = [
+        lambda: assigned(some(hexes, rng.choice((24, 32, 40, 64)))), lambda: assigned(random_key()), lambda: assigned(some(mixed, rng.randint(8, 20))),
+        lambda: assigned(word().capitalize() + some(digits, rng.randint(2, 4)) + rng.choice(("", "!", "#", "$"))), lambda: f"{word()} {random_key()}",
+        lambda: f"{word()} gh{rng.choice('pousr')}_{some(rng.choice((mixed, lower)), 36)}", lambda: f"{word()} AKIA{some('ABCDEFGHJKLMNPQRSTUVWXYZ234567', 16)}",
+    ]
+    bad = [
+        lambda: assigned(word() + word()), lambda: assigned(f"{word()}_{word()}"), lambda: assigned(f"{word()}.{word()}.{word()}"), lambda: assigned(rng.choice(("required", "optional", "hidden", "string", "nothing", "missing"))),
+        lambda: f"{rng.choice(('commit', 'revision', 'checksum', 'digest'))} {some(hexes, rng.choice((32, 40, 64)))}", lambda: "-".join([*(word() for _ in range(5)), some(digits, 4)]), lambda: "/".join(["", *(word() for _ in range(4)), word() + some(digits, 1), word()]),
+        lambda: "_".join([word(), word(), some(digits, 1), word(), word(), word()]), lambda: "-".join(some(hexes, k) for k in (8, 4, 4, 4, 12)), lambda: some(digits, rng.randint(24, 30)),
+    ]
+    out = []
+    for i in range(n):
+        y = int(i % 2 == 0)
+        text = f"{word()} {word()} {rng.choice(good if y else bad)()} {word()} {word()}."
+        out += [(text, span, y) for span in candidates(text) if span[0] == "key"]
     return out
 
 
@@ -231,10 +288,10 @@ def least_cut(p: np.ndarray, y: np.ndarray, precision: float) -> float:
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 3000, precision: float = 0.99) -> PiiModel:
     """Boosted trees on made examples and on weakly labelled candidates of about sample texts with digits.
 
-    A corpus candidate inside a base span is a positive, one next to a word of the AGAINST list a negative; others take
+    A corpus candidate inside a base span is a positive (credentials are learned from made examples alone), one next to a word of the AGAINST list a negative; others take
     no part; above about 10 * sample candidates, a share of them is taken by a hash of key and span. Two thirds train; the
     rest calibrates margins to probabilities and sets each kind's threshold: the least probability that reaches the
-    precision there, or else the best precision there is. Null and empty texts and an empty table give no example; repeated
+    precision there, or else the best precision there is, halfway to the next lower score (at least 0.5). Null and empty texts and an empty table give no example; repeated
     rows count as often as they are given.
     """
     store.small_batches(docs.sparkSession)
@@ -247,7 +304,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
             for k, t in zip(b["key"], b["text"], strict=True):
                 base = base_spans(t)
                 for c in candidates(t):
-                    if any(s <= c[1] and c[2] <= e for _, s, e in base):
+                    if c[0] != "key" and any(s <= c[1] and c[2] <= e for _, s, e in base):
                         out.append((f"{k}:{c}", [*map(float, features(t, c))], 1))
                     elif AGAINST.search(t, max(0, c[1] - 12), c[1]):
                         out.append((f"{k}:{c}", [*map(float, features(t, c))], 0))
@@ -270,7 +327,8 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
     for i, kind in enumerate(KINDS):
         mine = x[test][:, 0] == i
         own, truth = p[mine], y[test][mine]
-        cut = model.thresholds[kind] = least_cut(own, truth, precision)
+        cut = least_cut(own, truth, precision)
+        model.thresholds[kind] = max(0.5, (cut + own[own < cut].max(initial=0.0)) / 2)  # between scores: the same choice here
         taken = truth[own >= cut]
         model.held_out[kind] = (float(taken.mean()) if taken.size else 1.0, float(taken.sum() / max(1, truth.sum())))
     return model
