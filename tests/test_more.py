@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewell.operators import evaluate, modeling, ranks, research, risk
+from tidewell.operators import checks, evaluate, indicators, modeling, ranks, research, risk
 from tidewell.sources import ingest
 from tidewell.streaming import jobs
 
@@ -152,3 +152,46 @@ def test_sources(spark, tmp_path):
     assert [(r.ticker, r.direction, r.score) for r in back] == [("B", "LONG", 9.0), ("A", "LONG", 5.0)]
     assert [r.v for r in ingest.backfilled(spark.createDataFrame([(1,), (None,)], "v int"), "v", F.lit(3)).collect()] == [1, 3]
     assert [ingest.seconds_of(x) for x in ("off", "30s", "5m", "2H", "7")] == [0, 30, 300, 7200, 7]
+
+
+def test_equity_summary_by_example(spark):
+    rows = [("a", date(2020, 1, 1), 100.0), ("a", date(2020, 7, 1), 120.0), ("a", date(2021, 1, 1), 90.0), ("a", date(2022, 1, 1), 144.0), ("b", date(2020, 1, 1), 5.0), ("c", date(2020, 1, 1), 5.0), ("c", date(2021, 1, 1), 0.0), ("d", date(2020, 1, 1), None)]
+    got = {r.k: r for r in research.equity_summary(spark.createDataFrame(rows, "k string, ts date, equity double"), ["k"]).collect()}
+    a = got["a"]
+    r = np.array([0.2, -0.25, 0.6])
+    assert set(got) == {"a", "b", "c"} and a.n == 4 and a.sharpe is None
+    assert np.isclose(a.total_return, 0.44) and np.isclose(a.cagr, 1.44 ** (365.25 / 731) - 1) and np.isclose(a.max_drawdown, -0.25) and np.isclose(a.avg_drawdown, -0.0625)
+    assert np.isclose(a.sortino, r.mean() / 0.25 * np.sqrt(252)) and np.isclose(a.calmar, a.cagr / 0.25)
+    assert got["b"].cagr is None and got["b"].calmar is None and got["c"].cagr is None and got["c"].total_return == -1
+
+
+def test_cleaned_values_and_aligned_labels(spark):
+    rng = np.random.default_rng(5)
+    x = [*map(float, rng.normal(0, 1, 30))]
+    x[20], x[25] = 90.0, None
+    rows = [("a", i, v, 1.0 if i % 7 else None) for i, v in enumerate(x)] + [("b", i, 2.0, 1.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "symbol string, ts int, x double, y double")
+    got = {(r.symbol, r.ts): r.x_clean for r in indicators.cleaned(df, "x").collect()}
+    lo, hi = np.quantile([v for v in x if v is not None], [0.01, 0.99])
+    for i, v in enumerate(x):
+        w = np.array([u for u in x[: i + 1] if u is not None])
+        mad = np.median(np.abs(w - np.median(w)))
+        out = v is None or (len(w) >= 10 and 0.6745 * abs(v - np.median(w)) / mad > 5)
+        assert got["a", i] is None if out else np.isclose(got["a", i], min(max(v, lo), hi))
+    assert got["a", 20] is None and all(got["b", i] == 2 for i in range(12))
+    made = {(r.symbol, r.ts): (r.x, r.y) for r in indicators.aligned(df, ["x"], "y", horizon=2).collect()}
+    assert made == {(s, i): (x[i - 2] if s == "a" else 2.0, y) for s, i, _, y in rows if i >= 2 and y is not None and (s == "b" or x[i - 2] is not None)}
+    assert indicators.cleaned(df.where("false"), "x").count() == indicators.aligned(df.where("false"), ["x"], "y").count() == 0
+
+
+def test_group_scores_and_summaries_of_odd_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 4.0), ("a", None), ("b", 3.0), (None, 2.0)], "g string, x double")
+    got = sorted((r.g or "", r.x or 0.0, r.x_mean, r.x_rank, r.x_z) for r in indicators.group_scores(df, ["g"], "x").where("g IS NOT NULL").collect())
+    z = lambda v: (v - 2) / 3**0.5
+    assert [(g, v, m, k) for g, v, m, k, _ in got] == [("a", 0.0, 2.0, None), ("a", 1.0, 2.0, 0.5), ("a", 1.0, 2.0, 0.5), ("a", 4.0, 2.0, 1.0), ("b", 3.0, 3.0, 1.0)]
+    assert got[0][4] is None and got[4][4] is None and np.allclose([v[4] for v in got[1:4]], [z(1), z(1), z(4)])
+    rows = spark.createDataFrame([("t", 1, 5.0, 10.0), ("t", 2, 11.0, 10.0), ("t", 2, 21.0, 10.0), ("u", 1, 20.0, 10.0)], "table_name string, checked_at int, staleness_hours double, threshold_hours double")
+    assert sorted((r.table_name, r.staleness_hours, r.status) for r in checks.staleness_summary(rows).collect()) == [("t", 11.0, "WARNING"), ("t", 21.0, "CRITICAL"), ("u", 20.0, "WARNING")]
+    alerts = spark.createDataFrame([("t", "critical", 1, None), ("t", "critical", 9, 9), ("t", "info", 3, None)], "table_name string, severity string, created_at int, resolved_at int")
+    r = checks.alert_summary(alerts).first()
+    assert (r.critical_alerts, r.error_alerts, r.warning_alerts, r.latest_alert_at) == (1, 0, 0, 3)

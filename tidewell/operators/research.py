@@ -77,6 +77,28 @@ def strategy_metrics(df: DataFrame, keys: Sequence[str], date: str = "ts", ret:
     return got.select(*keys, "n", some(F.col("__g") - 1).alias("total_return"), some(annual).alias("annual_return"), some(F.when(vol > 0, annual / vol).otherwise(0.0)).alias("sharpe"), some(F.col("__d")).alias("max_drawdown"), some(F.when(F.col("__t") > 0, F.col("__w") / F.col("__t")).otherwise(0.0)).alias("win_rate"), some(F.when(F.col("__down") > 0, F.col("__up") / F.col("__down")).otherwise(float("inf"))).alias("profit_factor"))
 
 
+def equity_summary(curve: DataFrame, keys: Sequence[str], ts: str = "ts", equity: str = "equity", start: str | None = None, least: int = 20) -> DataFrame:
+    """total_return, cagr, sharpe, sortino, max_drawdown, avg_drawdown and calmar of equity curves by keys.
+
+    start: a column of the initial capital (else the first equity). cagr takes years of 365.25 days and is null for a curve of one
+    day or an end at or below 0; sharpe needs more than `least` returns that vary, sortino a fall (it divides by the root mean square of
+    the falls). Drawdowns are against the running peak, their mean is over all days. Null equity plays no part. One shuffle by key.
+    """
+    e = F.col("__e")
+    f = W.Frame(list(keys), [ts])
+    rows = curve.where(F.col(equity).isNotNull()).withColumn("__e", F.col(equity).cast("double"))
+    rows = rows.withColumns({"__r": W.returns(e, f), "__d": W.drawdown(e, f)})
+    r, d = F.col("__r"), F.col("__d")
+    capital = F.min_by(start, ts) if start else F.min_by("__e", ts)
+    got = rows.groupBy(*keys).agg(F.count("*").alias("n"), capital.alias("__a"), F.max_by("__e", ts).alias("__b"), (F.datediff(F.max(ts), F.min(ts)) / 365.25).alias("__y"), F.count(r).alias("__n"), F.avg(r).alias("__m"), F.stddev_samp(r).alias("__s"), F.sqrt(F.avg(F.when(r < 0, r * r))).alias("__down"), F.min(d).alias("max_drawdown"), F.avg(d).alias("avg_drawdown"))
+    scale = sqrt(W.YEAR)
+    ratio = lambda s: F.when(F.col(s) > 0, F.col("__m") / F.col(s) * scale)
+    growth = F.try_divide(F.col("__b"), F.col("__a"))
+    cagr = F.when((F.col("__y") > 0) & (growth > 0), F.pow(growth, 1 / F.col("__y")) - 1)
+    calmar = F.when(F.col("max_drawdown") < 0, cagr / F.abs("max_drawdown"))
+    return got.select(*keys, "n", (growth - 1).alias("total_return"), cagr.alias("cagr"), F.when(F.col("__n") > least, ratio("__s")).alias("sharpe"), ratio("__down").alias("sortino"), "max_drawdown", "avg_drawdown", calmar.alias("calmar"))
+
+
 def trade_summary(trades: DataFrame, keys: Sequence[str], pnl: str = "pnl_pct", opened: str = "entry_date", closed: str = "exit_date", reason: str = "outcome", reasons: Sequence[str] = ("target", "stop", "expired")) -> DataFrame:
     """Trades, hit rate, profit factor, mean win and loss, mean days held and counts of exit reasons of closed trades."""
     p = F.col(pnl)

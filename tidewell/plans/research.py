@@ -85,6 +85,16 @@ def trade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(research.trade_summary(_outcomes(spark, sf_dir), ["symbol"]))
 
 
+@query(T.with_tables("bars_supp_d", then=f"""
+, a AS (SELECT symbol, ts, close AS e, close / lag(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS r, close / max(close) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS d FROM bars_supp_d),
+g AS (SELECT symbol, count(*) AS n, arg_min(e, ts) AS a, arg_max(e, ts) AS b, (max(ts) - min(ts)) / 365.25 AS y, count(r) AS k, avg(r) AS m, stddev_samp(r) AS s, sqrt(avg(CASE WHEN r < 0 THEN r * r END)) AS down, min(d) AS dd, avg(d) AS ad FROM a GROUP BY 1),
+c AS (SELECT *, CASE WHEN y > 0 AND b / a > 0 THEN pow(b / a, 1 / y) - 1 END AS cagr FROM g)
+SELECT symbol, n, {r('b / a - 1', 'total_return')}, {r('cagr', 'cagr')}, {r('CASE WHEN k > 20 AND s > 0 THEN m / s * sqrt(252) END', 'sharpe', 6)}, {r('CASE WHEN down > 0 THEN m / down * sqrt(252) END', 'sortino', 6)}, {r('dd', 'max_drawdown')}, {r('ad', 'avg_drawdown')}, {r('CASE WHEN dd < 0 THEN cagr / abs(dd) END', 'calmar')} FROM c"""))
+def equity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' average unit prices by day stand for equity."""
+    return rounded(research.equity_summary(T.bars_supp_d(spark, sf_dir), ["symbol"], equity="close"))
+
+
 @query(T.with_tables("bars_user_d", then=f"""
 , {_RET}, g AS (SELECT symbol, ts, ret, close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS signal FROM ret)
 SELECT symbol, count(*) AS n, {r('avg(CASE WHEN sign(signal) = sign(ret) THEN 1.0 ELSE 0 END)', 'hit_rate')} FROM g WHERE signal IS NOT NULL AND ret IS NOT NULL GROUP BY symbol"""))
