@@ -86,7 +86,7 @@ def resolve(predictions: DataFrame, bars: DataFrame, days: int) -> DataFrame:
     got = predictions.join(first, "id", "left")
     out = F.coalesce(F.col("__x.outcome"), F.col("__e.outcome"), F.lit("open"))
     price = F.when(out == "target", F.col("target")).when(out == "stop", F.col("stop")).otherwise(F.col("__e.price"))
-    return got.select("id", "symbol", "entry_date", out.alias("outcome"), F.coalesce("__x.exit_date", "__e.exit_date").alias("exit_date"), ((price / F.col("entry") - 1) * 100).alias("pnl_pct"))
+    return got.select("id", "symbol", "entry_date", out.alias("outcome"), F.coalesce("__x.exit_date", "__e.exit_date").alias("exit_date"), ((W.ratio(price, F.col("entry")) - 1) * 100).alias("pnl_pct"))
 
 
 def scorecard(outcomes: DataFrame) -> DataFrame:
