@@ -7,6 +7,7 @@ from tidewell.plans import registry
 
 ZERO = [
     "prediction_scorecard",
+    "target_stop_outcomes",
 ]
 
 
