@@ -8,6 +8,7 @@ from tidewell.plans import registry
 ZERO = [
     "prediction_scorecard",
     "target_stop_outcomes",
+    "trade_summary",
 ]
 
 
