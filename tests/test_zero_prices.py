@@ -9,6 +9,7 @@ ZERO = [
     "prediction_scorecard",
     "target_stop_outcomes",
     "trade_summary",
+    "volatility_estimators",
 ]
 
 
