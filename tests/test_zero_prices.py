@@ -10,6 +10,7 @@ ZERO = [
     "target_stop_outcomes",
     "trade_summary",
     "volatility_estimators",
+    "edge_decay",
 ]
 
 
