@@ -11,6 +11,7 @@ ZERO = [
     "trade_summary",
     "volatility_estimators",
     "edge_decay",
+    "ensemble_diversity",
 ]
 
 

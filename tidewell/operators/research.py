@@ -119,7 +119,7 @@ def diversity(df: DataFrame, predictions: Sequence[str], keys: Sequence[str] = (
 
     def mean(tag: str) -> Column:
         cs = [F.col(f"{tag}{i}") for i in range(len(pairs))]
-        return F.try_divide(sum((F.coalesce(c, F.lit(0.0)) for c in cs), F.lit(0.0)), sum((c.isNotNull().cast("int") for c in cs), F.lit(0)))
+        return F.try_divide(sum((F.coalesce(F.nanvl(c, F.lit(None)), F.lit(0.0)) for c in cs), F.lit(0.0)), sum(((c.isNotNull() & ~F.isnan(c)).cast("int") for c in cs), F.lit(0)))
 
     return got.select(*keys, mean("c").alias("mean_corr"), mean("d").alias("mean_disagreement"))
 
