@@ -12,6 +12,7 @@ ZERO = [
     "volatility_estimators",
     "edge_decay",
     "ensemble_diversity",
+    "equal_weights",
 ]
 
 
