@@ -14,6 +14,7 @@ ZERO = [
     "ensemble_diversity",
     "equal_weights",
     "factor_gate",
+    "factor_regression",
 ]
 
 
