@@ -15,6 +15,7 @@ ZERO = [
     "equal_weights",
     "factor_gate",
     "factor_regression",
+    "aligned_labels",
 ]
 
 
