@@ -16,6 +16,7 @@ ZERO = [
     "factor_gate",
     "factor_regression",
     "aligned_labels",
+    "benchmark_analysis",
 ]
 
 
