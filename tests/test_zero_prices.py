@@ -17,6 +17,7 @@ ZERO = [
     "factor_regression",
     "aligned_labels",
     "benchmark_analysis",
+    "capacity_sweep",
 ]
 
 
