@@ -18,6 +18,7 @@ ZERO = [
     "aligned_labels",
     "benchmark_analysis",
     "capacity_sweep",
+    "contract_price_features",
 ]
 
 
