@@ -19,6 +19,7 @@ ZERO = [
     "benchmark_analysis",
     "capacity_sweep",
     "contract_price_features",
+    "lags_and_flows",
 ]
 
 
