@@ -20,6 +20,7 @@ ZERO = [
     "capacity_sweep",
     "contract_price_features",
     "lags_and_flows",
+    "market_features",
 ]
 
 
