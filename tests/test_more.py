@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import checks, evaluate, indicators, modeling, ranks, research, risk
+from tidewell.operators import asof, checks, evaluate, indicators, modeling, ranks, research, risk
 from tidewell.sources import ingest
 from tidewell.streaming import jobs
 
@@ -222,3 +222,16 @@ def test_correlated_with_held_in_blocks(spark, rows):
     assert not [r for r in made.where("worst IS NULL").collect() if not r.passed]
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_next_date_beside_facts_of_the_same_time(spark):
+    """A fact at the cell's own time is no later date, whichever row comes first; sorts that spill give ties in any order."""
+    facts = spark.createDataFrame([(k, date(2024, 1, d)) for k in range(200) for d in (5, 5, 5, 9)], "k long, d date")
+    cells = spark.createDataFrame([(k, datetime(2024, 1, 5)) for k in range(200)], "k long, asof_ts timestamp_ntz")
+    conf, key = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf.set(key, "3")
+    try:
+        got = asof.next_after(cells, facts, "k", "d").collect()
+    finally:
+        conf.remove(key)
+    assert {(r.next_date, r.days_until) for r in got} == {(date(2024, 1, 9), 4)} and len(got) == 200

@@ -69,11 +69,12 @@ def look_back(cells: DataFrame, facts: DataFrame, key: str | None, seconds: int,
 
 
 def next_after(cells: DataFrame, facts: DataFrame, key: str, date: str, t: str = "asof_ts") -> DataFrame:
-    """cells with the first date after t of their key (no availability rule) and the days until then."""
+    """cells with the first date after t of their key (no availability rule) and the days until then. A date of t itself comes
+    behind the cell in the order of the rows, however they arrive."""
     right = facts.select(F.col(key), F.col(date).cast("timestamp_ntz").alias("__t"), F.col(date).alias("__d"))
     left = cells.select(F.col(key), F.col(t).cast("timestamp_ntz").alias("__t"), F.col(t), F.lit(True).alias("__cell"))
     both = left.unionByName(right, allowMissingColumns=True)
-    seen = both.withColumn("next_date", F.min(F.when(F.col("__d").isNotNull(), F.col("__d"))).over(Window.partitionBy(key).orderBy(F.col("__t").desc()).rowsBetween(Window.unboundedPreceding, 0)))
+    seen = both.withColumn("next_date", F.min(F.when(F.col("__d").isNotNull(), F.col("__d"))).over(Window.partitionBy(key).orderBy(F.col("__t").desc(), F.col("__cell").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)))
     return seen.where("__cell").select(key, t, F.when(F.col("next_date") > F.to_date(t), F.col("next_date")).alias("next_date")).withColumn("days_until", F.datediff("next_date", F.to_date(t)))
 
 
