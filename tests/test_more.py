@@ -237,6 +237,33 @@ def test_next_date_beside_facts_of_the_same_time(spark):
     assert {(r.next_date, r.days_until) for r in got} == {(date(2024, 1, 9), 4)} and len(got) == 200
 
 
+def test_rolling_frames_over_small_batches(spark):
+    """Rolling robust columns by plain loops, with nulls, null keys and frames that span batches; no list is made for a row."""
+    rng = np.random.default_rng(6)
+    data = [(k, i, None if rng.random() < 0.1 else float(rng.integers(0, 9))) for k in (1, 2, None) for i in range(40)]
+    df = spark.createDataFrame(data, "symbol long, ts long, x double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        made = indicators.robust(df, F.col("x"), k=8, m=4)
+        got = {(r.symbol, r.ts): r for r in made.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list" not in made._jdf.queryExecution().executedPlan().toString()
+    for k, i, x in data:
+        v = np.array([e for s, j, e in data if s == k and i - 8 < j <= i and e is not None])
+        r = got[k, i]
+        if len(v) < 4:
+            assert r.median is None and r.iqr is None and r.outlier_iqr is None
+            continue
+        med, mad = np.median(v), np.median(np.abs(v - np.median(v)))
+        q = np.quantile(v, [0.01, 0.25, 0.75, 0.99])
+        assert np.allclose([r.median, r.mad, r.iqr, r.trimmed_mean], [med, mad, q[2] - q[1], v.mean()])
+        if x is None:
+            assert r.mad_z is None and r.winsorized is None and r.outlier_mad is None
+        else:
+            assert np.isclose(r.winsorized, np.clip(x, q[0], q[3])) and (r.mad_z is None if mad == 0 else np.isclose(r.mad_z, 0.6745 * (x - med) / mad))
+
+
 def test_closes_do_not_hang_on_the_order_of_sums(spark, tmp_path):
     """The sum over 64 units has a 5 as its seventh digit; added in the second order it is a little less."""
     orders = {1: [91733.94, 2444.33, 64855.45, 37239.34], 2: [91733.94, 37239.34, 64855.45, 2444.33]}

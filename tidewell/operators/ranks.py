@@ -24,7 +24,8 @@ def prefix(counts: DataFrame, keys: Sequence[str], x: str, values: Sequence[str]
     if counts.count() <= few:
         before = Window.partitionBy(*keys).orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({f"before_{v}": F.coalesce(F.sum(v).over(before), F.lit(0)) for v in values})
-    edges = counts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(x, F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), F.lit(1000))).alias("__e"))
+    # read twice: a second evaluation of the sketch may give other edges
+    edges = shared.pinned(counts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(x, F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), F.lit(1000))).alias("__e")))
     rows = counts.join(edges, list(keys)) if keys else counts.crossJoin(F.broadcast(edges))
     rows = rows.withColumn("__b", F.size(F.filter("__e", lambda e: e < F.col(x)))).drop("__e")
     own = [*keys, "__b"]
