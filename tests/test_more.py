@@ -270,3 +270,26 @@ def test_closes_do_not_hang_on_the_order_of_sums(spark, tmp_path):
     rows = [(k, datetime(2024, 1, 1), p, 16.0) for k, prices in orders.items() for p in prices]
     spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_quantity double").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
     assert len({r.close for r in tables.bars_supp_d(spark, str(tmp_path)).collect()}) == 1
+
+
+def test_edge_positions_over_small_batches(spark):
+    """Positions equal a plain loop for each contract, with null keys and batches that cut contracts; no group is made for one."""
+    rng = np.random.default_rng(8)
+    data = [(k, i, 0.5, 0.5 + float(rng.normal()) / 15) for k in (1, 2, None, 4) for i in range(30)]
+    df = spark.createDataFrame(data, "k long, i long, price double, model double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        made = evaluate.edge_positions(df, "k", "i", "price", "model")
+        got = {(r.k, r.i): r.position for r in made.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()
+    for key in (1, 2, None, 4):
+        held, age = 0.0, 0
+        for k, i, price, model in data:
+            if k == key:
+                held = 0.0 if held and age >= 3 else held
+                if not held and abs(model - price) > 0.05:
+                    held, age = (100.0 if model > price else -100.0), 0
+                age += 1
+                assert got[k, i] == held
