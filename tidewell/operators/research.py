@@ -108,14 +108,14 @@ def trade_summary(trades: DataFrame, keys: Sequence[str], pnl: str = "pnl_pct",
 def same_day_hits(signals: DataFrame, returns: DataFrame, keys: Sequence[str], on: Sequence[str], signal: str = "signal", ret: str = "ret") -> DataFrame:
     """n and share of signals whose sign is that of the same day's return. on: date and symbol."""
     j = signals.join(returns, list(on)).where(F.col(signal).isNotNull() & F.col(ret).isNotNull())
-    return j.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.signum(signal) == F.signum(ret)).cast("double")).alias("hit_rate"))
+    return j.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((W.sign(signal) == W.sign(ret)).cast("double")).alias("hit_rate"))
 
 
 def diversity(df: DataFrame, predictions: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """mean_corr and mean_disagreement over pairs of prediction columns (rows where both are there); one aggregate."""
     pairs = list(combinations(predictions, 2))
     both = lambda a, b, c: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), c)
-    got = df.groupBy(*keys).agg(*[W.correlation(both(a, b, F.col(a)), both(a, b, F.col(b))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], *[F.avg(both(a, b, (F.signum(a) != F.signum(b)).cast("double"))).alias(f"d{i}") for i, (a, b) in enumerate(pairs)])
+    got = df.groupBy(*keys).agg(*[W.correlation(both(a, b, F.col(a)), both(a, b, F.col(b))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], *[F.avg(both(a, b, (W.sign(a) != W.sign(b)).cast("double"))).alias(f"d{i}") for i, (a, b) in enumerate(pairs)])
 
     def mean(tag: str) -> Column:
         cs = [F.col(f"{tag}{i}") for i in range(len(pairs))]
