@@ -74,7 +74,7 @@ def resolve(predictions: DataFrame, bars: DataFrame, days: int) -> DataFrame:
     """The first later bar of each prediction (id, symbol, entry_date, entry, target, stop) that hits target or stop.
 
     If both are hit, the nearer to the bar's open wins, and a tie is the target; without a hit within the days the last
-    bar's close counts as expired; without any bar the outcome is open.
+    close that is not null counts as expired; without any bar the outcome is open.
     """
     b = bars.select("symbol", F.col("ts").alias("__d"), "open", "high", "low", "close")
     j = predictions.join(b, "symbol").where((F.col("__d") > F.col("entry_date")) & (F.col("__d") <= F.date_add("entry_date", days)))
@@ -82,10 +82,10 @@ def resolve(predictions: DataFrame, bars: DataFrame, days: int) -> DataFrame:
     near = F.abs(F.col("open") - F.col("target")) <= F.abs(F.col("open") - F.col("stop"))
     hit = F.when(up & down, F.when(near, "target").otherwise("stop")).when(up, "target").when(down, "stop")
     j = j.withColumn("__hit", hit)
-    first = j.groupBy("id").agg(F.min(F.when(F.col("__hit").isNotNull(), F.struct(F.col("__d").alias("exit_date"), F.col("__hit").alias("outcome")))).alias("__x"), F.max(F.struct(F.col("__d").alias("exit_date"), F.lit("expired").alias("outcome"), F.col("close").alias("price"))).alias("__e"))
+    first = j.groupBy("id").agg(F.min(F.when(F.col("__hit").isNotNull(), F.struct(F.col("__d").alias("exit_date"), F.col("__hit").alias("outcome")))).alias("__x"), F.max(F.struct(F.col("__d").alias("exit_date"), F.lit("expired").alias("outcome"))).alias("__e"), F.max_by("close", F.when(F.col("close").isNotNull(), F.col("__d"))).alias("__price"))
     got = predictions.join(first, "id", "left")
     out = F.coalesce(F.col("__x.outcome"), F.col("__e.outcome"), F.lit("open"))
-    price = F.when(out == "target", F.col("target")).when(out == "stop", F.col("stop")).otherwise(F.col("__e.price"))
+    price = F.when(out == "target", F.col("target")).when(out == "stop", F.col("stop")).otherwise(F.col("__price"))
     return got.select("id", "symbol", "entry_date", out.alias("outcome"), F.coalesce("__x.exit_date", "__e.exit_date").alias("exit_date"), ((W.ratio(price, F.col("entry")) - 1) * 100).alias("pnl_pct"))
 
 
