@@ -116,78 +116,165 @@ class Automaton:
 CHARACTERS = 69
 
 
-def learn(words: Iterable[str], alpha: float = 0.05) -> Automaton:
-    """The automaton of the words' prefix tree after merging compatible states (ALERGIA, red and blue states).
-
-    The blue state seen most often is tried against the red ones, its parent and what was made last before others, so that
-    states with few visits join the state they follow; without a compatible one it becomes red. Two states are compatible if
-    the shares of their endings and of each next character differ by no more than sqrt(log(2 / alpha) / 2) * (n ** -.5 +
-    m ** -.5), and so do their successors. Words count as often as they are given; no words give one state without moves.
-    """
-    kids: list[dict[str, list[int]]] = [{}]  # character: [state, count]
-    seen, ends = [0], [0]
-    for w in words:
-        s = 0
-        seen[0] += 1
-        for c in w:
-            if c not in kids[s]:
-                kids[s][c] = [len(kids), 0]
-                kids.append({})
-                seen.append(0)
-                ends.append(0)
-            kids[s][c][1] += 1
-            s = kids[s][c][0]
-            seen[s] += 1
-        ends[s] += 1
-    bound = sqrt(0.5 * log(2 / alpha))
-
-    def compatible(a: int, b: int) -> bool:
+class _Graph:
+    """Prefix trees under merge: kids[s] maps a character to [state, count]; red states are those that stay."""
+
+    def __init__(self, alpha: float = 0.05) -> None:
+        self.kids: list[dict[str, list[int]]] = [{}]
+        self.seen, self.ends, self.red = [0], [0], [0]
+        self.bound = sqrt(0.5 * log(2 / alpha))
+
+    def add(self, at: int, word: str, n: int, ended: int) -> None:
+        """A state for a word below state `at`, seen n times and ended so often; its prefixes are added before it."""
+        for c in word[:-1]:
+            at = self.kids[at][c][0]
+        self.kids[at][word[-1]] = [len(self.kids), n]
+        self.kids.append({})
+        self.seen.append(n)
+        self.ends.append(ended)
+
+    def compatible(self, a: int, b: int) -> bool:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            n, m = seen[a], seen[b]
-            far = bound * (n**-0.5 + m**-0.5)
+            n, m = self.seen[a], self.seen[b]
+            far = self.bound * (n**-0.5 + m**-0.5)
             if far >= 1:
                 continue  # shares differ by 1 at most; successors are seen no more often in a tree
-            if abs(ends[a] / n - ends[b] / m) > far:
+            if abs(self.ends[a] / n - self.ends[b] / m) > far:
                 return False
-            for c in kids[a].keys() | kids[b].keys():
-                x, y = kids[a].get(c), kids[b].get(c)
+            for c in self.kids[a].keys() | self.kids[b].keys():
+                x, y = self.kids[a].get(c), self.kids[b].get(c)
                 if abs((x[1] if x else 0) / n - (y[1] if y else 0) / m) > far:
                     return False
                 if x and y:
                     todo.append((x[0], y[0]))
         return True
 
-    def fold(a: int, b: int) -> None:
+    def fold(self, a: int, b: int) -> None:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            seen[a] += seen[b]
-            ends[a] += ends[b]
-            for c, (to, k) in kids[b].items():
-                if c in kids[a]:
-                    kids[a][c][1] += k
-                    todo.append((kids[a][c][0], to))
+            self.seen[a] += self.seen[b]
+            self.ends[a] += self.ends[b]
+            for c, (to, k) in self.kids[b].items():
+                if c in self.kids[a]:
+                    self.kids[a][c][1] += k
+                    todo.append((self.kids[a][c][0], to))
                 else:
-                    kids[a][c] = [to, k]
+                    self.kids[a][c] = [to, k]
+
+    def merge(self) -> None:
+        red = self.red
+        while True:
+            place = set(red)
+            blue = [(-self.seen[to], i, c, to) for i, s in enumerate(red) for c, (to, _) in self.kids[s].items() if to not in place]
+            if not blue:
+                return
+            _, i, c, to = min(blue)
+            parent = red[i]
+            for r in [parent, *(s for s in reversed(red) if s != parent)]:
+                if self.compatible(r, to):
+                    self.kids[parent][c][0] = r
+                    self.fold(r, to)
+                    break
+            else:
+                red.append(to)
+
+    def moves(self) -> dict[int, dict[str, int]]:
+        return {s: {c: to for c, (to, _) in self.kids[s].items()} for s in self.red}
+
+    def automaton(self) -> Automaton:
+        place = {s: i for i, s in enumerate(self.red)}
+        return Automaton([{c: (place[to], k) for c, (to, k) in sorted(self.kids[s].items())} for s in self.red], [self.seen[s] for s in self.red], [self.ends[s] for s in self.red])
+
+
+def learn(words: Iterable[str], alpha: float = 0.05) -> Automaton:
+    """The automaton of the words' prefix tree after merging compatible states (ALERGIA, red and blue states).
+
+    The blue state seen most often is tried against the red ones, its parent and what was made last before others, so that
+    states with few visits join the state they follow; without a compatible one it becomes red. Two states are compatible if
+    the shares of their endings and of each next character differ by no more than sqrt(log(2 / alpha) / 2) * (n ** -.5 +
+    m ** -.5), and so do their successors. Words count as often as they are given; no words give one state without moves.
+    """
+    words = list(words)
+    graph, ended = _Graph(alpha), Counter(words)
+    graph.seen[0], graph.ends[0] = len(words), ended[""]
+    for w, n in Counter(w[:i] for w in words for i in range(1, len(w) + 1)).items():
+        graph.add(0, w, n, ended[w])
+    graph.merge()
+    return graph.automaton()
+
+
+def _walked(moves: dict[int, dict[str, int]], word: str) -> Iterator[tuple[int, str, int]]:
+    """(state, character, place) of each step, up to and with the first one that has no move."""
+    s = 0
+    for i, c in enumerate(word):
+        yield s, c, i
+        if c not in moves[s]:
+            return
+        s = moves[s][c]
+    yield s, "", len(word)
+
+
+def learn_all(values: DataFrame, kinds: dict[str, int], depth: int = 64, few: int = 20, alpha: float = 0.05, nodes: int = 100_000) -> dict[str, Automaton]:
+    """The automata of all values (kind, value; pinned) by kind, as learn has them, without the values on the driver.
+
+    kinds: characters of all values of a kind. Prefixes and their counts come from Spark. Those seen at least c times reach the
+    driver, c being the characters over `nodes`, so that there are no more than that; with c = 1 the tree is whole. Values
+    that leave the automaton, which tells `depth` characters a round at most, do so in a state with a rest: rests are the
+    next round's prefix trees below these states. A move seen by fewer than `few` values or c stays in the state it
+    leaves. The last pass counts every value's moves and endings.
+    """
+    graphs = {k: _Graph(alpha) for k in kinds}
+    least = {k: max(1, -(-chars // nodes)) for k, chars in kinds.items()}
+    first = True
+
+    def run(make, schema: str) -> DataFrame:
+        shared = values.sparkSession.sparkContext.broadcast({k: g.moves() for k, g in graphs.items()})
+
+        def each(batches: Iterator) -> Iterator:
+            for b in batches:
+                rows = [r for k, v in zip(b["kind"], b["value"], strict=True) for r in make(k, list(_walked(shared.value[k], v)), v)]
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+
+        return values.where(F.col("kind").isin(list(kinds))).mapInPandas(each, schema)
+
+    def rests(kind: str, steps: list, value: str) -> list:
+        s, c, i = steps[-1]
+        rest = value[i : i + depth]
+        return [(kind, s, rest[:n], int(i + n == len(value))) for n in range(1, len(rest) + 1)] if c else []
 
-    red = [0]
     while True:
-        place = {s: i for i, s in enumerate(red)}
-        blue = [(-seen[to], i, c, to) for i, s in enumerate(red) for c, (to, _) in kids[s].items() if to not in place]
-        if not blue:
+        need = F.create_map(*[F.lit(x) for k, n in least.items() for x in (k, n if first else max(n, few))])[F.col("kind")]
+        found = run(rests, "kind string, s int, prefix string, ended int").groupBy("kind", "s", "prefix").agg(F.count("*").alias("n"), F.sum("ended").alias("e"))
+        rows = found.where((F.col("n") >= need) | (F.length("prefix") == 1)).collect()  # at most `nodes` a kind and one a move
+        if not rows:
             break
-        _, i, c, to = min(blue)
-        parent = red[i]
-        for r in [parent, *(s for s in reversed(red) if s != parent)]:
-            if compatible(r, to):
-                kids[parent][c][0] = r
-                fold(r, to)
-                break
+        for r in sorted(rows, key=lambda r: (r["kind"], r["s"], len(r["prefix"]), r["prefix"])):
+            g = graphs[r["kind"]]
+            if len(r["prefix"]) == 1 and r["n"] < (least[r["kind"]] if first else max(least[r["kind"]], few)):
+                g.kids[r["s"]][r["prefix"]] = [r["s"], r["n"]]
+            else:
+                g.add(r["s"], r["prefix"], r["n"], r["e"])
+            if first and len(r["prefix"]) == 1:
+                g.seen[0] += r["n"]
+        for g in graphs.values():
+            g.merge()
+        first = False
+    counted = run(lambda kind, steps, value: [(kind, s, c) for s, c, _ in steps], "kind string, s int, c string").groupBy("kind", "s", "c").agg(F.count("*").alias("n"))
+    for g in graphs.values():
+        g.seen, g.ends = [0] * len(g.seen), [0] * len(g.ends)
+        for s in g.red:
+            g.kids[s] = {c: [to, 0] for c, (to, _) in g.kids[s].items()}
+    for r in counted.collect():  # a row for each move of the automata
+        g = graphs[r["kind"]]
+        g.seen[r["s"]] += r["n"]
+        if r["c"]:
+            g.kids[r["s"]][r["c"]][1] = r["n"]
         else:
-            red.append(to)
-    return Automaton([{c: (place[to], k) for c, (to, k) in sorted(kids[s].items())} for s in red], [seen[s] for s in red], [ends[s] for s in red])
+            g.ends[r["s"]] = r["n"]
+    return {k: g.automaton() for k, g in graphs.items()}
 
 
 @dataclass
@@ -243,21 +330,32 @@ def _pairs(run: str) -> Iterator[tuple[int, int]]:
     return zip(at, at[1:], strict=False)
 
 
-def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 20_000, most: int = 2_000, examples: int = 300) -> Model:
-    """Automata of the credentials that the base patterns label in about sample documents, and of made ones.
+_CODES = np.full(256, CHARACTERS - 1, dtype=np.uint8)
+_CODES[[ord(c) for c in INDEX]] = list(INDEX.values())
+
 
-    At most `most` values a base kind are taken (by hash, equal values once) and `examples` are made of each format; a third of
-    them, by hash, is held out. Rows with a null key take no part. Ordinary characters are counted over the sample's words outside base spans and over made runs;
-    the threshold is the least log odds above 0 that leaves precision 0.99 on the held-out third of both. Null and empty texts
-    give nothing; an empty table leaves the made examples alone.
+def _text_pairs(texts: list[str]) -> np.ndarray:
+    """Counts of the pairs of characters in the texts' words, as _pairs has them (69 x 69)."""
+    at = _CODES[np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-8", "replace"), dtype=np.uint8)].astype(np.int32)
+    got = np.bincount(at[:-1] * CHARACTERS + at[1:], minlength=CHARACTERS**2)
+    got[-1] = 0
+    return got
+
+
+def fit(docs: DataFrame, text: str = "text", examples: int = 300) -> Model:
+    """Automata of all credentials that the base patterns label in the documents, and of made ones.
+
+    Every document is read and every different value counts once; `examples` are made of each format; a third of both, by hash,
+    is held out. Ordinary characters are counted over all words outside base spans and over made runs; the threshold is the
+    least log odds above 0 that leaves precision 0.99 on the held-out third of all. Null and empty texts give nothing; an
+    empty table leaves the made examples alone.
     """
     store.small_batches(docs.sparkSession)
-    part = min(1.0, sample / max(1, docs.count()))
 
     def labelled(batches: Iterator) -> Iterator:
-        pairs: Counter = Counter()
+        pairs = np.zeros(CHARACTERS**2, dtype=np.int64)
         for b in batches:
-            out = []
+            out, plain = [], []
             for t in b["text"]:
                 spans = base_spans(t)
                 for kind, s, e in spans:
@@ -266,33 +364,50 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int =
                         out.append((kind, value, 1))
                 at = 0
                 for _, s, e in [*sorted(spans, key=lambda v: v[1]), ("", len(t), len(t))]:
-                    for w in re.findall("[A-Za-z0-9+/_.=-]+", t[at:s]):
-                        pairs.update(_pairs(w))
+                    plain.append(t[at:s])
                     at = max(at, e)
+            pairs += _text_pairs(plain)
             yield pd.DataFrame(out, columns=["kind", "value", "n"])
-        yield pd.DataFrame([("", f"{a} {b}", n) for (a, b), n in pairs.items()], columns=["kind", "value", "n"])
+        yield pd.DataFrame([("", f"{i // CHARACTERS} {i % CHARACTERS}", int(pairs[i])) for i in np.flatnonzero(pairs)], columns=["kind", "value", "n"])
 
-    rows = docs.where(F.col(text).isNotNull() & store.share(F.col(key), part)).select(F.col(text).alias("text"))
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
     rows = store.pinned(rows.mapInPandas(labelled, "kind string, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")))
-    words: dict[str, list[str]] = {k: made(k, examples) for k in FORMATS}
-    for kind in BASE_KINDS:
-        found = rows.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(most).collect()  # a bound of the fit
-        words[kind] = [r["value"] for r in found]
     pairs = Counter({tuple(map(int, r["value"].split())): r["n"] for r in rows.where("kind = ''").collect()})  # 69 x 69 at most
     held = lambda w: hashlib.md5(w.encode()).digest()[0] % 3 == 0
+    held_row = F.conv(F.substring(F.md5("value"), 1, 2), 16, 10).cast("int") % 3 == 0
+    values = rows.where("kind <> ''").select("kind", "value")
+    train, test = values.where(~held_row), values.where(held_row)
+    sizes = {r["kind"]: r for r in train.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("chars")).collect()}
+    words = {k: made(k, examples) for k in FORMATS}
     plain = ordinary_runs()
     scale = max(1, sum(pairs.values()) // (40 * 20 * len(plain)))  # made runs are about a fortieth of the characters
     for w in plain:
         if not held(w):
             for p in _pairs(w):
                 pairs[p] += scale
-    model = Model({k: learn(w for w in v if not held(w)) for k, v in words.items() if sum(not held(w) for w in v) >= 20}, _chances(pairs))
-    good = np.array([model.odds(w)[0] for v in words.values() for w in v if held(w)])
-    bad = np.array([model.odds(w)[0] for w in plain if held(w)])
-    cuts = np.sort(good[good > 0])
-    model.threshold = next((float(c) for c in cuts if (good >= c).sum() >= 0.99 * ((good >= c).sum() + (bad >= c).sum())), float("inf") if not cuts.size else float(cuts[-1]))
-    taken = int((good >= model.threshold).sum())
-    model.held_out = (taken / max(1, taken + int((bad >= model.threshold).sum())), taken / max(1, len(good)))
+    kinds = {k: sizes[k]["chars"] for k in BASE_KINDS if k in sizes and sizes[k]["n"] >= 20}
+    formats = learn_all(train, kinds) if kinds else {}
+    model = Model(formats | {k: learn(w for w in v if not held(w)) for k, v in words.items() if sum(not held(w) for w in v) >= 20}, _chances(pairs))
+    bad = np.sort([model.odds(w)[0] for w in plain if held(w)])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def scored(batches: Iterator) -> Iterator:
+        for b in batches:
+            odds = np.array([shared.value.odds(w)[0] for w in b["value"]], dtype=float)
+            yield pd.DataFrame({"odds": odds, "below": np.searchsorted(bad, odds)})
+
+    # good and bad runs meet by the number of bad ones below: of equal ones the lowest is the first to pass
+    test = store.pinned(test.mapInPandas(scored, "odds double, below int"))
+    own = np.array([model.odds(w)[0] for v in words.values() for w in v if held(w)])
+    parts: dict[int, list[float]] = {}
+    found = test.groupBy("below").agg(F.min(F.when(F.col("odds") > 0, F.col("odds"))).alias("low"), F.max("odds").alias("high"), F.count("*").alias("n"))
+    for below, low, high, n in [*(tuple(r) for r in found.collect()), *((int(np.searchsorted(bad, x)), float(x) if x > 0 else None, float(x), 1) for x in own)]:
+        parts.setdefault(below, []).append((low, high, n))
+    count = lambda cut: int((own >= cut).sum()) + test.where(F.col("odds") >= float(cut)).count()
+    lows = sorted((min(lo for lo, _, _ in v if lo is not None), k) for k, v in parts.items() if any(lo is not None for lo, _, _ in v))
+    model.threshold = next((lo for lo, k in lows if (good := count(lo)) >= 0.99 * (good + len(bad) - k)), max((h for v in parts.values() for _, h, _ in v if h > 0), default=float("inf")))
+    taken, total = count(model.threshold), len(own) + sum(r["n"] for r in found.select("n").collect())
+    model.held_out = (taken / max(1, taken + int((bad >= model.threshold).sum())), taken / max(1, total))
     return model
 
 
