@@ -27,3 +27,9 @@ def test_model_search(spark, endless):
 def test_ensemble_search(spark, endless):
     got = registry.queries()["ensemble_search"](spark, endless).collect()
     assert len(got) == 3 and all(math.isfinite(r.rmse) for r in got)
+
+
+def test_optimised_weights(spark, endless):
+    got = registry.queries()["optimised_weights"](spark, endless).collect()
+    assert {r.feature for r in got} == {"signal", "level"}
+    assert math.isclose(sum(abs(r.weight) for r in got), 1)
