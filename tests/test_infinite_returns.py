@@ -33,3 +33,19 @@ def test_optimised_weights(spark, endless):
     got = registry.queries()["optimised_weights"](spark, endless).collect()
     assert {r.feature for r in got} == {"signal", "level"}
     assert math.isclose(sum(abs(r.weight) for r in got), 1)
+
+
+def test_walk_forward_predictions(spark, endless):
+    got = registry.queries()["walk_forward_predictions"](spark, endless).collect()
+    assert got and all(r.prediction is None or math.isfinite(r.prediction) for r in got)
+    assert any(r.prediction is None for r in got) and any(r.prediction is not None for r in got)
+
+
+def test_every_test_row_is_kept(spark):
+    """A test row without a finite feature keeps a null prediction, one with an infinite target is predicted."""
+    inf = float("inf")
+    rows = [(0, "train", float(x), 2.0 * x) for x in range(9)] + [(0, "train", inf, 1.0), (0, "train", 1.0, inf), (0, "test", 3.0, inf), (0, "test", inf, 1.0), (0, "test", None, 1.0), (1, "train", inf, 1.0), (1, "test", 1.0, 1.0)]
+    folds = spark.createDataFrame(rows, "fold long, role string, x double, y double")
+    got = modeling.walk_forward_ridge(folds, ["x"], "y", 0.0).collect()
+    assert sorted((r.fold, r.x or 0.0, r.y, r.prediction and round(r.prediction, 6)) for r in got if r.prediction is not None) == [(0, 3.0, inf, 6.0)]
+    assert len(got) == 4
