@@ -6,6 +6,8 @@ fixed functions of keys, since the tables have none.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,7 +165,7 @@ w AS (SELECT *, CASE WHEN regime = 'BEAR' THEN 'regime' WHEN entry < 5 THEN 'pri
 SELECT symbol, ts, reject_reason, shares, {r('CASE WHEN reject_reason IS NULL THEN entry - each END', 'stop_price')}, {r('shares * each', 'total_risk')}, {r('shares * each / nullif(equity, 0)', 'risk_pct')} FROM z"""))
 def risk_budget_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("symbol")
-    b = T.bars_user_d(spark, sf_dir).select("symbol", "ts", (150.0 + (s * 37) % 1200).alias("equity"), (F.col("close") / 5).alias("entry"), ((F.col("high") - F.col("low")) / 100).alias("atr"), ((F.col("volume") * 23 + s) % 101).alias("score"), F.when(s % 4 == 0, "BEAR").when(s % 4 == 1, "NEUTRAL").otherwise("BULL").alias("regime"), (s % 3).alias("open_positions"), ((s % 7) * 0.005).alias("open_risk"))
+    b = T.bars_user_d(spark, sf_dir).select("symbol", "ts", ((s * 37) % 1200 + 150).cast("decimal(12,1)").alias("equity"), (F.col("close") / 5).alias("entry"), ((F.col("high") - F.col("low")) / 100).alias("atr"), ((F.col("volume") * 23 + s) % 101).alias("score"), F.when(s % 4 == 0, "BEAR").when(s % 4 == 1, "NEUTRAL").otherwise("BULL").alias("regime"), (s % 3).alias("open_positions"), ((s % 7) * F.lit(Decimal("0.005"))).cast("decimal(6,3)").alias("open_risk"))
     return rounded(risk.risk_budget_size(b).select("symbol", "ts", "reject_reason", "shares", "stop_price", "total_risk", "risk_pct"))
 
 
