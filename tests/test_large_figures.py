@@ -21,7 +21,8 @@ ENDLESS = events((1, 1, [[0.0], [5.0], [7.5]]), (2, 1, [[3.0]] * 9 + [[0.0], [4.
 MISSING = events((1, 1, [[5.0 + i] for i in range(8)] + [["NaN"], [6.0]]), (2, 1, [[2.0 + i % 3] for i in range(12)]))
 GAPS = f"SELECT * REPLACE (CASE WHEN isnan(value) OR user_id = 2 AND event_id % 5 = 1 THEN NULL ELSE value END AS value) FROM ({MISSING})"
 SIGNED = events((1, 1, [[5.0], ["-0.0"], [7.5], [0.0], [2.0], ["-0.0"], ["-0.0"], [3.0]]))
-CASES = [("risk_budget_sizes", SIZES), ("symbol_snapshots", ENDLESS), ("symbol_snapshots", GAPS), ("symbol_snapshots", SIGNED), ("full_symbol_snapshots", ENDLESS), ("full_symbol_snapshots", GAPS), ("contract_price_features", SIGNED), ("lags_and_flows", SIGNED)]
+WAVES = events((1, 1, [[0.0]] + [[10.0 + i * 7 % 11] for i in range(27)]), (2, 1, [[7.0]] * 24 + [[9.0]]), (3, 1, [[0.0]] * 26), (4, 1, [[20.0 + i * 5 % 13] for i in range(28)]))
+CASES = [("risk_budget_sizes", SIZES), ("symbol_snapshots", ENDLESS), ("symbol_snapshots", GAPS), ("symbol_snapshots", SIGNED), ("full_symbol_snapshots", ENDLESS), ("full_symbol_snapshots", GAPS), ("signal_pipeline", WAVES), ("contract_price_features", SIGNED), ("lags_and_flows", SIGNED)]
 
 
 @pytest.mark.parametrize(("name", "sql"), CASES)
