@@ -22,7 +22,23 @@ MISSING = events((1, 1, [[5.0 + i] for i in range(8)] + [["NaN"], [6.0]]), (2, 1
 GAPS = f"SELECT * REPLACE (CASE WHEN isnan(value) OR user_id = 2 AND event_id % 5 = 1 THEN NULL ELSE value END AS value) FROM ({MISSING})"
 SIGNED = events((1, 1, [[5.0], ["-0.0"], [7.5], [0.0], [2.0], ["-0.0"], ["-0.0"], [3.0]]))
 WAVES = events((1, 1, [[0.0]] + [[10.0 + i * 7 % 11] for i in range(27)]), (2, 1, [[7.0]] * 24 + [[9.0]]), (3, 1, [[0.0]] * 26), (4, 1, [[20.0 + i * 5 % 13] for i in range(28)]))
-CASES = [("risk_budget_sizes", SIZES), ("symbol_snapshots", ENDLESS), ("symbol_snapshots", GAPS), ("symbol_snapshots", SIGNED), ("full_symbol_snapshots", ENDLESS), ("full_symbol_snapshots", GAPS), ("signal_pipeline", WAVES), ("contract_price_features", SIGNED), ("lags_and_flows", SIGNED)]
+LEVEL = events((952, 1, [[6.62], [7.36], [6.99], [29.49], [87.81], [1.93], [38.36], [6.42], [81.0], [48.04], [76.85], [54.32], [30.05], [32.34], [8.65], [102.88], [], [18.41], [71.16], [49.19], [27.07], [28.38], [19.73], [52.43], [13.12], [11.6], [104.22], [68.6], [2.39], []]))
+NEAR = events((4940, 1, [[10.69], [47.13], [31.08], [], [94.94], [56.6], [26.0], [15.9], [36.94], [83.28], [18.08], [31.21], [18.89], [45.14], [5.71], [31.94], [0.13], [6.17], [41.28], [126.1], [102.45], [], [7.53], [11.02], [0.72], [35.98], [75.39], [4.36], [5.28], [9.04]]))
+BIG = events((1, 1, [[2097475047.6473374], [8.155060151683571e+16], [1852867173.8462474], [831918320106.9789], [1.0]]))
+CASES = [
+    ("risk_budget_sizes", SIZES),
+    ("symbol_snapshots", ENDLESS),
+    ("symbol_snapshots", GAPS),
+    ("symbol_snapshots", SIGNED),
+    ("full_symbol_snapshots", ENDLESS),
+    ("full_symbol_snapshots", GAPS),
+    ("signal_pipeline", WAVES),
+    ("contract_price_features", SIGNED),
+    ("lags_and_flows", SIGNED),
+    ("regime_performance", LEVEL),
+    ("regime_performance", NEAR),
+    ("lags_and_flows", BIG),
+]
 
 
 @pytest.mark.parametrize(("name", "sql"), CASES)
